@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The operation spellings and the change types they map to.
@@ -23,9 +23,13 @@ def text_at(change: Column, path: str) -> Column:
     return F.coalesce(F.try_variant_get(change, path, "string"), F.lit(""))
 
 
-def object_at(change: Column, path: str) -> Column:
-    """A member as canonical JSON text if it is a JSON object, else NULL."""
-    json = F.to_json(F.try_variant_get(change, path, "variant"))
+def json_at(change: Column, path: str) -> Column:
+    """A member as canonical JSON text; NULL when absent."""
+    return F.to_json(F.try_variant_get(change, path, "variant"))
+
+
+def only_object(json: Column) -> Column:
+    """JSON text of an object; NULL for every other JSON."""
     return F.when(json.startswith("{"), json)
 
 
@@ -66,22 +70,29 @@ def millis_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS")
 
 
-def condition_parts(condition: Column) -> tuple[Column, Column, Column]:
-    """(name, context, error) of condition text.
+def with_condition_parts(df: DataFrame) -> DataFrame:
+    """Add condition_name, condition_context and condition_error from ``condition`` text.
 
     No text means no condition. A condition needs a non-empty string name; its context
     counts only when it is a non-empty object. On an error name and context are NULL.
     """
-    parsed = F.try_parse_json(condition)
-    given = F.coalesce(condition, F.lit("")) != ""
-    name_json = F.to_json(F.try_variant_get(parsed, "$.name", "variant"))
-    named = F.coalesce(name_json.startswith('"') & (name_json != '""'), F.lit(False))
-    error = F.when(
-        given,
-        F.when(parsed.isNull(), "invalid condition JSON").when(
-            ~named, "condition name is required and must be a string"
-        ),
+    given = F.nullif(F.col("condition"), F.lit(""))
+    parsed = df.withColumn("_parsed", F.try_parse_json(given)).withColumns(
+        {
+            "_name": json_at(F.col("_parsed"), "$.name"),
+            "_context": json_at(F.col("_parsed"), "$.context"),
+        }
+    )
+    named = F.col("_name").startswith('"') & (F.col("_name") != '""')
+    error = F.when(F.col("_parsed").isNull(), "invalid condition JSON").when(
+        ~F.coalesce(named, F.lit(False)), "condition name is required and must be a string"
     )
-    name = F.when(given & named, F.try_variant_get(parsed, "$.name", "string"))
-    context = F.when(given & named, F.nullif(object_at(parsed, "$.context"), F.lit("{}")))
-    return name, context, error
+    return parsed.withColumns(
+        {
+            "condition_name": F.when(named, F.try_variant_get("_parsed", "$.name", "string")),
+            "condition_context": F.when(
+                named & (F.col("_context") != "{}"), only_object(F.col("_context"))
+            ),
+            "condition_error": F.when(given.isNotNull(), error),
+        }
+    ).drop("_parsed", "_name", "_context")

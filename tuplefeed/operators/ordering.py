@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows one task numbers at a time, and segment counts one task sums at a time.
@@ -10,13 +10,18 @@ SEGMENT_ROWS = 1 << 14
 BLOCK_ROWS = 1 << 12
 
 
+def block_of(position: Column, size: int | Column) -> Column:
+    """Whole-number quotient, exact for every BIGINT."""
+    return F.call_function("div", position, F.lit(size))
+
+
 def prefix_sums(df: DataFrame, key: str, value: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``before``: the sum of ``value`` over all smaller values of the unique BIGINT ``key``.
 
     Sums run inside blocks of keys. Only the block totals, one row per ``block_rows`` keys, are
     summed in one task.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(key) / block_rows).cast("bigint"))
+    blocked = df.withColumn("_block", block_of(F.col(key), block_rows))
     totals = blocked.groupBy("_block").agg(F.sum(value).alias("_total"))
     earlier = (Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -27,7 +32,8 @@ def prefix_sums(df: DataFrame, key: str, value: str, block_rows: int = BLOCK_ROW
     )
     in_block = Window.partitionBy("_block").orderBy(key).rowsBetween(*earlier)
     within = blocked.withColumn("_within", F.coalesce(F.sum(value).over(in_block), F.lit(0)))
-    return within.join(offsets, "_block").select(
+    # A left join adds no filter to one of its sides, so that both sides stay one computation.
+    return within.join(offsets, "_block", "left").select(
         *df.columns, (F.col("_offset") + F.col("_within")).alias("before")
     )
 
@@ -41,13 +47,13 @@ def dense_position(
     because the values are unique, and shifted by the rows of the earlier segments. Segments
     depend on the values alone, so both passes over the input agree also after a lost executor.
     """
-    segment = F.floor(F.col(order) / segment_rows).cast("bigint")
+    segment = block_of(F.col(order), segment_rows)
     counts = df.groupBy(segment.alias("_segment")).agg(F.count("*").alias("_rows"))
     offsets = prefix_sums(counts, "_segment", "_rows").select("_segment", "before")
     in_segment = Window.partitionBy("_segment").orderBy(order)
     return (
         df.withColumn("_segment", segment)
         .withColumn("_rank", F.row_number().over(in_segment))
-        .join(offsets, "_segment")
+        .join(offsets, "_segment", "left")
         .select(*df.columns, (F.col("before") + F.col("_rank") - 1).alias(out))
     )

@@ -25,10 +25,10 @@ def parse_changes(decoded: DataFrame, ingest_ts: Column | None = None) -> DataFr
         C.text_at(change, "$.tuple_key.user").alias("user_ref"),
         C.text_at(change, "$.tuple_key.relation").alias("relation"),
         C.text_at(change, "$.tuple_key.object").alias("object_ref"),
-        C.parse_time(F.try_variant_get(change, "$.timestamp", "string")).alias("event_ts"),
-        C.object_at(change, "$.tuple_key.condition").alias("condition"),
+        F.try_variant_get(change, "$.timestamp", "string").alias("time_text"),
+        C.json_at(change, "$.tuple_key.condition").alias("condition_json"),
         F.to_json(change).alias("raw_json"),
-    )
+    ).withColumn("event_ts", C.parse_time(F.col("time_text")))
     user_type, user_id = refs.split_user_ref(F.col("user_ref"))
     object_type, object_id = refs.split_object_ref(F.col("object_ref"))
     return fields.select(
@@ -41,7 +41,7 @@ def parse_changes(decoded: DataFrame, ingest_ts: Column | None = None) -> DataFr
         C.change_type(F.col("operation")).alias("change_type"),
         F.coalesce("event_ts", ingest_ts).alias("ts"),
         F.col("event_ts").isNull().alias("ts_defaulted"),
-        "condition",
+        C.only_object(F.col("condition_json")).alias("condition"),
         "raw_json",
         "user_ref",
         "object_ref",

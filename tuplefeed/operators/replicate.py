@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, condition_parts, op_code
+from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, op_code, with_condition_parts
 from tuplefeed.functions.refs import join_ref
-from tuplefeed.operators.ordering import dense_position
+from tuplefeed.operators.ordering import block_of, dense_position
 
 BATCH_SIZE = 100
 
@@ -47,9 +47,12 @@ def chunk(
         "seq", "operation", "user", "relation", "object", "condition"
     )
     placed = dense_position(narrow, "seq", "position")
-    chunks = placed.withColumn(
-        "chunk", F.floor(F.col("position") / batch_size).cast("bigint")
-    ).withColumn("op", op_code(F.col("operation"), vocab))
+    chunks = placed.withColumns(
+        {
+            "chunk": block_of(F.col("position"), batch_size),
+            "op": op_code(F.col("operation"), vocab),
+        }
+    )
     if net:
         last = Window.partitionBy("chunk", "user", "relation", "object", F.col("op") == UNKNOWN)
         chunks = chunks.withColumn("_last", F.max("seq").over(last))
@@ -67,9 +70,8 @@ def requests(
     with nothing to send have no row. The arrays hold at most ``batch_size`` entries.
     """
     known = chunk(events, batch_size, vocab, net).where(F.col("op") != UNKNOWN)
-    name, context, _ = condition_parts(F.col("condition"))
     key = ("user", "relation", "object")
-    parsed = known.withColumns({"condition_name": name, "condition_context": context})
+    parsed = with_condition_parts(known)
     entry = F.struct("seq", *key, "condition_name", "condition_context")
     delete = F.struct("seq", *key)
     return parsed.groupBy("chunk").agg(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, op_code
+from tuplefeed.operators.ordering import block_of
 
 KEY = ["object_type", "object_id", "relation", "user_type", "user_id"]
 STATE_SCHEMA = (
@@ -40,7 +41,7 @@ def summarize(
     op = op_code(F.col("operation"), vocab)
     rows = events.select(
         *KEY,
-        F.floor(F.col("seq") / segment_rows).alias("_segment"),
+        block_of(F.col("seq"), segment_rows).alias("_segment"),
         F.when(op == DELETE, F.col("seq")).alias("_delete"),
         F.when(op == WRITE, F.struct("seq", "ts")).alias("_write"),
         F.when(op == WRITE, F.struct("seq", "ts", "condition")).alias("_last"),
@@ -152,3 +153,19 @@ def lookup_many(state: DataFrame, keys: DataFrame) -> DataFrame:
     hits = state.withColumn("_hit", F.lit(True))
     joined = keys.select(*KEY).distinct().join(hits, KEY, "left")
     return joined.withColumn("found", F.coalesce("_hit", F.lit(False))).drop("_hit")
+
+
+def row_effects(state: DataFrame, events: DataFrame, vocab: str = "union") -> DataFrame:
+    """What a batch does to the rows of a state: inserted, updated, replaced (deleted and written
+    anew) and removed."""
+    joined = state.select(*KEY, F.lit(True).alias("_old")).join(
+        summarize(events, vocab).withColumn("_new", F.lit(True)), KEY, "full_outer"
+    )
+    existed, written = F.col("_old").isNotNull(), F.col("last_seq").isNotNull()
+    deleted = F.coalesce("has_delete", F.lit(False))
+    return joined.where("_new").agg(
+        F.count_if(written & ~existed).alias("inserted"),
+        F.count_if(written & existed & ~deleted).alias("updated"),
+        F.count_if(written & existed & deleted).alias("replaced"),
+        F.count_if(~written & existed & deleted).alias("removed"),
+    )

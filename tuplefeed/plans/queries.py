@@ -19,6 +19,7 @@ from tuplefeed.operators import (
     state,
     stats,
 )
+from tuplefeed.operators.ordering import block_of
 from tuplefeed.operators.parse import parse_changes, parse_feed, with_tuple_key
 from tuplefeed.session import configure, shared_folder
 from tuplefeed.sources import derived
@@ -62,14 +63,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _paged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their page; positions of the derived feed have no gaps."""
-    page = F.floor(F.col("seq") / derived.PAGE_ROWS).cast("bigint")
+    page = block_of(F.col("seq"), derived.PAGE_ROWS)
     return _events(spark, sf_dir).withColumn("page_no", page)
 
 
 def _middle(spark: SparkSession, sf_dir: str) -> Column:
     """The position in the middle of the feed."""
     last = derived.raw_events(spark, sf_dir)
-    return last.agg(F.floor(F.max("event_id") / 2).cast("bigint")).scalar()
+    return last.agg(block_of(F.max("event_id"), 2)).scalar()
 
 
 def _changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,12 +193,8 @@ def condition_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def condition_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, context, error = C.condition_parts(F.col("condition"))
-    return _events(spark, sf_dir).select(
-        "seq",
-        name.alias("condition_name"),
-        context.alias("condition_context"),
-        error.alias("condition_error"),
+    return C.with_condition_parts(_events(spark, sf_dir)).select(
+        "seq", "condition_name", "condition_context", "condition_error"
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tuplefeed.operators.ordering import block_of
 from tuplefeed.session import spread
 
 EVENTS_SCHEMA = (
@@ -83,7 +84,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     page as a JSON string, so that the page itself can be read."""
     as_string = F.concat(F.lit('"'), F.replace("wire", F.lit('"'), F.lit('\\"')), F.lit('"'))
     rows = feed(spark, sf_dir).select(
-        F.floor(F.col("seq") / PAGE_ROWS).cast("bigint").alias("page_no"),
+        block_of(F.col("seq"), PAGE_ROWS).alias("page_no"),
         "seq",
         F.when(F.try_parse_json("wire").isNotNull(), F.col("wire")).otherwise(as_string).alias("item"),
     )

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuplefeed.operators.ordering import dense_position, prefix_sums
+from tuplefeed.operators.ordering import block_of, dense_position, prefix_sums
 
 FEED_SCHEMA = "seq BIGINT, wire STRING"
 PAGES_SCHEMA = "page_no BIGINT, body STRING"
@@ -31,8 +31,25 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(PAGES_SCHEMA).format(fmt).load(path)
 
 
-def _as_object(wire: Column, parsed: Column) -> Column:
-    return parsed.isNotNull() & wire.rlike(r"^[ \t\r\n]*\{")
+def _document(text: Column) -> Column:
+    """The text as first element of a VARIANT array, its hash as second.
+
+    The JSON parser stops after the first value; the hash is missing or moved when more text
+    follows, as in two changes on one line.
+    """
+    return F.try_parse_json(
+        F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text), F.lit("]"))
+    )
+
+
+def _is_object(text: Column, document: Column) -> Column:
+    """Whether the whole text is one JSON object."""
+    complete = F.try_variant_get(document, "$[1]", "bigint") == F.xxhash64(text)
+    return F.coalesce(complete & text.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
+
+
+def _content(document: Column) -> Column:
+    return F.try_variant_get(document, "$[0]", "variant")
 
 
 def decode(feed: DataFrame) -> DataFrame:
@@ -42,15 +59,16 @@ def decode(feed: DataFrame) -> DataFrame:
     would each parse the JSON text once more.
     """
     keep = [c for c in feed.columns if c != "wire"]
-    parsed = feed.withColumn("parsed", F.try_parse_json("wire"))
-    good = F.when(_as_object(F.col("wire"), F.col("parsed")), F.array("parsed"))
+    wire, document = F.col("wire"), F.col("document")
+    parsed = feed.withColumn("document", _document(wire))
+    good = F.when(_is_object(wire, document), F.array(_content(document)))
     return parsed.select(*keep, F.explode(good).alias("change"))
 
 
 def rejects(feed: DataFrame) -> DataFrame:
     """The rows ``decode`` drops, with their text, for quarantine."""
-    good = _as_object(F.col("wire"), F.try_parse_json("wire"))
-    return feed.where(F.coalesce(~good, F.lit(True)))
+    wire = F.col("wire")
+    return feed.where(~_is_object(wire, _document(wire)))
 
 
 def decode_pages(pages: DataFrame, page_rows: int = 1000) -> DataFrame:
@@ -59,11 +77,12 @@ def decode_pages(pages: DataFrame, page_rows: int = 1000) -> DataFrame:
     ``page_rows`` is at least the size of the largest page; a longer one is an error, since
     its positions would run into those of the next page.
     """
-    parsed = pages.select("page_no", F.try_parse_json("body").alias("page"))
-    items = parsed.select(
-        "page_no",
-        F.posexplode(F.try_variant_get("page", "$.changes", "array<variant>")).alias("pos", "change"),
-    ).where(F.schema_of_variant("change").startswith("OBJECT<"))
+    body, page = F.col("body"), F.col("page")
+    parsed = pages.select("page_no", "body", _document(body).alias("page"))
+    changes = F.when(
+        _is_object(body, page), F.try_variant_get(page, "$[0].changes", "array<variant>")
+    )
+    items = parsed.select("page_no", F.posexplode(changes).alias("pos", "change")).where(F.schema_of_variant("change").startswith("OBJECT<"))
     pos = F.when(F.col("pos") < page_rows, F.col("pos").cast("bigint")).otherwise(
         F.raise_error(F.lit(f"a page holds more than page_rows={page_rows} changes"))
     )
@@ -97,16 +116,17 @@ def paginate(feed: DataFrame, page_size: int) -> DataFrame:
     placed = dense_position(feed, "seq", "place")
     return placed.select(
         *feed.columns,
-        F.floor(F.col("place") / page_size).cast("bigint").alias("page_no"),
+        block_of(F.col("place"), page_size).alias("page_no"),
         (F.col("place") % page_size).alias("pos"),
     )
 
 
 def page_summary(feed: DataFrame, page_size: int) -> DataFrame:
     """One row per page: parsed changes, the token to go on with, and if there is more."""
-    good = F.coalesce(_as_object(F.col("wire"), F.try_parse_json("wire")), F.lit(False))
+    wire = F.col("wire")
+    good = _is_object(wire, _document(wire))
     paged = paginate(feed.select("seq", good.alias("good")), page_size)
-    last_page = feed.agg(F.floor((F.count("*") - 1) / page_size).cast("bigint")).scalar()
+    last_page = feed.agg(block_of(F.count("*") - 1, page_size)).scalar()
     per_page = paged.groupBy("page_no").agg(
         F.count_if("good").alias("total_fetched"), F.max("seq").alias("last_seq")
     )
