@@ -1,10 +1,13 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+HERE = Path(__file__).resolve().parent
+PATHS = [str(HERE.parent), str(HERE)]
+sys.path[:0] = PATHS
+os.environ["PYTHONPATH"] = os.pathsep.join(PATHS)  # for Spark's Python workers
 
 from tuplefeed.session import build_session  # noqa: E402
 
@@ -21,6 +24,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -89,7 +89,8 @@ def test_pages_of_changes(spark):
         (0, 0, 0, "WRITE"), (2, 0, 2, "DELETE"), (20, 2, 0, "WRITE"),
     ]
     tokens = {r.page_no: (r.next_token, r.has_more) for r in source.page_tokens(pages).collect()}
-    assert tokens == {0: ("t1", True), 1: ("", False), 2: ("", False), 3: ("", False)}
+    assert tokens == {0: ("t1", True), 1: ("", False), 2: ("", False)}
+    assert [r.page_no for r in source.rejects(pages, "body").collect()] == [3]
     with pytest.raises(Exception, match="page_rows=2"):
         source.decode_pages(pages, 2).collect()
 

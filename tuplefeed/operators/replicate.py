@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, op_code, with_condition_parts
 from tuplefeed.functions.refs import join_ref
 from tuplefeed.operators.ordering import block_of, dense_position
+from tuplefeed.operators.state import KEY
 
 BATCH_SIZE = 100
 
@@ -61,6 +65,17 @@ def chunk(
     return chunks
 
 
+def net_changes(events: DataFrame, vocab: str = "union") -> DataFrame:
+    """Only the last write or delete of each key, combined before the shuffle.
+
+    The target ends in the same state, and as no key is left twice, requests made of the
+    result may be sent in any order and at the same time.
+    """
+    known = events.where(op_code(F.col("operation"), vocab) != UNKNOWN)
+    last = F.max_by(F.struct("seq", "operation", "condition"), "seq")
+    return known.groupBy(*KEY).agg(last.alias("_last")).select(*KEY, "_last.*")
+
+
 def requests(
     events: DataFrame, batch_size: int = BATCH_SIZE, vocab: str = "union", net: bool = False
 ) -> DataFrame:
@@ -117,3 +132,32 @@ def bodies(requests: DataFrame) -> DataFrame:
             )
         ).alias("body"),
     )
+
+
+def deliver(bodies: DataFrame, send: Callable[[str], None], done: DataFrame | None = None) -> DataFrame:
+    """Send request bodies and report (chunk, delivered, error).
+
+    ``send`` runs in the tasks and raises when the target refuses. Tasks send at the same time,
+    so requests should come from ``net_changes``. Chunks in ``done``, the report of an earlier
+    try, are not sent again if they were delivered. The result is lazy and sends each time it
+    is computed: write it to the delivery log.
+    """
+    if done is not None:
+        bodies = bodies.join(done.where("delivered").select("chunk"), "chunk", "left_anti")
+
+    def send_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            errors = []
+            for body in batch["body"]:
+                try:
+                    send(body)
+                    errors.append(None)
+                except Exception as error:
+                    errors.append(str(error))
+            yield pd.DataFrame(
+                {"chunk": batch["chunk"], "delivered": [e is None for e in errors], "error": errors}
+            )
+
+    return bodies.select("chunk", "body").mapInPandas(
+        send_all, "chunk BIGINT, delivered BOOLEAN, error STRING"
+    )

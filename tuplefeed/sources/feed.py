@@ -65,10 +65,10 @@ def decode(feed: DataFrame) -> DataFrame:
     return parsed.select(*keep, F.explode(good).alias("change"))
 
 
-def rejects(feed: DataFrame) -> DataFrame:
-    """The rows ``decode`` drops, with their text, for quarantine."""
-    wire = F.col("wire")
-    return feed.where(~_is_object(wire, _document(wire)))
+def rejects(rows: DataFrame, text: str = "wire") -> DataFrame:
+    """The rows ``decode`` (or, with ``text="body"``, ``decode_pages``) drops, for quarantine."""
+    column = F.col(text)
+    return rows.where(~_is_object(column, _document(column)))
 
 
 def decode_pages(pages: DataFrame, page_rows: int = 1000) -> DataFrame:
@@ -92,10 +92,16 @@ def decode_pages(pages: DataFrame, page_rows: int = 1000) -> DataFrame:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(page_no, next_token, has_more); no or an empty token ends the feed."""
-    token = F.try_variant_get(F.try_parse_json("body"), "$.continuation_token", "string")
-    tokens = pages.select("page_no", F.coalesce(token, F.lit("")).alias("next_token"))
-    return tokens.withColumn("has_more", F.col("next_token") != "")
+    """(page_no, next_token, has_more); no or an empty token ends the feed.
+
+    A page whose body is no JSON object has no row: it must be fetched again.
+    """
+    body, page = F.col("body"), F.col("page")
+    parsed = pages.select("page_no", "body", _document(body).alias("page"))
+    token = F.coalesce(F.try_variant_get(page, "$[0].continuation_token", "string"), F.lit(""))
+    return parsed.where(_is_object(body, page)).select(
+        "page_no", token.alias("next_token"), (token != "").alias("has_more")
+    )
 
 
 def resume(feed: DataFrame, token: str | Column = START) -> DataFrame:
