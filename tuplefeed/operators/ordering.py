@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Rows one task numbers at a time, and segment counts one task sums at a time.
 SEGMENT_ROWS = 1 << 14
-BLOCK_ROWS = 1 << 12
+BLOCK_ROWS = 1 << 16
 
 
 def block_of(position: Column, size: int | Column) -> Column:

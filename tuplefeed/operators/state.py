@@ -13,6 +13,8 @@ from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, op_code
 from tuplefeed.operators.ordering import block_of
 
 KEY = ["object_type", "object_id", "relation", "user_type", "user_id"]
+# The same columns, those that differ most first: sorting by them compares less.
+_GROUP = ["user_id", "object_id", "relation", "object_type", "user_type"]
 STATE_SCHEMA = (
     "object_type STRING, object_id STRING, relation STRING, user_type STRING, user_id STRING, "
     "condition STRING, created_at TIMESTAMP, updated_at TIMESTAMP, last_seq BIGINT"
@@ -30,9 +32,10 @@ def summarize(
     events: DataFrame, vocab: str = "union", segment_rows: int = FOLD_SEGMENT_ROWS
 ) -> DataFrame:
     """Net effect of a run of changes, one row per key:
-    (key, has_delete, first_ts, condition, last_ts, last_seq).
+    (key, has_delete, first_ts, condition, last_ts, last_seq, from_seq, to_seq).
 
-    The last four describe the writes after the last delete and are NULL if there are none.
+    first_ts to last_seq describe the writes after the last delete and are NULL if there are
+    none; from_seq and to_seq are the positions of the key's first and last change.
 
     Two steps keep a hot key out of one task. First each key is reduced within segments of the
     feed, whose length bounds the group; a map task holds few segments, so most of a hot key
@@ -41,28 +44,33 @@ def summarize(
     op = op_code(F.col("operation"), vocab)
     rows = events.select(
         *KEY,
+        "seq",
         block_of(F.col("seq"), segment_rows).alias("_segment"),
         F.when(op == DELETE, F.col("seq")).alias("_delete"),
         F.when(op == WRITE, F.struct("seq", "ts")).alias("_write"),
         F.when(op == WRITE, F.struct("seq", "ts", "condition")).alias("_last"),
         op.alias("_op"),
     ).where(F.col("_op") != UNKNOWN)
-    segments = rows.groupBy(*KEY, "_segment").agg(
+    segments = rows.groupBy(*_GROUP, "_segment").agg(
+        F.min("seq").alias("_from"),
+        F.max("seq").alias("_to"),
         F.max("_delete").alias("_delete"),
         F.collect_list("_write").alias("_writes"),
         F.max_by("_last", F.col("_last.seq")).alias("_last"),
     )
     first = F.array_min(F.filter("_writes", lambda w: _live(w["seq"], F.col("_delete"))))
-    reduced = segments.select(*KEY, "_delete", first.alias("_first"), "_last")
+    reduced = segments.select(*KEY, "_from", "_to", "_delete", first.alias("_first"), "_last")
 
-    cut = F.max("_delete").over(Window.partitionBy(*KEY))
+    cut = F.max("_delete").over(Window.partitionBy(*_GROUP))
     placed = reduced.withColumn("_cut", cut)
     live_first = F.when(_live(F.col("_first.seq"), F.col("_cut")), F.col("_first"))
     live_last = F.when(_live(F.col("_last.seq"), F.col("_cut")), F.col("_last"))
-    merged = placed.groupBy(*KEY).agg(
+    merged = placed.groupBy(*_GROUP).agg(
         F.max("_delete").isNotNull().alias("has_delete"),
         F.min(live_first).alias("_first"),
         F.max_by(live_last, live_last["seq"]).alias("_last"),
+        F.min("_from").alias("from_seq"),
+        F.max("_to").alias("to_seq"),
     )
     return merged.select(
         *KEY,
@@ -71,6 +79,8 @@ def summarize(
         F.col("_last.condition").alias("condition"),
         F.col("_last.ts").alias("last_ts"),
         F.col("_last.seq").alias("last_seq"),
+        "from_seq",
+        "to_seq",
     )
 
 
@@ -136,7 +146,10 @@ def apply_counts(events: DataFrame, by: list[str], vocab: str = "union") -> Data
 
 
 def conditional_tuples(state: DataFrame) -> DataFrame:
-    return state.where(F.col("condition").isNotNull()).orderBy("object_id")
+    """Tuples with a condition by object id. The rest of the key follows in the order, so that
+    the sort can split the tuples of one object."""
+    rest = [name for name in KEY if name != "object_id"]
+    return state.where(F.col("condition").isNotNull()).orderBy("object_id", *rest)
 
 
 def lookup(state: DataFrame, **key: str) -> DataFrame:

@@ -51,12 +51,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when the scan gives fewer tasks than there are cores.
+    """Use all cores when the scan keeps most of them idle.
 
     One small file with one row group is one task. Large tables have many row groups and
     pass through unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or df.rdd.getNumPartitions() * 2 > cores:
         return df
     return df.repartition(cores, key)

@@ -77,7 +77,7 @@ class StateTable:
         homes, high = self._listing(batch_id - 1)
         summary = self._with_bucket(summarize(events, vocab)).persist()
         try:
-            first, last = events.agg(F.min("seq"), F.max("seq")).first()
+            first, last = summary.agg(F.min("from_seq"), F.max("to_seq")).first()
             if first is not None and high is not None and first <= high:
                 raise ValueError(
                     f"batch {batch_id} starts at position {first}, "

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tuplefeed.operators.changelog import by_date, changelog_rows
 from tuplefeed.operators.parse import parse_feed
 from tuplefeed.operators.replicate import BATCH_SIZE, bodies, requests
+from tuplefeed.session import spread
 from tuplefeed.streaming.state_table import BUCKETS, StateTable
 
 
@@ -34,6 +35,16 @@ def observed(events: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _stamped(feed: DataFrame, ingest_ts: Column | None) -> DataFrame:
+    """Fix the time that stands in for missing ones here: in the streaming plan the current time
+    is that of the batch, the same in every pass over it and in every retry."""
+    return feed.withColumn("_ingest", F.current_timestamp() if ingest_ts is None else ingest_ts)
+
+
+def _events(batch: DataFrame) -> DataFrame:
+    return parse_feed(spread(batch, "seq"), F.col("_ingest")).drop("_ingest")
+
+
 def sync_changelog(
     feed: DataFrame,
     path: str,
@@ -58,12 +69,12 @@ def sync_state(
     buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Keep the current tuples, one table version per batch."""
-    events = parse_feed(feed, ingest_ts)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        StateTable(batch.sparkSession, path, buckets).apply(batch, batch_id, vocab)
+        StateTable(batch.sparkSession, path, buckets).apply(_events(batch), batch_id, vocab)
 
-    return _start(events.writeStream.foreachBatch(apply), checkpoint, poll_interval)
+    writer = _stamped(feed, ingest_ts).writeStream.foreachBatch(apply)
+    return _start(writer, checkpoint, poll_interval)
 
 
 def sync_requests(
@@ -77,13 +88,13 @@ def sync_requests(
     net: bool = False,
 ) -> StreamingQuery:
     """Write the requests of each batch to its own folder, ``batch_id=<n>``."""
-    events = parse_feed(feed, ingest_ts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        made = bodies(requests(batch, batch_size, vocab, net))
+        made = bodies(requests(_events(batch), batch_size, vocab, net))
         made.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
-    return _start(events.writeStream.foreachBatch(write), checkpoint, poll_interval)
+    writer = _stamped(feed, ingest_ts).writeStream.foreachBatch(write)
+    return _start(writer, checkpoint, poll_interval)
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
