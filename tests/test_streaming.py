@@ -6,8 +6,8 @@ import pytest
 
 from helpers import event, events_of, feed_of, random_events, replay, state_dict, wire
 from tuplefeed.operators import changelog, dedupe, replicate, state
-from tuplefeed.operators.parse import parse_feed
-from tuplefeed.sources.feed import stream_feed
+from tuplefeed.operators.parse import parse_feed, parse_pages
+from tuplefeed.sources.feed import read_page_files, stream_feed
 from tuplefeed.streaming import streams
 from tuplefeed.streaming.state_table import StateTable
 
@@ -149,3 +149,31 @@ def test_repeats_in_a_stream(spark, tmp_path):
         writer.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     )
     assert sorted(r.seq for r in spark.read.parquet(out).collect()) == list(range(30))
+
+
+def test_page_files(spark, tmp_path):
+    texts = [t for t in wires(50) if "NOOP" not in t]
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    for page in range(0, len(texts), 10):
+        body = {"changes": [json.loads(t) for t in texts[page : page + 10]], "continuation_token": str(page)}
+        path = folder / f"page-{page // 10:04}.json"
+        path.write_text(json.dumps(body, indent=1))
+        os.utime(path, (time.time() - 1000 + page,) * 2)
+    pages = read_page_files(spark, str(folder))
+    assert pages.count() == -(-len(texts) // 10)
+    batch = state_dict(state.fold(parse_pages(pages, page_rows=10)))
+    assert {k: v[0] for k, v in batch.items()} == {
+        k: v[0] for k, v in state_dict(state.fold(batch_events(spark, texts))).items()
+    }
+    stream = read_page_files(spark, str(folder), stream=True, max_files=2)
+    path = str(tmp_path / "state")
+    streams.finish(streams.sync_state(stream, path, str(tmp_path / "c1"), buckets=2))
+    streamed = state_dict(StateTable(spark, path, 2).read())
+    assert {k: v[:3] for k, v in streamed.items()} == {k: v[:3] for k, v in batch.items()}
+    log = str(tmp_path / "log")
+    streams.finish(streams.sync_changelog(stream, log, str(tmp_path / "c2")))
+    assert changelog.read_changelog(spark, log).count() == len(texts)
+    (folder / "page.json").write_text("{}")
+    with pytest.raises(Exception, match="no page number"):
+        read_page_files(spark, str(folder)).collect()

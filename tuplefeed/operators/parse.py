@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tuplefeed.functions import changes as C
 from tuplefeed.functions import refs
-from tuplefeed.sources.feed import decode
+from tuplefeed.sources.feed import decode, decode_pages
 
 
 def parse_changes(decoded: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
@@ -49,6 +49,13 @@ def parse_changes(decoded: DataFrame, ingest_ts: Column | None = None) -> DataFr
     )
 
 
+def parse_pages(
+    pages: DataFrame, ingest_ts: Column | None = None, page_rows: int = 1000
+) -> DataFrame:
+    """Events of pages of (page_no, body), with the position made of page and place in it."""
+    return parse_changes(decode_pages(pages, page_rows), ingest_ts)
+
+
 def parse_feed(feed: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
     """Events of a feed of (seq, wire); rows that are no JSON object are left out."""
     return parse_changes(decode(feed), ingest_ts)

@@ -140,7 +140,8 @@ def deliver(bodies: DataFrame, send: Callable[[str], None], done: DataFrame | No
     ``send`` runs in the tasks and raises when the target refuses. Tasks send at the same time,
     so requests should come from ``net_changes``. Chunks in ``done``, the report of an earlier
     try, are not sent again if they were delivered. The result is lazy and sends each time it
-    is computed: write it to the delivery log.
+    is computed: write it to the delivery log. A task Spark runs again sends its requests again,
+    so the target must accept a repeated request.
     """
     if done is not None:
         bodies = bodies.join(done.where("delivered").select("chunk"), "chunk", "left_anti")

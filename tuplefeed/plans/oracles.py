@@ -213,6 +213,11 @@ def all_oracles() -> dict[str, str]:
             AND object_type = 'document' AND relation = 'viewer'""",
         "audit_by_user_type": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE user_type = 'team'",
         "audit_by_change_type": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE change_type = 'DELETE'",
+        "audit_by_object_type": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE object_type = 'folder'",
+        "audit_by_relation": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE relation = 'editor'",
+        "state_by_user_type": f"WITH {STATE} SELECT * FROM state WHERE user_type = 'org'",
+        "state_by_object_type": f"WITH {STATE} SELECT * FROM state WHERE object_type = 'table'",
+        "state_by_relation": f"WITH {STATE} SELECT * FROM state WHERE relation = 'viewer'",
         "state_updated_since": f"WITH {STATE} SELECT * FROM state WHERE updated_at >= TIMESTAMP '{SINCE}'",
         "validate_event": f"""{events} seq, CASE WHEN {_PROBLEMS} <> ''
             THEN concat('change event validation failed: ', {_PROBLEMS}) END AS validation_error FROM ev""",
@@ -234,6 +239,17 @@ def all_oracles() -> dict[str, str]:
         "apply_counts": f"""{events} page_no, count(*) FILTER (WHERE op = 'W') AS inserts,
             count(*) FILTER (WHERE op = 'D') AS deletes, count(*) FILTER (WHERE op = 'U') AS skipped
             FROM ev GROUP BY page_no""",
+        "apply_effects": f"""WITH {EVENTS}, past AS (SELECT * FROM ev WHERE seq <= {MIDDLE}),
+            {_state('past', name='before')}, {_state(name='after')},
+            batch AS (SELECT {KEY}, bool_or(op = 'D') AS deleted FROM ev
+              WHERE seq > {MIDDLE} AND op <> 'U' GROUP BY {KEY}),
+            sides AS (SELECT deleted, b.last_seq IS NOT NULL AS existed,
+                coalesce(a.last_seq > {MIDDLE}, FALSE) AS written
+              FROM batch LEFT JOIN before b USING ({KEY}) LEFT JOIN after a USING ({KEY}))
+            SELECT count(*) FILTER (WHERE written AND NOT existed) AS inserted,
+              count(*) FILTER (WHERE written AND existed AND NOT deleted) AS updated,
+              count(*) FILTER (WHERE written AND existed AND deleted) AS replaced,
+              count(*) FILTER (WHERE NOT written AND existed AND deleted) AS removed FROM sides""",
         "dedupe_changes": f"{events} seq, {KEY}, operation FROM ev",
         "replicate_chunks": f"""WITH {_chunks()} SELECT seq, position, chunk, op, usr AS "user", relation,
             obj AS "object" FROM chunks""",
@@ -243,6 +259,9 @@ def all_oracles() -> dict[str, str]:
             SELECT chunk, count(*) FILTER (WHERE op = 'W') AS n_writes,
               count(*) FILTER (WHERE op = 'D') AS n_deletes
             FROM last WHERE seq = last_seq GROUP BY chunk""",
+        "replicate_net_changes": f"""WITH {EVENTS}, last AS (SELECT *, max(seq) OVER (PARTITION BY {KEY})
+            AS last_seq FROM ev WHERE op <> 'U')
+            SELECT {KEY}, seq, operation, condition FROM last WHERE seq = last_seq""",
         "replicate_selected": f"""WITH {_chunks("object_type IN ('document', 'table') AND relation IN ('viewer', 'editor')")},
             {REQUESTS} SELECT * FROM requests""",
         "stats_changelog_entries": f"{events} count(*) AS changelog_entries FROM ev",

@@ -256,6 +256,31 @@ def audit_by_change_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.audit(_changelog(spark, sf_dir), change_type="DELETE").drop("raw_event")
 
 
+@query
+def audit_by_object_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.audit(_changelog(spark, sf_dir), object_type="folder").drop("raw_event")
+
+
+@query
+def audit_by_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.audit(_changelog(spark, sf_dir), relation="editor").drop("raw_event")
+
+
+@query
+def state_by_user_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.audit(_state(spark, sf_dir), user_type="org")
+
+
+@query
+def state_by_object_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.audit(_state(spark, sf_dir), object_type="table")
+
+
+@query
+def state_by_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.audit(_state(spark, sf_dir), relation="viewer")
+
+
 @query
 def state_updated_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.audit(_state(spark, sf_dir), since=_at(SINCE), time_column="updated_at")
@@ -336,6 +361,14 @@ def apply_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.apply_counts(_paged_events(spark, sf_dir), ["page_no"])
 
 
+@query
+def apply_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of the feed on the state of the first."""
+    events, middle = _events(spark, sf_dir), _middle(spark, sf_dir)
+    before = state.fold(events.where(F.col("seq") <= middle))
+    return state.row_effects(before, events.where(F.col("seq") > middle))
+
+
 @query
 def dedupe_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed delivered twice, as after a crash before the token is saved."""
@@ -364,6 +397,11 @@ def replicate_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replicate.bodies(made).select("chunk", "n_writes", "n_deletes")
 
 
+@query
+def replicate_net_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replicate.net_changes(_events(spark, sf_dir))
+
+
 @query
 def replicate_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = replicate.select_changes(_events(spark, sf_dir), ["document", "table"], ["viewer", "editor"])

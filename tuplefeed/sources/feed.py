@@ -31,6 +31,22 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(PAGES_SCHEMA).format(fmt).load(path)
 
 
+def read_page_files(
+    spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None
+) -> DataFrame:
+    """Pages saved as one JSON file each, numbered by the digits in the file name, such as
+    ``page-000123.json``. A file without a number is an error."""
+    reader = (spark.readStream if stream else spark.read).option("wholetext", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    name = F.col("_metadata.file_name")
+    number = F.regexp_extract(name, r"(\d+)", 1).try_cast("bigint")
+    missing = F.raise_error(F.concat(F.lit("no page number in file name "), name))
+    return reader.format("text").load(path).select(
+        F.coalesce(number, missing.cast("bigint")).alias("page_no"), F.col("value").alias("body")
+    )
+
+
 def _document(text: Column) -> Column:
     """The text as first element of a VARIANT array, its hash as second.
 
@@ -72,22 +88,27 @@ def rejects(rows: DataFrame, text: str = "wire") -> DataFrame:
 
 
 def decode_pages(pages: DataFrame, page_rows: int = 1000) -> DataFrame:
-    """One row per change of each page: (seq, page_no, pos, change).
+    """One row per change of each page: (seq, page_no, pos, change), and other page columns.
 
     ``page_rows`` is at least the size of the largest page; a longer one is an error, since
     its positions would run into those of the next page.
     """
+    keep = [c for c in pages.columns if c not in ("page_no", "body")]
     body, page = F.col("body"), F.col("page")
-    parsed = pages.select("page_no", "body", _document(body).alias("page"))
+    parsed = pages.withColumn("page", _document(body))
     changes = F.when(
         _is_object(body, page), F.try_variant_get(page, "$[0].changes", "array<variant>")
     )
-    items = parsed.select("page_no", F.posexplode(changes).alias("pos", "change")).where(F.schema_of_variant("change").startswith("OBJECT<"))
+    items = parsed.select("page_no", *keep, F.posexplode(changes).alias("pos", "change")).where(F.schema_of_variant("change").startswith("OBJECT<"))
     pos = F.when(F.col("pos") < page_rows, F.col("pos").cast("bigint")).otherwise(
         F.raise_error(F.lit(f"a page holds more than page_rows={page_rows} changes"))
     )
     return items.select(
-        (F.col("page_no") * page_rows + pos).alias("seq"), "page_no", pos.alias("pos"), "change"
+        (F.col("page_no") * page_rows + pos).alias("seq"),
+        "page_no",
+        pos.alias("pos"),
+        *keep,
+        "change",
     )
 
 

@@ -1,5 +1,7 @@
 """The sync loop as streaming queries: a feed to a changelog, a state table or requests.
 
+The feed comes as rows of (seq, wire) or as pages of (page_no, body).
+
 Spark keeps the cursor in the checkpoint: a batch that fails is retried from the same offsets,
 and a restarted query goes on after the last finished batch.
 """
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tuplefeed.operators.changelog import by_date, changelog_rows
-from tuplefeed.operators.parse import parse_feed
+from tuplefeed.operators.parse import parse_feed, parse_pages
 from tuplefeed.operators.replicate import BATCH_SIZE, bodies, requests
 from tuplefeed.session import spread
 from tuplefeed.streaming.state_table import BUCKETS, StateTable
@@ -41,8 +43,15 @@ def _stamped(feed: DataFrame, ingest_ts: Column | None) -> DataFrame:
     return feed.withColumn("_ingest", F.current_timestamp() if ingest_ts is None else ingest_ts)
 
 
+def _parse(feed: DataFrame) -> DataFrame:
+    ingest = F.col("_ingest")
+    if "body" in feed.columns:
+        return parse_pages(feed, ingest).drop("_ingest", "page_no", "pos")
+    return parse_feed(feed, ingest).drop("_ingest")
+
+
 def _events(batch: DataFrame) -> DataFrame:
-    return parse_feed(spread(batch, "seq"), F.col("_ingest")).drop("_ingest")
+    return _parse(spread(batch, "page_no" if "body" in batch.columns else "seq"))
 
 
 def sync_changelog(
@@ -53,7 +62,7 @@ def sync_changelog(
     poll_interval: str | None = None,
 ) -> StreamingQuery:
     """Append every change to the audit table, exactly once."""
-    events = observed(parse_feed(feed, ingest_ts), "sync")
+    events = observed(_parse(_stamped(feed, ingest_ts)), "sync")
     writer = by_date(changelog_rows(events)).writeStream.format("parquet")
     writer = writer.outputMode("append").option("path", path).partitionBy("event_date")
     return _start(writer, checkpoint, poll_interval)
