@@ -64,10 +64,13 @@ def test_changelog(spark, landed, tmp_path):
     assert changelog.read_changelog(spark, path).count() == 129
 
 
-def test_state(spark, landed, tmp_path):
+@pytest.mark.parametrize("merge_every", [1, 2, 10])
+def test_state(spark, landed, tmp_path, merge_every):
     folder, texts = landed
     path, checkpoint = str(tmp_path / "state"), str(tmp_path / "checkpoint")
-    streams.finish(streams.sync_state(source(spark, folder), path, checkpoint, buckets=4))
+    streams.finish(
+        streams.sync_state(source(spark, folder), path, checkpoint, buckets=4, merge_every=merge_every)
+    )
     table = StateTable(spark, path, 4)
     assert table.latest_version() == 2
     assert state_dict(table.read()) == state_dict(state.fold(batch_events(spark, texts)))
@@ -78,8 +81,9 @@ def test_state(spark, landed, tmp_path):
         streams.finish(streams.sync_state(source(spark, folder), path, str(tmp_path / "new"), buckets=4))
 
 
-def test_state_table_versions(spark, tmp_path):
-    table = StateTable(spark, str(tmp_path / "state"), 3)
+@pytest.mark.parametrize("merge_every", [1, 2, 10])
+def test_state_table_versions(spark, tmp_path, merge_every):
+    table = StateTable(spark, str(tmp_path / "state"), 3, merge_every)
     assert table.latest_version() is None
     rows = random_events(4, 90, keys=12)
     parts = [rows[:30], rows[30:31], rows[31:]]
@@ -102,7 +106,7 @@ def test_state_table_versions(spark, tmp_path):
 
 
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    table = StateTable(spark, str(tmp_path / "state"), 16)
+    table = StateTable(spark, str(tmp_path / "state"), 16, merge_every=1)
     table.apply(events_of(spark, [event(i, "WRITE", f"k{i}") for i in range(100)]), 0)
     table.apply(events_of(spark, [event(100, "WRITE", "k0")]), 1)
     written = [d for d in os.listdir(tmp_path / "state/data/version=1") if d.startswith("bucket=")]

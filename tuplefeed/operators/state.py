@@ -19,6 +19,11 @@ STATE_SCHEMA = (
     "object_type STRING, object_id STRING, relation STRING, user_type STRING, user_id STRING, "
     "condition STRING, created_at TIMESTAMP, updated_at TIMESTAMP, last_seq BIGINT"
 )
+SUMMARY_SCHEMA = (
+    "object_type STRING, object_id STRING, relation STRING, user_type STRING, user_id STRING, "
+    "last_delete BIGINT, first_seq BIGINT, first_ts TIMESTAMP, last_seq BIGINT, last_ts TIMESTAMP, "
+    "condition STRING, from_seq BIGINT, to_seq BIGINT"
+)
 
 # Feed positions per segment: the most changes of one key that meet in one group.
 FOLD_SEGMENT_ROWS = 1 << 18
@@ -31,11 +36,10 @@ def _live(seq: Column, last_delete: Column) -> Column:
 def summarize(
     events: DataFrame, vocab: str = "union", segment_rows: int = FOLD_SEGMENT_ROWS
 ) -> DataFrame:
-    """Net effect of a run of changes, one row per key:
-    (key, has_delete, first_ts, condition, last_ts, last_seq, from_seq, to_seq).
+    """Net effect of a run of changes: one row per key, as in ``SUMMARY_SCHEMA``.
 
-    first_ts to last_seq describe the writes after the last delete and are NULL if there are
-    none; from_seq and to_seq are the positions of the key's first and last change.
+    first_* and last_*, condition describe the writes after the last delete and are NULL if there
+    are none; from_seq and to_seq are the positions of the key's first and last change.
 
     Two steps keep a hot key out of one task. First each key is reduced within segments of the
     feed, whose length bounds the group; a map task holds few segments, so most of a hot key
@@ -45,40 +49,51 @@ def summarize(
     rows = events.select(
         *KEY,
         "seq",
-        block_of(F.col("seq"), segment_rows).alias("_segment"),
-        F.when(op == DELETE, F.col("seq")).alias("_delete"),
-        F.when(op == WRITE, F.struct("seq", "ts")).alias("_write"),
-        F.when(op == WRITE, F.struct("seq", "ts", "condition")).alias("_last"),
-        op.alias("_op"),
-    ).where(F.col("_op") != UNKNOWN)
-    segments = rows.groupBy(*_GROUP, "_segment").agg(
-        F.min("seq").alias("_from"),
-        F.max("seq").alias("_to"),
-        F.max("_delete").alias("_delete"),
-        F.collect_list("_write").alias("_writes"),
-        F.max_by("_last", F.col("_last.seq")).alias("_last"),
+        block_of(F.col("seq"), segment_rows).alias("segment"),
+        F.when(op == DELETE, F.col("seq")).alias("delete"),
+        F.when(op == WRITE, F.struct("seq", "ts")).alias("write"),
+        F.when(op == WRITE, F.struct("seq", "ts", "condition")).alias("last"),
+        op.alias("op"),
+    ).where(F.col("op") != UNKNOWN)
+    segments = rows.groupBy(*_GROUP, "segment").agg(
+        F.max("delete").alias("last_delete"),
+        F.collect_list("write").alias("writes"),
+        F.max_by("last", F.col("last.seq")).alias("last"),
+        F.min("seq").alias("from_seq"),
+        F.max("seq").alias("to_seq"),
     )
-    first = F.array_min(F.filter("_writes", lambda w: _live(w["seq"], F.col("_delete"))))
-    reduced = segments.select(*KEY, "_from", "_to", "_delete", first.alias("_first"), "_last")
-
-    cut = F.max("_delete").over(Window.partitionBy(*_GROUP))
-    placed = reduced.withColumn("_cut", cut)
-    live_first = F.when(_live(F.col("_first.seq"), F.col("_cut")), F.col("_first"))
-    live_last = F.when(_live(F.col("_last.seq"), F.col("_cut")), F.col("_last"))
+    first = F.array_min(F.filter("writes", lambda w: _live(w["seq"], F.col("last_delete"))))
+    return merge_summaries(_flat(segments.withColumn("first", first)))
+
+
+def merge_summaries(parts: DataFrame) -> DataFrame:
+    """Put together summaries of runs of the feed that do not overlap, in the order of their
+    positions. Each key has one row per run."""
+    first = F.struct(F.col("first_seq").alias("seq"), F.col("first_ts").alias("ts"))
+    last = F.struct(F.col("last_seq").alias("seq"), F.col("last_ts").alias("ts"), "condition")
+    cut = F.max("last_delete").over(Window.partitionBy(*_GROUP))
+    placed = parts.withColumn("cut", cut)
+    starts = F.col("first_seq").isNotNull() & _live(F.col("first_seq"), F.col("cut"))
+    ends = F.col("last_seq").isNotNull() & _live(F.col("last_seq"), F.col("cut"))
     merged = placed.groupBy(*_GROUP).agg(
-        F.max("_delete").isNotNull().alias("has_delete"),
-        F.min(live_first).alias("_first"),
-        F.max_by(live_last, live_last["seq"]).alias("_last"),
-        F.min("_from").alias("from_seq"),
-        F.max("_to").alias("to_seq"),
+        F.max("last_delete").alias("last_delete"),
+        F.min(F.when(starts, first)).alias("first"),
+        F.max_by(F.when(ends, last), F.when(ends, F.col("last_seq"))).alias("last"),
+        F.min("from_seq").alias("from_seq"),
+        F.max("to_seq").alias("to_seq"),
     )
-    return merged.select(
+    return _flat(merged)
+
+
+def _flat(rows: DataFrame) -> DataFrame:
+    return rows.select(
         *KEY,
-        "has_delete",
-        F.col("_first.ts").alias("first_ts"),
-        F.col("_last.condition").alias("condition"),
-        F.col("_last.ts").alias("last_ts"),
-        F.col("_last.seq").alias("last_seq"),
+        "last_delete",
+        F.col("first.seq").alias("first_seq"),
+        F.col("first.ts").alias("first_ts"),
+        F.col("last.seq").alias("last_seq"),
+        F.col("last.ts").alias("last_ts"),
+        F.col("last.condition").alias("condition"),
         "from_seq",
         "to_seq",
     )
@@ -113,7 +128,7 @@ def apply_summary(state: DataFrame, summary: DataFrame, extra_keys: list[str] |
     old, new = state.alias("old"), summary.alias("new")
     joined = old.join(new, keys, "full_outer")
     written = F.col("new.last_seq").isNotNull()
-    deleted = F.coalesce(F.col("new.has_delete"), F.lit(False))
+    deleted = F.col("new.last_delete").isNotNull()
     kept = F.col("old.last_seq").isNotNull() & ~deleted
     created = F.when(kept, F.col("old.created_at")).otherwise(F.col("new.first_ts"))
 
@@ -175,7 +190,7 @@ def row_effects(state: DataFrame, events: DataFrame, vocab: str = "union") -> Da
         summarize(events, vocab).withColumn("_new", F.lit(True)), KEY, "full_outer"
     )
     existed, written = F.col("_old").isNotNull(), F.col("last_seq").isNotNull()
-    deleted = F.coalesce("has_delete", F.lit(False))
+    deleted = F.col("last_delete").isNotNull()
     return joined.where("_new").agg(
         F.count_if(written & ~existed).alias("inserted"),
         F.count_if(written & existed & ~deleted).alias("updated"),

@@ -487,7 +487,7 @@ def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = shared_folder(spark, "state"), shared_folder(spark, "checkpoint")
     feed = derived.feed_stream(spark, sf_dir)
-    streams.finish(streams.sync_state(feed, path, checkpoint, derived.ingest_ts(), buckets=16))
+    streams.finish(streams.sync_state(feed, path, checkpoint, derived.ingest_ts(), buckets=16, merge_every=1))
     return StateTable(spark, path, 16).read()
 
 

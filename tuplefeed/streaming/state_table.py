@@ -1,70 +1,97 @@
 """The current tuples as Parquet folders, one version per micro-batch.
 
-Tuples live in buckets by key hash. A batch rewrites the buckets its keys fall into, below
-``data/version=<batch>``, then writes ``versions/version=<batch>``: one row per bucket naming the
-version that holds it. Readers see a batch only once that list is there. Running a batch again
-reads the same previous version and overwrites its own, so the result is the same.
+A batch writes its summary, one row per changed key, to ``changes/version=<batch>``. Tuples live
+in buckets by key hash below ``data``; every ``merge_every`` batches the waiting summaries are
+merged into the buckets their keys fall into, as ``data/version=<batch>/bucket=<n>``. So a batch
+costs what it changes, and a merge is shared by several batches. Last, a batch writes
+``versions/version=<batch>``: one row per bucket with the version that holds it. Readers see a
+batch only once that list is there, and add the summaries still waiting. Running a batch again
+reads the same earlier versions and overwrites its own, so the result is the same.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuplefeed.operators.state import KEY, STATE_SCHEMA, apply_summary, summarize
+from tuplefeed.operators.state import (
+    KEY,
+    STATE_SCHEMA,
+    SUMMARY_SCHEMA,
+    apply_summary,
+    merge_summaries,
+    summarize,
+)
 
 BUCKETS = 64
-EMPTY = -1  # the version of a bucket whose last tuple was deleted
+MERGE_EVERY = 10
+EMPTY = -1  # the version of a bucket without tuples
+_VERSION_SCHEMA = "bucket INT, home BIGINT, merged BIGINT, high_seq BIGINT"
+
+
+class Version(NamedTuple):
+    homes: dict[int, int]  # bucket to the version that holds it, one entry per bucket
+    merged: int  # the last version whose changes are in the buckets
+    high_seq: int | None  # the last applied position
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+    def __init__(
+        self, spark: SparkSession, path: str, buckets: int = BUCKETS, merge_every: int = MERGE_EVERY
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
-
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(self.buckets)).cast("int"))
-
-    def _versions(self) -> DataFrame:
-        schema = "bucket INT, home BIGINT, high_seq BIGINT, version BIGINT"
-        return self.spark.read.schema(schema).parquet(f"{self.path}/versions")
+        self.merge_every = merge_every
 
     def latest_version(self) -> int | None:
+        reader = self.spark.read.schema(f"{_VERSION_SCHEMA}, version BIGINT")
         try:
-            return self._versions().agg(F.max("version")).first()[0]
+            return reader.parquet(f"{self.path}/versions").agg(F.max("version")).first()[0]
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
-    def _listing(self, version: int | None) -> tuple[dict[int, int], int | None]:
-        """Which version holds each bucket, and the last applied position; one row per bucket."""
+    def _version(self, version: int | None) -> Version:
         if version is None or version < 0:
-            return {}, None
+            return Version({b: EMPTY for b in range(self.buckets)}, -1, None)
         folder = f"{self.path}/versions/version={version}"
-        rows = self.spark.read.schema("bucket INT, home BIGINT, high_seq BIGINT").parquet(folder)
-        found = rows.collect()
-        return {r.bucket: r.home for r in found}, found[0].high_seq
-
-    def _read(self, homes: dict[int, int], wanted: list[int] | None = None) -> DataFrame:
-        """Tuples of some buckets, with ``bucket``; only their folders are listed and read."""
-        folders = [
-            f"{self.path}/data/version={home}/bucket={bucket}"
-            for bucket, home in homes.items()
-            if home != EMPTY and (wanted is None or bucket in wanted)
-        ]
+        rows = self.spark.read.schema(_VERSION_SCHEMA).parquet(folder).collect()
+        if len(rows) != self.buckets:
+            raise ValueError(f"{self.path} has {len(rows)} buckets, not {self.buckets}")
+        return Version({r.bucket: r.home for r in rows}, rows[0].merged, rows[0].high_seq)
+
+    def _merged_tuples(self, homes: dict[int, int]) -> DataFrame:
+        """Tuples of these buckets, with ``bucket``; only their folders are listed and read."""
         schema = f"{STATE_SCHEMA}, bucket INT"
+        folders = [f"version={v}/bucket={b}" for b, v in homes.items() if v != EMPTY]
         if not folders:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).drop("version")
+        data = f"{self.path}/data"
+        reader = self.spark.read.schema(schema).option("basePath", data)
+        return reader.parquet(*[f"{data}/{folder}" for folder in folders]).drop("version")
+
+    def _waiting(self, after: int, upto: int) -> DataFrame:
+        """The changes of versions after one up to another, with ``bucket``."""
+        folders = [f"{self.path}/changes/version={v}" for v in range(after + 1, upto + 1)]
+        changes = self.spark.read.schema(SUMMARY_SCHEMA).parquet(*folders)
+        if len(folders) > 1:
+            changes = merge_summaries(changes)
+        bucket = F.pmod(F.xxhash64(*KEY), F.lit(self.buckets)).cast("int")
+        return changes.withColumn("bucket", bucket)
 
     def read(self, version: int | None = None) -> DataFrame:
         """Tuples at a version, by default the latest."""
         version = self.latest_version() if version is None else version
-        return self._read(self._listing(version)[0]).drop("bucket")
+        at = self._version(version)
+        tuples = self._merged_tuples(at.homes)
+        if version is not None and version > at.merged:
+            tuples = apply_summary(tuples, self._waiting(at.merged, version), ["bucket"])
+        return tuples.drop("bucket")
 
     def apply(self, events: DataFrame, batch_id: int, vocab: str = "union") -> None:
         """Write version ``batch_id`` from version ``batch_id - 1`` and the batch's events.
@@ -74,28 +101,34 @@ class StateTable:
         """
         if batch_id == 0 and (self.latest_version() or 0) > 0:
             raise ValueError(f"{self.path} belongs to another stream: it holds later batches")
-        homes, high = self._listing(batch_id - 1)
-        summary = self._with_bucket(summarize(events, vocab)).persist()
-        try:
-            first, last = summary.agg(F.min("from_seq"), F.max("to_seq")).first()
-            if first is not None and high is not None and first <= high:
-                raise ValueError(
-                    f"batch {batch_id} starts at position {first}, "
-                    f"but changes up to {high} were already applied"
-                )
-            touched = [r.bucket for r in summary.select("bucket").distinct().collect()]
-            if touched:
-                data = f"{self.path}/data/version={batch_id}"
-                new = apply_summary(self._read(homes, touched), summary, ["bucket"])
-                new.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(data)
-                written = self.spark.read.schema(f"{STATE_SCHEMA}, bucket INT").parquet(data)
-                filled = {r.bucket for r in written.select("bucket").distinct().collect()}
-                homes.update({b: batch_id if b in filled else EMPTY for b in touched})
-            high = high if last is None else last
-            rows = [(b, home, high) for b, home in homes.items()] or [(0, EMPTY, high)]
-            listing = self.spark.createDataFrame(rows, "bucket INT, home BIGINT, high_seq BIGINT")
-            listing.coalesce(1).write.mode("overwrite").parquet(
-                f"{self.path}/versions/version={batch_id}"
+        before = self._version(batch_id - 1)
+        folder = f"{self.path}/changes/version={batch_id}"
+        summarize(events, vocab).write.mode("overwrite").parquet(folder)
+        written = self.spark.read.schema(SUMMARY_SCHEMA).parquet(folder)
+        first, last = written.agg(F.min("from_seq"), F.max("to_seq")).first()
+        if first is not None and before.high_seq is not None and first <= before.high_seq:
+            raise ValueError(
+                f"batch {batch_id} starts at position {first}, "
+                f"but changes up to {before.high_seq} were already applied"
             )
-        finally:
-            summary.unpersist()
+        after = before._replace(high_seq=before.high_seq if last is None else last)
+        if batch_id - before.merged >= self.merge_every:
+            after = self._merge(after, batch_id)
+        rows = [(b, home, after.merged, after.high_seq) for b, home in after.homes.items()]
+        listing = self.spark.createDataFrame(rows, _VERSION_SCHEMA).coalesce(1)
+        listing.write.mode("overwrite").parquet(f"{self.path}/versions/version={batch_id}")
+
+    def _merge(self, at: Version, version: int) -> Version:
+        """Rewrite the buckets that waiting changes fall into, as ``data/version=<version>``."""
+        changes = self._waiting(at.merged, version)
+        touched = [r.bucket for r in changes.select("bucket").distinct().collect()]
+        if not touched:
+            return at._replace(merged=version)
+        old = self._merged_tuples({b: at.homes[b] for b in touched})
+        new = apply_summary(old, changes, ["bucket"]).hint("rebalance", "bucket")
+        data = f"{self.path}/data/version={version}"
+        new.write.mode("overwrite").partitionBy("bucket").parquet(data)
+        written = self.spark.read.schema(f"{STATE_SCHEMA}, bucket INT").parquet(data)
+        filled = {r.bucket for r in written.select("bucket").distinct().collect()}
+        homes = {b: version if b in filled else EMPTY for b in touched}
+        return at._replace(homes={**at.homes, **homes}, merged=version)

@@ -16,7 +16,7 @@ from tuplefeed.operators.changelog import by_date, changelog_rows
 from tuplefeed.operators.parse import parse_feed, parse_pages
 from tuplefeed.operators.replicate import BATCH_SIZE, bodies, requests
 from tuplefeed.session import spread
-from tuplefeed.streaming.state_table import BUCKETS, StateTable
+from tuplefeed.streaming.state_table import BUCKETS, MERGE_EVERY, StateTable
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, poll_interval: str | None) -> StreamingQuery:
@@ -76,11 +76,13 @@ def sync_state(
     poll_interval: str | None = None,
     vocab: str = "union",
     buckets: int = BUCKETS,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """Keep the current tuples, one table version per batch."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        StateTable(batch.sparkSession, path, buckets).apply(_events(batch), batch_id, vocab)
+        table = StateTable(batch.sparkSession, path, buckets, merge_every)
+        table.apply(_events(batch), batch_id, vocab)
 
     writer = _stamped(feed, ingest_ts).writeStream.foreachBatch(apply)
     return _start(writer, checkpoint, poll_interval)
