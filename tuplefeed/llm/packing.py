@@ -50,11 +50,16 @@ class SegmentEncoder:
     """Token ids of texts, made by a byte-level BPE tokenizer from each distinct segment once.
 
     The tokenizer's own splitting puts a boundary before every single space that has no white
-    space beside it, so a text may be cut there. ``keep`` bounds the segments remembered.
+    space beside it, so a text may be cut there, and new segments may be encoded as one text.
+    ``keep`` bounds the segments remembered.
     """
 
-    def __init__(self, tokenizer, keep: int = 400_000) -> None:
+    def __init__(self, tokenizer, keep: int = 1_000_000) -> None:
         self.tokenizer, self.keep = tokenizer, keep
+        vocabulary = tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)  # each byte is one character there
         self._clear()
 
     def _clear(self) -> None:
@@ -65,10 +70,15 @@ class SegmentEncoder:
     def _learn(self) -> None:
         for prefix, known in self.known.items():
             if known.new:
-                ids = [e.ids for e in self.tokenizer.encode_batch_fast([prefix + s for s in known.new], add_special_tokens=False)]
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-                self.flat[prefix] = np.concatenate([self.flat[prefix], np.fromiter((x for e in ids for x in e), np.uint32, int(lengths.sum()))])
-                self.ends[prefix] = np.concatenate([self.ends[prefix], self.ends[prefix][-1] + np.cumsum(lengths)])
+                at_once = 500 if prefix else 1
+                joined = [prefix + prefix.join(known.new[i : i + at_once]) for i in range(0, len(known.new), at_once)]
+                encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+                ids = np.concatenate([np.array(e.ids, np.uint32) for e in encoded])
+                size = np.fromiter((len(s.encode()) for s in known.new), np.int64, len(known.new)) + len(prefix)
+                last = np.cumsum(self.bytes_of[ids])  # a segment ends where its last token does
+                ends = np.searchsorted(last, np.cumsum(size), side="right")
+                self.flat[prefix] = np.concatenate([self.flat[prefix], ids])
+                self.ends[prefix] = np.concatenate([self.ends[prefix], self.ends[prefix][-1] + ends])
                 known.new = []
 
     def _ids(self, prefix: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
