@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tuplefeed.llm import packing
+from tuplefeed.llm import fm_index, packing
 from tuplefeed.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "word_spans")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.bpe_50k)
 
 
-QUERIES: dict[str, Query] = {"op10_packing": op10_packing}
+QUERIES: dict[str, Query] = {
+    "op8_fm_index": op8_fm_index,
+    "op10_packing": op10_packing,
+}
 ORACLES: dict[str, str] = {}
