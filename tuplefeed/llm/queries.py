@@ -4,14 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tuplefeed.llm import fm_index, packing
+from tuplefeed.llm import fm_index, packing, quality_rules, toxicity
 from tuplefeed.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def learns_toxicity(key: Column) -> Column:
+    return toxicity.remainder(key, 3) != 1
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scorer = toxicity.train(docs, table(spark, sf_dir, "labels"), learns_toxicity)
+    return toxicity.score(docs, scorer).select(
+        "doc_id",
+        (~learns_toxicity(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.drop("rejected_by")  # depends on measured times
+
+
 def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items", "word_spans")
@@ -22,6 +43,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_toxicity": op4_toxicity,
+    "op6_quality_rules": op6_quality_rules,
     "op8_fm_index": op8_fm_index,
     "op10_packing": op10_packing,
 }
