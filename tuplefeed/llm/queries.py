@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuplefeed.llm import fm_index, packing, quality_rules, toxicity
-from tuplefeed.llm.common import table
+from tuplefeed.llm import fm_index, packing, quality_rules, reply_trees, toxicity
+from tuplefeed.llm.common import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("rejected_by")  # depends on measured times
 
 
+def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    messages = settled(reply_trees.from_turns(rows), "reply-messages")
+    return reply_trees.digests(reply_trees.conversations(messages))
+
+
 def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items", "word_spans")
@@ -45,7 +56,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op6_quality_rules": op6_quality_rules,
+    "op7_reply_trees": op7_reply_trees,
     "op8_fm_index": op8_fm_index,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_reply_trees": reply_trees.ORACLE}
