@@ -29,3 +29,20 @@ def decontaminated(docs, bench, window=10):
                     met.add(str(i))
         out.append((d, len(words), len(hit), len(met), hexed(",".join(sorted(met))), bool(hit)))
     return out
+
+
+def personal(text):
+    """Base spans by the patterns as they stand."""
+    def luhn(d):
+        return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def digits(s):
+        return re.sub(r"[^0-9]", "", s)
+
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 13 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15),
+    ]
+    return [(k, *m.span()) for k, p, ok in kinds for m in re.finditer(p, text or "") if ok(m[0])]

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuplefeed.llm import fm_index, packing, quality_rules, reply_trees, toxicity
+from tuplefeed.llm import fm_index, packing, personal_data, quality_rules, reply_trees, toxicity
 from tuplefeed.llm.common import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.find(docs, personal_data.train(docs))
+
+
 def learns_toxicity(key: Column) -> Column:
     return toxicity.remainder(key, 3) != 1
 
@@ -54,6 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_personal_data": op2_personal_data,
     "op4_toxicity": op4_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_reply_trees": op7_reply_trees,
