@@ -46,3 +46,32 @@ def personal(text):
         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15),
     ]
     return [(k, *m.span()) for k, p, ok in kinds for m in re.finditer(p, text or "") if ok(m[0])]
+
+
+def near_components(docs, n=3, percent=90):
+    def grams(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+        if not words:
+            return set()
+        size = min(n, len(words))
+        return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+    sets = [(d, grams(t)) for d, t in docs]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, a) in enumerate(sets):
+        for j in range(i):
+            b = sets[j][1]
+            if a and b and min(len(a), len(b)) * 100 >= percent * max(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(sets):
+        least[find(i)] = min(least.get(find(i), d), d, key=lambda x: (x is not None, x))
+    return [(d, len(s), least[find(i)]) for i, (d, s) in enumerate(sets)]

@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm import brute
+from tuplefeed.llm import ngram_join
+from tuplefeed.llm.components import connected
+from tuplefeed.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string"
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@settings(deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.sets(st.integers(0, 60), max_size=6)), min_size=1, max_size=14), st.sampled_from([80, 90]))
+def test_products_and_parts_lose_no_link(made, percent):
+    sets = [{*range(size)} ^ change for size, change in made]
+    sets = [s for s in sets if s] or [{1}]
+    hashed = [np.unique(ngram_join.mixed(np.array(sorted(s), np.uint64))) for s in sets]
+    links = {
+        (i, j) for i in range(len(sets)) for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+    }
+    ranges = ngram_join.Ranges(percent)
+    shown = [set(ranges.shown(h).tolist()) for h in hashed]
+    for i, j in links:
+        assert sets[i] == sets[j] or shown[i] & shown[j]
+    group = list(range(len(sets)))
+    for a, b in ngram_join.linked_rows(hashed, percent, at_once=2):
+        assert (max(a, b), min(a, b)) in links
+        old, new = group[a], group[b]
+        group = [new if g == old else g for g in group]
+    assert all(group[i] == group[j] for i, j in links)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    expected = brute.near_components(docs)
+    assert rows_of(QUERIES["op9_ngram_join"](spark, sf_dir)) == sorted(expected, key=str)
+    assert sum(d != c for d, _, c in expected) > 5
+
+
+@pytest.mark.parametrize("block", [1_000_000, 700])
+def test_groups_of_near_copies_in_splits(spark, block):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    docs = []
+    for g in range(3):
+        base = [rng.choice(words) for _ in range(120)]
+        for k in range(40):
+            text = list(base)
+            for _ in range(rng.randrange(4)):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            docs.append((100 * k + g, " ".join(text)))
+    got = ngram_join.components(spark.createDataFrame(docs, DOCS), n=3, percent=90, block=block)
+    assert rows_of(got) == sorted(brute.near_components(docs), key=str)
+
+
+def test_odd_rows_and_one_of_each(spark, odd, empty):
+    docs = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    assert rows_of(ngram_join.components(odd, n=3, percent=90)) == sorted(brute.near_components(docs), key=str)
+    kept = ngram_join.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "5", "6", "8", "None"]
+    assert ngram_join.components(empty).count() == ngram_join.one_of_each(empty).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    chain = spark.range(1, 200).selectExpr("id AS a", "id - 1 AS b").union(spark.createDataFrame([(501, 500)], "a long, b long"))
+    assert {(r.component, r.node) for r in connected(chain).collect()} == {(0, i) for i in range(200)} | {(500, 500), (500, 501)}

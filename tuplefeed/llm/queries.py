@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuplefeed.llm import fm_index, packing, personal_data, quality_rules, reply_trees, toxicity
+from tuplefeed.llm import fm_index, ngram_join, packing, personal_data, quality_rules, reply_trees, toxicity
 from tuplefeed.llm.common import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items", "word_spans")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.bpe_50k)
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_reply_trees": op7_reply_trees,
     "op8_fm_index": op8_fm_index,
+    "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {"op7_reply_trees": reply_trees.ORACLE}
