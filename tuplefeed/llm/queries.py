@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tuplefeed.llm import fm_index, ngram_join, packing, personal_data, quality_rules, reply_trees, toxicity
+from tuplefeed.llm import (
+    fm_index,
+    ngram_join,
+    packing,
+    page_diff,
+    personal_data,
+    quality_rules,
+    reply_trees,
+    toxicity,
+)
 from tuplefeed.llm.common import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +42,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(table(spark, sf_dir, "pages")).drop("n_shared")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.drop("rejected_by")  # depends on measured times
@@ -65,6 +78,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_personal_data": op2_personal_data,
     "op4_toxicity": op4_toxicity,
+    "op5_page_diff": op5_page_diff,
     "op6_quality_rules": op6_quality_rules,
     "op7_reply_trees": op7_reply_trees,
     "op8_fm_index": op8_fm_index,
