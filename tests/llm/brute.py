@@ -75,3 +75,62 @@ def near_components(docs, n=3, percent=90):
     for i, (d, _) in enumerate(sets):
         least[find(i)] = min(least.get(find(i), d), d, key=lambda x: (x is not None, x))
     return [(d, len(s), least[find(i)]) for i, (d, s) in enumerate(sets)]
+
+
+def token_texts(docs):
+    return [(d, re.findall(r"[^\x20\x09-\x0D]+", lowered(t))) for d, t in docs]
+
+
+def word_base(docs, held):
+    import math
+    from collections import Counter
+
+    texts = token_texts(docs)
+    count = Counter(w for d, ws in texts if not held(d) for w in [*ws, None])
+    total, kinds = sum(count.values()), len(count)
+    out = {}
+    for d, ws in texts:
+        ws = [*ws, None]
+        base = sum(math.log10((count[w] + 1) / (total + kinds + 1)) for w in ws)
+        out[d] = (held(d), len(ws), sum(count[w] > 0 for w in ws), total, base)
+    return out
+
+
+def tree_scores(docs, held, depth, least_share, least_count):
+    """A suffix tree in dictionaries, by the definitions alone."""
+    import math
+    from collections import Counter, defaultdict
+
+    spelled = [(d, ("".join(w + " " for w in ws) + "\n").encode()) for d, ws in token_texts(docs)]
+    follows = defaultdict(Counter)
+    for d, text in spelled:
+        if not held(d):
+            text = b"\n" + text
+            for i in range(1, len(text)):
+                for k in range(min(depth, i) + 1):
+                    follows[text[i - k : i]][text[i]] += 1
+    total = sum(follows[b""].values())
+    least = max(least_count, least_share * total)
+    good = {c for c, f in follows.items() if sum(f.values()) >= least or not c}
+    good = {c for c in good if all(c[k:] in good for k in range(len(c) + 1))}
+
+    def p(context, symbol):
+        if not context:
+            return (follows[b""][symbol] + 1) / (total + 256)
+        f = follows[context]
+        return (f[symbol] + len(f) * p(context[1:], symbol)) / (sum(f.values()) + len(f))
+
+    kept = {b""}
+    for c in good - {b""}:
+        f = follows[c]
+        gain = sum(n * math.log(p(c, s) / p(c[1:], s)) for s, n in f.items())
+        if gain > 0.5 * len(f) * math.log(max(2, sum(f.values()))):
+            kept |= {c[k:] for k in range(len(c))}
+    out = {}
+    for d, text in spelled:
+        text, score = b"\n" + text, 0.0
+        for i in range(1, len(text)):
+            k = next(k for k in range(min(depth, i), -1, -1) if text[i - k : i] in kept)
+            score += math.log10(p(text[i - k : i], text[i]))
+        out[d] = score
+    return out, kept

@@ -15,6 +15,7 @@ from tuplefeed.llm import (
     personal_data,
     quality_rules,
     reply_trees,
+    suffix_tree,
     toxicity,
 )
 from tuplefeed.llm.common import settled, table
@@ -22,6 +23,11 @@ from tuplefeed.llm.common import settled, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_tree.score(docs, lambda key: toxicity.remainder(key, 7) != 2)
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return personal_data.find(docs, personal_data.train(docs))
@@ -76,6 +82,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_personal_data": op2_personal_data,
     "op4_toxicity": op4_toxicity,
     "op5_page_diff": op5_page_diff,
