@@ -72,14 +72,11 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
             "tree", F.col("node").alias("up"), F.col("up").alias("next"),
             F.col("score").alias("more"), F.col("depth").alias("longer"),
         )
-        step = settled(
-            step.join(onward, ["tree", "up"], "left").select(
-                "tree", "node", F.col("next").alias("up"),
-                (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("longer", F.lit(0))).alias("depth"),
-            ),
-            "reply-jumps",
+        longer = step.where("up IS NOT NULL").join(onward, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"),
+            (F.col("score") + F.col("more")).alias("score"), (F.col("depth") + F.col("longer")).alias("depth"),
         )
+        step = settled(step.where("up IS NULL").unionByName(longer), "reply-jumps")
         jumps.append(step)
         open_ends, rounds = step.where("up IS NOT NULL").count(), rounds + 1
     rooted = step.where("up IS NULL").select("tree", "node", "score", "depth")
