@@ -134,3 +134,20 @@ def tree_scores(docs, held, depth, least_share, least_count):
             score += math.log10(p(text[i - k : i], text[i]))
         out[d] = score
     return out, kept
+
+
+def deduplicated(docs, size=100):
+    order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is not None, docs[i][0] or 0, i))
+    seen, out = set(), []
+    for i in order:
+        data = (docs[i][1] or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - size + 1):
+            s = data[p : p + size]
+            if s in seen:
+                gone[p : p + size] = b"\1" * size
+            seen.add(s)
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        out.append((docs[i][0], len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuplefeed.llm import (
+    exact_dedup,
     fm_index,
     ngram_join,
     packing,
@@ -33,6 +34,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(docs, personal_data.train(docs))
 
 
+def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.remove(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def learns_toxicity(key: Column) -> Column:
     return toxicity.remainder(key, 3) != 1
 
@@ -84,6 +89,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_personal_data": op2_personal_data,
+    "op3_suffix_arrays": op3_suffix_arrays,
     "op4_toxicity": op4_toxicity,
     "op5_page_diff": op5_page_diff,
     "op6_quality_rules": op6_quality_rules,
