@@ -102,7 +102,7 @@ class SegmentEncoder:
         head_ids, head_lengths = self._ids("", np.array(first, np.int64))
         rest_ids, rest_lengths = self._ids(" ", np.concatenate([np.zeros(0, np.int64), *rest]))
         head_ends = np.cumsum(head_lengths)
-        rest_ends = np.concatenate([[0], np.cumsum(rest_lengths)])[np.cumsum(counts)]
+        rest_ends = np.concatenate([[0], np.cumsum(rest_lengths)])[np.cumsum(np.array(counts, np.int64))]
         return [
             np.concatenate([head_ids[a - n : a], rest_ids[c:d]])
             for a, n, c, d in zip(head_ends, head_lengths, np.concatenate([[0], rest_ends[:-1]]), rest_ends, strict=True)
