@@ -170,7 +170,13 @@ def _candidates(found: DataFrame) -> DataFrame:
     """(first, group) for sets that meet others."""
     shown = found.select("first", F.explode("parts").alias("part"))
     least = F.min("first").over(Window.partitionBy("part"))
-    meets = shown.select(F.col("first").alias("a"), least.alias("b")).where("a <> b").distinct()
+    meets = shown.select(F.col("first").alias("a"), least.alias("b")).where("a <> b")
+    # A set meets at most one other in each of its parts. Of those it meets, all are linked to the
+    # smallest instead of to the set; in a group of copies these links are the same few.
+    near = meets.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("near"))
+    least_near = F.get("near", F.lit(0))
+    beside = near.select(F.explode(F.slice("near", 2, F.greatest(F.size("near") - 1, F.lit(0)))).alias("a"), least_near.alias("b"))
+    meets = near.select("a", least_near.alias("b")).union(beside.distinct())
     return connected(meets, "ngram-candidates").select(F.col("node").alias("first"), F.col("component").alias("group"))
 
 
