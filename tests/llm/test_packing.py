@@ -31,7 +31,7 @@ def test_longest_first_to_the_cheapest():
 
 
 @settings(deadline=None, max_examples=60)
-@given(st.lists(st.text(alphabet="ab é漢\U0001f600\n\t\x1c .,'s12<|endoftext|>", max_size=40), max_size=6))
+@given(st.lists(st.text(alphabet="ab é漢\U0001f600\n\t\x1c .,'s12<|endoftext|>", max_size=40), min_size=1, max_size=6))
 def test_segments_have_the_ids_of_whole_texts(texts):
     encoder = test_segments_have_the_ids_of_whole_texts.encoder
     assert [e.tolist() for e in encoder.encode(texts)] == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]

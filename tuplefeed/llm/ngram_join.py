@@ -143,32 +143,54 @@ def linked_rows(sets: list[np.ndarray], percent: int, at_once: int = 64) -> list
     return forest
 
 
-def classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per document: its size, the two hashes of its set, and what the set shows."""
+def _key(grams: np.ndarray, salt: np.uint64) -> int:
+    """A hash of the set."""
+    return int(mixed(mixed(grams) + salt).sum(dtype=np.uint64).astype(np.int64))
+
+
+def classes(docs: DataFrame, n: int) -> DataFrame:
+    """Per document: its size and the two hashes of its set."""
 
     def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
-        shingles, ranges, shown = Shingles(n), Ranges(percent), set()
+        shingles = Shingles(n)
         for ids, texts in pairs:
-            sizes, first, second, parts = [], [], [], []
+            sets = [shingles.of(t) for t in texts]
+            yield {
+                "doc_id": ids, "n_shingles": list(map(len, sets)),
+                "first": [_key(s, _M1) for s in sets], "second": [_key(s, _M2) for s in sets],
+            }
+
+    return map_texts(_keyed(docs), make, "doc_id long, n_shingles long, first long, second long")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
+def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(first, part): what sets show, equal sets once in a task. Texts are read again for it, as
+    this is several times larger than what ``classes`` writes."""
+
+    def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
+        shingles, ranges, done = Shingles(n), Ranges(percent), set()
+        for _, texts in pairs:
+            first, part = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for text in texts:
                 grams = shingles.of(text)
-                keys = [int(mixed(mixed(grams) + s).sum(dtype=np.uint64).astype(np.int64)) for s in (_M1, _M2)]
-                sizes.append(len(grams))
-                first.append(keys[0])
-                second.append(keys[1])
-                parts.append([] if keys[0] in shown else ranges.shown(grams).astype(np.int64))
-                shown.add(keys[0])
-            if len(shown) > 1_000_000:
-                shown.clear()
-            yield {"doc_id": ids, "n_shingles": sizes, "first": first, "second": second, "parts": parts}
+                key = _key(grams, _M1)
+                if key not in done and len(grams):
+                    done.add(key)
+                    part.append(ranges.shown(grams).astype(np.int64))
+                    first.append(np.full(len(part[-1]), key))
+            if len(done) > 1_000_000:
+                done.clear()
+            yield {"first": np.concatenate(first), "part": np.concatenate(part)}
 
-    texts = texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    return map_texts(texts, make, "doc_id long, n_shingles long, first long, second long, parts array<long>")
+    return map_texts(texts_of(docs), make, "first long, part long")
 
 
-def _candidates(found: DataFrame) -> DataFrame:
+def _candidates(shown: DataFrame) -> DataFrame:
     """(first, group) for sets that meet others."""
-    shown = found.select("first", F.explode("parts").alias("part"))
     least = F.min("first").over(Window.partitionBy("part"))
     meets = shown.select(F.col("first").alias("a"), least.alias("b")).where("a <> b")
     # A set meets at most one other in each of its parts. Of those it meets, all are linked to the
@@ -189,8 +211,7 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
         F.sequence(F.lit(0), F.col("splits") - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j"))
     )
     wanted = placed.select("doc_id", "first", "group", tasks.alias("tasks"))
-    texts = texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    joined = texts.join(wanted, "doc_id").select("doc_id", "text", "first", "group", "tasks")
+    joined = _keyed(docs).join(wanted, "doc_id").select("doc_id", "text", "first", "group", "tasks")
     spread = map_rows(joined, n)
 
     def multiply(rows: pd.DataFrame) -> pd.DataFrame:
@@ -216,7 +237,7 @@ def map_rows(joined: DataFrame, n: int) -> DataFrame:
         shingles = Shingles(n)
         for b in batches:
             grams = [shingles.of(t) for t in b.column(1).to_pylist()]
-            same = [int(mixed(mixed(g) + _M1).sum(dtype=np.uint64).astype(np.int64)) == f for g, f in zip(grams, b.column(0).to_pylist(), strict=True)]
+            same = [_key(g, _M1) == f for g, f in zip(grams, b.column(0).to_pylist(), strict=True)]
             blobs = pa.array([g.tobytes() for g in grams], pa.binary())
             kept = pa.array(same, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), b.column(4), blobs], names=["doc_id", "group", "tasks", "grams"]).filter(kept)
@@ -229,17 +250,17 @@ def map_rows(joined: DataFrame, n: int) -> DataFrame:
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, and the smallest id reachable by links."""
-    found = settled(classes(docs, n, percent), "ngram-classes")
+    found = settled(classes(docs, n), "ngram-classes")
     same = ["n_shingles", "first", "second"]
     kinds = settled(
         found.where("n_shingles > 0").groupBy(same).agg(F.min("doc_id").alias("doc_id")), "ngram-kinds"
     )
-    met = kinds.join(_candidates(found), "first")
+    met = kinds.join(_candidates(_shown(docs, n, percent)), "first")
     links = settled(_links(docs, met, n, percent, block), "ngram-links")
     reached = connected(links, "ngram-components").select(F.col("node").alias("kind"), "component")
     of_kind = kinds.withColumnRenamed("doc_id", "kind").join(reached, "kind", "left")
     own = F.coalesce("component", "kind", "doc_id")
-    out = found.select("doc_id", *same).join(of_kind, same, "left")
+    out = found.join(of_kind, same, "left")
     return out.select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(own, F.lit(NO_ID)).alias("component_id")
     )
