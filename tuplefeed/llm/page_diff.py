@@ -9,7 +9,8 @@ since pages of one site may carry the same article twice. A neighbour with nearl
 all over is such a copy, and the other neighbour is taken.
 
 Pages are numbered along the order, so a host with a third of all pages is spread over many tasks,
-and only line hashes travel between pages. The lines are written to the shared folder once.
+and only hashes of the lines outside articles travel between pages. Pages are parsed once for these and
+once for the result, since hashes are much smaller than lines to keep.
 
 Defined results: null or empty html gives an empty text; a null URL has an empty host and path;
 repeated rows are pages each; a page alone on its host keeps all lines that its markup allows; an
@@ -19,15 +20,17 @@ empty table gives no rows; pages of any length are taken whole; other columns ar
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuplefeed.llm.common import prepared, settled
+from tuplefeed.llm.common import NO_ID, prepared, settled
 
 RAW = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b.*?(?:</\1\s*>|\Z)")
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>")
@@ -147,32 +150,42 @@ def template_lines(path: str, lines: list[int], neighbours: list[tuple[str, list
     return []
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
+def _read(pages: DataFrame) -> DataFrame:
+    """Pages with host, path, and a key of two numbers for their content; equal rows have one key."""
     prepared(pages.sparkSession)
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"], F.coalesce(pages["html"], F.lit("")).alias("html"))
-    keyed = rows.withColumns({
-        "host": F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), F.lit(""))),
-        "path": F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), F.lit("")),
-    })
-    schema = "page_id long, url string, host string, path string, lines array<string>, places array<int>, hashes array<long>"
+    return rows.select(
+        "page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"),
+        F.coalesce("page_id", F.lit(NO_ID)).alias("id"),
+        F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), F.lit(""))).alias("host"),
+        F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), F.lit("")).alias("path"),
+    )
+
+
+def _line_hashes(pages: DataFrame) -> DataFrame:
+    """(key, id, host, path, hashes): the lines outside articles."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parsed = [lines_of(h) for h in b.column(2).to_pylist()]
-            columns = [
-                b.column(0), b.column(1), b.column(3), b.column(4),
-                pa.array([[t for t, _ in p] for p in parsed], pa.list_(pa.string())),
-                pa.array([[w for _, w in p] for p in parsed], pa.list_(pa.int32())),
-                pa.array([[xxhash.xxh64_intdigest(t) - 2**63 for t, _ in p] for p in parsed], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "path", "lines", "places", "hashes"])
+            hashes = [[xxhash.xxh64_intdigest(t) - 2**63 for t, w in lines_of(h) if w != 1] for h in b.column(4).to_pylist()]
+            columns = [*b.columns[:4], pa.array(hashes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "host", "path", "hashes"])
 
-    return keyed.mapInArrow(task, schema).withColumn("row", F.monotonically_increasing_id())
+    rows = pages.select("key", "id", "host", "path", "html")
+    return rows.mapInArrow(task, "key long, id long, host string, path string, hashes array<long>")
+
+
+def main_text(lines: list[tuple[str, int]], shared: list[int]) -> str:
+    """The lines that stay: those of the article, else those that neither markup nor template claims."""
+    if any(w == 1 for _, w in lines):
+        return "\n".join(t for t, w in lines if w == 1)
+    gone = set(shared)
+    return "\n".join(t for i, (t, w) in enumerate(lines) if w == 0 and i not in gone)
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
     """``pages`` with ``at``, their place in the order of host and path."""
-    order = ["host", "path", "row"]
+    order = ["host", "path", "id", "key"]
     within = F.monotonically_increasing_id()
     parts = pages.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "*", F.shiftright(within, 33).alias("part"), within.bitwiseAND(F.lit((1 << 33) - 1)).alias("place")
@@ -189,8 +202,8 @@ def _numbered(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars, and how many lines the neighbour shared."""
-    parsed = settled(_parsed(pages), "page-lines")
-    keys = _numbered(parsed.select("row", "host", "path", "hashes"))
+    read = _read(pages)
+    keys = _numbered(_line_hashes(read))
 
     def beside(step: int, name: str) -> DataFrame:
         return keys.select(
@@ -199,29 +212,40 @@ def extract(pages: DataFrame) -> DataFrame:
         )
 
     trio = keys.join(beside(1, "before"), "at", "left").join(beside(-1, "after"), "at", "left")
-    wanted = ["row", "host", "path", "hashes", "before_host", "before_path", "before_hashes", "after_host", "after_path", "after_hashes"]
+    wanted = ["key", "id", "host", "path", "hashes", "before_host", "before_path", "before_hashes", "after_host", "after_path", "after_hashes"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = b.to_pylist()
             shared = [
                 template_lines(r["path"], r["hashes"], [
-                    (r[f"{n}_path"], r[f"{n}_hashes"]) for n in ("before", "after") if r[f"{n}_host"] == r["host"] and r[f"{n}_host"] is not None
+                    (r[f"{n}_path"], r[f"{n}_hashes"]) for n in ("before", "after") if r[f"{n}_host"] == r["host"]
                 ])
-                for r in rows
+                for r in b.to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared, pa.list_(pa.int32()))], names=["row", "shared"])
-
-    shared = trio.select(*wanted).mapInArrow(compare, "row long, shared array<int>")
-    joined = parsed.select("row", "page_id", "url", "lines", "places").join(shared, "row")
-    has_article = F.exists("places", lambda p: p == 1)
-    numbered = F.arrays_zip("lines", "places", F.sequence(F.lit(0), F.greatest(F.size("lines") - 1, F.lit(0))).alias("i"))
-    kept = F.filter(
-        F.filter(numbered, lambda x: x["lines"].isNotNull()),
-        lambda x: F.when(F.col("article"), x["places"] == 1).otherwise((x["places"] == 0) & ~F.array_contains(F.col("shared"), x["i"])),
-    )
-    text = F.array_join(F.transform(kept, lambda x: x["lines"]), "\n")
-    return joined.withColumn("article", has_article).select(
-        "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"),
-        F.size("shared").cast("long").alias("n_shared"),
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(shared, pa.list_(pa.int32()))], names=["key", "id", "shared"])
+
+    shared = trio.select(*wanted).mapInArrow(compare, "key long, id long, shared array<int>")
+    by_key = shared.groupBy("key", "id").agg(F.min("shared").alias("shared"))
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            lines = [pack.compress(json.dumps(lines_of(h)).encode()) for h in b.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(lines, pa.binary())], names=["page_id", "url", "key", "id", "lines"])
+
+    small = read.select("page_id", "url", "key", "id", "html").mapInArrow(
+        shrink, "page_id long, url string, key long, id long, lines binary"
     )
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for b in batches:
+            gone = b.column(3).to_pylist()
+            texts = [main_text(json.loads(unpack.decompress(d)), g) for d, g in zip(b.column(2).to_pylist(), gone, strict=True)]
+            columns = [
+                *b.columns[:2], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(map(len, gone), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars", "n_shared"])
+
+    joined = small.join(by_key, ["key", "id"]).select("page_id", "url", "lines", "shared")
+    return joined.mapInArrow(finish, "page_id long, url string, text string, n_chars long, n_shared long")
