@@ -321,7 +321,7 @@ def _compared(size: int, shard_bytes: int):
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
 
 
-def remove(docs: DataFrame, size: int = 100, block_chars: int = 3_000_000, shard_bytes: int = 1_500_000) -> DataFrame:
+def remove(docs: DataFrame, size: int = 100, block_chars: int = 1_000_000, shard_bytes: int = 1_500_000) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and the digest of what is left."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     answer = "block long, bucket int, data binary"
