@@ -99,7 +99,7 @@ class Block:
         cut = np.flatnonzero(np.append(True, (np.diff(at) != 0) | (np.diff(start) != 1)))
         low, high, at = start[cut], start[np.append(cut[1:], len(start)) - 1], at[cut]
         content = (prefix[high + size] - prefix[low]) * back[low]
-        anchor = hashed[at]
+        anchor = _mixed(hashed[at] + STEP)  # as smallest hashes they would crowd the low buckets
         context = _mixed(content + _mixed(((at - low) * 4096 + (high - low)).astype(np.uint64) + STEP))
         doc = np.searchsorted(self.starts, low, side="right") - 1
         place = np.empty(len(self.ids), np.int64)
