@@ -9,29 +9,33 @@ from tuplefeed.operators import changelog, cursor, quality
 from tuplefeed.operators.parse import parse_feed
 from tuplefeed.sources import databases
 
-SAMPLE = [
-    wire("WRITE", "user:alice", "viewer", "document:readme", ts="2024-01-01T00:00:00Z"),
-    wire("WRITE", "user:bob", "editor", "document:readme", ts="2024-01-02T00:00:01.5Z"),
-    wire("DELETE", "user:charlie", "viewer", "document:readme", ts="2024-01-03T00:00:02Z"),
-    wire("WRITE", "team:engineering", "owner", "folder:src", ts="2024-01-04T00:00:03Z",
-         condition={"name": "team_access"}),
-]
+def made(n):
+    """``n`` changes, one per day; every third deletes, every fourth has a condition."""
+    return [
+        wire(
+            "DELETE" if i % 3 == 2 else "WRITE", f"{'crew' if i == 3 else 'robot'}:b{i}", "reads" if i % 2 == 0 else "edits",
+            f"{'shelf' if i == 3 else 'box'}:{i // 3}", ts=f"2024-03-{i + 1:02}T00:00:{i:02}.50Z",
+            condition={"name": "gate"} if i == 3 else None,
+        )
+        for i in range(n)
+    ]
 
 
-def rows_of(spark, wires=SAMPLE):
-    return changelog.changelog_rows(parse_feed(feed_of(spark, wires)))
+def rows_of(spark, wires=None):
+    return changelog.changelog_rows(parse_feed(feed_of(spark, wires or made(4))))
 
 
 def test_rows(spark):
     rows = rows_of(spark).orderBy("id").collect()
     assert [r.change_type for r in rows] == ["WRITE", "WRITE", "DELETE", "WRITE"]
     assert [r.change_kind for r in rows] == ["tuple_write", "tuple_write", "tuple_delete", "tuple_write"]
-    assert [r.condition for r in rows] == [None, None, None, '{"name":"team_access"}']
+    assert [r.condition for r in rows] == [None, None, None, '{"name":"gate"}']
+    assert len({r.created_at for r in rows}) == 1
     event = json.loads(rows[1].raw_event)
-    assert event["timestamp"] == "2024-01-02T00:00:01.5Z"
-    assert event["tuple_key"]["user"] == "user:bob" and event["tuple_key"]["object_id"] == "readme"
+    assert event["timestamp"] == "2024-03-02T00:00:01.5Z"
+    assert event["tuple_key"]["user"] == "robot:b1" and event["tuple_key"]["object_id"] == "0"
     assert "condition" not in event and json.loads(event["raw_json"])["operation"] == "WRITE"
-    assert json.loads(rows[3].raw_event)["condition"] == '{"name":"team_access"}'
+    assert json.loads(rows[3].raw_event)["condition"] == '{"name":"gate"}'
 
 
 def test_table_prunes_and_pushes_filters(spark, tmp_path):
@@ -39,15 +43,31 @@ def test_table_prunes_and_pushes_filters(spark, tmp_path):
     changelog.append_changelog(rows_of(spark), path)
     table = changelog.read_changelog(spark, path)
     found = changelog.audit(
-        table, since=datetime(2024, 1, 2), until=datetime(2024, 1, 4), object_type="document", relation="viewer"
+        table, since=datetime(2024, 3, 2), until=datetime(2024, 3, 4), object_type="box", relation="reads"
     ).select("id")
     assert [r.id for r in found.collect()] == [2]
     physical = plan(found).split("== Physical Plan ==")[1]
-    assert "EqualTo(object_type,document)" in physical and "EqualTo(relation,viewer)" in physical
+    assert "EqualTo(object_type,box)" in physical and "EqualTo(relation,reads)" in physical
     assert "PartitionFilters: [isnotnull(event_date" in physical
     assert "raw_event" not in physical.split("ReadSchema")[1]
     assert changelog.audit(table, change_type="DELETE").count() == 1
-    assert changelog.audit(table, user_type="team").count() == 1
+    assert changelog.audit(table, user_type="crew").count() == 1
+
+
+def test_streams_and_appends_share_a_table(spark, tmp_path):
+    path, target = str(tmp_path / "log"), str(tmp_path / "compact")
+    changelog.append_changelog(rows_of(spark), path, 0, "one")
+    changelog.append_changelog(rows_of(spark), path, 0, "two")
+    changelog.append_changelog(rows_of(spark), path)
+    assert changelog.read_changelog(spark, path).count() == 12
+    changelog.compact_changelog(spark, path, target)
+    assert sorted(changelog.read_changelog(spark, target).collect()) == sorted(changelog.read_changelog(spark, path).collect())
+
+
+def test_files_follow_dates_not_tasks(spark, tmp_path):
+    path = tmp_path / "log"
+    changelog.append_changelog(rows_of(spark, made(20) * 50).repartition(8), str(path))
+    assert len(list(path.rglob("part-*.parquet"))) == 20
 
 
 def test_batch_again_adds_nothing(spark, tmp_path):
@@ -70,6 +90,7 @@ def test_cursor(spark, tmp_path):
     path = str(tmp_path / "cursor")
     empty = spark.createDataFrame([], cursor.CURSOR_SCHEMA)
     assert cursor.latest_cursor(empty).first()[0] == ""
+    assert cursor.latest_cursor(cursor.read_cursor_log(spark, path)).first()[0] == ""
     for batch, token in [(0, "a"), (1, "c"), (2, "b")]:
         cursor.save_cursor(spark, path, batch, token)
     assert cursor.latest_cursor(cursor.read_cursor_log(spark, path)).first()[0] == "b"

@@ -27,14 +27,27 @@ def test_prefix_sums(spark, block):
         assert row.before == sum(v for k, v in rows if k < row.k)
 
 
-@pytest.mark.parametrize("segment", [1, 7, 10_000])
-def test_dense_position(spark, segment):
-    seqs = random.Random(segment).sample(range(5_000), 300)
+@pytest.mark.parametrize("gap", [1, 1 << 31, 1 << 50])
+def test_dense_position(spark, gap):
+    seqs = [s * gap for s in random.Random(gap).sample(range(5_000), 300)]
     df = spark.createDataFrame([(s, str(s)) for s in seqs], "seq BIGINT, name STRING").repartition(5)
-    got = {r.seq: (r.position, r.name) for r in dense_position(df, "seq", "position", segment).collect()}
+    got = {r.seq: (r.position, r.name) for r in dense_position(df, "seq", "position").collect()}
     assert got == {s: (i, str(s)) for i, s in enumerate(sorted(seqs))}
 
 
+def test_sparse_positions_are_dealt_by_rows(spark, tmp_path):
+    seqs = [i if i < 1000 else i << 40 for i in range(2000)]  # half dense, half with gaps
+    df = spark.createDataFrame([(s,) for s in seqs], "seq BIGINT").repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = dense_position(df)
+        assert sorted(r.position for r in placed.collect()) == list(range(2000))
+        shares = placed.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in shares) < 1200
+
+
 def test_following_tokens_gives_the_pages(spark):
     wires = [json.dumps({"n": i}) if i % 7 else "broken" for i in range(53)]
     feed = feed_of(spark, wires).withColumn("seq", F.col("seq") * 3 + 5).cache()
@@ -47,7 +60,7 @@ def test_following_tokens_gives_the_pages(spark):
         page = [r.seq for r in source.read_page(feed, token, 10).collect()]
         assert pages[page_no] == dict(enumerate(page))
         good = sum(1 for s in page if ((s - 5) // 3) % 7)
-        assert summary[page_no].total_fetched == good
+        assert (summary[page_no].processed, summary[page_no].total_fetched) == (good, len(page))
         if not summary[page_no].has_more:
             break
         token, page_no = summary[page_no].next_token, page_no + 1
@@ -68,6 +81,10 @@ def test_resume(spark):
     assert sorted(r.seq for r in source.resume(feed, "6").collect()) == [7, 8, 9]
     assert source.resume(feed, F.lit("")).count() == 10
     assert source.resume(feed, F.lit("8")).count() == 1
+    with pytest.raises(Exception, match="no feed token: x"):
+        source.resume(feed, F.lit("x")).collect()
+    with pytest.raises(ValueError):
+        source.resume(feed, "x")
 
 
 def test_pages_of_changes(spark):
@@ -81,6 +98,8 @@ def test_pages_of_changes(spark):
             (1, body([])),
             (2, body([change], continuation_token="")),
             (3, "no json"),
+            (4, '{"changes":{"a":1}}'),
+            (5, '{"changes":[null,[1]]}'),
         ],
         "page_no BIGINT, body STRING",
     )
@@ -89,8 +108,11 @@ def test_pages_of_changes(spark):
         (0, 0, 0, "WRITE"), (2, 0, 2, "DELETE"), (20, 2, 0, "WRITE"),
     ]
     tokens = {r.page_no: (r.next_token, r.has_more) for r in source.page_tokens(pages).collect()}
-    assert tokens == {0: ("t1", True), 1: ("", False), 2: ("", False)}
+    assert tokens == {0: ("t1", True), **{p: ("", False) for p in (1, 2, 4, 5)}}
     assert [r.page_no for r in source.rejects(pages, "body").collect()] == [3]
+    assert sorted((tuple(r) for r in source.page_item_rejects(pages).collect()), key=str) == [
+        (0, 1, '"junk"'), (4, None, '{"a":1}'), (5, 0, "null"), (5, 1, "[1]"),
+    ]
     with pytest.raises(Exception, match="page_rows=2"):
         source.decode_pages(pages, 2).collect()
 
@@ -111,6 +133,7 @@ def test_fetch_all_and_since(spark, cap):
         fetched += mine
         total += len(mine)
     assert sorted(r.seq for r in source.fetch_all(events, cap).collect()) == [r[0] for r in fetched]
+    assert source.fetch_all(events, F.lit(cap)).count() == len(fetched)
     since = START + timedelta(seconds=30)
     got = source.changes_since(events, since, cap).collect()
     assert sorted(r.seq for r in got) == [r[0] for r in fetched if r[6] >= since]

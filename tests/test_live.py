@@ -1,9 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tuplefeed.operators.parse import parse_feed
-from tuplefeed.sources.live import ChangeApi
+from tuplefeed.sources.live import ChangeApi, ChangeApiStream
 
 
 def local_page(options, token):
@@ -48,7 +49,7 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
         write(path, count)
         feed = (
             spark.readStream.format("local_change_api")
-            .option("file", str(path)).option("max_pages", "2").load()
+            .option("file", str(path)).option("max_pages", "2").option("polled", "true").load()
         )
         query = (
             parse_feed(feed, F.lit("2024-01-01").cast("timestamp"))
@@ -59,3 +60,24 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
         query.processAllAvailable()
         query.stop()
         assert users(spark.read.parquet(out)) == [(i, str(i)) for i in range(count)]
+
+
+def test_stream_that_stops_reads_the_whole_feed(spark, tmp_path):
+    spark.dataSource.register(LocalApi)
+    path, out = tmp_path / "feed", str(tmp_path / "out")
+    write(path, 16)
+    feed = spark.readStream.format("local_change_api").option("file", str(path)).load()
+    query = feed.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(out).count() == 16
+    with pytest.raises(ValueError, match="polled"):
+        ChangeApiStream(LocalApi({"file": str(path), "max_pages": "2"}))
+
+
+def test_a_start_token_needs_its_position(spark, tmp_path):
+    spark.dataSource.register(LocalApi)
+    write(tmp_path / "feed", 8)
+    reader = spark.read.format("local_change_api").option("file", str(tmp_path / "feed")).option("start_token", "3")
+    with pytest.raises(Exception, match="start_seq"):
+        reader.load().collect()
+    assert users(parse_feed(reader.option("start_seq", "3").load())) == [(i, str(i)) for i in range(3, 8)]

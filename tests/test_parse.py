@@ -87,21 +87,14 @@ def test_tuple_key(spark):
 
 def test_condition_parts(spark):
     missing = "condition name is required and must be a string"
-    cases = [
-        ('{"name":"ip","context":{"allowed":["192.168.1.1"]}}', "ip", '{"allowed":["192.168.1.1"]}', None),
-        ('{"name":"time_based"}', "time_based", None, None),
-        ("", None, None, None),
-        (None, None, None, None),
-        ("{invalid json}", None, None, "invalid condition JSON"),
-        ('{"context":{"key":"value"}}', None, None, missing),
-        ('{"name":"","context":{"key":"value"}}', None, None, missing),
-        ('{"name":5}', None, None, missing),
-        ('{"name":null}', None, None, missing),
-        ("[1]", None, None, missing),
-        ('{"name":"c","context":{}}', "c", None, None),
-        ('{"name":"c","context":"text"}', "c", None, None),
-        ('{"name":"q\\"uote"}', 'q"uote', None, None),
-    ]
+    names = {None: None, '""': None, "7": None, "null": None, "[]": None, '"gate"': "gate", '"a\\"b"': 'a"b'}
+    contexts = {None: None, "{}": None, '"text"': None, "null": None, '{"x":[1,{"y":2}]}': '{"x":[1,{"y":2}]}'}
+    cases = [("", None, None, None), (None, None, None, None), ("{", None, None, "invalid condition JSON"), ("3", None, None, missing)]
+    for name, read in names.items():
+        for context, kept in contexts.items():
+            members = [f'"{k}":{v}' for k, v in (("context", context), ("name", name)) if v is not None]
+            text = "{" + ",".join(members) + "}"
+            cases.append((text, read, kept, None) if read else (text, None, None, missing))
     df = spark.createDataFrame(cases, "condition STRING, n STRING, c STRING, e STRING")
     for row in C.with_condition_parts(df).collect():
         got = (row.condition_name, row.condition_context, row.condition_error)

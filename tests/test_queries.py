@@ -2,9 +2,12 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle import compare, connect
+from tuplefeed.plans.oracles import all_oracles
+from tuplefeed.plans.queries import all_queries
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
+EAGER = ("stream_",)  # these run streams and read what they wrote
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +28,15 @@ def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
+def test_driver_has_every_query():
+    assert QUERIES.items() <= driver.queries().items()
+    assert ORACLES.items() <= driver.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(EAGER)])
 def test_plans_stay_on_the_jvm_and_pair_no_rows(spark, sf_dir, name):
     physical = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas", "REPARTITION_BY_NUM"):
         assert bad not in physical
 
 

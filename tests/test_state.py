@@ -114,3 +114,11 @@ def test_hot_key_is_combined_before_both_shuffles(spark):
     physical = plan(folded).split("== Physical Plan ==")[1]
     assert physical.count("Exchange") == 2
     assert physical.count("partial_collect_list") == 1 and physical.count("partial_max_by") == 2
+
+
+def test_conditional_tuples_come_in_the_order_of_objects(spark):
+    rows = [event(i, "WRITE", key, '{"name":"a"}') for i, key in enumerate("dbcaeb")]
+    rows = [(*r[:4], r[4], f"u{i}", *r[6:]) for i, r in enumerate(rows)]  # two users of b
+    rows.append(event(10, "WRITE", "aa"))
+    found = state.conditional_tuples(state.fold(events_of(spark, rows).repartition(4))).collect()
+    assert [r.object_id for r in found] == ["a", "b", "b", "c", "d", "e"]

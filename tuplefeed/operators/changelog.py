@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuplefeed.functions.changes import millis_text, rfc3339
@@ -11,7 +13,7 @@ from tuplefeed.functions.refs import tuple_key
 CHANGELOG_SCHEMA = (
     "id BIGINT, change_type STRING, change_kind STRING, object_type STRING, object_id STRING, "
     "relation STRING, user_type STRING, user_id STRING, ts TIMESTAMP, condition STRING, "
-    "raw_event STRING"
+    "raw_event STRING, created_at TIMESTAMP"
 )
 
 
@@ -34,9 +36,9 @@ def raw_event(events: DataFrame):
     )
 
 
-def changelog_rows(events: DataFrame) -> DataFrame:
+def changelog_rows(events: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Audit rows. ``change_type`` is the operation as spelled on the wire, ``change_kind`` the
-    parsed type."""
+    parsed type, ``created_at`` when the row was made (default: now)."""
     return events.select(
         F.col("seq").alias("id"),
         F.col("operation").alias("change_type"),
@@ -49,6 +51,7 @@ def changelog_rows(events: DataFrame) -> DataFrame:
         "ts",
         "condition",
         raw_event(events).alias("raw_event"),
+        (F.current_timestamp() if created_at is None else created_at).alias("created_at"),
     )
 
 
@@ -61,21 +64,29 @@ def by_date(rows: DataFrame) -> DataFrame:
     return rows.withColumn("event_date", F.to_date("ts"))
 
 
-def append_changelog(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append to the table, in folders by date so that time filters skip files.
+def append_changelog(rows: DataFrame, path: str, batch_id: int | None = None, stream: str = "batch") -> None:
+    """Append to the table, each append in a folder of its own and in it by date, so that time
+    filters skip files.
 
-    With a ``batch_id`` the rows go to that batch's own folder and replace it, so running a
-    batch again after a failure adds nothing twice.
+    With a ``batch_id`` the rows replace those that the same ``stream`` wrote under it, so running a
+    batch again after a failure adds nothing twice. Rows of a date are brought together first (a
+    large date is split), so the number of files follows the data and not the tasks.
     """
-    if batch_id is None:
-        by_date(rows).write.mode("append").partitionBy("event_date").parquet(path)
-    else:
-        folder = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
-        by_date(rows).write.mode("overwrite").partitionBy("event_date").parquet(folder)
+    name = f"append-{uuid.uuid4().hex}" if batch_id is None else f"{stream}-{int(batch_id)}"
+    folder = f"{path.rstrip('/')}/batch_id={name}"
+    by_date(rows).hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(folder)
 
 
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{CHANGELOG_SCHEMA}, event_date DATE").parquet(path)
+    """All appends, of streams and others."""
+    schema = f"{CHANGELOG_SCHEMA}, batch_id STRING, event_date DATE"
+    return spark.read.schema(schema).parquet(path).drop("batch_id")
+
+
+def compact_changelog(spark: SparkSession, path: str, target: str) -> None:
+    """Write the whole table anew to ``target``, with few files per date. Streams leave one small
+    folder per batch."""
+    append_changelog(read_changelog(spark, path).drop("event_date"), target)
 
 
 def audit(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,13 @@ def save_cursor(spark: SparkSession, path: str, batch_id: int, token: str) -> No
 
 
 def read_cursor_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CURSOR_SCHEMA).parquet(path)
+    """The log; empty before the first save."""
+    try:
+        return spark.read.schema(CURSOR_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], CURSOR_SCHEMA)
 
 
 def latest_cursor(log: DataFrame) -> DataFrame:

@@ -135,16 +135,17 @@ def bodies(requests: DataFrame) -> DataFrame:
 
 
 def deliver(bodies: DataFrame, send: Callable[[str], None], done: DataFrame | None = None) -> DataFrame:
-    """Send request bodies and report (chunk, delivered, error).
+    """Send request bodies and report (chunk, delivered, error), with ``batch_id`` if there is one.
 
     ``send`` runs in the tasks and raises when the target refuses. Tasks send at the same time,
-    so requests should come from ``net_changes``. Chunks in ``done``, the report of an earlier
-    try, are not sent again if they were delivered. The result is lazy and sends each time it
+    so requests should come from ``net_changes``. Requests in ``done``, the report of an earlier
+    try, are not sent again if they were delivered. Chunks are numbered anew in each batch of a stream. The result is lazy and sends each time it
     is computed: write it to the delivery log. A task Spark runs again sends its requests again,
     so the target must accept a repeated request.
     """
+    key = [c for c in ("batch_id", "chunk") if c in bodies.columns]
     if done is not None:
-        bodies = bodies.join(done.where("delivered").select("chunk"), "chunk", "left_anti")
+        bodies = bodies.join(done.where("delivered").select(*key), key, "left_anti")
 
     def send_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,10 +156,7 @@ def deliver(bodies: DataFrame, send: Callable[[str], None], done: DataFrame | No
                     errors.append(None)
                 except Exception as error:
                     errors.append(str(error))
-            yield pd.DataFrame(
-                {"chunk": batch["chunk"], "delivered": [e is None for e in errors], "error": errors}
-            )
+            yield batch[key].assign(delivered=[e is None for e in errors], error=errors)
 
-    return bodies.select("chunk", "body").mapInPandas(
-        send_all, "chunk BIGINT, delivered BOOLEAN, error STRING"
-    )
+    schema = ", ".join([*(f"{c} BIGINT" for c in key), "delivered BOOLEAN, error STRING"])
+    return bodies.select(*key, "body").mapInPandas(send_all, schema)

@@ -64,9 +64,12 @@ def fetch_stats(fetch_log: DataFrame) -> DataFrame:
 
 
 def batch_summary(events: DataFrame, pages: DataFrame, now: datetime | Column) -> DataFrame:
-    """Per page: what a sync reports after it. ``pages`` come from ``page_summary``."""
+    """Per page: what a sync reports after it. ``pages`` come from ``page_summary``.
+
+    ``total_fetched`` is what the page held, ``processed`` what was parsed of it.
+    """
     newest = lag(events, now, by=["page_no"]).select("page_no", "latest_ts", "lag_seconds")
-    return pages.join(newest, "page_no", "left").withColumnRenamed("total_fetched", "processed")
+    return pages.join(newest, "page_no", "left")
 
 
 def operation_counts(run_log: DataFrame) -> DataFrame:

@@ -84,7 +84,8 @@ log AS (
       ',"object_id":', to_json(object_id), '}},"operation":', to_json(operation), '}}') AS raw_event
   FROM stamped)"""
 LOG_COLUMNS = (
-    "id, change_type, change_kind, object_type, object_id, relation, user_type, user_id, ts, condition"
+    "id, change_type, change_kind, object_type, object_id, relation, user_type, user_id, ts, condition, "
+    f"raw_event, TIMESTAMP '{INGEST_TS}' AS created_at"
 )
 
 MIDDLE = "(SELECT max(event_id) // 2 FROM events)"
@@ -92,10 +93,10 @@ MIDDLE = "(SELECT max(event_id) // 2 FROM events)"
 PAGES = f"""{FEED},
 pages AS (
   SELECT seq // 100 AS page_no,
-    CAST(count(*) FILTER (WHERE json_valid(wire)) AS BIGINT) AS total_fetched, max(seq) AS last_seq
+    count(*) AS total_fetched, count(*) FILTER (WHERE json_valid(wire)) AS processed, max(seq) AS last_seq
   FROM feed GROUP BY 1),
 page_summary AS (
-  SELECT page_no, total_fetched,
+  SELECT page_no, total_fetched, processed,
     CASE WHEN last_seq < (SELECT max(event_id) FROM events) THEN CAST(last_seq AS VARCHAR) ELSE '' END
       AS next_token,
     last_seq < (SELECT max(event_id) FROM events) AS has_more
@@ -119,11 +120,15 @@ parts AS (
   FROM conds)"""
 
 
-def _chunks(where: str = "TRUE", size: int = 100) -> str:
+# The part of the feed that each batch of the streams gets.
+BATCH = "seq * 3 // (SELECT max(event_id) + 1 FROM events)"
+
+
+def _chunks(where: str = "TRUE", size: int = 100, batch: str = "CAST(0 AS BIGINT)") -> str:
     """CTEs for events with their position and chunk, and conditions taken apart."""
     return f"""{EVENTS}, {CONDITIONS},
 placed AS (
-  SELECT *, row_number() OVER (ORDER BY seq) - 1 AS position,
+  SELECT *, {batch} AS batch_id, row_number() OVER (PARTITION BY {batch} ORDER BY seq) - 1 AS position,
     CASE WHEN user_type <> '' THEN concat(user_type, ':', user_id) ELSE user_id END AS usr,
     CASE WHEN object_type <> '' THEN concat(object_type, ':', object_id) ELSE object_id END AS obj
   FROM parts WHERE {where}),
@@ -147,6 +152,10 @@ requests AS (
     CASE WHEN n_deletes > 0 THEN concat('"deletes":[', deletes, ']') END), '}') AS body
   FROM lists)"""
 
+BATCH_REQUESTS = REQUESTS.replace("SELECT chunk,", "SELECT batch_id, chunk,").replace(
+    "GROUP BY chunk", "GROUP BY batch_id, chunk"
+)
+
 _LAG = f"(epoch_us(TIMESTAMP '{NOW}') - epoch_us(latest_ts)) / CAST(1000000 AS DOUBLE)"
 
 _RUNS = """runs AS (SELECT event_type AS operation,
@@ -204,10 +213,10 @@ def all_oracles() -> dict[str, str]:
               AS "object" FROM ev""",
         "tuple_display": f"""{events} seq, concat(object_type, ':', object_id, '#', relation, '@',
             user_type, ':', user_id) AS "tuple" FROM ev""",
-        "changelog_rows": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS}, raw_event FROM log",
+        "changelog_rows": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log",
         "changelog_ts_text": f"""{events} seq AS id, substr(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), 1, 23)
             AS ts_text FROM ev""",
-        "changelog_append": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS}, raw_event FROM log",
+        "changelog_append": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log",
         "audit_filter": f"""WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log
             WHERE ts >= TIMESTAMP '{SINCE}' AND ts < TIMESTAMP '2024-01-22 00:00:00'
             AND object_type = 'document' AND relation = 'viewer'""",
@@ -230,8 +239,8 @@ def all_oracles() -> dict[str, str]:
         "state_incremental": f"WITH {STATE} SELECT {STATE_COLUMNS} FROM state",
         "state_as_of": f"""WITH {EVENTS}, past AS (SELECT * FROM ev WHERE seq <= {MIDDLE}),
             {_state('past')} SELECT {STATE_COLUMNS} FROM state""",
-        "conditional_tuples": f"WITH {STATE} SELECT {KEY}, condition FROM state WHERE condition IS NOT NULL",
-        "tuple_lookup": f"""WITH {STATE} SELECT {KEY}, condition FROM state
+        "conditional_tuples": f"WITH {STATE} SELECT {STATE_COLUMNS} FROM state WHERE condition IS NOT NULL",
+        "tuple_lookup": f"""WITH {STATE} SELECT {STATE_COLUMNS} FROM state
             WHERE object_type = 'document' AND object_id = '0' AND relation = 'viewer'""",
         "tuple_lookup_many": f"""WITH {STATE}, keys AS (SELECT DISTINCT {KEY} FROM ev)
             SELECT {', '.join('k.' + c for c in KEY.split(', '))}, s.last_seq IS NOT NULL AS found, s.condition
@@ -254,11 +263,9 @@ def all_oracles() -> dict[str, str]:
         "replicate_chunks": f"""WITH {_chunks()} SELECT seq, position, chunk, op, usr AS "user", relation,
             obj AS "object" FROM chunks""",
         "replicate_requests": f"WITH {_chunks()}, {REQUESTS} SELECT * FROM requests",
-        "replicate_net": f"""WITH {_chunks(size=1000)}, last AS (SELECT *, max(seq) OVER
+        "replicate_net": f"""WITH {_chunks(size=1000)}, kept AS (SELECT * FROM (SELECT *, max(seq) OVER
             (PARTITION BY chunk, usr, relation, obj) AS last_seq FROM chunks WHERE op <> 'U')
-            SELECT chunk, count(*) FILTER (WHERE op = 'W') AS n_writes,
-              count(*) FILTER (WHERE op = 'D') AS n_deletes
-            FROM last WHERE seq = last_seq GROUP BY chunk""",
+            WHERE seq = last_seq), {REQUESTS.replace("FROM chunks", "FROM kept")} SELECT * FROM requests""",
         "replicate_net_changes": f"""WITH {EVENTS}, last AS (SELECT *, max(seq) OVER (PARTITION BY {KEY})
             AS last_seq FROM ev WHERE op <> 'U')
             SELECT {KEY}, seq, operation, condition FROM last WHERE seq = last_seq""",
@@ -281,7 +288,7 @@ def all_oracles() -> dict[str, str]:
             avg(floor(value)) AS average_latency_ms, max(ts) AS last_fetch_time FROM events""",
         "batch_summary": f"""WITH {EVENTS}, {PAGES.removeprefix(FEED + ',')},
             newest AS (SELECT page_no, max(ts) AS latest_ts FROM ev GROUP BY page_no)
-            SELECT p.page_no, p.total_fetched AS processed, p.next_token, p.has_more, latest_ts,
+            SELECT p.page_no, p.total_fetched, p.processed, p.next_token, p.has_more, latest_ts,
               {_LAG} AS lag_seconds FROM page_summary p LEFT JOIN newest USING (page_no)""",
         "run_op_counts": f"WITH {_RUNS} SELECT operation, status, count(*) AS runs FROM runs GROUP BY 1, 2",
         "run_duration_hist": f"""WITH {_RUNS}, bounds(le, bound) AS (VALUES {_BOUNDS},
@@ -294,8 +301,26 @@ def all_oracles() -> dict[str, str]:
         "run_last_success": f"""WITH {_RUNS} SELECT operation,
             max(CASE WHEN status = 'success' THEN ts END) AS last_success,
             count(*) FILTER (WHERE status <> 'success') AS errors FROM runs GROUP BY 1""",
-        "stream_changelog": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS}, raw_event FROM log",
+        "stream_changelog": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log",
         "stream_state": f"WITH {STATE} SELECT {STATE_COLUMNS} FROM state",
-        "stream_replicate": f"""WITH {_chunks()}, {REQUESTS}
-            SELECT CAST(0 AS BIGINT) AS batch_id, chunk, n_writes, n_deletes, body FROM requests""",
+        "stream_replicate": f"""WITH {_chunks(batch=BATCH)}, {BATCH_REQUESTS} SELECT * FROM requests""",
+        "stream_delivery_log": f"""WITH {_chunks(batch=BATCH)}, {BATCH_REQUESTS} SELECT batch_id, chunk,
+            TRUE AS delivered, CAST(NULL AS VARCHAR) AS error, CAST(0 AS INTEGER) AS try FROM requests""",
+        "stream_rejects": f"""WITH {FEED} SELECT {BATCH} AS batch_id, seq AS position,
+            CAST(NULL AS BIGINT) AS pos, wire AS text FROM feed WHERE NOT json_valid(wire)""",
+        "stream_reports": f"""WITH {EVENTS}, counts AS (SELECT {BATCH} AS batch_id, count(*) AS processed,
+              count(*) FILTER (WHERE {_PROBLEMS} <> '') AS invalid,
+              count(*) FILTER (WHERE op = 'U') AS unknown_operations,
+              count(*) FILTER (WHERE ts_defaulted) AS defaulted, max(ts) AS latest_ts FROM ev GROUP BY 1),
+            bad AS (SELECT {BATCH} AS batch_id, count(*) AS rejected FROM feed WHERE NOT json_valid(wire) GROUP BY 1)
+            SELECT batch_id, processed, coalesce(rejected, 0) AS rejected,
+              processed + coalesce(rejected, 0) AS total_fetched, invalid, unknown_operations, defaulted, latest_ts
+            FROM counts LEFT JOIN bad USING (batch_id)""",
+        "dedupe_stream": f"{events} seq, {KEY}, operation FROM ev",
+        "page_item_rejects": f"""WITH {FEED} SELECT seq // 100 AS page_no, seq % 100 AS pos,
+            CAST(to_json(wire) AS VARCHAR) AS item FROM feed WHERE NOT json_valid(wire)""",
+        "cursor_round_trip": f"""WITH {PAGES} SELECT '' AS first_token,
+            arg_max(next_token, page_no) AS continuation_token FROM page_summary WHERE has_more""",
+        "replicate_chunks_sparse": f"""WITH {_chunks()} SELECT seq * 2147483648 AS seq, position, chunk, op,
+            usr AS "user", relation, obj AS "object" FROM chunks""",
     }

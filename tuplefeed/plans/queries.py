@@ -74,7 +74,7 @@ def _middle(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def _changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.changelog_rows(_events(spark, sf_dir))
+    return changelog.changelog_rows(_events(spark, sf_dir), derived.ingest_ts())
 
 
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +217,24 @@ def tuple_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("seq", text.alias("tuple"))
 
 
+@query
+def page_item_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source.page_item_rejects(derived.pages(spark, sf_dir))
+
+
+@query
+def cursor_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token before any is saved, and after those of a page and of the last but one."""
+    path = shared_folder(spark, "cursor")
+    first = cursor.latest_cursor(cursor.read_cursor_log(spark, path)).first()[0]
+    pages = source.page_tokens(derived.pages(spark, sf_dir)).where("has_more")
+    saved = pages.agg(F.min_by("next_token", "page_no"), F.max_by("next_token", "page_no")).first()
+    for batch, token in enumerate(saved):
+        cursor.save_cursor(spark, path, batch, token)
+    latest = cursor.latest_cursor(cursor.read_cursor_log(spark, path))
+    return latest.select(F.lit(first).alias("first_token"), "continuation_token")
+
+
 # Changelog
 
 
@@ -239,31 +257,30 @@ def changelog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = changelog.audit(
+    return changelog.audit(
         _changelog(spark, sf_dir), since=_at(SINCE), until=_at("2024-01-22 00:00:00"),
         object_type="document", relation="viewer",
     )
-    return rows.drop("raw_event")
 
 
 @query
 def audit_by_user_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.audit(_changelog(spark, sf_dir), user_type="team").drop("raw_event")
+    return changelog.audit(_changelog(spark, sf_dir), user_type="team")
 
 
 @query
 def audit_by_change_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.audit(_changelog(spark, sf_dir), change_type="DELETE").drop("raw_event")
+    return changelog.audit(_changelog(spark, sf_dir), change_type="DELETE")
 
 
 @query
 def audit_by_object_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.audit(_changelog(spark, sf_dir), object_type="folder").drop("raw_event")
+    return changelog.audit(_changelog(spark, sf_dir), object_type="folder")
 
 
 @query
 def audit_by_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.audit(_changelog(spark, sf_dir), relation="editor").drop("raw_event")
+    return changelog.audit(_changelog(spark, sf_dir), relation="editor")
 
 
 @query
@@ -338,15 +355,14 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conditional_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.conditional_tuples(_state(spark, sf_dir)).select(*state.KEY, "condition")
+    return state.conditional_tuples(_state(spark, sf_dir))
 
 
 @query
 def tuple_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = state.lookup(
+    return state.lookup(
         _state(spark, sf_dir), object_type="document", object_id="0", relation="viewer"
     )
-    return found.select(*state.KEY, "condition")
 
 
 @query
@@ -386,6 +402,15 @@ def replicate_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def replicate_chunks_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions with gaps of 2**31 between them."""
+    events = _events(spark, sf_dir).withColumn("seq", F.col("seq") * (1 << 31))
+    return replicate.chunk(events).select(
+        "seq", "position", "chunk", "op", "user", "relation", "object"
+    )
+
+
 @query
 def replicate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replicate.bodies(replicate.requests(_events(spark, sf_dir)))
@@ -394,7 +419,7 @@ def replicate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def replicate_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = replicate.requests(_events(spark, sf_dir), batch_size=1000, net=True)
-    return replicate.bodies(made).select("chunk", "n_writes", "n_deletes")
+    return replicate.bodies(made)
 
 
 @query
@@ -472,29 +497,84 @@ def run_last_success(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.sync_metrics(derived.run_log(spark, sf_dir))
 
 
-# Streams, run until all input is read
+# Streams: the feed lands in three parts, and the stream is started anew for each
+
+
+def _in_batches(spark: SparkSession, sf_dir: str, start) -> None:
+    """Run ``start(feed, checkpoint)`` to its end after each part that lands."""
+    landed, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "checkpoint")
+    for batch in range(derived.BATCHES):
+        derived.land(spark, sf_dir, landed, batch)
+        streams.finish(start(source.stream_feed(spark, f"{landed}/*"), checkpoint))
 
 
 @query
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = shared_folder(spark, "changelog"), shared_folder(spark, "checkpoint")
-    feed = derived.feed_stream(spark, sf_dir)
-    streams.finish(streams.sync_changelog(feed, path, checkpoint, derived.ingest_ts()))
+    path = shared_folder(spark, "changelog")
+    _in_batches(spark, sf_dir, lambda feed, c: streams.sync_changelog(feed, path, c, derived.ingest_ts()))
     return changelog.read_changelog(spark, path).drop("event_date")
 
 
 @query
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = shared_folder(spark, "state"), shared_folder(spark, "checkpoint")
-    feed = derived.feed_stream(spark, sf_dir)
-    streams.finish(streams.sync_state(feed, path, checkpoint, derived.ingest_ts(), buckets=16, merge_every=1))
+    path = shared_folder(spark, "state")
+    _in_batches(
+        spark, sf_dir,
+        lambda feed, c: streams.sync_state(feed, path, c, derived.ingest_ts(), buckets=16, merge_every=2),
+    )
     return StateTable(spark, path, 16).read()
 
 
 @query
 def stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = shared_folder(spark, "requests"), shared_folder(spark, "checkpoint")
-    feed = derived.feed_stream(spark, sf_dir)
-    streams.finish(streams.sync_requests(feed, path, checkpoint, derived.ingest_ts()))
+    path = shared_folder(spark, "requests")
+    _in_batches(spark, sf_dir, lambda feed, c: streams.sync_requests(feed, path, c, derived.ingest_ts()))
     made = spark.read.schema("batch_id BIGINT, chunk BIGINT, n_writes BIGINT, n_deletes BIGINT, body STRING")
     return made.parquet(path).select("batch_id", "chunk", "n_writes", "n_deletes", "body")
+
+
+def _accept(body: str) -> None:
+    """A target that takes every request."""
+
+
+@query
+def stream_delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, log = shared_folder(spark, "requests"), shared_folder(spark, "delivery")
+    _in_batches(
+        spark, sf_dir,
+        lambda feed, c: streams.sync_requests(feed, path, c, derived.ingest_ts(), send=_accept, log=log),
+    )
+    return streams.delivery_log(spark, log)
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, side = shared_folder(spark, "changelog"), shared_folder(spark, "side")
+    _in_batches(
+        spark, sf_dir, lambda feed, c: streams.sync_changelog(feed, path, c, derived.ingest_ts(), side=side)
+    )
+    return streams.read_rejects(spark, side)
+
+
+@query
+def stream_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, side = shared_folder(spark, "state"), shared_folder(spark, "side")
+    _in_batches(
+        spark, sf_dir, lambda feed, c: streams.sync_state(feed, path, c, derived.ingest_ts(), buckets=4, side=side)
+    )
+    return streams.read_reports(spark, side).drop("lag_seconds", "duration_s")  # differ from run to run
+
+
+@query
+def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in parts, then all of it again."""
+    out = shared_folder(spark, "deduplicated")
+
+    def start(feed: DataFrame, checkpoint: str):
+        twice = feed.select("seq", F.explode(F.array(F.lit(0), F.lit(1))), "wire").drop("col")
+        events = dedupe.drop_repeats_within(parse_feed(twice, derived.ingest_ts()), "1 hour")
+        writer = events.select("seq", *state.KEY, "operation").writeStream.format("parquet").option("path", out)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    _in_batches(spark, sf_dir, start)
+    return spark.read.parquet(out)

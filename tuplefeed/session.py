@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the results depend on: event times are UTC, and of two members with the same
 # name in one JSON object the last one counts.
@@ -38,25 +37,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors can reach.
-
-    Only a local session may go without that setting; it gets a temporary folder.
-    """
+    """A new folder below ``spark.checkpoint.dir``, which all executors can reach."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tuplefeed-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when the scan keeps most of them idle.
-
-    One small file with one row group is one task. Large tables have many row groups and
-    pass through unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, key)

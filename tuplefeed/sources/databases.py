@@ -36,8 +36,10 @@ def read_table(
 def append_changelog(
     rows: DataFrame, url: str, table: str, connections: int = 16, **options: str
 ) -> None:
-    """Append changelog rows through at most ``connections`` connections."""
-    writer = rows.write.format("jdbc").mode("append")
+    """Append changelog rows through at most ``connections`` connections. The table numbers its
+    rows itself, calls the time ``timestamp`` and has no parsed kind."""
+    named = rows.withColumnRenamed("ts", "timestamp").drop("id", "change_kind", "event_date", "batch_id")
+    writer = named.write.format("jdbc").mode("append")
     writer.options(
         url=url,
         dbtable=table,

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuplefeed.operators.ordering import block_of
-from tuplefeed.session import spread
 
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -70,13 +69,18 @@ def to_feed(events: DataFrame) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_feed(spread(raw_events(spark, sf_dir), "event_id"))
+    return to_feed(raw_events(spark, sf_dir))
 
 
-def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A streaming source takes a folder or a pattern, and the table may be one file.
-    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/{{events}}.parquet")
-    return to_feed(events)
+BATCHES = 3
+
+
+def land(spark: SparkSession, sf_dir: str, path: str, batch: int) -> None:
+    """Write one of ``BATCHES`` equal ranges of the feed as a part of a landing folder."""
+    events = raw_events(spark, sf_dir)
+    end = events.agg(F.max("event_id") + 1).scalar()
+    mine = block_of(F.col("event_id") * BATCHES, end) == batch
+    to_feed(events.where(mine)).write.parquet(f"{path}/part={batch}")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,15 +34,23 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def read_page_files(
     spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None
 ) -> DataFrame:
-    """Pages saved as one JSON file each, numbered by the digits in the file name, such as
-    ``page-000123.json``. A file without a number is an error."""
+    """Pages saved as one JSON file each, numbered by the last digits in the file name, such as
+    ``2024-page-000123.json``. A file without a number is an error, and so are two files with one
+    number (in a stream: two in one batch), since their changes would share positions."""
     reader = (spark.readStream if stream else spark.read).option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     name = F.col("_metadata.file_name")
-    number = F.regexp_extract(name, r"(\d+)", 1).try_cast("bigint")
+    number = F.regexp_extract(name, r"(\d+)\D*$", 1).try_cast("bigint")
     missing = F.raise_error(F.concat(F.lit("no page number in file name "), name))
-    return reader.format("text").load(path).select(
+    pages = reader.format("text").load(path)
+    if not stream:
+        names = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"))
+        numbers = names.select(F.regexp_extract("name", r"(\d+)\D*$", 1).try_cast("bigint").alias("n"))
+        twice = numbers.where("n IS NOT NULL").groupBy("n").count().where("count > 1").first()
+        if twice:
+            raise ValueError(f"{twice['count']} files of {path} have the page number {twice['n']}")
+    return pages.select(
         F.coalesce(number, missing.cast("bigint")).alias("page_no"), F.col("value").alias("body")
     )
 
@@ -112,6 +120,27 @@ def decode_pages(pages: DataFrame, page_rows: int = 1000) -> DataFrame:
     )
 
 
+def page_item_rejects(pages: DataFrame) -> DataFrame:
+    """What ``decode_pages`` drops of readable pages, for quarantine: (page_no, pos, item).
+
+    Items that are no JSON objects, and with ``pos`` NULL the ``changes`` of a page whose list is
+    none. Pages that are no JSON object themselves are those of ``rejects(pages, "body")``.
+    """
+    body, page = F.col("body"), F.col("page")
+    parsed = pages.withColumn("page", _document(body)).where(_is_object(body, page))
+    changes = F.try_variant_get("page", "$[0].changes", "variant")
+    listed = parsed.withColumn("changes", changes).where("changes IS NOT NULL")
+    is_list = F.schema_of_variant("changes").startswith("ARRAY<")
+    items = listed.where(is_list).select(
+        "page_no", F.posexplode(F.try_variant_get("changes", "$", "array<variant>")).alias("pos", "change")
+    )
+    bad = items.where(~F.coalesce(F.schema_of_variant("change").startswith("OBJECT<"), F.lit(False)))
+    whole = listed.where(~is_list & ~F.is_variant_null("changes"))
+    return bad.select("page_no", F.col("pos").cast("bigint").alias("pos"), F.to_json("change").alias("item")).unionByName(
+        whole.select("page_no", F.lit(None).cast("bigint").alias("pos"), F.to_json("changes").alias("item"))
+    )
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
     """(page_no, next_token, has_more); no or an empty token ends the feed.
 
@@ -129,8 +158,9 @@ def resume(feed: DataFrame, token: str | Column = START) -> DataFrame:
     """Everything after a token; the empty token is the start. Reaches the scan as a filter."""
     if isinstance(token, str):
         return feed if token == START else feed.where(F.col("seq") > int(token))
-    position = F.coalesce(token.try_cast("bigint"), F.lit(-1))
-    return feed.where(F.col("seq") > position)
+    bad = F.raise_error(F.concat(F.lit("no feed token: "), token)).cast("bigint")
+    number = F.when(token == START, F.lit(None)).otherwise(F.coalesce(token.try_cast("bigint"), bad))
+    return feed.where(number.isNull() | (F.col("seq") > number))
 
 
 def read_page(feed: DataFrame, token: str | Column, page_size: int) -> DataFrame:
@@ -155,12 +185,13 @@ def page_summary(feed: DataFrame, page_size: int) -> DataFrame:
     paged = paginate(feed.select("seq", good.alias("good")), page_size)
     last_page = feed.agg(block_of(F.count("*") - 1, page_size)).scalar()
     per_page = paged.groupBy("page_no").agg(
-        F.count_if("good").alias("total_fetched"), F.max("seq").alias("last_seq")
+        F.count("*").alias("total_fetched"), F.count_if("good").alias("processed"), F.max("seq").alias("last_seq")
     )
     has_more = F.col("page_no") < last_page
     return per_page.select(
         "page_no",
         "total_fetched",
+        "processed",
         F.when(has_more, F.col("last_seq").cast("string")).otherwise("").alias("next_token"),
         has_more.alias("has_more"),
     )
@@ -177,7 +208,9 @@ def fetch_all(events: DataFrame, max_changes: int | Column = 0) -> DataFrame:
         return events
     counts = events.groupBy("page_no").agg(F.count("*").alias("n"))
     before = prefix_sums(counts, "page_no", "n")
-    last_page = before.where(F.col("before") < max_changes).agg(F.max("page_no")).scalar()
+    cap = max_changes if isinstance(max_changes, Column) else F.lit(max_changes)
+    taken = F.when((cap <= 0) | (F.col("before") < cap), F.col("page_no"))
+    last_page = before.agg(F.max(taken)).scalar()
     return events.where(F.col("page_no") <= last_page)
 
 

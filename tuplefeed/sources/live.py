@@ -4,8 +4,10 @@
     spark.readStream.format("change_api").option("url", "https://host/stores/1/changes").load()
 
 Rows are (seq, wire), positions counted from the start of the feed. Tokens make pages a chain
-that one reader must follow, so a read takes at most ``max_pages`` pages; what they hold is
-spread over the cluster from there on.
+that one reader must follow; what they hold is spread over the cluster from there on. A read goes
+on until the token is spent. ``max_pages`` makes reads shorter, and is refused without
+``polled=true``: a query that reads what is there and stops would stop after so many pages. With
+``start_token``, ``start_seq`` says what position the first change after it has.
 """
 
 from __future__ import annotations
@@ -69,6 +71,13 @@ class ChangeApi(DataSource):
         return ChangeApiBatch(self)
 
 
+def start_of(options: dict) -> Offset:
+    token, seq = options.get("start_token", ""), options.get("start_seq")
+    if token and seq is None:
+        raise ValueError("start_token needs start_seq, the position of the first change after it")
+    return {"token": token, "skip": 0, "seq": int(seq or 0)}
+
+
 def _number(changes: list[str], first: int) -> Rows:
     return ((first + i, change) for i, change in enumerate(changes))
 
@@ -76,17 +85,19 @@ def _number(changes: list[str], first: int) -> Rows:
 class ChangeApiStream(SimpleDataSourceStreamReader):
     def __init__(self, source: ChangeApi):
         self.source = source
-        self.max_pages = int(source.options.get("max_pages", "100"))
+        self.max_pages = int(source.options.get("max_pages", "0"))
+        if self.max_pages and source.options.get("polled", "") != "true":
+            raise ValueError("max_pages needs polled=true and a poll interval")
 
     def initialOffset(self) -> Offset:
-        return {"token": self.source.options.get("start_token", ""), "skip": 0, "seq": 0}
+        return start_of(self.source.options)
 
     def read(self, start: Offset) -> tuple[Rows, Offset]:
         rows, end = [], start
         for count, (changes, after) in enumerate(self.source.pages(start), 1):
             rows.extend(_number(changes, end["seq"]))
             end = after
-            if count >= self.max_pages:
+            if count == self.max_pages:
                 break
         return iter(rows), end
 
@@ -107,7 +118,7 @@ class ChangeApiBatch(DataSourceReader):
         self.source = source
 
     def read(self, partition: InputPartition) -> Rows:
-        at = {"token": self.source.options.get("start_token", ""), "skip": 0, "seq": 0}
+        at = start_of(self.source.options)
         for changes, after in self.source.pages(at):
             yield from _number(changes, at["seq"])
             at = after

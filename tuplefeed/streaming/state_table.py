@@ -7,6 +7,10 @@ costs what it changes, and a merge is shared by several batches. Last, a batch w
 ``versions/version=<batch>``: one row per bucket with the version that holds it. Readers see a
 batch only once that list is there, and add the summaries still waiting. Running a batch again
 reads the same earlier versions and overwrites its own, so the result is the same.
+
+Changes apply in the order of batches, and within a batch in that of positions. A batch that goes back
+behind applied positions is merged at once, after all that waited, since waiting summaries are put
+together by position. A table belongs to one stream, whose id is kept with each version.
 """
 
 from __future__ import annotations
@@ -29,13 +33,14 @@ from tuplefeed.operators.state import (
 BUCKETS = 64
 MERGE_EVERY = 10
 EMPTY = -1  # the version of a bucket without tuples
-_VERSION_SCHEMA = "bucket INT, home BIGINT, merged BIGINT, high_seq BIGINT"
+_VERSION_SCHEMA = "bucket INT, home BIGINT, merged BIGINT, high_seq BIGINT, stream STRING"
 
 
 class Version(NamedTuple):
     homes: dict[int, int]  # bucket to the version that holds it, one entry per bucket
     merged: int  # the last version whose changes are in the buckets
     high_seq: int | None  # the last applied position
+    stream: str = ""  # the stream that the table belongs to
 
 
 class StateTable:
@@ -61,9 +66,8 @@ class StateTable:
             return Version({b: EMPTY for b in range(self.buckets)}, -1, None)
         folder = f"{self.path}/versions/version={version}"
         rows = self.spark.read.schema(_VERSION_SCHEMA).parquet(folder).collect()
-        if len(rows) != self.buckets:
-            raise ValueError(f"{self.path} has {len(rows)} buckets, not {self.buckets}")
-        return Version({r.bucket: r.home for r in rows}, rows[0].merged, rows[0].high_seq)
+        self.buckets = len(rows)  # the table's own number counts
+        return Version({r.bucket: r.home for r in rows}, rows[0].merged, rows[0].high_seq, rows[0].stream)
 
     def _merged_tuples(self, homes: dict[int, int]) -> DataFrame:
         """Tuples of these buckets, with ``bucket``; only their folders are listed and read."""
@@ -93,42 +97,66 @@ class StateTable:
             tuples = apply_summary(tuples, self._waiting(at.merged, version), ["bucket"])
         return tuples.drop("bucket")
 
-    def apply(self, events: DataFrame, batch_id: int, vocab: str = "union") -> None:
-        """Write version ``batch_id`` from version ``batch_id - 1`` and the batch's events.
-
-        Events must come later in the feed than those applied before; a batch that goes back
-        is refused, since its changes cannot be put in order with merged ones.
-        """
-        if batch_id == 0 and (self.latest_version() or 0) > 0:
-            raise ValueError(f"{self.path} belongs to another stream: it holds later batches")
+    def apply(self, events: DataFrame, batch_id: int, vocab: str = "union", stream: str = "") -> None:
+        """Write version ``batch_id`` from version ``batch_id - 1`` and the batch's events."""
+        latest = self.latest_version()
+        if latest is not None and self._version(latest).stream != stream:
+            raise ValueError(f"{self.path} belongs to another stream")
+        if batch_id == 0 and (latest or 0) > 0:
+            raise ValueError(f"{self.path} holds later batches of this stream")
         before = self._version(batch_id - 1)
         folder = f"{self.path}/changes/version={batch_id}"
         summarize(events, vocab).write.mode("overwrite").parquet(folder)
         written = self.spark.read.schema(SUMMARY_SCHEMA).parquet(folder)
         first, last = written.agg(F.min("from_seq"), F.max("to_seq")).first()
-        if first is not None and before.high_seq is not None and first <= before.high_seq:
-            raise ValueError(
-                f"batch {batch_id} starts at position {first}, "
-                f"but changes up to {before.high_seq} were already applied"
-            )
-        after = before._replace(high_seq=before.high_seq if last is None else last)
-        if batch_id - before.merged >= self.merge_every:
-            after = self._merge(after, batch_id)
-        rows = [(b, home, after.merged, after.high_seq) for b, home in after.homes.items()]
+        late = first is not None and before.high_seq is not None and first <= before.high_seq
+        high = max((x for x in (before.high_seq, last) if x is not None), default=None)
+        after = before._replace(high_seq=high, stream=stream)
+        if late or batch_id - before.merged >= self.merge_every:
+            after = self._merge(after, batch_id, late)
+        rows = [(b, home, after.merged, after.high_seq, stream) for b, home in after.homes.items()]
         listing = self.spark.createDataFrame(rows, _VERSION_SCHEMA).coalesce(1)
         listing.write.mode("overwrite").parquet(f"{self.path}/versions/version={batch_id}")
 
-    def _merge(self, at: Version, version: int) -> Version:
+    def _merge(self, at: Version, version: int, late: bool = False) -> Version:
         """Rewrite the buckets that waiting changes fall into, as ``data/version=<version>``."""
-        changes = self._waiting(at.merged, version)
-        touched = [r.bucket for r in changes.select("bucket").distinct().collect()]
+        runs = [(at.merged, version - 1), (version - 1, version)] if late else [(at.merged, version)]
+        changes = [self._waiting(after, upto) for after, upto in runs if after < upto]
+        touched = sorted({r.bucket for c in changes for r in c.select("bucket").distinct().collect()})
         if not touched:
             return at._replace(merged=version)
-        old = self._merged_tuples({b: at.homes[b] for b in touched})
-        new = apply_summary(old, changes, ["bucket"]).hint("rebalance", "bucket")
+        new = self._merged_tuples({b: at.homes[b] for b in touched})
+        for run in changes:
+            new = apply_summary(new, run, ["bucket"])
         data = f"{self.path}/data/version={version}"
-        new.write.mode("overwrite").partitionBy("bucket").parquet(data)
+        new.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(data)
         written = self.spark.read.schema(f"{STATE_SCHEMA}, bucket INT").parquet(data)
         filled = {r.bucket for r in written.select("bucket").distinct().collect()}
         homes = {b: version if b in filled else EMPTY for b in touched}
         return at._replace(homes={**at.homes, **homes}, merged=version)
+
+    def remove_versions(self, before: int) -> int:
+        """Forget the versions before one, and delete the folders that no later one reads.
+
+        Returns how many folders went. No reader may still be at a version that is forgotten.
+        """
+        latest = self.latest_version()
+        if latest is None or before > latest:
+            raise ValueError(f"{self.path} has no version {before}")
+        versions = [self._version(v) for v in range(before, latest + 1)]
+        needed = {(home, bucket) for v in versions for bucket, home in v.homes.items()}
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        files = path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+        def numbered(folder: str, name: str) -> list[tuple[int, str]]:
+            listed = files.listStatus(path(folder)) if files.exists(path(folder)) else []
+            found = [f.getPath() for f in listed if f.getPath().getName().startswith(f"{name}=")]
+            return [(int(p.getName().split("=")[1]), p.toString()) for p in found]
+
+        old = [p for v, p in numbered(f"{self.path}/versions", "version") if v < before]
+        old += [p for v, p in numbered(f"{self.path}/changes", "version") if v < before and v <= versions[0].merged]
+        for version, folder in numbered(f"{self.path}/data", "version"):
+            if version < before:
+                old += [p for b, p in numbered(folder, "bucket") if (version, b) not in needed]
+        return sum(files.delete(path(p), True) for p in old)

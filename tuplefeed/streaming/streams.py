@@ -8,16 +8,25 @@ and a restarted query goes on after the last finished batch.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from tuplefeed.operators.changelog import by_date, changelog_rows
+from tuplefeed.functions.changes import UNKNOWN, op_code
+from tuplefeed.operators.changelog import append_changelog, changelog_rows
 from tuplefeed.operators.parse import parse_feed, parse_pages
-from tuplefeed.operators.replicate import BATCH_SIZE, bodies, requests
-from tuplefeed.session import spread
+from tuplefeed.operators.quality import validate
+from tuplefeed.operators.replicate import BATCH_SIZE, bodies, deliver, requests
+from tuplefeed.sources.feed import page_item_rejects, rejects
 from tuplefeed.streaming.state_table import BUCKETS, MERGE_EVERY, StateTable
 
+PAGE_ROWS = 1000  # at least the size of the largest page
+RUN_LOG_SCHEMA = "query STRING, batch_id BIGINT, input_rows BIGINT, duration_ms BIGINT"
+
 
 def _start(writer: DataStreamWriter, checkpoint: str, poll_interval: str | None) -> StreamingQuery:
     """Poll every ``poll_interval`` (such as ``5 seconds``), or read what is there and stop."""
@@ -27,31 +36,96 @@ def _start(writer: DataStreamWriter, checkpoint: str, poll_interval: str | None)
     return writer.trigger(availableNow=True).start()
 
 
-def observed(events: DataFrame, name: str) -> DataFrame:
-    """Report each batch's size, latest event and missing times in the query progress."""
-    return events.observe(
-        name,
-        F.count(F.lit(1)).alias("processed"),
-        F.max("ts").alias("latest_ts"),
-        F.count_if("ts_defaulted").alias("defaulted"),
-    )
-
-
 def _stamped(feed: DataFrame, ingest_ts: Column | None) -> DataFrame:
     """Fix the time that stands in for missing ones here: in the streaming plan the current time
     is that of the batch, the same in every pass over it and in every retry."""
     return feed.withColumn("_ingest", F.current_timestamp() if ingest_ts is None else ingest_ts)
 
 
-def _parse(feed: DataFrame) -> DataFrame:
+def _events(batch: DataFrame, page_rows: int) -> DataFrame:
     ingest = F.col("_ingest")
-    if "body" in feed.columns:
-        return parse_pages(feed, ingest).drop("_ingest", "page_no", "pos")
-    return parse_feed(feed, ingest).drop("_ingest")
+    if "body" in batch.columns:
+        return parse_pages(batch, ingest, page_rows).drop("_ingest", "page_no", "pos")
+    return parse_feed(batch, ingest).drop("_ingest")
+
+
+def _stream_of(batch: DataFrame) -> str:
+    """The id of the running query; its checkpoint keeps it."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def batch_rejects(batch: DataFrame) -> DataFrame:
+    """(position, pos, text) of what parsing leaves out: whole rows, and items of pages."""
+    nothing = F.lit(None).cast("bigint").alias("pos")
+    if "body" not in batch.columns:
+        return rejects(batch).select(F.col("seq").alias("position"), nothing, F.col("wire").alias("text"))
+    position = F.col("page_no").alias("position")
+    whole = rejects(batch, "body").select(position, nothing, F.col("body").alias("text"))
+    return whole.unionByName(page_item_rejects(batch).select(position, "pos", F.col("item").alias("text")))
+
+
+def batch_report(batch: DataFrame, events: DataFrame, seconds: float) -> DataFrame:
+    """One row: what a batch held, how much of it is odd, and how far behind it is."""
+    counts = validate(events).agg(
+        F.count("*").alias("processed"),
+        F.count_if(F.col("validation_error").isNotNull()).alias("invalid"),
+        F.count_if(op_code(F.col("operation")) == UNKNOWN).alias("unknown_operations"),
+        F.count_if("ts_defaulted").alias("defaulted"),
+        F.max("ts").alias("latest_ts"),
+    )
+    rejected = batch_rejects(batch).agg(F.count("*")).scalar()
+    behind = F.unix_micros(F.current_timestamp()) - F.unix_micros("latest_ts")
+    return counts.withColumn("rejected", rejected).select(
+        "processed", "rejected", (F.col("processed") + F.col("rejected")).alias("total_fetched"), "invalid",
+        "unknown_operations", "defaulted", "latest_ts", (behind / 1e6).alias("lag_seconds"),
+        F.lit(float(seconds)).alias("duration_s"),
+    )
+
+
+REPORT_SCHEMA = (
+    "batch_id BIGINT, processed BIGINT, rejected BIGINT, total_fetched BIGINT, invalid BIGINT, "
+    "unknown_operations BIGINT, defaulted BIGINT, latest_ts TIMESTAMP, lag_seconds DOUBLE, duration_s DOUBLE"
+)
+REJECT_SCHEMA = "batch_id BIGINT, position BIGINT, pos BIGINT, text STRING"
+
+
+def read_reports(spark: SparkSession, side: str) -> DataFrame:
+    """One row per batch of a stream with this ``side`` folder."""
+    return spark.read.schema(REPORT_SCHEMA).parquet(f"{side.rstrip('/')}/reports")
+
+
+def read_rejects(spark: SparkSession, side: str) -> DataFrame:
+    """What the batches of a stream with this ``side`` folder could not parse."""
+    return spark.read.schema(REJECT_SCHEMA).parquet(f"{side.rstrip('/')}/rejects")
 
 
-def _events(batch: DataFrame) -> DataFrame:
-    return _parse(spread(batch, "page_no" if "body" in batch.columns else "seq"))
+def _sync(
+    feed: DataFrame,
+    work: Callable[[DataFrame, DataFrame, int], None],
+    checkpoint: str,
+    ingest_ts: Column | None,
+    poll_interval: str | None,
+    page_rows: int,
+    side: str | None,
+) -> StreamingQuery:
+    """Run ``work(batch, events, batch_id)`` on every batch. With ``side``, each batch also leaves a
+    report in ``<side>/reports`` and what could not be parsed in ``<side>/rejects``."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
+        batch = batch.persist()  # several passes, one read of the source
+        try:
+            events = _events(batch, page_rows)
+            work(batch, events, batch_id)
+            if side:
+                folder = side.rstrip("/")
+                batch_rejects(batch).write.mode("overwrite").parquet(f"{folder}/rejects/batch_id={batch_id}")
+                report = batch_report(batch, events, time.monotonic() - began)
+                report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/reports/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return _start(_stamped(feed, ingest_ts).writeStream.foreachBatch(each), checkpoint, poll_interval)
 
 
 def sync_changelog(
@@ -60,12 +134,15 @@ def sync_changelog(
     checkpoint: str,
     ingest_ts: Column | None = None,
     poll_interval: str | None = None,
+    page_rows: int = PAGE_ROWS,
+    side: str | None = None,
 ) -> StreamingQuery:
     """Append every change to the audit table, exactly once."""
-    events = observed(_parse(_stamped(feed, ingest_ts)), "sync")
-    writer = by_date(changelog_rows(events)).writeStream.format("parquet")
-    writer = writer.outputMode("append").option("path", path).partitionBy("event_date")
-    return _start(writer, checkpoint, poll_interval)
+
+    def append(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
+        append_changelog(changelog_rows(events, ingest_ts), path, batch_id, _stream_of(batch))
+
+    return _sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side)
 
 
 def sync_state(
@@ -77,15 +154,15 @@ def sync_state(
     vocab: str = "union",
     buckets: int = BUCKETS,
     merge_every: int = MERGE_EVERY,
+    page_rows: int = PAGE_ROWS,
+    side: str | None = None,
 ) -> StreamingQuery:
     """Keep the current tuples, one table version per batch."""
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        table = StateTable(batch.sparkSession, path, buckets, merge_every)
-        table.apply(_events(batch), batch_id, vocab)
+    def apply(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
+        StateTable(batch.sparkSession, path, buckets, merge_every).apply(events, batch_id, vocab, _stream_of(batch))
 
-    writer = _stamped(feed, ingest_ts).writeStream.foreachBatch(apply)
-    return _start(writer, checkpoint, poll_interval)
+    return _sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side)
 
 
 def sync_requests(
@@ -97,15 +174,60 @@ def sync_requests(
     batch_size: int = BATCH_SIZE,
     vocab: str = "union",
     net: bool = False,
+    page_rows: int = PAGE_ROWS,
+    side: str | None = None,
+    send: Callable[[str], None] | None = None,
+    log: str | None = None,
+    tries: int = 3,
 ) -> StreamingQuery:
-    """Write the requests of each batch to its own folder, ``batch_id=<n>``."""
+    """Write the requests of each batch to its own folder, ``batch_id=<n>``.
+
+    With ``send``, a batch's requests are also delivered, and each try's report goes to ``log`` as
+    ``batch_id=<n>/try=<k>``. What was delivered is not sent again, also after a restart. A batch
+    with requests left after ``tries`` fails, and the query stops with it.
+    """
+    if send is not None and log is None:
+        raise ValueError("send needs log, the folder of the delivery reports")
+
+    def write(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{path.rstrip('/')}/batch_id={batch_id}"
+        made = bodies(requests(events, batch_size, vocab, net))
+        made.write.mode("overwrite").parquet(folder)
+        if send is not None:
+            written = spark.read.schema(made.schema).parquet(folder)
+            _deliver_batch(spark, written, send, f"{log.rstrip('/')}/batch_id={batch_id}", tries)
+
+    return _sync(feed, write, checkpoint, ingest_ts, poll_interval, page_rows, side)
+
+
+def _deliver_batch(
+    spark: SparkSession, made: DataFrame, send: Callable[[str], None], log: str, tries: int
+) -> None:
+    done = _delivered(spark, log)
+    first = 0 if done is None else 1 + (done.agg(F.max("try")).first()[0] or 0)
+    for k in range(first, first + tries):
+        deliver(made, send, done).write.mode("overwrite").parquet(f"{log}/try={k}")
+        done = _delivered(spark, log)
+        left = made.join(done.where("delivered").select("chunk"), "chunk", "left_anti").count()
+        if not left:
+            return
+    raise RuntimeError(f"{left} requests could not be delivered, see {log}")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        made = bodies(requests(_events(batch), batch_size, vocab, net))
-        made.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
-    writer = _stamped(feed, ingest_ts).writeStream.foreachBatch(write)
-    return _start(writer, checkpoint, poll_interval)
+def _delivered(spark: SparkSession, log: str) -> DataFrame | None:
+    """The reports of a batch's earlier tries."""
+    try:
+        return spark.read.schema("chunk BIGINT, delivered BOOLEAN, error STRING, try INT").parquet(log)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def delivery_log(spark: SparkSession, log: str) -> DataFrame:
+    """All reports: (batch_id, chunk, delivered, error, try)."""
+    schema = "chunk BIGINT, delivered BOOLEAN, error STRING, batch_id BIGINT, try INT"
+    return spark.read.schema(schema).parquet(log).select("batch_id", "chunk", "delivered", "error", "try")
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
@@ -114,6 +236,32 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuer
     return query
 
 
+class RunLog(StreamingQueryListener):
+    """Keeps every batch of every query, where Spark itself remembers the last few.
+
+        spark.streams.addListener(RunLog(spark, path))
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = (str(p.id), p.batchId, p.numInputRows, p.durationMs.get("triggerExecution", 0))
+        made = self.spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1)
+        made.write.mode("overwrite").parquet(f"{self.path}/{p.id}-{p.batchId}")
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{path.rstrip('/')}/*")
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The recent batches of a query: (batch_id, input_rows, duration_ms). Spark keeps a fixed
     number of them."""
