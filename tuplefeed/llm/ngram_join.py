@@ -1,10 +1,11 @@
 """N-gram Jaccard join by blocked products of the document by n-gram incidence matrix.
 
-Documents are sets of n-gram hashes. Equal sets are one class from the start. Blocks: two linked
-sets differ in at most d n-grams, a bound that follows from their sizes; so if n-grams are dealt
-into d + 2 parts by hash, two parts at least are equal, and sets meet if one part's hash does (a
-set with two or more empty parts also shows these, so no link is lost). Sizes are ranged so that linked
-sets lie in the same or adjacent ranges. Classes that meet form candidate groups.
+Documents are sets of n-gram hashes. Equal sets are one class from the start. Blocks: in any order
+of n-grams that all documents share, two linked sets of sizes a and b have one of their first
+a - ceil(t * a) + 1 and b - ceil(t * b) + 1 n-grams in common (t the wanted similarity). The order
+used puts rare ones first, so that passages which many documents share come last; how rare they are
+is estimated by a table of ``1 << BITS`` counters, whatever the size of the corpus. Estimates
+only decide the order, never a link. Classes that meet in a first n-gram form candidate groups.
 
 Within a group, rows of the incidence matrix are multiplied with the others, overlaps are
 accumulated, and pairs outside the size bounds or below the wanted overlap are discarded. The first
@@ -12,8 +13,8 @@ row's product links most of a group of copies; rows that it links are one compon
 only the others need products of their own. Groups of more than ``block`` n-grams are split, and
 every pair of splits is multiplied in its own task. What leaves a task is a spanning forest.
 
-Hot groups: exact copies show their parts once in a task; near copies meet through the smallest
-class of each part, never pair by pair. Rounds are settled in the shared folder.
+Hot groups: exact copies show their n-grams once in a task; near copies meet through the smallest
+class of each n-gram, never pair by pair. Rounds are settled in the shared folder.
 
 Defined results: a null or empty text has no n-grams and is linked with nothing; with fewer words
 than n, all of them are one n-gram; repeated rows are in one class; a null id is below all others
@@ -27,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tuplefeed.llm.common import LOWERED, NO_ID, map_texts, settled, texts_of
+from tuplefeed.llm.common import LOWERED, NO_ID, map_texts, packed, settled, texts_of, unpacked
 from tuplefeed.llm.components import connected
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -67,33 +69,17 @@ class Shingles(dict):
         return np.unique(total)
 
 
-class Ranges:
-    """Size ranges such that linked sets are in the same or adjacent ones, and their parts."""
+BITS = 22
 
-    def __init__(self, percent: int, most: int = 1 << 40) -> None:
-        self.percent, self.starts = percent, [1]
-        while self.starts[-1] <= most:
-            self.starts.append(self.starts[-1] * 100 // percent + 1)
 
-    def parts(self, k: int) -> int:
-        """Parts for sets of ranges k and k + 1; 0 if only equal sets can be linked."""
-        largest = self.starts[k + 2] - 1
-        differ = 2 * largest * (100 - self.percent) // (100 + self.percent)
-        return differ + 2 if differ else 0
+def counter_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - BITS)).astype(np.int64)
 
-    def shown(self, grams: np.ndarray) -> np.ndarray:
-        """The hashes under which a set meets others."""
-        at = int(np.searchsorted(self.starts, len(grams), side="right")) - 1
-        found = []
-        for k in (at - 1, at):
-            parts = self.parts(k) if k >= 0 else 0
-            if parts:
-                part = (grams >> np.uint64(20)) % np.uint64(parts)
-                sums, count = np.zeros(parts, np.uint64), np.bincount(part.astype(np.int64), minlength=parts)
-                np.add.at(sums, part, mixed(grams))
-                shown = mixed(sums * _M3 + np.arange(parts, dtype=np.uint64)) + np.uint64(k)
-                found.append(mixed(shown) if (count == 0).sum() > 1 else mixed(shown[count > 0]))
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+def leading(grams: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray:
+    """The n-grams of a set of which it shares one with every set that is linked to it."""
+    first = len(grams) + 1 + -len(grams) * percent // 100  # less ceil(t * n)
+    return grams[np.lexsort((grams, counters[counter_of(grams)]))[:first]]
 
 
 def linked_rows(sets: list[np.ndarray], percent: int, at_once: int = 64) -> list[tuple[int, int]]:
@@ -167,12 +153,43 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
 
 
+def _counters(docs: DataFrame, n: int) -> np.ndarray:
+    """How often each counter's n-grams stand in sets, up to 65,535; equal sets once in a task."""
+    slices = 64
+
+    def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
+        shingles, done, total = Shingles(n), set(), np.zeros(1 << BITS, np.uint32)
+        for _, texts in pairs:
+            for text in texts:
+                grams = shingles.of(text)
+                key = _key(grams, _M1)
+                if key not in done:
+                    done.add(key)
+                    np.add.at(total, counter_of(grams), 1)
+            if len(done) > 1_000_000:
+                done.clear()
+        part = TaskContext.get().partitionId()
+        data = [packed(piece) for piece in np.split(np.minimum(total, 65_535), slices)]
+        yield {"slice": list(range(slices)), "part": [part] * slices, "data": data}
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.minimum(sum(unpacked(d) for d in rows["data"]), 65_535)
+        return pd.DataFrame({"slice": rows["slice"][:1], "part": rows["part"][:1], "data": [packed(total)]})
+
+    schema = "slice long, part long, data binary"
+    some = map_texts(texts_of(docs), make, schema)
+    some = some.groupBy("slice", F.floor(F.col("part") / 64).alias("some")).applyInPandas(add, schema)
+    found = {r["slice"]: unpacked(r["data"]) for r in some.groupBy("slice").applyInPandas(add, schema).collect()}
+    none = np.zeros((1 << BITS) // slices, np.int64)
+    return np.concatenate([found.get(k, none) for k in range(slices)]).astype(np.uint16)
+
+
 def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(first, part): what sets show, equal sets once in a task. Texts are read again for it, as
-    this is several times larger than what ``classes`` writes."""
+    """(first, part): the leading n-grams of sets, equal sets once in a task."""
+    sent = docs.sparkSession.sparkContext.broadcast(_counters(docs, n))  # of a fixed size
 
     def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
-        shingles, ranges, done = Shingles(n), Ranges(percent), set()
+        shingles, done = Shingles(n), set()
         for _, texts in pairs:
             first, part = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for text in texts:
@@ -180,7 +197,7 @@ def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 key = _key(grams, _M1)
                 if key not in done and len(grams):
                     done.add(key)
-                    part.append(ranges.shown(grams).astype(np.int64))
+                    part.append(leading(grams, sent.value, percent).view(np.int64))
                     first.append(np.full(len(part[-1]), key))
             if len(done) > 1_000_000:
                 done.clear()
@@ -193,7 +210,7 @@ def _candidates(shown: DataFrame) -> DataFrame:
     """(first, group) for sets that meet others."""
     least = F.min("first").over(Window.partitionBy("part"))
     meets = shown.select(F.col("first").alias("a"), least.alias("b")).where("a <> b")
-    # A set meets at most one other in each of its parts. Of those it meets, all are linked to the
+    # A set meets at most one other in each leading n-gram. Of those it meets, all are linked to the
     # smallest instead of to the set; in a group of copies these links are the same few.
     near = meets.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("near"))
     least_near = F.get("near", F.lit(0))
