@@ -17,10 +17,10 @@ FIVE = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 def test_shards_find_what_starts_earlier(given_texts, shard_bytes):
     texts = [t.encode() for t in given_texts]
     docs = np.arange(len(texts))[::-1].copy()
-    flags = exact_dedup.repeats(texts, np.zeros(len(texts), np.uint64), [docs, np.zeros(len(texts), np.int64)], 4, shard_bytes)
+    flags, ends = exact_dedup.repeats(texts, np.zeros(len(texts), np.uint64), [docs, np.zeros(len(texts), np.int64)], 4, shard_bytes)
     seen = set()
     for _, p, i, s in sorted((docs[i], p, i, t[p : p + 4]) for i, t in enumerate(texts) for p in range(len(t) - 3)):
-        assert flags[i][p] == (s in seen)
+        assert flags[ends[i] - len(texts[i]) + 3 + p] == (s in seen)
         seen.add(s)
 
 

@@ -156,14 +156,17 @@ def equal_strings(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray
     return np.cumsum(least < size), text[order][at], place[at]
 
 
-def repeats(texts: list[bytes], anchors: np.ndarray, order: list[np.ndarray], size: int, shard_bytes: int) -> list[np.ndarray]:
-    """For each text, which of its strings start earlier in another place.
+def repeats(texts: list[bytes], anchors: np.ndarray, order: list[np.ndarray], size: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which strings start earlier in another place, text by text in a row, and where each text's
+    strings end.
 
     ``order`` ranks the texts' first bytes (keys from the first to the last, then the start)."""
+    ends = np.cumsum(np.array([len(t) - size + 1 for t in texts], np.int64))
+    first_of = ends - np.array([len(t) - size + 1 for t in texts], np.int64)
+    flags = np.zeros(int(ends[-1]) if len(texts) else 0, bool)
     by = np.argsort(anchors, kind="stable")
     filled = np.cumsum(np.array([len(texts[i]) + 1 for i in by], np.int64))
     shard = filled // shard_bytes
-    flags = [np.zeros(len(t) - size + 1, bool) for t in texts]
     split = {int(a) for s in np.flatnonzero(np.diff(shard)) if (a := anchors[by[s]]) == anchors[by[s + 1]]}
     merged: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # sorted strings of split anchors, text, start
 
@@ -176,8 +179,7 @@ def repeats(texts: list[bytes], anchors: np.ndarray, order: list[np.ndarray], si
         text = mine[text]
         first = np.lexsort([*keys(text, start), kind])
         later = np.append(False, np.diff(kind[first]) == 0) if len(first) else np.zeros(0, bool)
-        for t, p in zip(text[first[later]], start[first[later]], strict=True):
-            flags[t][p] = True
+        flags[first_of[text[first[later]]] + start[first[later]]] = True
         if split:
             stay = first[~later]
             stay = stay[np.isin(anchors[text[stay]], np.array(sorted(split), np.uint64))]
@@ -193,8 +195,8 @@ def repeats(texts: list[bytes], anchors: np.ndarray, order: list[np.ndarray], si
                 a, b = (text[here], start[here]), (other_text[there], other_start[there])
                 before = [tuple(int(c[0]) for c in keys(np.array([t]), np.array([p])))[::-1] for t, p in (a, b)]
                 t, p = a if before[0] > before[1] else b
-                flags[t][p] = True
-    return flags
+                flags[first_of[t] + p] = True
+    return flags, ends
 
 
 def _written(docs: DataFrame, block_chars: int) -> DataFrame:
@@ -308,11 +310,11 @@ def _compared(size: int, shard_bytes: int):
             parts.append([np.frombuffer(r.anchors, np.uint64), _from_planes(r.ids), _from_planes(r.docs), _from_planes(r.starts)])
         anchors, ids, docs, starts = (np.concatenate(c) for c in zip(*parts, strict=True))
         block = np.repeat(rows["block"].to_numpy(), counts)
-        flags = repeats(texts, anchors, [ids, block, docs, starts], size, shard_bytes)
-        ends = np.cumsum(counts)
+        flags, ends = repeats(texts, anchors, [ids, block, docs, starts], size, shard_bytes)
+        ends = np.append(0, ends)[np.append(0, np.cumsum(counts))]
         return pd.DataFrame({
             "block": rows["block"], "bucket": rows["bucket"],
-            "data": [np.concatenate(flags[e - n : e]).astype(np.uint8).tobytes() for e, n in zip(ends, counts, strict=True)],
+            "data": [flags[a:e].astype(np.uint8).tobytes() for a, e in zip(ends[:-1], ends[1:], strict=True)],
         })
 
     return compare
@@ -321,7 +323,7 @@ def _compared(size: int, shard_bytes: int):
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
 
 
-def remove(docs: DataFrame, size: int = 100, block_chars: int = 1_000_000, shard_bytes: int = 1_500_000) -> DataFrame:
+def remove(docs: DataFrame, size: int = 100, block_chars: int = 1_000_000, shard_bytes: int = 400_000) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and the digest of what is left."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     answer = "block long, bucket int, data binary"
