@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,8 +39,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors can reach."""
+    """A new folder below ``spark.checkpoint.dir``, which all executors can reach.
+
+    Only a session that is one process, as in tests, may go without that setting and then has a
+    temporary folder; a cluster, also one on this machine, may not.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tuplefeed-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
