@@ -5,7 +5,8 @@ of n-grams that all documents share, two linked sets of sizes a and b have one o
 a - ceil(t * a) + 1 and b - ceil(t * b) + 1 n-grams in common (t the wanted similarity). The order
 used puts rare ones first, so that passages which many documents share come last; how rare they are
 is estimated by a table of ``1 << BITS`` counters, whatever the size of the corpus. Estimates
-only decide the order, never a link. Classes that meet in a first n-gram form candidate groups.
+only decide the order, never a link. Classes that meet in a first n-gram, and whose sizes allow a link
+step by step, form candidate groups.
 
 Within a group, rows of the incidence matrix are multiplied with the others, overlaps are
 accumulated, and pairs outside the size bounds or below the wanted overlap are discarded. The first
@@ -13,8 +14,8 @@ row's product links most of a group of copies; rows that it links are one compon
 only the others need products of their own. Groups of more than ``block`` n-grams are split, and
 every pair of splits is multiplied in its own task. What leaves a task is a spanning forest.
 
-Hot groups: exact copies show their n-grams once in a task; near copies meet through the smallest
-class of each n-gram, never pair by pair. Rounds are settled in the shared folder.
+Hot groups: exact copies show their n-grams once in a task; near copies meet the next smaller set
+of each n-gram, never pair by pair. Rounds are settled in the shared folder.
 
 Defined results: a null or empty text has no n-grams and is linked with nothing; with fewer words
 than n, all of them are one n-gram; repeated rows are in one class; a null id is below all others
@@ -185,13 +186,13 @@ def _counters(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(first, part): the leading n-grams of sets, equal sets once in a task."""
+    """(first, size, part): the leading n-grams of sets, equal sets once in a task."""
     sent = docs.sparkSession.sparkContext.broadcast(_counters(docs, n))  # of a fixed size
 
     def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
         shingles, done = Shingles(n), set()
         for _, texts in pairs:
-            first, part = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            first, size, part = ([np.zeros(0, np.int64)] for _ in range(3))
             for text in texts:
                 grams = shingles.of(text)
                 key = _key(grams, _M1)
@@ -199,17 +200,23 @@ def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     done.add(key)
                     part.append(leading(grams, sent.value, percent).view(np.int64))
                     first.append(np.full(len(part[-1]), key))
+                    size.append(np.full(len(part[-1]), len(grams)))
             if len(done) > 1_000_000:
                 done.clear()
-            yield {"first": np.concatenate(first), "part": np.concatenate(part)}
+            yield {"first": np.concatenate(first), "size": np.concatenate(size), "part": np.concatenate(part)}
 
-    return map_texts(texts_of(docs), make, "first long, part long")
+    return map_texts(texts_of(docs), make, "first long, size long, part long")
 
 
-def _candidates(shown: DataFrame) -> DataFrame:
-    """(first, group) for sets that meet others."""
-    least = F.min("first").over(Window.partitionBy("part"))
-    meets = shown.select(F.col("first").alias("a"), least.alias("b")).where("a <> b")
+def _candidates(shown: DataFrame, percent: int) -> DataFrame:
+    """(first, group) for sets that meet others.
+
+    Of the sets with an n-gram, each meets the next smaller one, if their sizes allow a link. Two sets
+    whose sizes do so meet through those between them.
+    """
+    before = F.lag(F.struct("size", "first")).over(Window.partitionBy("part").orderBy("size", "first"))
+    meets = shown.withColumn("before", before).where((F.col("before.size") * 100 >= F.col("size") * percent) & (F.col("before.first") != F.col("first")))
+    meets = meets.select(F.col("first").alias("a"), F.col("before.first").alias("b"))
     # A set meets at most one other in each leading n-gram. Of those it meets, all are linked to the
     # smallest instead of to the set; in a group of copies these links are the same few.
     near = meets.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("near"))
@@ -272,7 +279,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_00
     kinds = settled(
         found.where("n_shingles > 0").groupBy(same).agg(F.min("doc_id").alias("doc_id")), "ngram-kinds"
     )
-    met = kinds.join(_candidates(_shown(docs, n, percent)), "first")
+    met = kinds.join(_candidates(_shown(docs, n, percent), percent), "first")
     links = settled(_links(docs, met, n, percent, block), "ngram-links")
     reached = connected(links, "ngram-components").select(F.col("node").alias("kind"), "component")
     of_kind = kinds.withColumnRenamed("doc_id", "kind").join(reached, "kind", "left")
