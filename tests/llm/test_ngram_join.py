@@ -71,6 +71,24 @@ def test_odd_rows_and_one_of_each(spark, odd, empty):
     assert ngram_join.components(empty).count() == ngram_join.one_of_each(empty).count() == 0
 
 
+def test_different_texts_with_one_id_or_none(spark):
+    def words(name, change=""):
+        return " ".join([f"{name}{i}" for i in range(60)] + [change])
+
+    docs = [
+        (None, words("x", "a")), (7, words("x", "b")), (None, words("y", "a")), (9, words("y", "b")), (None, words("z")), (None, words("z")),
+        (5, words("p", "a")), (5, words("q", "a")), (6, words("p", "b")), (8, words("q", "b")), (5, words("r")), (5, ""), (5, " "), (None, None),
+    ]
+    df = spark.createDataFrame(docs, DOCS)
+    assert rows_of(ngram_join.components(df, n=3, percent=90)) == sorted(brute.near_components(docs), key=str)
+    kept = ngram_join.one_of_each(df, n=3, percent=90)
+    assert rows_of(kept) == sorted([*(docs[i] for i in (0, 2, 4, 6, 7, 10, 11, 12, 13))], key=str)
+    # Copies among several sets of one id and group: none of their links is lost.
+    near = [(1, " ".join(f"w{i}" for i in range(60) if i != k)) for k in (57, 58, 59)] + [(2, words("v"))]
+    found = ngram_join.one_of_each(spark.createDataFrame(near, DOCS), n=3, percent=90).collect()
+    assert sorted(r.doc_id for r in found) == [1, 2]
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(1, 200).selectExpr("id AS a", "id - 1 AS b").union(spark.createDataFrame([(501, 500)], "a long, b long"))
     assert {(r.component, r.node) for r in connected(chain).collect()} == {(0, i) for i in range(200)} | {(500, 500), (500, 501)}

@@ -17,6 +17,8 @@ every pair of splits is multiplied in its own task. What leaves a task is a span
 Hot groups: exact copies show their n-grams once in a task; near copies meet the next smaller set
 of each n-gram, never pair by pair. Rounds are settled in the shared folder.
 
+What is linked are sets, numbered once, never ids: different texts may share an id or have none.
+
 Defined results: a null or empty text has no n-grams and is linked with nothing; with fewer words
 than n, all of them are one n-gram; repeated rows are in one class; a null id is below all others
 and comes back as null; an empty table gives no rows; texts are taken whole.
@@ -136,22 +138,29 @@ def _key(grams: np.ndarray, salt: np.uint64) -> int:
 
 
 def classes(docs: DataFrame, n: int) -> DataFrame:
-    """Per document: its size and the two hashes of its set."""
+    """Per document: its key, its size and the two hashes of its set."""
+
+    def make(batches):
+        import pyarrow as pa
 
-    def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
         shingles = Shingles(n)
-        for ids, texts in pairs:
-            sets = [shingles.of(t) for t in texts]
-            yield {
-                "doc_id": ids, "n_shingles": list(map(len, sets)),
-                "first": [_key(s, _M1) for s in sets], "second": [_key(s, _M2) for s in sets],
-            }
+        for b in batches:
+            sets = [shingles.of(t) for t in b.column(1).to_pylist()]
+            numbers = [list(map(len, sets)), [_key(s, _M1) for s in sets], [_key(s, _M2) for s in sets]]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), *(pa.array(c, pa.int64()) for c in numbers)],
+                names=["doc_id", "text_hash", "n_shingles", "first", "second"],
+            )
+
+    return _keyed(docs).mapInArrow(make, "doc_id long, text_hash long, n_shingles long, first long, second long")
+
 
-    return map_texts(_keyed(docs), make, "doc_id long, n_shingles long, first long, second long")
+#: What tells rows apart; those equal in it are repeated.
+KEY = ["doc_id", "text_hash"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
 
 
 def _counters(docs: DataFrame, n: int) -> np.ndarray:
@@ -227,21 +236,21 @@ def _candidates(shown: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block: int) -> DataFrame:
-    """(a, b) over the representatives of candidate classes: ``doc_id``, ``group``, ``n_shingles``."""
+    """(a, b) over the nodes of candidate classes: ``node``, ``group``, ``n_shingles``, and the key of a row."""
     total = candidates.groupBy("group").agg(F.sum("n_shingles").alias("total"))
     placed = candidates.join(total, "group").withColumn("splits", F.ceil(F.col("total") / block).cast("int"))
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("splits")).cast("int")
     tasks = F.transform(
         F.sequence(F.lit(0), F.col("splits") - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j"))
     )
-    wanted = placed.select("doc_id", "first", "group", tasks.alias("tasks"))
-    joined = _keyed(docs).join(wanted, "doc_id").select("doc_id", "text", "first", "group", "tasks")
+    wanted = placed.select(*KEY, "node", "first", "group", tasks.alias("tasks"))
+    joined = _keyed(docs).join(wanted, KEY).select("node", "text", "first", "group", "tasks")
     spread = map_rows(joined, n)
 
     def multiply(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, mine in rows.groupby(["group", "i", "j"]):
-            ids = mine["doc_id"].to_numpy()
+            ids = mine["node"].to_numpy()
             sets = [np.frombuffer(b, np.uint64) for b in mine["grams"]]
             if len(sets) > 1:
                 out += [(ids[a], ids[b]) for a, b in linked_rows(sets, percent)]
@@ -253,7 +262,7 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
 
 def map_rows(joined: DataFrame, n: int) -> DataFrame:
     """Candidate texts as sets, once for each task that multiplies them."""
-    sets = joined.select("first", "text", "doc_id", "group", "tasks")
+    sets = joined.select("first", "text", "node", "group", "tasks")
 
     def make(batches):
         import pyarrow as pa
@@ -264,38 +273,55 @@ def map_rows(joined: DataFrame, n: int) -> DataFrame:
             same = [_key(g, _M1) == f for g, f in zip(grams, b.column(0).to_pylist(), strict=True)]
             blobs = pa.array([g.tobytes() for g in grams], pa.binary())
             kept = pa.array(same, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), b.column(4), blobs], names=["doc_id", "group", "tasks", "grams"]).filter(kept)
+            yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), b.column(4), blobs], names=["node", "group", "tasks", "grams"]).filter(kept)
 
-    made = sets.mapInArrow(make, "doc_id long, group long, tasks array<struct<i:int,j:int>>, grams binary")
-    return made.dropDuplicates(["doc_id", "group"]).select("doc_id", "group", F.explode("tasks").alias("task"), "grams").select(
-        "doc_id", "group", "task.i", "task.j", "grams"
+    made = sets.mapInArrow(make, "node long, group long, tasks array<struct<i:int,j:int>>, grams binary")
+    return made.dropDuplicates(["node", "group"]).select("node", "group", F.explode("tasks").alias("task"), "grams").select(
+        "node", "group", "task.i", "task.j", "grams"
     )
 
 
-def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, and the smallest id reachable by links."""
+SAME = ["n_shingles", "first", "second"]
+
+
+def _joined(docs: DataFrame, n: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with the hashes of their sets, and each set with the least row (``least``) that links reach."""
     found = settled(classes(docs, n), "ngram-classes")
-    same = ["n_shingles", "first", "second"]
-    kinds = settled(
-        found.where("n_shingles > 0").groupBy(same).agg(F.min("doc_id").alias("doc_id")), "ngram-kinds"
-    )
+    least = F.min(F.struct(*KEY)).alias("least")
+    # Numbers are given as the table is written, so that every later step reads the same.
+    numbered = found.where("n_shingles > 0").groupBy(SAME).agg(least).withColumn("node", F.monotonically_increasing_id())
+    kinds = settled(numbered.select(*SAME, "node", "least.*"), "ngram-kinds")
     met = kinds.join(_candidates(_shown(docs, n, percent), percent), "first")
     links = settled(_links(docs, met, n, percent, block), "ngram-links")
-    reached = connected(links, "ngram-components").select(F.col("node").alias("kind"), "component")
-    of_kind = kinds.withColumnRenamed("doc_id", "kind").join(reached, "kind", "left")
-    own = F.coalesce("component", "kind", "doc_id")
-    out = found.join(of_kind, same, "left")
+    reached = settled(kinds.join(connected(links, "ngram-components"), "node"), "ngram-reached")
+    of_component = reached.groupBy("component").agg(least)
+    linked = reached.join(of_component, "component").select(*SAME, "least")
+    alone = kinds.join(reached, "node", "left_anti").select(*SAME, F.struct(*KEY).alias("least"))
+    return found, linked.union(alone)
+
+
+def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, and the smallest id reachable by links."""
+    found, kinds = _joined(docs, n, percent, block)
+    out = found.join(kinds.select(*SAME, F.col("least.doc_id").alias("component")), SAME, "left")
+    own = F.coalesce("component", "doc_id")
     return out.select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(own, F.lit(NO_ID)).alias("component_id")
     )
 
 
-def one_of_each(docs: DataFrame, **parameters: int) -> DataFrame:
-    """``docs`` with one row of each component, that of its smallest id; all columns are kept."""
-    stays = components(docs, **parameters).where("doc_id <=> component_id")
-    key = "__id"
-    ids = stays.select(F.coalesce("doc_id", F.lit(NO_ID)).alias(key)).distinct()
-    keyed = docs.withColumn(key, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)))
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000) -> DataFrame:
+    """``docs`` with one row of each component, that of its smallest id; all columns are kept.
+
+    Rows without n-grams are linked with nothing, and only repeated ones go.
+    """
+    found, kinds = _joined(docs, n, percent, block)
+    key = ["__id", "__text"]
+    stays = kinds.select("least.*").union(found.where("n_shingles = 0").select(*KEY)).distinct().toDF(*key)
+    keyed = docs.withColumns({
+        key[0]: F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)),
+        key[1]: F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))),
+    })
     place = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    kept = keyed.join(ids, key, "left_semi").withColumn("__place", place).where("__place = 1")
-    return kept.drop(key, "__place")
+    kept = keyed.join(stays, key, "left_semi").withColumn("__place", place).where("__place = 1")
+    return kept.drop(*key, "__place")
