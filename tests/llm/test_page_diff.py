@@ -59,5 +59,14 @@ def test_shared_lines_go_and_copies_stay(spark):
     assert got[21] == "" and got[None] == "" and len(got) == 10
 
 
+def test_template_goes_from_all_copies_and_short_pages(spark):
+    def page(body):
+        return "<body>" + "".join(f"<p>Line {k} of the site</p>" for k in range(9)) + f"<p>{body}</p></body>"
+
+    rows = [(i, f"http://h.x/a/{i}", page("copied")) for i in range(4)] + [(i, f"http://h.x/b/{i}", page(f"short {i}")) for i in range(4, 7)]
+    got = {r.page_id: r.text for r in page_diff.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: "copied" for i in range(4)} | {i: f"short {i}" for i in range(4, 7)}
+
+
 def test_empty_table(spark):
     assert page_diff.extract(spark.createDataFrame([], PAGES)).count() == 0

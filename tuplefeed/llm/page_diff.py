@@ -1,15 +1,15 @@
 """Main text by differencing pages with their nearest neighbour by URL.
 
-Pages become lines (blocks of text). All pages are ordered by host and URL path, and each is paired
-with that neighbour of its own host whose path shares more with its own. The longest common
-subsequence of the two pages' lines is what the site's template repeats: shared lines are deleted.
+Pages become lines (blocks of text). Pages of a host with the same lines are one class, and stand at
+the first of their paths. All classes are ordered by host and URL path, and each is paired with that
+neighbour of its own host whose path shares more with its own. The longest common subsequence of the
+two pages' lines is what the site's template repeats: shared lines are deleted. A neighbour is a copy
+if what is not shared is the same on both sides; then the other neighbour is taken.
 Lines that the markup itself puts outside the article (menus, adverts, footers, forms, comments)
-go as well, and what stands inside an ``article`` or ``main`` element is never taken for template,
-since pages of one site may carry the same article twice. A neighbour with nearly the same lines
-all over is such a copy, and the other neighbour is taken.
+go as well, and what stands inside an ``article`` or ``main`` element is never taken for template.
 
-Pages are numbered along the order, so a host with a third of all pages is spread over many tasks,
-and only hashes of the lines outside articles travel between pages. Pages are parsed once for these and
+Classes are numbered along the order, so a host with a third of all pages is spread over many tasks,
+and only hashes and sizes of lines travel between pages. Pages are parsed once for these and
 once for the result, since hashes are much smaller than lines to keep.
 
 Defined results: null or empty html gives an empty text; a null URL has an empty host and path;
@@ -22,6 +22,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuplefeed.llm.common import NO_ID, prepared, settled
+from tuplefeed.llm.common import prepared, settled
 
 RAW = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b.*?(?:</\1\s*>|\Z)")
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>")
@@ -141,51 +142,73 @@ def _alike(a: str, b: str) -> int:
     return n
 
 
-def template_lines(path: str, lines: list[int], neighbours: list[tuple[str, list[int]]], copy: float = 0.8) -> list[int]:
-    """Places of the lines that the nearest neighbour shares, if it is not a copy of the page."""
-    for _, other in sorted(neighbours, key=lambda n: -_alike(path, n[0])):
+Lines = tuple[list[int], list[int]]  # hashes, and the size of each line inside an article, else 0
+
+
+def template_lines(path: str, page: Lines, neighbours: list[tuple[str, Lines]]) -> list[int]:
+    """Places of the lines that the nearest neighbour shares that is no copy of the page."""
+    lines, inside = page
+    met = []
+    for _, (other, other_inside) in sorted(neighbours, key=lambda n: -_alike(path, n[0])):
         shared = common_lines(lines, other)
-        if len(shared) < copy * max(len(lines), len(other)):
-            return sorted(shared)
-    return []
+        both = Counter(lines[k] for k in shared)
+        met.append((shared, Counter(lines) - both, Counter(other) - both, other_inside))
+    different = [m for m in met if m[1] != m[2]]
+    # A page that holds all lines of the other may be a longer copy; it counts if there is none better.
+    nearest = next((m for m in different if m[1] and m[2]), different[0] if different else None)
+    gone = {k for k in nearest[0] if not inside[k]} if nearest else set()
+    return sorted(gone)
 
 
 def _read(pages: DataFrame) -> DataFrame:
-    """Pages with host, path, and a key of two numbers for their content; equal rows have one key."""
+    """Pages with host, path, and a salt."""
     prepared(pages.sparkSession)
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"], F.coalesce(pages["html"], F.lit("")).alias("html"))
     return rows.select(
-        "page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"),
-        F.coalesce("page_id", F.lit(NO_ID)).alias("id"),
+        "page_id", "url", "html", F.pmod(F.xxhash64("page_id", "url"), F.lit(64)).alias("salt"),
         F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), F.lit(""))).alias("host"),
         F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), F.lit("")).alias("path"),
     )
 
 
+def _class_of(lines: list[tuple[str, int]]) -> tuple[list[int], list[int], bytes]:
+    """Hashes, sizes inside articles, and a hash of both."""
+    hashes = [xxhash.xxh64_intdigest(t) - 2**63 for t, _ in lines]
+    inside = [len(t) if w == 1 else 0 for t, w in lines]
+    return hashes, inside, xxhash.xxh3_128_digest(json.dumps([hashes, inside]))
+
+
 def _line_hashes(pages: DataFrame) -> DataFrame:
-    """(key, id, host, path, hashes): the lines outside articles."""
+    """(host, class, path, salts, hashes, inside): pages of a host with equal lines are one class.
+
+    ``salts`` are those of its pages, so that a class of many is joined in many tasks.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes = [[xxhash.xxh64_intdigest(t) - 2**63 for t, w in lines_of(h) if w != 1] for h in b.column(4).to_pylist()]
-            columns = [*b.columns[:4], pa.array(hashes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "host", "path", "hashes"])
+            made = [_class_of(lines_of(h)) for h in b.column(3).to_pylist()]
+            columns = [
+                *b.columns[:3], pa.array([m[2] for m in made], pa.binary()),
+                pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "path", "salt", "class", "hashes", "inside"])
 
-    rows = pages.select("key", "id", "host", "path", "html")
-    return rows.mapInArrow(task, "key long, id long, host string, path string, hashes array<long>")
+    rows = pages.select("host", "path", "salt", "html")
+    made = rows.mapInArrow(task, "host string, path string, salt long, class binary, hashes array<long>, inside array<int>")
+    return made.groupBy("host", "class").agg(
+        F.min("path").alias("path"), F.collect_set("salt").alias("salts"), F.first("hashes").alias("hashes"), F.first("inside").alias("inside")
+    )
 
 
 def main_text(lines: list[tuple[str, int]], shared: list[int]) -> str:
-    """The lines that stay: those of the article, else those that neither markup nor template claims."""
-    if any(w == 1 for _, w in lines):
-        return "\n".join(t for t, w in lines if w == 1)
-    gone = set(shared)
-    return "\n".join(t for i, (t, w) in enumerate(lines) if w == 0 and i not in gone)
+    """The lines that neither markup nor template claims; of a page with an article, those inside."""
+    gone, where = set(shared), int(any(w == 1 for _, w in lines))
+    return "\n".join(t for i, (t, w) in enumerate(lines) if w == where and (where or i not in gone))
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
     """``pages`` with ``at``, their place in the order of host and path."""
-    order = ["host", "path", "id", "key"]
+    order = ["host", "path", "class"]
     within = F.monotonically_increasing_id()
     parts = pages.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "*", F.shiftright(within, 33).alias("part"), within.bitwiseAND(F.lit((1 << 33) - 1)).alias("place")
@@ -201,40 +224,40 @@ def _numbered(pages: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, url, text, n_chars, and how many lines the neighbour shared."""
+    """Per page: page_id, url, text, n_chars, and how many lines are template."""
     read = _read(pages)
     keys = _numbered(_line_hashes(read))
 
     def beside(step: int, name: str) -> DataFrame:
-        return keys.select(
-            (F.col("at") + step).alias("at"), F.col("host").alias(f"{name}_host"),
-            F.col("path").alias(f"{name}_path"), F.col("hashes").alias(f"{name}_hashes"),
-        )
+        return keys.select((F.col("at") + step).alias("at"), *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "hashes", "inside")))
 
     trio = keys.join(beside(1, "before"), "at", "left").join(beside(-1, "after"), "at", "left")
-    wanted = ["key", "id", "host", "path", "hashes", "before_host", "before_path", "before_hashes", "after_host", "after_path", "after_hashes"]
+    wanted = ["host", "class", "salts", "path", "hashes", "inside"]
+    wanted += [f"{name}_{c}" for name in ("before", "after") for c in ("host", "path", "hashes", "inside")]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             shared = [
-                template_lines(r["path"], r["hashes"], [
-                    (r[f"{n}_path"], r[f"{n}_hashes"]) for n in ("before", "after") if r[f"{n}_host"] == r["host"]
+                template_lines(r["path"], (r["hashes"], r["inside"]), [
+                    (r[f"{n}_path"], (r[f"{n}_hashes"], r[f"{n}_inside"])) for n in ("before", "after") if r[f"{n}_host"] == r["host"]
                 ])
                 for r in b.to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(shared, pa.list_(pa.int32()))], names=["key", "id", "shared"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(shared, pa.list_(pa.int32()))], names=["host", "class", "salts", "shared"])
 
-    shared = trio.select(*wanted).mapInArrow(compare, "key long, id long, shared array<int>")
-    by_key = shared.groupBy("key", "id").agg(F.min("shared").alias("shared"))
+    shared = trio.select(*wanted).mapInArrow(compare, "host string, class binary, salts array<long>, shared array<int>")
+    by_class = shared.select("host", "class", F.explode("salts").alias("salt"), "shared")
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            lines = [pack.compress(json.dumps(lines_of(h)).encode()) for h in b.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(lines, pa.binary())], names=["page_id", "url", "key", "id", "lines"])
+            found = [lines_of(h) for h in b.column(4).to_pylist()]
+            lines = [pack.compress(json.dumps(f).encode()) for f in found]
+            columns = [*b.columns[:4], pa.array([_class_of(f)[2] for f in found], pa.binary()), pa.array(lines, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "salt", "class", "lines"])
 
-    small = read.select("page_id", "url", "key", "id", "html").mapInArrow(
-        shrink, "page_id long, url string, key long, id long, lines binary"
+    small = read.select("page_id", "url", "host", "salt", "html").mapInArrow(
+        shrink, "page_id long, url string, host string, salt long, class binary, lines binary"
     )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,5 +270,5 @@ def extract(pages: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars", "n_shared"])
 
-    joined = small.join(by_key, ["key", "id"]).select("page_id", "url", "lines", "shared")
+    joined = small.join(by_class, ["host", "class", "salt"]).select("page_id", "url", "lines", "shared")
     return joined.mapInArrow(finish, "page_id long, url string, text string, n_chars long, n_shared long")
