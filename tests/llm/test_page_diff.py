@@ -59,6 +59,21 @@ def test_shared_lines_go_and_copies_stay(spark):
     assert got[21] == "" and got[None] == "" and len(got) == 10
 
 
+def test_template_inside_articles(spark):
+    def page(body, advert, i):
+        return f"<body><div>Advert {advert}</div><main><p>Please support us</p><p>{body}, the first part</p><p>{body}, the second part {i}</p></main>"
+
+    rows = [(i, f"http://h.x/{i}", page(f"Story {i} of its own", i, i)) for i in range(4)]
+    rows += [(10 + i, f"http://copies.x/{i}", page("The same story", i, "")) for i in range(4)]
+    rows.append((20, "http://marked.x/", "<article><p>One<p class=advert>Buy<p>Two<ul><li class=promo><p>More</p>of it<li>Three</ul>Four</article>"))
+    got = {r.page_id: r.text for r in page_diff.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in (1, 2):
+        assert got[i] == f"Story {i} of its own, the first part\nStory {i} of its own, the second part {i}"
+    for i in range(4):
+        assert got[10 + i] == "Please support us\nThe same story, the first part\nThe same story, the second part"
+    assert got[20] == "One\nTwo\nThree\nFour"
+
+
 def test_template_goes_from_all_copies_and_short_pages(spark):
     def page(body):
         return "<body>" + "".join(f"<p>Line {k} of the site</p>" for k in range(9)) + f"<p>{body}</p></body>"

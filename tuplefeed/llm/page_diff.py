@@ -6,7 +6,8 @@ neighbour of its own host whose path shares more with its own. The longest commo
 two pages' lines is what the site's template repeats: shared lines are deleted. A neighbour is a copy
 if what is not shared is the same on both sides; then the other neighbour is taken.
 Lines that the markup itself puts outside the article (menus, adverts, footers, forms, comments)
-go as well, and what stands inside an ``article`` or ``main`` element is never taken for template.
+go as well. Inside an ``article`` or ``main`` element, lines go that both neighbours share. Pages of
+one site may carry the same article twice: a neighbour with half of the article's text does not count.
 
 Classes are numbered along the order, so a host with a third of all pages is spread over many tasks,
 and only hashes and sizes of lines travel between pages. Pages are parsed once for these and
@@ -48,7 +49,8 @@ BLOCKS = OUTSIDE | INSIDE | set(
     "legend li ol p pre section summary table tbody tfoot thead title tr ul".split()
 )
 SPACED = {"br", "td", "th", "wbr", "img", "option"}
-HELD = BLOCKS - {"p", "li", "dd", "dt", "hr", "tr"} | {"span"}
+ITEMS = {"p", "li", "dd", "dt", "tr"}  # may stay unclosed; held only where they are named as outside
+HELD = BLOCKS - ITEMS - {"hr"} | {"span"}
 
 
 def lines_of(page: str | None) -> list[tuple[str, int]]:
@@ -59,6 +61,11 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
     held: list[str] = []
     outside = inside = False
 
+    def item() -> str:
+        """The innermost open element, if it is one of ``ITEMS``."""
+        name = next((t[0] for t in reversed(open_tags) if t[0] != "span"), "")
+        return name if name in ITEMS else ""
+
     def close_block() -> None:
         text = " ".join("".join(held).split())
         if text:
@@ -80,7 +87,11 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         named = bool(attributes) and any(ASIDE.search(a) for a in NAMED.findall(attributes))
         if name in BLOCKS or named:
             close_block()
-        if name not in HELD:
+        if not m[1] and name in BLOCKS and (last := item()) and (last in ("p", name) or {last, name} <= {"dd", "dt"}):
+            while open_tags[-1][0] == "span":
+                open_tags.pop()
+            _, outside, inside = open_tags.pop()
+        if name not in HELD and not (name in ITEMS and (item() == name if m[1] else named)):
             continue
         if not m[1]:
             if not attributes.endswith("/"):
@@ -146,7 +157,8 @@ Lines = tuple[list[int], list[int]]  # hashes, and the size of each line inside
 
 
 def template_lines(path: str, page: Lines, neighbours: list[tuple[str, Lines]]) -> list[int]:
-    """Places of the lines that the nearest neighbour shares that is no copy of the page."""
+    """Places of the lines that are template: what the nearest neighbour shares that is no copy of
+    the page and, inside an article, what both share."""
     lines, inside = page
     met = []
     for _, (other, other_inside) in sorted(neighbours, key=lambda n: -_alike(path, n[0])):
@@ -157,6 +169,10 @@ def template_lines(path: str, page: Lines, neighbours: list[tuple[str, Lines]])
     # A page that holds all lines of the other may be a longer copy; it counts if there is none better.
     nearest = next((m for m in different if m[1] and m[2]), different[0] if different else None)
     gone = {k for k in nearest[0] if not inside[k]} if nearest else set()
+    size = sum(inside)
+    no_copies = [m[0] for m in met if 2 * sum(inside[k] for k in m[0]) < min(size, sum(m[3]) or size)]
+    if len(no_copies) > 1:
+        gone |= {k for k in set.intersection(*no_copies) if inside[k]}
     return sorted(gone)
 
 
@@ -203,7 +219,7 @@ def _line_hashes(pages: DataFrame) -> DataFrame:
 def main_text(lines: list[tuple[str, int]], shared: list[int]) -> str:
     """The lines that neither markup nor template claims; of a page with an article, those inside."""
     gone, where = set(shared), int(any(w == 1 for _, w in lines))
-    return "\n".join(t for i, (t, w) in enumerate(lines) if w == where and (where or i not in gone))
+    return "\n".join(t for i, (t, w) in enumerate(lines) if w == where and i not in gone)
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
