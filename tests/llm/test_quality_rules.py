@@ -27,6 +27,13 @@ def test_facts_are_those_of_the_definitions(text):
     assert (f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words) == plain(text)
 
 
+def test_letters_of_scripts_without_case():
+    rejects = dict(q.RULES)["letters"]
+    for words in ("هذا نص عادي", "זה טקסט רגיל", "यह सामान्य पाठ", "นี่คือ ข้อความ", "이것은 평범한 글"):
+        assert not rejects(q.Facts(" ".join([words] * 20)))
+    assert rejects(q.Facts("12 -- 2024 ... " * 20))
+
+
 def test_query_equals_plain_rules_whatever_the_order(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op6_quality_rules"](spark, sf_dir).collect()

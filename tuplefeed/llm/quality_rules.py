@@ -82,7 +82,7 @@ class Facts:
 
     @cached_property
     def n_lettered(self) -> int:
-        return sum(w.decode().upper() != w.decode().lower() for w in self.words)
+        return sum(any(map(str.isalpha, w.decode())) for w in self.words)
 
     @cached_property
     def n_letters_upper(self) -> int:
