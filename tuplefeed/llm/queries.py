@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over whole tables."""
+"""The operators as registered queries over whole tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tuplefeed.llm import (
     exact_dedup,
+    fingerprints,
     fm_index,
     ngram_join,
     packing,
@@ -86,6 +87,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.bpe_50k)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_personal_data": op2_personal_data,
@@ -97,5 +102,9 @@ QUERIES: dict[str, Query] = {
     "op8_fm_index": op8_fm_index,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op11_fingerprints": op11_fingerprints,
+}
+ORACLES: dict[str, str] = {
+    "op7_reply_trees": reply_trees.ORACLE,
+    "op11_fingerprints": fingerprints.ORACLE,
 }
-ORACLES: dict[str, str] = {"op7_reply_trees": reply_trees.ORACLE}
