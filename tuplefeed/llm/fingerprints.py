@@ -8,17 +8,18 @@ chunk with the first of their group, and those that differ form the next group,
 
 Texts are equal when identical after each run of white space becomes one space; a null text counts as
 empty. A null id sorts behind all others, and a group of null ids only has a null ``keep_id``. Of rows
-that share id and text, exactly one stays. Other columns are not looked at. Rows are told apart by id
-and SHA-256 when texts are read for the comparison, which needs no copy of the texts on disk.
+that share id and text, exactly one stays. Other columns are not looked at. When texts are read again
+for the comparison, rows are found by id and a hash of the raw text, and told apart by id and SHA-256.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tuplefeed.llm.common import NO_ID, prepared, settled
@@ -31,11 +32,60 @@ CHUNK_BYTES = 1 << 20
 #: Members of a group that meet one copy of its first text.
 PER_COPY = 256
 
+#: Bytes of pieces that a task hands on at once.
+BATCH_BYTES = 1 << 23
+PIECE = ["sha", "n_bytes", "chunk", "after", "piece"]
+PIECE_SCHEMA = "sha string, n_bytes long, chunk long, after long, piece binary"
 GROUP = ["n_bytes", "print_a", "print_b", "differing"]
 
 
-def normal(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+def squeezed(data: bytes, chunk_bytes: int) -> list[bytes]:
+    """The text with each run of white space as one space, in pieces of ``chunk_bytes``; the last is shorter.
+
+    Works through slices, so that a huge text needs no list of all its words.
+    """
+    out, held, after_space = [], b"", False
+    for start in range(0, len(data), chunk_bytes):
+        part = data[start : start + chunk_bytes]
+        spaced = b" " * (part[:1].isspace() and not after_space) + b" ".join(part.split())
+        after_space = part[-1:].isspace()
+        held += spaced + b" " * (after_space and not part.isspace())
+        while len(held) >= chunk_bytes:
+            out.append(held[:chunk_bytes])
+            held = held[chunk_bytes:]
+    return [*out, held] if held or not out else out
+
+
+def cut(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Replace ``text`` by a row per piece: SHA-256 and size of the whole, number, bytes behind it, piece."""
+    for batch in batches:
+        kept = [n for n in batch.schema.names if n != "text"]
+        made, held = [], 0
+        for row, cell in enumerate(batch.column("text")):
+            pieces = squeezed(cell.as_py(), chunk_bytes)
+            sha, size, after = hashlib.sha256(b"".join(pieces)).hexdigest(), sum(map(len, pieces)), 0
+            for number in range(len(pieces) - 1, -1, -1):
+                made.append((row, sha, size, number, after, pieces[number]))
+                after += len(pieces[number])
+            held += size
+            if held > BATCH_BYTES:
+                yield _pieces(batch, kept, made)
+                made, held = [], 0
+        if made:
+            yield _pieces(batch, kept, made)
+
+
+def _pieces(batch: pa.RecordBatch, kept: list[str], made: list[tuple]) -> pa.RecordBatch:
+    rows, *rest = zip(*made, strict=True)
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    columns = {n: batch.column(n).take(pa.array(rows)) for n in kept}
+    made_columns = {n: pa.array(v, k) for n, v, k in zip(PIECE, rest, kinds, strict=True)}
+    return pa.RecordBatch.from_pydict(columns | made_columns)
+
+
+def _cut(rows: DataFrame, chunk_bytes: int) -> DataFrame:
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(lambda b: cut(b, chunk_bytes), f"{kept}, {PIECE_SCHEMA}")
 
 
 def powers(count: int, modulus: int) -> np.ndarray:
@@ -79,48 +129,33 @@ def shifted(batches: Iterator[pa.RecordBatch], moduli: tuple[int, ...], chunk_by
         yield pa.RecordBatch.from_pydict(columns)
 
 
-def _with_chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
-    """One row per chunk of ``bytes``, with its number and the bytes behind it; an empty text has one."""
-    last = F.call_function("div", F.greatest(F.col("n_bytes") - 1, F.lit(0)), F.lit(chunk_bytes))
-    chunks = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    start = (F.col("chunk") * chunk_bytes + 1).cast("int")
-    return chunks.withColumns({
-        "after": F.greatest(F.col("n_bytes") - (F.col("chunk") + 1) * chunk_bytes, F.lit(0).cast("long")),
-        "piece": F.substring("bytes", start, F.lit(chunk_bytes)),
-    }).drop("bytes")
-
-
-def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    normalised = docs.select(F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("id"), normal(docs[text]).alias("norm"))
-    return normalised.select(
-        "id", F.sha2("norm", 256).alias("sha"), F.octet_length("norm").cast("long").alias("n_bytes"),
-        F.col("norm").cast("binary").alias("bytes"),
-    )
+def _raw(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, raw, text): ``raw`` is a hash of the text as it stands."""
+    given = F.coalesce(docs[text].cast("string"), F.lit(""))
+    return docs.select(F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(given).alias("raw"), given.cast("binary").alias("text"))
 
 
 def prints(
     docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     moduli: tuple[int, ...] = MODULI, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """(row, id, sha, n_bytes, print_a, print_b) per row of ``docs``; ``row`` is unique.
+    """(row, id, raw, sha, n_bytes, print_a, print_b) per row of ``docs``; ``row`` is unique.
 
     Texts of one chunk are hashed where they are read. Chunks of longer texts are dealt to other
     tasks, and their shifted fingerprints are summed.
     """
     prepared(docs.sparkSession)
-    of_row = ["row", "id", "sha", "n_bytes"]
+    of_row = ["row", "id", "raw", "sha", "n_bytes"]
     numbers = [f"hash{k}" for k in range(len(moduli))]
-    schema = ", ".join(["row long", "id long", "sha string", "n_bytes long", *(f"{n} long" for n in numbers)])
-    raw_bytes = F.octet_length(F.coalesce(docs[text].cast("string"), F.lit("")))
+    schema = ", ".join(["row long", "id long", "raw long", "sha string", "n_bytes long", *(f"{n} long" for n in numbers)])
+    raw, raw_bytes = _raw(docs, key, text), F.octet_length("text")
     place = F.monotonically_increasing_id() * 2
 
-    def hashed(chunks: DataFrame) -> DataFrame:
-        return chunks.select(*of_row, "after", "piece").mapInArrow(lambda b: shifted(b, moduli, chunk_bytes), schema)
+    def hashed(pieces: DataFrame) -> DataFrame:
+        return pieces.select(*of_row, "after", "piece").mapInArrow(lambda b: shifted(b, moduli, chunk_bytes), schema)
 
-    short = _texts(docs.where(raw_bytes <= chunk_bytes), key, text).withColumn("row", place)
-    whole = hashed(short.withColumn("after", F.lit(0).cast("long")).withColumnRenamed("bytes", "piece"))
-    long = _texts(docs.where(raw_bytes > chunk_bytes), key, text).withColumn("row", place + 1)
-    parts = hashed(_with_chunks(long, chunk_bytes).repartition("row", "chunk"))
+    whole = hashed(_cut(raw.where(raw_bytes <= chunk_bytes).withColumn("row", place), chunk_bytes))
+    parts = hashed(_cut(raw.where(raw_bytes > chunk_bytes).withColumn("row", place + 1), chunk_bytes).repartition("row", "chunk"))
     summed = parts.groupBy(*of_row).agg(*[(F.sum(n) % m).alias(n) for n, m in zip(numbers, moduli, strict=True)])
     first, second, third = (F.col(n) for n in [*numbers, *numbers[:1] * 2][:3])
     return whole.unionByName(summed).select(
@@ -138,22 +173,24 @@ def _groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def _differing(texts: DataFrame, members: DataFrame, chunk_bytes: int) -> DataFrame:
+def _differing(raw: DataFrame, members: DataFrame, chunk_bytes: int) -> DataFrame:
     """(id, sha) of the texts that differ in some chunk from the first text of their group.
 
-    A large group meets several copies of its first text, each of which a bounded number of members
-    is dealt to; the sorted join streams both sides and holds one chunk of the first text.
+    Texts of groups are written once. A large group meets several copies of its first text, each of
+    which a bounded number of members is dealt to; the sorted join streams both sides and holds one
+    chunk of the first text.
     """
-    known = members.select("id", "sha", *GROUP, "group_size", "keep", "keep_sha").distinct()
-    copies = F.call_function("div", F.col("group_size") + (PER_COPY - 1), F.lit(PER_COPY))
-    read = texts.join(known, ["id", "sha", "n_bytes"]).withColumn("copies", copies)
     is_first = (F.col("id") == F.col("keep")) & (F.col("sha") == F.col("keep_sha"))
-    firsts = read.where(is_first).dropDuplicates(GROUP).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    others = read.where(~is_first).withColumn("copy", F.pmod(F.xxhash64("id"), F.col("copies")))
-    at = [*GROUP, "copy", "chunk"]
-    first_chunks = _with_chunks(firsts, chunk_bytes).select(*at, F.col("piece").alias("first_piece"))
-    chunks = _with_chunks(others, chunk_bytes).select(*at, "piece", "id", "sha")
-    return chunks.join(first_chunks.hint("merge"), at).where("piece <> first_piece").select("id", "sha").distinct()
+    copies = F.call_function("div", F.col("group_size") + (PER_COPY - 1), F.lit(PER_COPY))
+    known = members.select("id", "raw", F.col("sha").alias("known_sha"), *GROUP[1:], copies.alias("copies"), is_first.alias("is_first"))
+    known = settled(known.distinct(), "fingerprint-members")
+    pieces = settled(_cut(raw.join(known, ["id", "raw"]), chunk_bytes), "fingerprint-pieces").where("sha = known_sha")
+    at = [*GROUP, "chunk", "copy"]
+    firsts = pieces.where("is_first").dropDuplicates([*GROUP, "chunk"])
+    copied = firsts.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    others = pieces.where("not is_first").withColumn("copy", F.pmod(F.xxhash64("id"), F.col("copies")))
+    pairs = others.join(copied.select(*at, F.col("piece").alias("first_piece")).hint("merge"), at)
+    return pairs.where("piece <> first_piece").select("id", "sha").distinct()
 
 
 def dedup(
@@ -166,13 +203,13 @@ def dedup(
     """
     rows = prints(docs, key, text, moduli=moduli, chunk_bytes=chunk_bytes)
     rows = settled(rows.withColumn("differing", F.lit(0)), "fingerprints")
-    texts = _texts(docs, key, text)
+    raw = _raw(docs, key, text)
     compared = 0
     while True:
         groups = settled(_groups(rows), "fingerprint-groups")
         unproven = groups.where(F.col("differing") == compared)
         members = join_counted(rows.where(F.col("differing") == compared), unproven, GROUP, "group_size")
-        differing = settled(_differing(texts, members, chunk_bytes), "fingerprint-differences")
+        differing = settled(_differing(raw, members, chunk_bytes), "fingerprint-differences")
         if differing.isEmpty():
             break
         moved = rows.join(differing.withColumn("moved", F.lit(1)), ["id", "sha"], "left")
