@@ -11,6 +11,7 @@ from tuplefeed.llm import (
     exact_dedup,
     fingerprints,
     fm_index,
+    manifest,
     ngram_join,
     packing,
     page_diff,
@@ -91,6 +92,10 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_personal_data": op2_personal_data,
@@ -103,8 +108,10 @@ QUERIES: dict[str, Query] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
     "op11_fingerprints": op11_fingerprints,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op7_reply_trees": reply_trees.ORACLE,
     "op11_fingerprints": fingerprints.ORACLE,
+    "op12_merkle_manifest": manifest.ORACLE,
 }
