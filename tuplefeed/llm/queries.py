@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuplefeed.llm import (
+    divergence,
     exact_dedup,
     fingerprints,
     fm_index,
@@ -96,6 +97,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_personal_data": op2_personal_data,
@@ -109,9 +114,11 @@ QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
     "op11_fingerprints": op11_fingerprints,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLES: dict[str, str] = {
     "op7_reply_trees": reply_trees.ORACLE,
     "op11_fingerprints": fingerprints.ORACLE,
     "op12_merkle_manifest": manifest.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
