@@ -21,7 +21,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -33,24 +33,21 @@ from pyspark.sql import functions as F
 from tuplefeed.llm.common import LOWERED, prepared, settled
 from tuplefeed.llm.skew import join_counted
 
-# Bytes of terms: letters, and all bytes of characters beyond ASCII.
-TERM, NO_TERM = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^A-Za-z\x80-\xff]")
+# Bytes of terms: letters, lower-cased, and all bytes of characters beyond ASCII; others part terms.
+NO_TERM = re.compile(rb"[^A-Za-z\x80-\xff]")
+IN_TERMS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in LOWERED)
 LEAST_DOCS = 30
 RANKS = 50
 UNIT, PRIOR = 1_000_000_000, 5
 
 #: Postings that a task holds before it spills them, and bytes of text that a shard stands for.
-HELD = 500_000
+HELD = 2_000_000
 SHARD_BYTES = 64 << 20
 #: Bytes of a long text that are split into words at once.
 SLICE_BYTES = 1 << 20
 #: Sources in a block of pair corrections, and blocks of sums that a task holds.
 BLOCK, BLOCKS = 256, 128
 
-ENTRY = pa.schema([
-    ("lang", pa.binary()), ("term", pa.binary()), ("docs", pa.int64()),
-    ("sources", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())),
-])
 MERGED = "lang string, term string, total long, sources array<string>, counts array<long>"
 KEPT = pa.schema([
     ("lang", pa.string()), ("term", pa.string()), ("total", pa.int64()),
@@ -64,101 +61,182 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
     while start < len(text):
         cut = NO_TERM.search(text, start + SLICE_BYTES)
         end = cut.start() if cut else len(text)
-        yield TERM.findall(text[start:end].translate(LOWERED))
+        yield text[start:end].translate(IN_TERMS).split()
         start = end
 
 
-def spilled(counts: dict, docs: dict, shards: int) -> Iterator[pa.RecordBatch]:
-    """The postings in memory as one sorted run per shard: (shard, run) with the run as an Arrow stream."""
-    postings: dict[tuple[bytes, bytes], tuple[list, list]] = {}
-    for (lang, source), held in counts.items():
-        for term, count in held.items():
-            sources, numbers = postings.setdefault((lang, term), ([], []))
-            sources.append(source)
-            numbers.append(count)
-    runs: dict[int, list[tuple]] = {}
-    for lang, term in sorted(postings):
-        shard = zlib.crc32(term, zlib.crc32(lang)) % shards
-        runs.setdefault(shard, []).append((lang, term, docs[lang][term], *postings[lang, term]))
-    for shard, entries in runs.items():
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, ENTRY, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-            columns = [pa.array(c, t) for c, t in zip(zip(*entries, strict=True), ENTRY.types, strict=True)]
-            stream.write_table(pa.Table.from_arrays(columns, schema=ENTRY), max_chunksize=5000)
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "run": [sink.getvalue().to_pybytes()]})
+def _summed(keys: np.ndarray, *numbers: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys and the sums of their numbers."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], *(np.add.reduceat(n[order], starts) if len(starts) else n for n in numbers)
+
+
+class Memory:
+    """Postings of one language: terms have numbers by arrival, a posting is term number and source."""
+
+    def __init__(self) -> None:
+        self.ids: defaultdict[bytes, int] = defaultdict()
+        self.ids.default_factory = self.ids.__len__
+        self.sources: defaultdict[bytes, int] = defaultdict()
+        self.sources.default_factory = self.sources.__len__
+        none = np.zeros(0, np.int64)
+        self.postings, self.waiting, self.n_waiting = (none, none, none), [], 0
+
+    def add(self, source: bytes, text: bytes) -> int:
+        """Take a text in; returns how many postings it adds at most."""
+        found = []
+        for words in terms(text):
+            ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+            found.append(np.unique(ids, return_counts=True))
+        if not any(len(ids) for ids, _ in found):
+            return 0
+        ids, counts = found[0] if len(found) == 1 else _summed(*map(np.concatenate, zip(*found, strict=True)))
+        self.waiting.append((ids << 32 | self.sources[source], counts, np.ones(len(ids), np.int64)))
+        self.n_waiting += len(ids)
+        return len(ids)
+
+    def settle(self) -> int:
+        """Sum what waits into the postings, and return their number."""
+        if self.waiting:
+            self.postings = _summed(*map(np.concatenate, zip(self.postings, *self.waiting, strict=True)))
+            self.waiting, self.n_waiting = [], 0
+        return len(self.postings[0])
+
+    def runs(self, lang: bytes, shards: int) -> Iterator[tuple[int, bytes]]:
+        """The postings as one run per shard, an Arrow stream sorted by term."""
+        self.settle()
+        words = list(self.ids)
+        ranks = np.empty(len(words), np.int64)
+        ranks[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        seed = zlib.crc32(lang)
+        shard = np.fromiter((zlib.crc32(w, seed) % shards for w in words), np.int64, len(words))
+        names, (keys, counts, docs) = list(self.sources), self.postings
+        of = keys >> 32
+        order = np.lexsort((keys & 0xFFFFFFFF, ranks[of], shard[of]))
+        for rows in np.split(order, np.flatnonzero(np.diff(shard[of][order])) + 1) if len(order) else []:
+            numbers = of[rows]
+            starts = np.flatnonzero(np.diff(numbers, prepend=-1))
+            used, place = np.unique(keys[rows] & 0xFFFFFFFF, return_inverse=True)
+            sources = pa.DictionaryArray.from_arrays(pa.array(place, pa.int32()), pa.array([names[k] for k in used], pa.binary()))
+            ends = pa.array(np.append(starts, len(rows)), pa.int32())
+            run = pa.table({
+                "term": pa.array([words[k] for k in numbers[starts]], pa.binary()),
+                "docs": np.add.reduceat(docs[rows], starts),
+                "sources": pa.ListArray.from_arrays(ends, sources),
+                "counts": pa.ListArray.from_arrays(ends, pa.array(counts[rows])),
+            })
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, run.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(run, max_chunksize=5000)
+            yield int(shard[numbers[0]]), sink.getvalue().to_pybytes()
 
 
 def indexed(batches: Iterator[pa.RecordBatch], shards: int, held: int) -> Iterator[pa.RecordBatch]:
     """Index (lang, source, text) rows in memory, and spill whenever ``held`` postings are there."""
-    counts: dict[tuple[bytes, bytes], Counter] = {}
-    docs: dict[bytes, Counter] = {}
-    size = 0
+    memory: defaultdict[bytes, Memory] = defaultdict(Memory)
+    waiting = 0
     for batch in batches:
         for lang, source, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            counter, seen = counts.setdefault((lang, source), Counter()), set()
-            before = len(counter)
-            for words in terms(cell.as_py()):
-                counter.update(words)
-                seen.update(words)
-            docs.setdefault(lang, Counter()).update(seen)
-            size += len(counter) - before
-            if size >= held:
-                yield from spilled(counts, docs, shards)
-                counts, docs, size = {}, {}, 0
-    yield from spilled(counts, docs, shards)
-
-
-def entries(run: bytes) -> Iterator[tuple]:
+            waiting += memory[lang].add(source, cell.as_py())
+            if waiting >= held // 2 + 1:
+                waiting = 0
+                if sum(m.settle() for m in memory.values()) >= held:
+                    yield from spilled(memory, shards)
+                    memory.clear()
+    yield from spilled(memory, shards)
+
+
+def spilled(memory: dict[bytes, Memory], shards: int) -> Iterator[pa.RecordBatch]:
+    for lang, postings in memory.items():
+        for shard, run in postings.runs(lang, shards):
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "lang": [lang.decode(errors="replace")], "run": [run]})
+
+
+def entries(number: int, run: bytes) -> Iterator[tuple]:
+    """(term, number of the run, place, documents, postings) in order; the first three tell entries apart."""
     for batch in pa.ipc.open_stream(run):
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        words, docs, sources, counts = batch.columns
+        postings = (
+            sources.offsets.to_numpy(), sources.values.indices.to_numpy(), sources.values.dictionary.to_pylist(), counts.values.to_numpy(),
+        )
+        for place, (term, n_docs) in enumerate(zip(words.to_pylist(), docs.to_pylist(), strict=True)):
+            yield term, number, place, n_docs, postings
 
 
 def merged(runs: list[bytes], least_docs: int) -> Iterator[tuple]:
-    """(lang, term, total, sources, counts) of the terms of enough documents, by heap over sorted runs."""
-    for (lang, term), same in groupby(heapq.merge(*map(entries, runs)), key=lambda e: e[:2]):
-        n_docs, counts = 0, Counter()
-        for _, _, docs, sources, numbers in same:
-            n_docs += docs
-            for source, number in zip(sources, numbers, strict=True):
-                counts[source] += number
-        if n_docs >= least_docs:
-            names = [s.decode(errors="replace") for s in counts]
-            yield lang.decode(errors="replace"), term.decode(errors="replace"), counts.total(), names, list(counts.values())
-
-
-def _merge(shard: pa.Table, least_docs: int) -> pa.Table:
-    rows = list(merged(shard.column("run").to_pylist(), least_docs))
+    """(term, total, sources, counts) of the terms of enough documents, by heap over sorted runs."""
+    for term, same in groupby(heapq.merge(*(entries(k, r) for k, r in enumerate(runs))), key=lambda e: e[0]):
+        found = list(same)
+        if sum(e[3] for e in found) < least_docs:
+            continue
+        summed = Counter()
+        for _, _, place, _, (ends, sources, names, counts) in found:
+            part = slice(ends[place], ends[place + 1])
+            for source, count in zip(sources[part].tolist(), counts[part].tolist(), strict=True):
+                summed[names[source]] += count
+        yield term.decode(errors="replace"), summed.total(), [n.decode(errors="replace") for n in summed], list(summed.values())
+
+
+def _merge(key: tuple, shard: pa.Table, least_docs: int) -> pa.Table:
+    rows = [(key[1].as_py(), *row) for row in merged(shard.column("run").to_pylist(), least_docs)]
     columns = list(zip(*rows, strict=True)) or [[] for _ in KEPT]
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, KEPT.types, strict=True)], schema=KEPT)
 
 
 def corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum, over streamed terms, what C(a, b) gains from each; places a < b within a language."""
+    """Sum, over streamed terms, what C(a, b) gains from each; places a < b within a language.
+
+    Terms of a batch stand as rows of a matrix with a column per source of a block; where a source
+    lacks a term its share is its constant, and the gain is zero.
+    """
     sums: dict[tuple[str, int, int], np.ndarray] = {}
     for batch in batches:
-        for lang, places, shares, without in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            order = np.argsort(places)
-            at, p, z = (np.asarray(x, np.int64)[order] for x in (places, shares, without))
-            cuts = np.flatnonzero(np.diff(at // BLOCK)) + 1
-            blocks = list(zip(np.split(at, cuts), np.split(p, cuts), np.split(z, cuts), strict=True))
-            for k, (at_a, p_a, z_a) in enumerate(blocks):
-                p_a, z_a = p_a[:, None], z_a[:, None]
-                for at_b, p_b, z_b in blocks[k:]:
-                    key = lang, int(at_a[0] // BLOCK), int(at_b[0] // BLOCK)
-                    if key not in sums:
+        langs = np.array(batch.column(0).to_pylist(), object)
+        of_row = np.repeat(np.arange(len(langs)), np.diff(batch.column(1).offsets.to_numpy()))
+        at, p, z = (c.flatten().to_numpy() for c in batch.columns[1:])
+        for lang in set(langs):
+            mine = langs[of_row] == lang
+            _, rows = np.unique(of_row[mine], return_inverse=True)
+            blocks = _matrices(rows, at[mine], p[mine], z[mine])
+            for a in blocks:
+                for b in blocks:
+                    if a > b:
+                        continue
+                    if (lang, a, b) not in sums:
                         if len(sums) >= BLOCKS:
                             yield from _block_sums(sums)
                             sums = {}
-                        sums[key] = np.zeros((BLOCK, BLOCK), np.int64)
-                    gain = abs(p_a - p_b) - abs(p_a - z_b) - abs(z_a - p_b) + abs(z_a - z_b)
-                    sums[key][np.ix_(at_a % BLOCK, at_b % BLOCK)] += gain
+                        sums[lang, a, b] = np.zeros((BLOCK, BLOCK), np.int64)
+                    _gain(sums[lang, a, b], *blocks[a], *blocks[b])
     yield from _block_sums(sums)
 
 
+def _matrices(rows: np.ndarray, at: np.ndarray, p: np.ndarray, z: np.ndarray) -> dict[int, tuple]:
+    """Per block of sources: its columns that occur, their constants, and the shares by term."""
+    out, height = {}, rows.max(initial=-1) + 1
+    for block in np.unique(at // BLOCK).tolist():
+        here = at // BLOCK == block
+        columns, first, place = np.unique(at[here] % BLOCK, return_index=True, return_inverse=True)
+        without = z[here][first]
+        shares = np.tile(without, (height, 1))
+        shares[rows[here], place] = p[here]
+        out[block] = columns, without, shares
+    return out
+
+
+def _gain(sums: np.ndarray, a: np.ndarray, z_a: np.ndarray, p_a: np.ndarray, b: np.ndarray, z_b: np.ndarray, p_b: np.ndarray) -> None:
+    alone = np.stack([abs(p_a - z).sum(0) for z in z_b], 1)
+    for k, (column, z) in enumerate(zip(a.tolist(), z_a, strict=True)):
+        share = p_a[:, k, None]
+        sums[column, b] += abs(share - p_b).sum(0) - alone[k] - abs(z - p_b).sum(0) + len(p_b) * abs(z - z_b)
+
+
 def _block_sums(sums: dict[tuple[str, int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
     for (lang, first, second), block in sums.items():
         a, b = np.nonzero(np.triu(block, 1) if first == second else block)
-        columns = [pa.array([lang] * len(a)), pa.array(a + first * BLOCK), pa.array(b + second * BLOCK), pa.array(block[a, b])]
+        columns = [pa.array([lang] * len(a), pa.string()), pa.array(a + first * BLOCK), pa.array(b + second * BLOCK), pa.array(block[a, b])]
         yield pa.RecordBatch.from_arrays(columns, ["lang", "a", "b", "value"])
 
 
@@ -179,8 +257,8 @@ def index(docs: DataFrame, least_docs: int = LEAST_DOCS, held: int = HELD) -> tu
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     shards = max(-(-total // SHARD_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     raw = given.select(*(F.col(c).cast("binary").alias(c) for c in given.columns))
-    runs = raw.mapInArrow(lambda b: indexed(b, shards, held), "shard int, run binary")
-    kept = runs.groupBy("shard").applyInArrow(lambda t: _merge(t, least_docs), MERGED)
+    runs = raw.mapInArrow(lambda b: indexed(b, shards, held), "shard int, lang string, run binary")
+    kept = runs.groupBy("shard", "lang").applyInArrow(lambda k, t: _merge(k, t, least_docs), MERGED)
     return groups.drop("bytes"), settled(kept, "divergence-terms")
 
 
@@ -215,7 +293,7 @@ def audit(docs: DataFrame, *, least_docs: int = LEAST_DOCS, ranks: int = RANKS,
 
 def _pairs(stats: DataFrame, shares: DataFrame) -> DataFrame:
     by_term = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("place", "p", "without")).alias("_of"))
-    streamed = by_term.select("lang", F.col("_of.place").alias("places"), F.col("_of.p").alias("shares"), F.col("_of.without").alias("without"))
+    streamed = by_term.select("lang", F.col("_of.place").cast("array<bigint>").alias("places"), F.col("_of.p").alias("shares"), F.col("_of.without").alias("without"))
     both = streamed.mapInArrow(corrections, "lang string, a long, b long, value long")
     both = both.groupBy("lang", "a", "b").agg(F.sum("value").alias("both"))
     same_share = shares.groupBy("lang", "source", "p").agg(F.count("*").alias("n"))
