@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tuplefeed.operators.parse import parse_feed
-from tuplefeed.sources.live import ChangeApi, ChangeApiStream
+from tuplefeed.sources.feed import page_tokens
+from tuplefeed.sources.live import ChangeApi, ChangeApiStream, SavedChangeApi, save_pages
 
 
 def local_page(options, token):
@@ -81,3 +82,43 @@ def test_a_start_token_needs_its_position(spark, tmp_path):
     with pytest.raises(Exception, match="start_seq"):
         reader.load().collect()
     assert users(parse_feed(reader.option("start_seq", "3").load())) == [(i, str(i)) for i in range(3, 8)]
+
+
+def test_tasks_fetch_the_pages_of_a_batch(spark, tmp_path):
+    """Runs of pages that the driver plans, and the same ones planned anew after a restart."""
+    path = tmp_path / "feed"
+    write(path, 22)
+    options = {"file": str(path), "pages_per_task": "2", "max_pages": "5", "polled": "true"}
+    reader = ChangeApiStream(LocalApi(options))
+    start = reader.initialOffset()
+    middle = reader.latestOffset()
+    end = reader.latestOffset()
+    assert (middle["seq"], end["seq"], reader.latestOffset()) == (15, 22, end)
+    runs = reader.partitions(start, middle)
+    assert [(r.offset["seq"], r.changes) for r in runs] == [(0, 6), (6, 6), (12, 3)]
+    assert [seq for r in runs + reader.partitions(middle, end) for seq, _ in reader.read(r)] == list(range(22))
+    reader.commit(middle)
+    assert all(r.offset["seq"] >= 15 for r in reader.planned)
+    write(path, 30)
+    anew = ChangeApiStream(LocalApi(options))
+    again = anew.partitions(middle, end)
+    assert [seq for r in again for seq, _ in anew.read(r)] == list(range(15, 22))
+    last = anew.latestOffset()
+    assert [seq for r in anew.partitions(end, last) for seq, _ in anew.read(r)] == list(range(22, 30))
+    assert anew.partitions(last, last) == []
+    write(path, 20)
+    with pytest.raises(ValueError, match="no longer holds"):
+        list(anew.read(again[-1]))
+    with pytest.raises(ValueError, match="no longer holds"):
+        ChangeApiStream(LocalApi(options)).partitions(middle, end)
+
+
+def test_saved_pages(spark, tmp_path):
+    bodies = [(0, [1, 2], "a/b"), (1, [3], ""), ]
+    rows = [(n, json.dumps({"changes": [{"tuple_key": {"user": f"u:{c}"}} for c in of], "continuation_token": t})) for n, of, t in bodies]
+    pages = spark.createDataFrame(rows, "page_no BIGINT, body STRING")
+    path = f"file:{tmp_path}/saved"
+    save_pages(pages, page_tokens(pages), path)
+    spark.dataSource.register(SavedChangeApi)
+    feed = spark.read.format("saved_change_api").option("path", path).load()
+    assert users(parse_feed(feed)) == [(0, "1"), (1, "2"), (2, "3")]

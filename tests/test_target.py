@@ -1,0 +1,130 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from helpers import event, events_of, feed_of, random_events, wire
+from test_streaming import land, source
+from tuplefeed.operators import state
+from tuplefeed.operators.parse import parse_feed
+from tuplefeed.sources.files import open_folder
+from tuplefeed.streaming import streams
+from tuplefeed.streaming.target import ChangeTarget, by_key, read_commits, request_bodies
+
+
+class Lines(ChangeTarget):
+    """Appends each request to a file of its task; refuses some while the file ``broken`` is there."""
+
+    @classmethod
+    def name(cls):
+        return "lines_target"
+
+    @staticmethod
+    def connect(options):
+        import os
+        import time
+
+        def send(body):
+            if os.path.exists(options["broken"]) and options["refuse"] in body:
+                os.rename(options["broken"], options["broken"] + "-once") if options.get("once") else None
+                raise OSError("refused")
+            with open(f"{options['path']}/{os.getpid()}", "a") as out:
+                out.write(json.dumps([time.time_ns(), body]) + "\n")
+
+        return send
+
+
+def sent(folder):
+    """What a target holds that applies requests in the order they came."""
+    files = open_folder(str(folder))
+    lines = sorted(json.loads(line) for name in files.names() for line in files.read(name).splitlines())
+    held = {}
+    for _, body in lines:
+        request = json.loads(body)
+        keys = [tuple(e[k] for k in ("user", "relation", "object")) for e in request.get("writes", []) + request.get("deletes", [])]
+        assert len(keys) == len(set(keys)) <= 7
+        for entry in request.get("writes", []):
+            held[entry["user"], entry["relation"], entry["object"]] = entry.get("condition", {}).get("name")
+        for entry in request.get("deletes", []):
+            held.pop((entry["user"], entry["relation"], entry["object"]), None)
+    return held, len(lines)
+
+
+def expected(events):
+    rows = state.fold(events).select(
+        F.concat_ws(":", "user_type", "user_id"), "relation", F.concat_ws(":", "object_type", "object_id"), "condition"
+    ).collect()
+    return {tuple(r[:3]): json.loads(r[3])["name"] if r[3] else None for r in rows}
+
+
+def options(tmp_path, **more):
+    (tmp_path / "target").mkdir(exist_ok=True)
+    return {"path": str(tmp_path / "target"), "broken": str(tmp_path / "broken"), "refuse": "doc:hot", "log": str(tmp_path / "notes"), **more}
+
+
+def test_no_key_is_twice_in_a_request():
+    rng = random.Random(5)
+    rows = [Row(write=rng.random() < 0.5, user=rng.choice("ab"), relation="r", object=rng.choice("xyz"), entry=str(i)) for i in range(60)]
+    made = [json.loads(body) | {"n": n} for n, body in request_bodies(iter(rows), 4)]
+    assert [x for b in made for x in sorted(b.get("writes", []) + b.get("deletes", []))] == list(range(60))
+    assert all(len(b.get("writes", [])) + len(b.get("deletes", [])) == b["n"] <= 4 for b in made)
+    assert list(request_bodies(iter([]), 4)) == []
+
+
+def test_changes_of_a_key_arrive_in_order(spark, tmp_path):
+    spark.dataSource.register(Lines)
+    rows = random_events(3, 400, keys=9)
+    writer = by_key(events_of(spark, rows)).write.format("lines_target").mode("append")
+    writer.options(batch_size=7, **options(tmp_path)).save()
+    held, requests = sent(tmp_path / "target")
+    assert held == expected(events_of(spark, rows))
+    (note,) = read_commits(spark, str(tmp_path / "notes")).collect()
+    known = sum(r[-1] != "NOOP" for r in rows)
+    assert (note.batch_id, note.requests, note.changes, note.tries) == (0, requests, known, requests)
+    with pytest.raises(Exception, match="append"):
+        by_key(events_of(spark, rows)).write.format("lines_target").mode("overwrite").options(**options(tmp_path)).save()
+
+
+def test_a_refused_request_holds_up_those_behind_it(spark, tmp_path):
+    spark.dataSource.register(Lines)
+    rows = random_events(8, 100)
+    (tmp_path / "broken").touch()
+    given = options(tmp_path, once="yes", first_pause="0.01", batch_size="7")
+    by_key(events_of(spark, rows)).write.format("lines_target").mode("append").options(**given).save()
+    held, requests = sent(tmp_path / "target")
+    assert held == expected(events_of(spark, rows))
+    assert read_commits(spark, str(tmp_path / "notes")).first().tries > requests
+
+
+def test_a_stream_goes_on_after_a_refusal(spark, tmp_path):
+    spark.dataSource.register(Lines)
+    rows = random_events(6, 120, keys=6)
+    texts = [wire(r[8], "user:u", "viewer", f"doc:{r[2]}", condition=json.loads(r[7]) if r[7] else None) for r in rows]
+    folder = str(tmp_path / "feed")
+    for part, (low, high) in enumerate([(0, 50), (50, 60), (60, 120)]):
+        land(spark, folder, texts[low:high], low, part)
+    (tmp_path / "broken").touch()
+
+    def run():
+        given = options(tmp_path)
+        return streams.finish(
+            streams.sync_target(source(spark, folder), "lines_target", given, str(tmp_path / "c"), batch_size=7, tries=1)
+        )
+
+    with pytest.raises(Exception, match="refused"):
+        run()
+    notes = open_folder(str(tmp_path / "notes")).names()
+    assert [n.split("-")[0] for n in notes] == ["abort"]
+    (tmp_path / "broken").rename(tmp_path / "mended")
+    run()
+    assert sent(tmp_path / "target")[0] == expected(parse_feed(feed_of(spark, texts)))
+    assert [r.batch_id for r in read_commits(spark, str(tmp_path / "notes")).orderBy("batch_id").collect()] == [0, 1, 2]
+
+
+def test_an_empty_batch_sends_nothing(spark, tmp_path):
+    spark.dataSource.register(Lines)
+    writer = by_key(events_of(spark, [event(0, "NOOP")])).write.format("lines_target").mode("append")
+    writer.options(**options(tmp_path)).save()
+    assert sent(tmp_path / "target") == ({}, 0)

@@ -95,24 +95,23 @@ def requests(
     )
 
 
+def condition_entry(name: Column, context: Column) -> Column:
+    """The condition of a write as it stands in a request. A missing context is left out of the JSON,
+    as is a missing condition."""
+    parts = F.struct(name.alias("name"), F.try_parse_json(context).alias("context"))
+    return F.when(name.isNotNull(), parts)
+
+
 def bodies(requests: DataFrame) -> DataFrame:
     """Requests as JSON text: (chunk, n_writes, n_deletes, body). Empty lists are left out."""
 
-    def condition(w: Column) -> Column:
-        # A missing context is left out of the JSON, as is a missing condition.
-        parts = F.struct(
-            w["condition_name"].alias("name"),
-            F.try_parse_json(w["condition_context"]).alias("context"),
-        )
-        return F.when(w["condition_name"].isNotNull(), parts)
-
     writes = F.transform(
         "writes",
         lambda w: F.struct(
             w["user"].alias("user"),
             w["relation"].alias("relation"),
             w["object"].alias("object"),
-            condition(w).alias("condition"),
+            condition_entry(w["condition_name"], w["condition_context"]).alias("condition"),
         ),
     )
     deletes = F.transform(

@@ -304,18 +304,33 @@ def all_oracles() -> dict[str, str]:
         "stream_changelog": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log",
         "stream_state": f"WITH {STATE} SELECT {STATE_COLUMNS} FROM state",
         "stream_replicate": f"""WITH {_chunks(batch=BATCH)}, {BATCH_REQUESTS} SELECT * FROM requests""",
-        "stream_delivery_log": f"""WITH {_chunks(batch=BATCH)}, {BATCH_REQUESTS} SELECT batch_id, chunk,
-            TRUE AS delivered, CAST(NULL AS VARCHAR) AS error, CAST(0 AS INTEGER) AS try FROM requests""",
+        "stream_delivery_log": f"""WITH {EVENTS}, last AS (SELECT *, {BATCH} AS batch_id,
+              max(seq) OVER (PARTITION BY {BATCH}, {KEY}) AS last_seq FROM ev WHERE op <> 'U'),
+            placed AS (SELECT batch_id, row_number() OVER (PARTITION BY batch_id ORDER BY seq) - 1 AS position
+              FROM last WHERE seq = last_seq)
+            SELECT DISTINCT batch_id, position // 100 AS chunk, TRUE AS delivered, CAST(NULL AS VARCHAR) AS error,
+              CAST(0 AS INTEGER) AS try FROM placed""",
+        "stream_restart": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log",
+        "stream_restart_errors": """SELECT 'changelog' AS stream, CAST(n AS INTEGER) AS failure, CAST(n AS INTEGER) AS in_a_row,
+            0.05 * power(2, n) AS pause_s, TRUE AS of_sink FROM range(1, 3) AS r(n)""",
+        "feed_live_pages": f"{events} seq, {KEY}, operation, ts FROM ev",
+        "stream_delivery_state": f"""WITH {_chunks()}, last AS (SELECT *, max(seq) OVER (PARTITION BY usr, relation, obj) AS last_seq
+            FROM chunks WHERE op <> 'U') SELECT usr AS "user", relation, obj AS "object", condition_name,
+            CASE WHEN condition_name IS NOT NULL THEN condition_context END AS condition_context
+            FROM last WHERE seq = last_seq AND op = 'W'""",
+        "stream_delivery_commits": f"""WITH {EVENTS} SELECT {BATCH} AS batch_id, count(*) AS changes, TRUE AS at_once
+            FROM ev WHERE op <> 'U' GROUP BY 1""",
         "stream_rejects": f"""WITH {FEED} SELECT {BATCH} AS batch_id, seq AS position,
             CAST(NULL AS BIGINT) AS pos, wire AS text FROM feed WHERE NOT json_valid(wire)""",
         "stream_reports": f"""WITH {EVENTS}, counts AS (SELECT {BATCH} AS batch_id, count(*) AS processed,
               count(*) FILTER (WHERE {_PROBLEMS} <> '') AS invalid,
+              count(*) FILTER (WHERE op = 'W') AS writes, count(*) FILTER (WHERE op = 'D') AS deletes,
               count(*) FILTER (WHERE op = 'U') AS unknown_operations,
               count(*) FILTER (WHERE ts_defaulted) AS defaulted, max(ts) AS latest_ts FROM ev GROUP BY 1),
             bad AS (SELECT {BATCH} AS batch_id, count(*) AS rejected FROM feed WHERE NOT json_valid(wire) GROUP BY 1)
             SELECT batch_id, processed, coalesce(rejected, 0) AS rejected,
-              processed + coalesce(rejected, 0) AS total_fetched, invalid, unknown_operations, defaulted, latest_ts
-            FROM counts LEFT JOIN bad USING (batch_id)""",
+              processed + coalesce(rejected, 0) AS total_fetched, invalid, writes, deletes,
+              unknown_operations, defaulted, latest_ts FROM counts LEFT JOIN bad USING (batch_id)""",
         "dedupe_stream": f"{events} seq, {KEY}, operation FROM ev",
         "page_item_rejects": f"""WITH {FEED} SELECT seq // 100 AS page_no, seq % 100 AS pos,
             CAST(to_json(wire) AS VARCHAR) AS item FROM feed WHERE NOT json_valid(wire)""",

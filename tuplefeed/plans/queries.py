@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +27,11 @@ from tuplefeed.operators.parse import parse_changes, parse_feed, with_tuple_key
 from tuplefeed.session import configure, shared_folder
 from tuplefeed.sources import derived
 from tuplefeed.sources import feed as source
+from tuplefeed.sources import files, live
 from tuplefeed.streaming import streams
 from tuplefeed.streaming.state_table import StateTable
+from tuplefeed.streaming.supervise import Supervisor, read_errors
+from tuplefeed.streaming.target import ChangeTarget, read_commits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -500,12 +506,57 @@ def run_last_success(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams: the feed lands in three parts, and the stream is started anew for each
 
 
-def _in_batches(spark: SparkSession, sf_dir: str, start) -> None:
+def _in_batches(spark: SparkSession, sf_dir: str, start, run=lambda start: streams.finish(start())) -> None:
     """Run ``start(feed, checkpoint)`` to its end after each part that lands."""
     landed, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "checkpoint")
     for batch in range(derived.BATCHES):
         derived.land(spark, sf_dir, landed, batch)
-        streams.finish(start(source.stream_feed(spark, f"{landed}/*"), checkpoint))
+        run(lambda: start(source.stream_feed(spark, f"{landed}/*"), checkpoint))
+
+
+def _supervised(spark: SparkSession, sf_dir: str, path: str, errors: str) -> None:
+    """The changelog by a sink that fails twice in the second batch, after it has written."""
+    failures = iter(range(2))
+
+    def append(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
+        rows = changelog.changelog_rows(events, derived.ingest_ts())
+        changelog.append_changelog(rows, path, batch_id, "supervised")
+        if batch_id == 1 and next(failures, None) is not None:
+            raise OSError("the sink broke down")
+
+    def run(start) -> None:
+        Supervisor(spark, start, errors, "changelog", first_pause=0.1, most_in_a_row=5).run()
+
+    _in_batches(spark, sf_dir, lambda feed, c: streams.sync(feed, append, c, derived.ingest_ts()), run)
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "changelog")
+    _supervised(spark, sf_dir, path, shared_folder(spark, "errors"))
+    return changelog.read_changelog(spark, path).drop("event_date")
+
+
+@query
+def stream_restart_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    errors = shared_folder(spark, "errors")
+    _supervised(spark, sf_dir, shared_folder(spark, "changelog"), errors)
+    sink = F.contains("error", F.lit("the sink broke down")).alias("of_sink")
+    return read_errors(spark, errors).select("stream", "failure", "in_a_row", "pause_s", sink)
+
+
+@query
+def feed_live_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed out of saved pages, which tasks fetch by token."""
+    saved, out = shared_folder(spark, "pages"), shared_folder(spark, "live")
+    pages = derived.pages(spark, sf_dir)
+    live.save_pages(pages, source.page_tokens(pages), saved)
+    spark.dataSource.register(live.SavedChangeApi)
+    feed = spark.readStream.format("saved_change_api").option("path", saved).option("pages_per_task", "4").load()
+    events = parse_feed(feed, derived.ingest_ts()).select("seq", *state.KEY, "operation", "ts")
+    writer = events.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_folder(spark, "checkpoint"))
+    streams.finish(writer.trigger(availableNow=True).start())
+    return spark.read.schema(events.schema).parquet(out)
 
 
 @query
@@ -547,6 +598,58 @@ def stream_delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.delivery_log(spark, log)
 
 
+class _FolderTarget(ChangeTarget):
+    """A target that keeps each request as a file, with its place among those of its task."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "folder_target"
+
+    @staticmethod
+    def connect(options: dict[str, str]):
+        task, folder, places = uuid.uuid4().hex, files.open_folder(options["path"]), itertools.count()
+
+        def send(body: str) -> None:
+            at = next(places)
+            request = {"batch_id": int(options["batch_id"]), "at": at, "body": body}
+            folder.write(f"{options['batch_id']}-{task}-{at}.json", json.dumps(request))
+
+        return send
+
+
+def _sent(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    target, log = shared_folder(spark, "target"), shared_folder(spark, "commits")
+    spark.dataSource.register(_FolderTarget)
+    options = {"path": target, "log": log}
+    _in_batches(
+        spark, sf_dir, lambda feed, c: streams.sync_target(feed, "folder_target", options, c, derived.ingest_ts(), batch_size=1000)
+    )
+    return target, log
+
+
+@query
+def stream_delivery_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a target holds that applied all requests in the order they came in."""
+    target, _ = _sent(spark, sf_dir)
+    entry = "STRUCT<user: STRING, relation: STRING, object: STRING, condition: STRUCT<name: STRING, context: VARIANT>>"
+    body = F.from_json("body", f"STRUCT<writes: ARRAY<{entry}>, deletes: ARRAY<{entry}>>")
+    requests = spark.read.schema("batch_id BIGINT, at BIGINT, body STRING").json(target).select("batch_id", "at", body.alias("body"))
+    came = F.struct("batch_id", "at").alias("came")
+    changes = [
+        requests.select(came, F.lit(name == "writes").alias("write"), F.inline(f"body.{name}")) for name in ("writes", "deletes")
+    ]
+    last = F.max_by(F.struct("write", "condition"), "came").alias("last")
+    held = changes[0].unionByName(changes[1]).groupBy("user", "relation", "object").agg(last).where("last.write")
+    name, context = F.col("last.condition.name"), F.to_json(F.col("last.condition.context"))
+    return held.select("user", "relation", "object", name.alias("condition_name"), context.alias("condition_context"))
+
+
+@query
+def stream_delivery_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, log = _sent(spark, sf_dir)
+    return read_commits(spark, log).select("batch_id", "changes", (F.col("requests") == F.col("tries")).alias("at_once"))
+
+
 @query
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, side = shared_folder(spark, "changelog"), shared_folder(spark, "side")

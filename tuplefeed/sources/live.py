@@ -3,11 +3,15 @@
     spark.dataSource.register(ChangeApi)
     spark.readStream.format("change_api").option("url", "https://host/stores/1/changes").load()
 
-Rows are (seq, wire), positions counted from the start of the feed. Tokens make pages a chain
-that one reader must follow; what they hold is spread over the cluster from there on. A read goes
-on until the token is spent. ``max_pages`` makes reads shorter, and is refused without
-``polled=true``: a query that reads what is there and stops would stop after so many pages. With
-``start_token``, ``start_seq`` says what position the first change after it has.
+Rows are (seq, wire), positions counted from the start of the feed. Tokens make pages a chain that
+one reader must follow. In a stream the driver does so and keeps, for each run of ``pages_per_task``
+pages, its first token and its numbers of changes; the tasks fetch the pages again by token, so no
+change ever passes through the driver. A batch goes on until the token is spent: a query that reads
+what is there and stops reads up to that end. ``max_pages`` makes batches shorter, and is refused
+without ``polled=true``, since such a query would stop after so many pages. With ``start_token``,
+``start_seq`` says what position the first change after it has.
+
+``SavedChangeApi`` reads pages that were saved to a folder instead.
 """
 
 from __future__ import annotations
@@ -16,8 +20,13 @@ import json
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
+from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+from tuplefeed.sources.files import open_folder
 
 Offset = dict
 Rows = Iterator[tuple[int, str]]
@@ -64,7 +73,7 @@ class ChangeApi(DataSource):
                 return
             offset = after
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+    def streamReader(self, schema) -> DataSourceStreamReader:
         return ChangeApiStream(self)
 
     def reader(self, schema) -> DataSourceReader:
@@ -82,33 +91,72 @@ def _number(changes: list[str], first: int) -> Rows:
     return ((first + i, change) for i, change in enumerate(changes))
 
 
-class ChangeApiStream(SimpleDataSourceStreamReader):
+@dataclass
+class PageRun(InputPartition):
+    """Consecutive pages: where they begin, and how many changes they held when they were planned."""
+
+    offset: Offset
+    changes: int
+
+
+class ChangeApiStream(DataSourceStreamReader):
+    """The engine asks for the partitions of the last batch before it plans another one after a
+    restart; their end is where the next batch begins."""
+
     def __init__(self, source: ChangeApi):
         self.source = source
         self.max_pages = int(source.options.get("max_pages", "0"))
         if self.max_pages and source.options.get("polled", "") != "true":
             raise ValueError("max_pages needs polled=true and a poll interval")
+        self.pages_per_task = int(source.options.get("pages_per_task", "16"))
+        self.at: Offset | None = None
+        self.planned: list[PageRun] = []
 
     def initialOffset(self) -> Offset:
         return start_of(self.source.options)
 
-    def read(self, start: Offset) -> tuple[Rows, Offset]:
-        rows, end = [], start
+    def _follow(self, start: Offset, max_pages: int = 0, last_seq: int | None = None) -> tuple[list[PageRun], Offset]:
+        """Runs of the pages after ``start``, and where they end. Only numbers of changes are kept."""
+        runs, end, in_run = [], start, 0
         for count, (changes, after) in enumerate(self.source.pages(start), 1):
-            rows.extend(_number(changes, end["seq"]))
-            end = after
-            if count == self.max_pages:
+            held = len(changes) if last_seq is None else min(len(changes), last_seq - end["seq"])
+            if in_run % self.pages_per_task == 0:
+                runs.append(PageRun(end, 0))
+            runs[-1].changes += held
+            in_run, end = in_run + 1, after
+            if count == max_pages or (last_seq is not None and after["seq"] >= last_seq):
                 break
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: Offset, end: Offset) -> Rows:
-        at = start
-        for changes, after in self.source.pages(start):
-            wanted = changes[: end["seq"] - at["seq"]]
-            yield from _number(wanted, at["seq"])
-            at = after
-            if at["seq"] >= end["seq"]:
+        return runs, end
+
+    def latestOffset(self) -> Offset:
+        start = self.at if self.at is not None else self.initialOffset()
+        runs, self.at = self._follow(start, self.max_pages)
+        self.planned += runs
+        return self.at
+
+    def partitions(self, start: Offset, end: Offset) -> list[PageRun]:
+        if self.at is None:
+            self.at = end
+        if start["seq"] >= end["seq"]:
+            return []
+        runs = [r for r in self.planned if start["seq"] <= r.offset["seq"] < end["seq"]]
+        if not runs or runs[0].offset != start:
+            runs, _ = self._follow(start, last_seq=end["seq"])
+        if sum(r.changes for r in runs) != end["seq"] - start["seq"]:
+            raise ValueError(f"the feed no longer holds the changes from {start} to {end}")
+        return runs
+
+    def read(self, partition: PageRun) -> Rows:
+        left, at = partition.changes, partition.offset
+        for changes, after in self.source.pages(at):
+            yield from _number(changes[:left], at["seq"])
+            left, at = left - len(changes), after
+            if left <= 0:
                 return
+        raise ValueError(f"the feed no longer holds {partition.changes} changes after {partition.offset}")
+
+    def commit(self, end: Offset) -> None:
+        self.planned = [r for r in self.planned if r.offset["seq"] >= end["seq"]]
 
 
 class ChangeApiBatch(DataSourceReader):
@@ -122,3 +170,30 @@ class ChangeApiBatch(DataSourceReader):
         for changes, after in self.source.pages(at):
             yield from _number(changes, at["seq"])
             at = after
+
+
+def saved_page(options: dict, token: str) -> dict:
+    """The page that was saved for a token below ``path``."""
+    folder = open_folder(f"{options['path'].rstrip('/')}/after={token.encode().hex().upper() or 'start'}")
+    names = [n for n in folder.names() if not n.startswith(("_", "."))]
+    return json.loads(folder.read(names[0])) if names else {}
+
+
+class SavedChangeApi(ChangeApi):
+    """Pages saved by ``save_pages``, one file per token, as a change API would give them."""
+
+    fetch_page = staticmethod(saved_page)
+
+    @classmethod
+    def name(cls) -> str:
+        return "saved_change_api"
+
+
+def save_pages(pages: DataFrame, tokens: DataFrame, path: str) -> None:
+    """Write pages of (page_no, body) by the token that leads to them (in hex), the first by none.
+
+    ``tokens`` come from ``page_tokens``. Page numbers count from 0 without gaps.
+    """
+    leads = tokens.where("has_more").select((F.col("page_no") + 1).alias("page_no"), F.hex(F.col("next_token").cast("binary")).alias("after"))
+    found = pages.join(leads, "page_no", "left").select(F.coalesce("after", F.lit("start")).alias("after"), "body")
+    found.repartition("after").write.partitionBy("after").text(path)

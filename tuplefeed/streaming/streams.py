@@ -12,17 +12,18 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from tuplefeed.functions.changes import UNKNOWN, op_code
+from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, op_code
 from tuplefeed.operators.changelog import append_changelog, changelog_rows
 from tuplefeed.operators.parse import parse_feed, parse_pages
 from tuplefeed.operators.quality import validate
-from tuplefeed.operators.replicate import BATCH_SIZE, bodies, deliver, requests
+from tuplefeed.operators.replicate import BATCH_SIZE, bodies, deliver, net_changes, requests
 from tuplefeed.sources.feed import page_item_rejects, rejects
 from tuplefeed.streaming.state_table import BUCKETS, MERGE_EVERY, StateTable
+from tuplefeed.streaming.target import by_key
 
 PAGE_ROWS = 1000  # at least the size of the largest page
 RUN_LOG_SCHEMA = "query STRING, batch_id BIGINT, input_rows BIGINT, duration_ms BIGINT"
@@ -64,27 +65,36 @@ def batch_rejects(batch: DataFrame) -> DataFrame:
     return whole.unionByName(page_item_rejects(batch).select(position, "pos", F.col("item").alias("text")))
 
 
-def batch_report(batch: DataFrame, events: DataFrame, seconds: float) -> DataFrame:
-    """One row: what a batch held, how much of it is odd, and how far behind it is."""
-    counts = validate(events).agg(
+def observed(events: DataFrame, metrics: Observation) -> DataFrame:
+    """The same events; what passes is counted into ``metrics`` by whatever reads them first."""
+    return validate(events).observe(
+        metrics,
         F.count("*").alias("processed"),
         F.count_if(F.col("validation_error").isNotNull()).alias("invalid"),
+        F.count_if(op_code(F.col("operation")) == WRITE).alias("writes"),
+        F.count_if(op_code(F.col("operation")) == DELETE).alias("deletes"),
         F.count_if(op_code(F.col("operation")) == UNKNOWN).alias("unknown_operations"),
         F.count_if("ts_defaulted").alias("defaulted"),
-        F.max("ts").alias("latest_ts"),
-    )
-    rejected = batch_rejects(batch).agg(F.count("*")).scalar()
-    behind = F.unix_micros(F.current_timestamp()) - F.unix_micros("latest_ts")
-    return counts.withColumn("rejected", rejected).select(
+        F.max(F.unix_micros("ts")).alias("latest_us"),
+    ).drop("validation_error")
+
+
+def batch_report(spark: SparkSession, metrics: dict, rejected: int, seconds: float) -> DataFrame:
+    """One row: what a batch held, how much of it is odd, and how far behind it is."""
+    names = ("processed", "invalid", "writes", "deletes", "unknown_operations", "defaulted", "latest_us")
+    row = (*(metrics[n] for n in names), rejected, float(seconds))
+    made = spark.createDataFrame([row], ", ".join([*(f"{n} BIGINT" for n in names), "rejected BIGINT", "duration_s DOUBLE"]))
+    behind = F.unix_micros(F.current_timestamp()) - F.col("latest_us")
+    return made.select(
         "processed", "rejected", (F.col("processed") + F.col("rejected")).alias("total_fetched"), "invalid",
-        "unknown_operations", "defaulted", "latest_ts", (behind / 1e6).alias("lag_seconds"),
-        F.lit(float(seconds)).alias("duration_s"),
+        "writes", "deletes", "unknown_operations", "defaulted", F.timestamp_micros("latest_us").alias("latest_ts"),
+        (behind / 1e6).alias("lag_seconds"), "duration_s",
     )
 
 
 REPORT_SCHEMA = (
     "batch_id BIGINT, processed BIGINT, rejected BIGINT, total_fetched BIGINT, invalid BIGINT, "
-    "unknown_operations BIGINT, defaulted BIGINT, latest_ts TIMESTAMP, lag_seconds DOUBLE, duration_s DOUBLE"
+    "writes BIGINT, deletes BIGINT, unknown_operations BIGINT, defaulted BIGINT, latest_ts TIMESTAMP, lag_seconds DOUBLE, duration_s DOUBLE"
 )
 REJECT_SCHEMA = "batch_id BIGINT, position BIGINT, pos BIGINT, text STRING"
 
@@ -99,30 +109,39 @@ def read_rejects(spark: SparkSession, side: str) -> DataFrame:
     return spark.read.schema(REJECT_SCHEMA).parquet(f"{side.rstrip('/')}/rejects")
 
 
-def _sync(
+def sync(
     feed: DataFrame,
     work: Callable[[DataFrame, DataFrame, int], None],
     checkpoint: str,
-    ingest_ts: Column | None,
-    poll_interval: str | None,
-    page_rows: int,
-    side: str | None,
+    ingest_ts: Column | None = None,
+    poll_interval: str | None = None,
+    page_rows: int = PAGE_ROWS,
+    side: str | None = None,
 ) -> StreamingQuery:
-    """Run ``work(batch, events, batch_id)`` on every batch. With ``side``, each batch also leaves a
-    report in ``<side>/reports`` and what could not be parsed in ``<side>/rejects``."""
+    """Run ``work(batch, events, batch_id)`` on every batch.
+
+    A batch is parsed once: its events are kept for the passes of ``work``, and their numbers are
+    observed while they are parsed. With ``side``, each batch also leaves a report of these numbers in
+    ``<side>/reports`` and what could not be parsed in ``<side>/rejects``.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         began = time.monotonic()
-        batch = batch.persist()  # several passes, one read of the source
+        spark = batch.sparkSession
+        batch = batch.persist() if side else batch  # read by the parser and for the rejects
+        metrics = Observation()
+        events = observed(_events(batch, page_rows), metrics).persist()
         try:
-            events = _events(batch, page_rows)
             work(batch, events, batch_id)
             if side:
-                folder = side.rstrip("/")
-                batch_rejects(batch).write.mode("overwrite").parquet(f"{folder}/rejects/batch_id={batch_id}")
-                report = batch_report(batch, events, time.monotonic() - began)
+                folder, rejected = side.rstrip("/"), Observation()
+                left_out = batch_rejects(batch).observe(rejected, F.count("*").alias("rejected"))
+                left_out.write.mode("overwrite").parquet(f"{folder}/rejects/batch_id={batch_id}")
+                events.write.format("noop").mode("overwrite").save()  # whatever ``work`` left unread
+                report = batch_report(spark, metrics.get, rejected.get["rejected"], time.monotonic() - began)
                 report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/reports/batch_id={batch_id}")
         finally:
+            events.unpersist()
             batch.unpersist()
 
     return _start(_stamped(feed, ingest_ts).writeStream.foreachBatch(each), checkpoint, poll_interval)
@@ -142,7 +161,7 @@ def sync_changelog(
     def append(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
         append_changelog(changelog_rows(events, ingest_ts), path, batch_id, _stream_of(batch))
 
-    return _sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side)
+    return sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side)
 
 
 def sync_state(
@@ -162,7 +181,7 @@ def sync_state(
     def apply(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
         StateTable(batch.sparkSession, path, buckets, merge_every).apply(events, batch_id, vocab, _stream_of(batch))
 
-    return _sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side)
+    return sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side)
 
 
 def sync_requests(
@@ -179,33 +198,68 @@ def sync_requests(
     send: Callable[[str], None] | None = None,
     log: str | None = None,
     tries: int = 3,
+    first_pause: float = 1.0,
 ) -> StreamingQuery:
     """Write the requests of each batch to its own folder, ``batch_id=<n>``.
 
     With ``send``, a batch's requests are also delivered, and each try's report goes to ``log`` as
-    ``batch_id=<n>/try=<k>``. What was delivered is not sent again, also after a restart. A batch
-    with requests left after ``tries`` fails, and the query stops with it.
+    ``batch_id=<n>/try=<k>``. Requests are sent at the same time, so the whole batch is first reduced to
+    the last change of each key, and no order can leave the target wrong. What was delivered is not
+    sent again, also after a restart. Pauses between tries double from ``first_pause`` seconds. A batch
+    with requests left after ``tries`` fails, and the query stops with it. To send all changes in the
+    order of each key, see ``sync_target``.
     """
     if send is not None and log is None:
         raise ValueError("send needs log, the folder of the delivery reports")
 
     def write(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
         spark, folder = batch.sparkSession, f"{path.rstrip('/')}/batch_id={batch_id}"
-        made = bodies(requests(events, batch_size, vocab, net))
+        changes = events if send is None else net_changes(events, vocab)
+        made = bodies(requests(changes, batch_size, vocab, net))
         made.write.mode("overwrite").parquet(folder)
         if send is not None:
             written = spark.read.schema(made.schema).parquet(folder)
-            _deliver_batch(spark, written, send, f"{log.rstrip('/')}/batch_id={batch_id}", tries)
+            _deliver_batch(spark, written, send, f"{log.rstrip('/')}/batch_id={batch_id}", tries, first_pause)
+
+    return sync(feed, write, checkpoint, ingest_ts, poll_interval, page_rows, side)
+
+
+def sync_target(
+    feed: DataFrame,
+    target: str,
+    options: dict[str, str],
+    checkpoint: str,
+    ingest_ts: Column | None = None,
+    poll_interval: str | None = None,
+    batch_size: int = BATCH_SIZE,
+    vocab: str = "union",
+    tries: int = 3,
+    first_pause: float = 1.0,
+    page_rows: int = PAGE_ROWS,
+    side: str | None = None,
+) -> StreamingQuery:
+    """Send every change to a target, those of a key in the order of the feed; keys in parallel.
+
+    ``target`` is the name of a registered ``ChangeTarget``, ``options`` are its own. A batch that
+    fails is sent again as a whole, so the target must accept repeated requests; as the changes of a key
+    come again in their order, it ends in the same state.
+    """
+
+    def send(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
+        given = {**options, "batch_id": batch_id, "batch_size": batch_size, "tries": tries, "first_pause": first_pause}
+        by_key(events, vocab).write.format(target).mode("append").options(**given).save()
 
-    return _sync(feed, write, checkpoint, ingest_ts, poll_interval, page_rows, side)
+    return sync(feed, send, checkpoint, ingest_ts, poll_interval, page_rows, side)
 
 
 def _deliver_batch(
-    spark: SparkSession, made: DataFrame, send: Callable[[str], None], log: str, tries: int
+    spark: SparkSession, made: DataFrame, send: Callable[[str], None], log: str, tries: int, first_pause: float
 ) -> None:
     done = _delivered(spark, log)
     first = 0 if done is None else 1 + (done.agg(F.max("try")).first()[0] or 0)
     for k in range(first, first + tries):
+        if k > first:
+            time.sleep(first_pause * 2 ** (k - first - 1))
         deliver(made, send, done).write.mode("overwrite").parquet(f"{log}/try={k}")
         done = _delivered(spark, log)
         left = made.join(done.where("delivered").select("chunk"), "chunk", "left_anti").count()
