@@ -9,6 +9,7 @@ from tuplefeed.operators import changelog, dedupe, replicate, state
 from tuplefeed.operators.parse import parse_feed, parse_pages
 from tuplefeed.sources.feed import read_page_files, stream_feed
 from tuplefeed.streaming import streams
+from tuplefeed.streaming.counts import TupleCounts
 from tuplefeed.streaming.state_table import StateTable
 
 
@@ -284,3 +285,35 @@ def test_page_files(spark, tmp_path):
     (folder / "page.json").write_text("{}")
     with pytest.raises(Exception, match="no page number"):
         read_page_files(spark, str(folder)).collect()
+
+
+def test_counts_follow_the_state(spark, tmp_path):
+    """After each batch, also one that runs twice, the numbers are those of the state there is."""
+    table, counts = StateTable(spark, str(tmp_path / "state"), 3, merge_every=2), TupleCounts(spark, str(tmp_path / "counts"))
+    assert counts.latest() == -1
+    rows = [(r[0], f"t{i % 3}", *r[2:]) for i, r in enumerate(random_events(7, 120, keys=9))]
+    done, effects = {}, 0
+    for batch in range(6):
+        part = rows[20 * batch : 20 * batch + 20]
+        for _ in range(1 + batch % 2):
+            table.apply(events_of(spark, part), batch)
+            counts.add(table, batch)
+        before, done = done, replay(part, done)
+        got = {r.object_type: r for r in counts.read(batch).collect()}
+        for name in ("t0", "t1", "t2"):
+            assert got[name].tuples == sum(key[0] == name for key in done) == got[name].inserted - got[name].removed
+        effects += len({k: v for k, v in done.items() if before.get(k) != v}) + len(before.keys() - done.keys())
+        assert sum(r.inserted + r.updated + r.replaced + r.removed for r in got.values()) == effects
+    assert counts.latest() == 5
+
+
+def test_a_lookup_opens_only_the_folders_of_its_keys(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "state"), 16, merge_every=2)
+    for batch, low in enumerate((0, 100, 200)):
+        table.apply(events_of(spark, [event(low + i, "WRITE", f"k{low + i}") for i in range(100)]), batch)
+    keys = events_of(spark, [event(0, "WRITE", "k5"), event(0, "WRITE", "k250"), event(0, "WRITE", "none")])
+    found = table.with_keys(keys)
+    assert sorted(r.object_id for r in found.collect()) == ["k250", "k5"]
+    assert {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles() if "/data/" in f} < {str(b) for b in range(16)}
+    assert len({f.rsplit("/", 1)[0] for f in found.inputFiles() if "/data/" in f}) <= 3
+    assert [r.object_id for r in table.with_keys(keys, 0).collect()] == ["k5"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuplefeed.functions.changes import DELETE, UNKNOWN, WRITE, op_code
-from tuplefeed.operators.ordering import block_of
+from tuplefeed.operators.ordering import block_of, dense_position
 
 KEY = ["object_type", "object_id", "relation", "user_type", "user_id"]
 # The same columns, those that differ most first: sorting by them compares less.
@@ -33,8 +33,22 @@ def _live(seq: Column, last_delete: Column) -> Column:
     return last_delete.isNull() | (seq > last_delete)
 
 
+def segmented(events: DataFrame, columns: list, segment_rows: int, by_rows: bool) -> DataFrame:
+    """The known changes with ``segment``, a number that ascends with the feed.
+
+    By default a segment is a range of ``segment_rows`` positions, which costs nothing and is right
+    for positions with few gaps. ``by_rows`` counts rows instead, whatever the gaps: rows are dealt
+    into ranges and written once more.
+    """
+    rows = events.select(*KEY, "seq", *columns).where(F.col("op") != UNKNOWN)
+    if not by_rows:
+        return rows.withColumn("segment", block_of(F.col("seq"), segment_rows))
+    placed = dense_position(rows, "seq", "place")
+    return placed.withColumn("segment", block_of(F.col("place"), segment_rows)).drop("place")
+
+
 def summarize(
-    events: DataFrame, vocab: str = "union", segment_rows: int = FOLD_SEGMENT_ROWS
+    events: DataFrame, vocab: str = "union", segment_rows: int = FOLD_SEGMENT_ROWS, by_rows: bool = False
 ) -> DataFrame:
     """Net effect of a run of changes: one row per key, as in ``SUMMARY_SCHEMA``.
 
@@ -43,18 +57,18 @@ def summarize(
 
     Two steps keep a hot key out of one task. First each key is reduced within segments of the
     feed, whose length bounds the group; a map task holds few segments, so most of a hot key
-    is combined before the shuffle. Then the segments of each key are put together.
+    is combined before the shuffle. Then the segments of each key are put together. On positions
+    with large gaps, ``by_rows`` makes segments of so many rows.
     """
     op = op_code(F.col("operation"), vocab)
-    rows = events.select(
+    rows = segmented(events, ["ts", "condition", op.alias("op")], segment_rows, by_rows).select(
         *KEY,
         "seq",
-        block_of(F.col("seq"), segment_rows).alias("segment"),
-        F.when(op == DELETE, F.col("seq")).alias("delete"),
-        F.when(op == WRITE, F.struct("seq", "ts")).alias("write"),
-        F.when(op == WRITE, F.struct("seq", "ts", "condition")).alias("last"),
-        op.alias("op"),
-    ).where(F.col("op") != UNKNOWN)
+        "segment",
+        F.when(F.col("op") == DELETE, F.col("seq")).alias("delete"),
+        F.when(F.col("op") == WRITE, F.struct("seq", "ts")).alias("write"),
+        F.when(F.col("op") == WRITE, F.struct("seq", "ts", "condition")).alias("last"),
+    )
     segments = rows.groupBy(*_GROUP, "segment").agg(
         F.max("delete").alias("last_delete"),
         F.collect_list("write").alias("writes"),
@@ -111,10 +125,10 @@ def state_of(summary: DataFrame) -> DataFrame:
 
 
 def fold(
-    events: DataFrame, vocab: str = "union", segment_rows: int = FOLD_SEGMENT_ROWS
+    events: DataFrame, vocab: str = "union", segment_rows: int = FOLD_SEGMENT_ROWS, by_rows: bool = False
 ) -> DataFrame:
     """Current tuples of a whole feed."""
-    return state_of(summarize(events, vocab, segment_rows))
+    return state_of(summarize(events, vocab, segment_rows, by_rows))
 
 
 def state_as_of(events: DataFrame, seq: int | Column, vocab: str = "union") -> DataFrame:
@@ -183,17 +197,33 @@ def lookup_many(state: DataFrame, keys: DataFrame) -> DataFrame:
     return joined.withColumn("found", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
-def row_effects(state: DataFrame, events: DataFrame, vocab: str = "union") -> DataFrame:
-    """What a batch does to the rows of a state: inserted, updated, replaced (deleted and written
-    anew) and removed."""
-    joined = state.select(*KEY, F.lit(True).alias("_old")).join(
-        summarize(events, vocab).withColumn("_new", F.lit(True)), KEY, "full_outer"
-    )
+def key_effects(before: DataFrame, summary: DataFrame) -> DataFrame:
+    """What a run of changes does to each key it names: the key and ``effect``.
+
+    ``before`` is the state before the run, or the part of it with the run's keys. The effect is
+    inserted, updated, replaced (deleted and written anew) or removed, NULL where nothing changes.
+    """
+    old = before.select(*KEY, F.lit(True).alias("_old"))
+    joined = summary.join(old, KEY, "left")
     existed, written = F.col("_old").isNotNull(), F.col("last_seq").isNotNull()
     deleted = F.col("last_delete").isNotNull()
-    return joined.where("_new").agg(
-        F.count_if(written & ~existed).alias("inserted"),
-        F.count_if(written & existed & ~deleted).alias("updated"),
-        F.count_if(written & existed & deleted).alias("replaced"),
-        F.count_if(~written & existed & deleted).alias("removed"),
+    effect = (
+        F.when(written & ~existed, "inserted")
+        .when(written & ~deleted, "updated")
+        .when(written, "replaced")
+        .when(existed & deleted, "removed")
     )
+    return joined.select(*KEY, effect.alias("effect"))
+
+
+EFFECTS = ("inserted", "updated", "replaced", "removed")
+
+
+def effect_counts() -> list[Column]:
+    return [F.count_if(F.col("effect") == name).alias(name) for name in EFFECTS]
+
+
+def row_effects(state: DataFrame, events: DataFrame, vocab: str = "union") -> DataFrame:
+    """What a batch does to the rows of a state: inserted, updated, replaced (deleted and written
+    anew) and removed."""
+    return key_effects(state, summarize(events, vocab)).agg(*effect_counts())

@@ -66,6 +66,15 @@ def _state(source: str = "ev", op: str = "op", name: str = "state") -> str:
 STATE = f"{EVENTS}, {_state()}"
 STATE_COLUMNS = f"{KEY}, condition, created_at, updated_at, last_seq"
 
+HISTORY = f"""{EVENTS},
+known AS (SELECT *, lead(seq) OVER (PARTITION BY {KEY} ORDER BY seq) AS valid_to,
+    count(*) FILTER (WHERE op = 'D') OVER (PARTITION BY {KEY} ORDER BY seq) AS life
+  FROM ev WHERE op <> 'U'),
+history AS (SELECT *, first_value(ts) OVER (PARTITION BY {KEY}, life ORDER BY seq) AS created_at,
+    ts AS updated_at, seq AS valid_from
+  FROM known WHERE op = 'W')"""
+HISTORY_COLUMNS = f"{KEY}, condition, created_at, updated_at, valid_from, valid_to"
+
 CHANGELOG = f"""{EVENTS},
 stamped AS (SELECT *, concat(regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', ''), 'Z')
   AS stamp FROM ev),
@@ -239,6 +248,18 @@ def all_oracles() -> dict[str, str]:
         "state_incremental": f"WITH {STATE} SELECT {STATE_COLUMNS} FROM state",
         "state_as_of": f"""WITH {EVENTS}, past AS (SELECT * FROM ev WHERE seq <= {MIDDLE}),
             {_state('past')} SELECT {STATE_COLUMNS} FROM state""",
+        "state_current_sparse": f"""WITH {STATE} SELECT {KEY}, condition, created_at, updated_at,
+            last_seq * 2147483648 AS last_seq FROM state""",
+        "state_history": f"WITH {HISTORY} SELECT {HISTORY_COLUMNS} FROM history",
+        "state_at_many": f"""WITH {HISTORY}, points AS (SELECT event_id AS position FROM events WHERE event_id % 977 = 976)
+            SELECT position, {HISTORY_COLUMNS} FROM points JOIN history
+            ON valid_from <= position AND (valid_to IS NULL OR valid_to > position)""",
+        "state_table_lookup": f"""WITH {STATE} SELECT {STATE_COLUMNS} FROM state
+            WHERE object_type = 'folder' AND relation = 'viewer'""",
+        "stream_stats_by_object_type": f"""WITH {EVENTS}, numbered AS (SELECT *, {BATCH} AS batch_id FROM ev),
+            {', '.join(f"past{b} AS (SELECT * FROM numbered WHERE batch_id <= {b}), " + _state(f'past{b}', name=f'state{b}') for b in range(3))}
+            {' UNION ALL '.join(f"SELECT CAST({b} AS BIGINT) AS version, object_type, count(*) AS tuples FROM state{b} GROUP BY 2" for b in range(3))}""",
+        "dedupe_stream_any_age": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log",
         "conditional_tuples": f"WITH {STATE} SELECT {STATE_COLUMNS} FROM state WHERE condition IS NOT NULL",
         "tuple_lookup": f"""WITH {STATE} SELECT {STATE_COLUMNS} FROM state
             WHERE object_type = 'document' AND object_id = '0' AND relation = 'viewer'""",

@@ -17,6 +17,7 @@ from tuplefeed.operators import (
     changelog,
     cursor,
     dedupe,
+    history,
     quality,
     replicate,
     state,
@@ -29,6 +30,7 @@ from tuplefeed.sources import derived
 from tuplefeed.sources import feed as source
 from tuplefeed.sources import files, live
 from tuplefeed.streaming import streams
+from tuplefeed.streaming.counts import TupleCounts
 from tuplefeed.streaming.state_table import StateTable
 from tuplefeed.streaming.supervise import Supervisor, read_errors
 from tuplefeed.streaming.target import ChangeTarget, read_commits
@@ -359,6 +361,26 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.state_as_of(_events(spark, sf_dir), _middle(spark, sf_dir))
 
 
+@query
+def state_current_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions with gaps of 2**31 between them."""
+    events = _events(spark, sf_dir).withColumn("seq", F.col("seq") * (1 << 31))
+    return state.fold(events, segment_rows=1 << 10, by_rows=True)
+
+
+@query
+def state_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.history(_events(spark, sf_dir), segment_rows=1 << 10)
+
+
+@query
+def state_at_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after each 977th change."""
+    events = _events(spark, sf_dir)
+    points = derived.raw_events(spark, sf_dir).where(F.col("event_id") % 977 == 976).select(F.col("event_id").alias("position"))
+    return history.valid_at_many(history.history(events), points)
+
+
 @query
 def conditional_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.conditional_tuples(_state(spark, sf_dir))
@@ -576,6 +598,42 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return StateTable(spark, path, 16).read()
 
 
+@query
+def state_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of one part of the feed in the stored state."""
+    path = shared_folder(spark, "state")
+    _in_batches(
+        spark, sf_dir,
+        lambda feed, c: streams.sync_state(feed, path, c, derived.ingest_ts(), buckets=16, merge_every=2),
+    )
+    keys = _events(spark, sf_dir).where((F.col("object_type") == "folder") & (F.col("relation") == "viewer"))
+    return StateTable(spark, path, 16).with_keys(keys)
+
+
+@query
+def stream_stats_by_object_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tuples per object type after each batch, kept by differences."""
+    path, counts = shared_folder(spark, "state"), shared_folder(spark, "counts")
+    _in_batches(
+        spark, sf_dir,
+        lambda feed, c: streams.sync_state(feed, path, c, derived.ingest_ts(), buckets=16, merge_every=2, counts=counts),
+    )
+    return TupleCounts(spark, counts).read_all().select("version", "object_type", "tuples").where("tuples > 0")
+
+
+@query
+def dedupe_stream_any_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in parts, then all parts again."""
+    path, seen, checkpoint = shared_folder(spark, "changelog"), shared_folder(spark, "seen"), shared_folder(spark, "checkpoint")
+    landed = [shared_folder(spark, "landed") for _ in range(2)]
+    for folder in landed:
+        for batch in range(derived.BATCHES):
+            derived.land(spark, sf_dir, folder, batch)
+            feed = source.stream_feed(spark, f"{folder.rsplit('/', 1)[0]}/{{{','.join(f.rsplit('/', 1)[1] for f in landed)}}}/*")
+            streams.finish(streams.sync_changelog(feed, path, checkpoint, derived.ingest_ts(), seen=seen))
+    return changelog.read_changelog(spark, path).drop("event_date")
+
+
 @query
 def stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "requests")

@@ -97,6 +97,25 @@ class StateTable:
             tuples = apply_summary(tuples, self._waiting(at.merged, version), ["bucket"])
         return tuples.drop("bucket")
 
+    def changes(self, version: int) -> DataFrame:
+        """The summary that a batch wrote."""
+        return self.spark.read.schema(SUMMARY_SCHEMA).parquet(f"{self.path}/changes/version={version}")
+
+    def with_keys(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The tuples of these keys at a version. Only the folders of buckets that they fall into are
+        opened; the driver sees the numbers of these buckets."""
+        version = self.latest_version() if version is None else version
+        at = self._version(version)
+        bucket = F.pmod(F.xxhash64(*KEY), F.lit(self.buckets)).cast("int")
+        wanted = keys.select(*KEY, bucket.alias("bucket")).distinct()
+        touched = {r.bucket for r in wanted.select("bucket").distinct().collect()}
+        tuples = self._merged_tuples({b: home for b, home in at.homes.items() if b in touched})
+        tuples = tuples.join(wanted, [*KEY, "bucket"], "left_semi")
+        if version is not None and version > at.merged:
+            waiting = self._waiting(at.merged, version).join(wanted, [*KEY, "bucket"], "left_semi")
+            tuples = apply_summary(tuples, waiting, ["bucket"])
+        return tuples.drop("bucket")
+
     def apply(self, events: DataFrame, batch_id: int, vocab: str = "union", stream: str = "") -> None:
         """Write version ``batch_id`` from version ``batch_id - 1`` and the batch's events."""
         latest = self.latest_version()

@@ -22,6 +22,8 @@ from tuplefeed.operators.parse import parse_feed, parse_pages
 from tuplefeed.operators.quality import validate
 from tuplefeed.operators.replicate import BATCH_SIZE, bodies, deliver, net_changes, requests
 from tuplefeed.sources.feed import page_item_rejects, rejects
+from tuplefeed.streaming.counts import TupleCounts
+from tuplefeed.streaming.seen import SeenPositions
 from tuplefeed.streaming.state_table import BUCKETS, MERGE_EVERY, StateTable
 from tuplefeed.streaming.target import by_key
 
@@ -117,12 +119,16 @@ def sync(
     poll_interval: str | None = None,
     page_rows: int = PAGE_ROWS,
     side: str | None = None,
+    seen: str | None = None,
 ) -> StreamingQuery:
     """Run ``work(batch, events, batch_id)`` on every batch.
 
-    A batch is parsed once: its events are kept for the passes of ``work``, and their numbers are
-    observed while they are parsed. With ``side``, each batch also leaves a report of these numbers in
-    ``<side>/reports`` and what could not be parsed in ``<side>/rejects``.
+    With ``seen``, a folder of ``SeenPositions``, changes whose positions came before, however long
+    ago, are left out of ``events``; reports count them.
+
+    A batch is parsed once: its events are kept for the passes of ``work``. With ``side``, their numbers
+    are observed while they are parsed, and each batch leaves a report of these in ``<side>/reports``
+    and what could not be parsed in ``<side>/rejects``.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -130,14 +136,16 @@ def sync(
         spark = batch.sparkSession
         batch = batch.persist() if side else batch  # read by the parser and for the rejects
         metrics = Observation()
-        events = observed(_events(batch, page_rows), metrics).persist()
+        events = _events(batch, page_rows)
+        events = (observed(events, metrics) if side else events).persist()
         try:
-            work(batch, events, batch_id)
+            if side:  # parse and keep; plans of ``work`` may leave the observing step out
+                events.write.format("noop").mode("overwrite").save()
+            work(batch, SeenPositions(spark, seen).fresh(events, batch_id) if seen else events, batch_id)
             if side:
                 folder, rejected = side.rstrip("/"), Observation()
                 left_out = batch_rejects(batch).observe(rejected, F.count("*").alias("rejected"))
                 left_out.write.mode("overwrite").parquet(f"{folder}/rejects/batch_id={batch_id}")
-                events.write.format("noop").mode("overwrite").save()  # whatever ``work`` left unread
                 report = batch_report(spark, metrics.get, rejected.get["rejected"], time.monotonic() - began)
                 report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/reports/batch_id={batch_id}")
         finally:
@@ -155,13 +163,14 @@ def sync_changelog(
     poll_interval: str | None = None,
     page_rows: int = PAGE_ROWS,
     side: str | None = None,
+    seen: str | None = None,
 ) -> StreamingQuery:
     """Append every change to the audit table, exactly once."""
 
     def append(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
         append_changelog(changelog_rows(events, ingest_ts), path, batch_id, _stream_of(batch))
 
-    return sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side)
+    return sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side, seen)
 
 
 def sync_state(
@@ -175,13 +184,19 @@ def sync_state(
     merge_every: int = MERGE_EVERY,
     page_rows: int = PAGE_ROWS,
     side: str | None = None,
+    seen: str | None = None,
+    counts: str | None = None,
 ) -> StreamingQuery:
-    """Keep the current tuples, one table version per batch."""
+    """Keep the current tuples, one table version per batch. With ``counts``, a folder of
+    ``TupleCounts``, each version also has its numbers per object type."""
 
     def apply(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
-        StateTable(batch.sparkSession, path, buckets, merge_every).apply(events, batch_id, vocab, _stream_of(batch))
+        table = StateTable(batch.sparkSession, path, buckets, merge_every)
+        table.apply(events, batch_id, vocab, _stream_of(batch))
+        if counts:
+            TupleCounts(batch.sparkSession, counts).add(table, batch_id)
 
-    return sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side)
+    return sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side, seen)
 
 
 def sync_requests(
