@@ -58,8 +58,9 @@ def test_operations(spark):
         ("Tuple_To_Userset_Delete", "tuple_delete", "D", "U"),
         ("TUPLE_OPERATION_WRITE", "tuple_change", "W", "W"),
         ("tuple_operation_delete", "tuple_change", "D", "D"),
-        ("UNKNOWN", "tuple_change", "U", "U"),
         ("", "tuple_change", "U", "U"),
+        ("WRITE ", "tuple_change", "U", "U"),
+        ("rewrite", "tuple_change", "U", "U"),
     ]
     df = spark.createDataFrame(cases, "o STRING, kind STRING, op STRING, sink STRING")
     o = F.col("o")

@@ -194,6 +194,38 @@ def test_long_pages_need_only_a_number(spark, tmp_path):
         read_page_files(spark, str(folder))
 
 
+def test_a_page_number_comes_once(spark, tmp_path):
+    """Two files of one number are an error in one batch, and in two batches of a stream that was restarted."""
+
+    def page(name, seconds):
+        path = tmp_path / "pages" / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(json.dumps({"changes": [json.loads(t) for t in wires(3)]}))
+        os.utime(path, (time.time() - 1000 + seconds,) * 2)
+
+    def run(name):
+        stream = read_page_files(spark, str(tmp_path / "pages"), stream=True)
+        streams.finish(streams.sync_changelog(stream, str(tmp_path / name), str(tmp_path / f"c{name}")))
+
+    page("p-7.json", 0)
+    page("p-8.json", 1)
+    run("a")
+    page("p-007.json", 2)
+    for name in ("a", "b"):
+        with pytest.raises(Exception, match="page number 7 comes twice"):
+            run(name)
+    assert changelog.read_changelog(spark, str(tmp_path / "a")).count() == 6
+
+
+def test_streams_leave_no_folders_behind(spark, landed, tmp_path):
+    folder, _ = landed
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    streams.finish(streams.sync_requests(source(spark, folder), str(tmp_path / "requests"), str(tmp_path / "c"), batch_size=7))
+    assert set(os.listdir(shared)) == before
+    assert spark.read.parquet(str(tmp_path / "requests")).count() > 10
+
+
 def test_run_log_keeps_every_batch(spark, landed, tmp_path):
     folder, _ = landed
     path = str(tmp_path / "runs")

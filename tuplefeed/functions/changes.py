@@ -84,6 +84,7 @@ def with_condition_parts(df: DataFrame) -> DataFrame:
         }
     )
     named = F.col("_name").startswith('"') & (F.col("_name") != '""')
+    # The wording of messages, which readers of reports match on.
     error = F.when(F.col("_parsed").isNull(), "invalid condition JSON").when(
         ~F.coalesce(named, F.lit(False)), "condition name is required and must be a string"
     )

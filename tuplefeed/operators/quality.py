@@ -25,6 +25,7 @@ def _joined(problems: list[Column]) -> Column:
 
 def validate(events: DataFrame, strict: bool = False) -> DataFrame:
     """Add ``validation_error``, NULL for a good event. ``strict`` keeps only good events."""
+    # The wording of messages, which readers of reports match on.
     missing = [
         F.when(F.coalesce(F.col(name), F.lit("")) == "", f"{name} is required") for name in REQUIRED
     ]

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,4 +52,33 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tuplefeed-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in getattr(_open, "folders", []):
+        made.append(folder)
+    return folder
+
+
+_open = threading.local()
+
+
+@contextmanager
+def folders_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shared folders that are made inside, by this thread, when it is left.
+
+    For work that ends inside, such as a batch of a stream: a DataFrame that still reads such a
+    folder must not be used afterwards.
+    """
+    folders: list[str] = []
+    _open.folders = [*getattr(_open, "folders", []), folders]
+    try:
+        yield
+    finally:
+        _open.folders = _open.folders[:-1]
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder of any file system that Spark reaches; false if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

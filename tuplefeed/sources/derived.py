@@ -6,6 +6,7 @@ text type and of the time format differ.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +70,20 @@ def to_feed(events: DataFrame) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_feed(raw_events(spark, sf_dir))
+    """The feed that ``land_feed`` has put beside the events, or else one made of them."""
+    try:
+        return spark.read.schema("seq BIGINT, wire STRING").parquet(f"{sf_dir}/feed.parquet")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return to_feed(raw_events(spark, sf_dir))
+
+
+def land_feed(spark: SparkSession, sf_dir: str, path: str, files: int) -> None:
+    """Write events and feed to a folder of their own, in so many files by position. A feed at hand
+    is in many files, while the given events are one row group, which only one task can read."""
+    raw_events(spark, sf_dir).repartitionByRange(files, "event_id").sortWithinPartitions("event_id").write.parquet(f"{path}/events.parquet")
+    to_feed(raw_events(spark, path)).write.parquet(f"{path}/feed.parquet")
 
 
 BATCHES = 3

@@ -36,7 +36,7 @@ def read_page_files(
 ) -> DataFrame:
     """Pages saved as one JSON file each, numbered by the last digits in the file name, such as
     ``2024-page-000123.json``. A file without a number is an error, and so are two files with one
-    number (in a stream: two in one batch), since their changes would share positions."""
+    number, since their changes would share positions; streams see to that in ``streams.sync``."""
     reader = (spark.readStream if stream else spark.read).option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -21,6 +21,7 @@ from tuplefeed.operators.changelog import append_changelog, changelog_rows
 from tuplefeed.operators.parse import parse_feed, parse_pages
 from tuplefeed.operators.quality import validate
 from tuplefeed.operators.replicate import BATCH_SIZE, bodies, deliver, net_changes, requests
+from tuplefeed.session import folders_removed
 from tuplefeed.sources.feed import page_item_rejects, rejects
 from tuplefeed.streaming.counts import TupleCounts
 from tuplefeed.streaming.seen import SeenPositions
@@ -111,6 +112,20 @@ def read_rejects(spark: SparkSession, side: str) -> DataFrame:
     return spark.read.schema(REJECT_SCHEMA).parquet(f"{side.rstrip('/')}/rejects")
 
 
+def _new_pages(batch: DataFrame, path: str, batch_id: int) -> None:
+    """An error if a page number comes twice, in this batch or since the stream began: the changes of
+    the two pages would have the same positions."""
+    numbers = batch.select(F.col("page_no").alias("seq")).persist()
+    try:
+        pages = SeenPositions(batch.sparkSession, path)
+        again = numbers.groupBy("seq").count().where("count > 1").select("seq").first()
+        again = again or numbers.exceptAll(pages.fresh(numbers, batch_id)).first()
+    finally:
+        numbers.unpersist()
+    if again:
+        raise ValueError(f"page number {again.seq} comes twice")
+
+
 def sync(
     feed: DataFrame,
     work: Callable[[DataFrame, DataFrame, int], None],
@@ -124,7 +139,8 @@ def sync(
     """Run ``work(batch, events, batch_id)`` on every batch.
 
     With ``seen``, a folder of ``SeenPositions``, changes whose positions came before, however long
-    ago, are left out of ``events``; reports count them.
+    ago, are left out of ``events``; reports count them. Without it, a page number that comes twice is
+    an error. Folders that ``work`` makes for itself in the shared folder go when it is done.
 
     A batch is parsed once: its events are kept for the passes of ``work``. With ``side``, their numbers
     are observed while they are parsed, and each batch leaves a report of these in ``<side>/reports``
@@ -139,9 +155,12 @@ def sync(
         events = _events(batch, page_rows)
         events = (observed(events, metrics) if side else events).persist()
         try:
+            if "body" in batch.columns and not seen:
+                _new_pages(batch, f"{checkpoint.rstrip('/')}/page_numbers", batch_id)
             if side:  # parse and keep; plans of ``work`` may leave the observing step out
                 events.write.format("noop").mode("overwrite").save()
-            work(batch, SeenPositions(spark, seen).fresh(events, batch_id) if seen else events, batch_id)
+            with folders_removed(spark):
+                work(batch, SeenPositions(spark, seen).fresh(events, batch_id) if seen else events, batch_id)
             if side:
                 folder, rejected = side.rstrip("/"), Observation()
                 left_out = batch_rejects(batch).observe(rejected, F.count("*").alias("rejected"))
