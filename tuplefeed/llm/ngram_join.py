@@ -14,8 +14,8 @@ row's product links most of a group of copies; rows that it links are one compon
 only the others need products of their own. Groups of more than ``block`` n-grams are split, and
 every pair of splits is multiplied in its own task. What leaves a task is a spanning forest.
 
-Hot groups: exact copies show their n-grams once in a task; near copies meet the next smaller set
-of each n-gram, never pair by pair. Rounds are settled in the shared folder.
+Hot groups: exact copies show their n-grams once in a task; near copies meet the smallest set of
+each n-gram's run, never pair by pair. Rounds are settled in the shared folder.
 
 What is linked are sets, numbered once, never ids: different texts may share an id or have none.
 
@@ -220,18 +220,15 @@ def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def _candidates(shown: DataFrame, percent: int) -> DataFrame:
     """(first, group) for sets that meet others.
 
-    Of the sets with an n-gram, each meets the next smaller one, if their sizes allow a link. Two sets
-    whose sizes do so meet through those between them.
+    The sets with an n-gram, by size, fall into runs in which each size allows a link with the one
+    before, and each set meets the smallest of its run. In a group of copies most n-grams have the
+    same smallest holder, so that a set meets few others however large the group is.
     """
-    before = F.lag(F.struct("size", "first")).over(Window.partitionBy("part").orderBy("size", "first"))
-    meets = shown.withColumn("before", before).where((F.col("before.size") * 100 >= F.col("size") * percent) & (F.col("before.first") != F.col("first")))
-    meets = meets.select(F.col("first").alias("a"), F.col("before.first").alias("b"))
-    # A set meets at most one other in each leading n-gram. Of those it meets, all are linked to the
-    # smallest instead of to the set; in a group of copies these links are the same few.
-    near = meets.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("near"))
-    least_near = F.get("near", F.lit(0))
-    beside = near.select(F.explode(F.slice("near", 2, F.greatest(F.size("near") - 1, F.lit(0)))).alias("a"), least_near.alias("b"))
-    meets = near.select("a", least_near.alias("b")).union(beside.distinct())
+    order = Window.partitionBy("part").orderBy("size", "first")
+    fits = F.lag("size").over(order) * 100 >= F.col("size") * percent
+    starts = shown.withColumn("start", F.when(F.coalesce(fits, F.lit(False)), F.lit(None)).otherwise(F.col("first")))
+    least = F.last("start", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    meets = starts.select(F.col("first").alias("a"), least.alias("b")).where("a <> b").distinct()
     return connected(meets, "ngram-candidates").select(F.col("node").alias("first"), F.col("component").alias("group"))
 
 
@@ -244,12 +241,14 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
         F.sequence(F.lit(0), F.col("splits") - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j"))
     )
     wanted = placed.select(*KEY, "node", "first", "group", tasks.alias("tasks"))
+    # Written, so that its size is known: a small one is broadcast, and texts are then not shuffled.
+    wanted = settled(wanted, "ngram-wanted")
     joined = _keyed(docs).join(wanted, KEY).select("node", "text", "first", "group", "tasks")
     spread = map_rows(joined, n)
 
     def multiply(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, mine in rows.groupby(["group", "i", "j"]):
+        for _, mine in rows.drop_duplicates(["node", "group", "i", "j"]).groupby(["group", "i", "j"]):
             ids = mine["node"].to_numpy()
             sets = [np.frombuffer(b, np.uint64) for b in mine["grams"]]
             if len(sets) > 1:
@@ -267,16 +266,22 @@ def map_rows(joined: DataFrame, n: int) -> DataFrame:
     def make(batches):
         import pyarrow as pa
 
-        shingles = Shingles(n)
+        shingles, done = Shingles(n), set()
         for b in batches:
-            grams = [shingles.of(t) for t in b.column(1).to_pylist()]
-            same = [_key(g, _M1) == f for g, f in zip(grams, b.column(0).to_pylist(), strict=True)]
-            blobs = pa.array([g.tobytes() for g in grams], pa.binary())
-            kept = pa.array(same, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), b.column(4), blobs], names=["node", "group", "tasks", "grams"]).filter(kept)
+            rows, blobs = [], []
+            for row, (first, text, node) in enumerate(zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)):
+                if node in done:  # a repeated row; what other tasks repeat goes where sets are multiplied
+                    continue
+                grams = shingles.of(text)
+                if _key(grams, _M1) == first:
+                    done.add(node)
+                    rows.append(row)
+                    blobs.append(grams.tobytes())
+            kept = b.select(["node", "group", "tasks"]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(blobs, pa.binary())], names=["node", "group", "tasks", "grams"])
 
     made = sets.mapInArrow(make, "node long, group long, tasks array<struct<i:int,j:int>>, grams binary")
-    return made.dropDuplicates(["node", "group"]).select("node", "group", F.explode("tasks").alias("task"), "grams").select(
+    return made.select("node", "group", F.explode("tasks").alias("task"), "grams").select(
         "node", "group", "task.i", "task.j", "grams"
     )
 
