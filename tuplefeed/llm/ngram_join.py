@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -137,22 +138,41 @@ def _key(grams: np.ndarray, salt: np.uint64) -> int:
     return int(mixed(mixed(grams) + salt).sum(dtype=np.uint64).astype(np.int64))
 
 
+SLICES = 64
+CLASS = "doc_id long, text_hash long, n_shingles long, first long, second long"
+
+
 def classes(docs: DataFrame, n: int) -> DataFrame:
-    """Per document: its key, its size and the two hashes of its set."""
+    """In one pass: per document its key, its size and the two hashes of its set, and per task its
+    counters in slices (``slice``, ``part``, ``data``), which the other rows have as null.
+
+    A counter says how often its n-grams stand in sets, up to 65,535; equal sets count once in a task.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, done, total = Shingles(n), set(), np.zeros(1 << BITS, np.uint32)
+        out = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_hash", "n_shingles", "first", "second", "slice", "part")] + [("data", pa.binary())])
 
-    def make(batches):
-        import pyarrow as pa
+        def rows(count: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(count, f.type) for f in out], schema=out)
 
-        shingles = Shingles(n)
         for b in batches:
             sets = [shingles.of(t) for t in b.column(1).to_pylist()]
-            numbers = [list(map(len, sets)), [_key(s, _M1) for s in sets], [_key(s, _M2) for s in sets]]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), *(pa.array(c, pa.int64()) for c in numbers)],
-                names=["doc_id", "text_hash", "n_shingles", "first", "second"],
-            )
+            first = [_key(s, _M1) for s in sets]
+            for key, grams in zip(first, sets, strict=True):
+                if key not in done:
+                    done.add(key)
+                    np.add.at(total, counter_of(grams), 1)
+            if len(done) > 1_000_000:
+                done.clear()
+            numbers = [list(map(len, sets)), first, [_key(s, _M2) for s in sets]]
+            hashes = dict(zip(("n_shingles", "first", "second"), (pa.array(c, pa.int64()) for c in numbers), strict=True))
+            yield rows(len(sets), doc_id=b.column(0), text_hash=b.column(2), **hashes)
+        data = [packed(piece) for piece in np.split(np.minimum(total, 65_535), SLICES)]
+        part = pa.array([TaskContext.get().partitionId()] * SLICES, pa.int64())
+        yield rows(SLICES, slice=pa.array(range(SLICES), pa.int64()), part=part, data=pa.array(data, pa.binary()))
 
-    return _keyed(docs).mapInArrow(make, "doc_id long, text_hash long, n_shingles long, first long, second long")
+    return _keyed(docs).mapInArrow(make, f"{CLASS}, slice long, part long, data binary")
 
 
 #: What tells rows apart; those equal in it are repeated.
@@ -163,40 +183,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
 
 
-def _counters(docs: DataFrame, n: int) -> np.ndarray:
-    """How often each counter's n-grams stand in sets, up to 65,535; equal sets once in a task."""
-    slices = 64
-
-    def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
-        shingles, done, total = Shingles(n), set(), np.zeros(1 << BITS, np.uint32)
-        for _, texts in pairs:
-            for text in texts:
-                grams = shingles.of(text)
-                key = _key(grams, _M1)
-                if key not in done:
-                    done.add(key)
-                    np.add.at(total, counter_of(grams), 1)
-            if len(done) > 1_000_000:
-                done.clear()
-        part = TaskContext.get().partitionId()
-        data = [packed(piece) for piece in np.split(np.minimum(total, 65_535), slices)]
-        yield {"slice": list(range(slices)), "part": [part] * slices, "data": data}
+def _counters(found: DataFrame) -> np.ndarray:
+    """The counters of all tasks in ``classes``, summed."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.minimum(sum(unpacked(d) for d in rows["data"]), 65_535)
         return pd.DataFrame({"slice": rows["slice"][:1], "part": rows["part"][:1], "data": [packed(total)]})
 
     schema = "slice long, part long, data binary"
-    some = map_texts(texts_of(docs), make, schema)
+    some = found.where("slice IS NOT NULL").select("slice", "part", "data")
     some = some.groupBy("slice", F.floor(F.col("part") / 64).alias("some")).applyInPandas(add, schema)
-    found = {r["slice"]: unpacked(r["data"]) for r in some.groupBy("slice").applyInPandas(add, schema).collect()}
-    none = np.zeros((1 << BITS) // slices, np.int64)
-    return np.concatenate([found.get(k, none) for k in range(slices)]).astype(np.uint16)
+    summed = {r["slice"]: unpacked(r["data"]) for r in some.groupBy("slice").applyInPandas(add, schema).collect()}
+    none = np.zeros((1 << BITS) // SLICES, np.int64)
+    return np.concatenate([summed.get(k, none) for k in range(SLICES)]).astype(np.uint16)
 
 
-def _shown(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _shown(docs: DataFrame, counters: np.ndarray, n: int, percent: int) -> DataFrame:
     """(first, size, part): the leading n-grams of sets, equal sets once in a task."""
-    sent = docs.sparkSession.sparkContext.broadcast(_counters(docs, n))  # of a fixed size
+    sent = docs.sparkSession.sparkContext.broadcast(counters)  # of a fixed size
 
     def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
         shingles, done = Shingles(n), set()
@@ -263,9 +267,7 @@ def map_rows(joined: DataFrame, n: int) -> DataFrame:
     """Candidate texts as sets, once for each task that multiplies them."""
     sets = joined.select("first", "text", "node", "group", "tasks")
 
-    def make(batches):
-        import pyarrow as pa
-
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, done = Shingles(n), set()
         for b in batches:
             rows, blobs = [], []
@@ -291,12 +293,13 @@ SAME = ["n_shingles", "first", "second"]
 
 def _joined(docs: DataFrame, n: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
     """The rows with the hashes of their sets, and each set with the least row (``least``) that links reach."""
-    found = settled(classes(docs, n), "ngram-classes")
+    written = settled(classes(docs, n), "ngram-classes")
+    found = written.where("slice IS NULL").drop("slice", "part", "data")
     least = F.min(F.struct(*KEY)).alias("least")
     # Numbers are given as the table is written, so that every later step reads the same.
     numbered = found.where("n_shingles > 0").groupBy(SAME).agg(least).withColumn("node", F.monotonically_increasing_id())
     kinds = settled(numbered.select(*SAME, "node", "least.*"), "ngram-kinds")
-    met = kinds.join(_candidates(_shown(docs, n, percent), percent), "first")
+    met = kinds.join(_candidates(_shown(docs, _counters(written), n, percent), percent), "first")
     links = settled(_links(docs, met, n, percent, block), "ngram-links")
     reached = settled(kinds.join(connected(links, "ngram-components"), "node"), "ngram-reached")
     of_component = reached.groupBy("component").agg(least)
