@@ -14,8 +14,8 @@ row's product links most of a group of copies; rows that it links are one compon
 only the others need products of their own. Groups of more than ``block`` n-grams are split, and
 every pair of splits is multiplied in its own task. What leaves a task is a spanning forest.
 
-Hot groups: exact copies show their n-grams once in a task; near copies meet the smallest set of
-each n-gram's run, never pair by pair. Rounds are settled in the shared folder.
+Hot groups: exact copies show their n-grams once in a task; near copies meet in runs of an n-gram's
+sets, never pair by pair. Rounds are settled in the shared folder.
 
 What is linked are sets, numbered once, never ids: different texts may share an id or have none.
 
@@ -74,6 +74,8 @@ class Shingles(dict):
 
 
 BITS = 22
+#: N-grams of sets that one task multiplies.
+BLOCK_GRAMS = 4_000_000
 
 
 def counter_of(grams: np.ndarray) -> np.ndarray:
@@ -86,8 +88,10 @@ def leading(grams: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray
     return grams[np.lexsort((grams, counters[counter_of(grams)]))[:first]]
 
 
-def linked_rows(sets: list[np.ndarray], percent: int, at_once: int = 64) -> list[tuple[int, int]]:
-    """A spanning forest of the links among sets."""
+def linked_rows(
+    sets: list[np.ndarray], percent: int, at_once: int = 64, products: int = 2_000_000
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links among sets. ``products`` bounds what is multiplied at once."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     grams = np.concatenate(sets)
@@ -127,9 +131,13 @@ def linked_rows(sets: list[np.ndarray], percent: int, at_once: int = 64) -> list
         return yes
 
     rest = np.flatnonzero(~join(np.array([0]))[0])
-    step = max(1, min(at_once, 4_000_000 // max(1, int(sizes.max()) * 8)))
-    for at in range(0, len(rest), step):
-        join(rest[at : at + step])
+    # A row's work is the holders of its n-grams; rows are multiplied together up to a bound of that.
+    work = np.add.reduceat(np.bincount(column)[column], row_ends - sizes)[rest]
+    at = 0
+    while at < len(rest):
+        fitting = int(np.searchsorted(np.cumsum(work[at : at + at_once]), products, "right"))
+        join(rest[at : at + max(1, min(fitting, products // n))])
+        at += max(1, min(fitting, products // n))
     return forest
 
 
@@ -225,15 +233,39 @@ def _candidates(shown: DataFrame, percent: int) -> DataFrame:
     """(first, group) for sets that meet others.
 
     The sets with an n-gram, by size, fall into runs in which each size allows a link with the one
-    before, and each set meets the smallest of its run. In a group of copies most n-grams have the
-    same smallest holder, so that a set meets few others however large the group is.
+    before; sets of a run are one group. Sets and runs are never turned into pairs of sets: each round
+    takes the least set of each run and the least of these for each set, which takes its place. Rows
+    that become equal, and runs left with one set, go, so rounds shrink; each row is one of ``shown``.
     """
     order = Window.partitionBy("part").orderBy("size", "first")
     fits = F.lag("size").over(order) * 100 >= F.col("size") * percent
     starts = shown.withColumn("start", F.when(F.coalesce(fits, F.lit(False)), F.lit(None)).otherwise(F.col("first")))
-    least = F.last("start", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    meets = starts.select(F.col("first").alias("a"), least.alias("b")).where("a <> b").distinct()
-    return connected(meets, "ngram-candidates").select(F.col("node").alias("first"), F.col("component").alias("group"))
+    run = F.last("start", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = starts.withColumn("start", run)
+    rows = _open_runs(placed.select(F.col("first").alias("node"), "part", "start"), ["part", "start"])
+    rows = rows.select("node", F.xxhash64("part", "start").alias("run"), "least")
+    moves = []
+    while True:
+        parent = F.min("least").over(Window.partitionBy("node"))
+        stepped = settled(rows.select("node", "run", parent.alias("parent")), "ngram-runs")
+        if stepped.isEmpty():
+            break
+        moves.append(settled(stepped.select("node", "parent").distinct(), "ngram-moves"))
+        merged = stepped.select(F.col("parent").alias("node"), "run").repartition("run").dropDuplicates(["run", "node"])
+        rows = _open_runs(merged, ["run"])
+    if not moves:
+        return shown.select("first", F.col("first").alias("group")).limit(0)
+    found = moves[0].select(F.col("node").alias("first"), F.col("parent").alias("group"))
+    for move in moves[1:]:
+        found = found.join(move.withColumnRenamed("node", "group"), "group", "left").select("first", F.coalesce("parent", "group").alias("group"))
+    return found
+
+
+def _open_runs(rows: DataFrame, run: list[str]) -> DataFrame:
+    """The rows of runs with more than one set, with the least of them."""
+    of_run = Window.partitionBy(*run)
+    bounded = rows.withColumns({"least": F.min("node").over(of_run), "most": F.max("node").over(of_run)})
+    return bounded.where("least < most").drop("most")
 
 
 def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block: int) -> DataFrame:
@@ -244,7 +276,7 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
     tasks = F.transform(
         F.sequence(F.lit(0), F.col("splits") - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j"))
     )
-    wanted = placed.select(*KEY, "node", "first", "group", tasks.alias("tasks"))
+    wanted = placed.select(*KEY, "node", "first", "group", "n_shingles", tasks.alias("tasks"))
     # Written, so that its size is known: a small one is broadcast, and texts are then not shuffled.
     wanted = settled(wanted, "ngram-wanted")
     joined = _keyed(docs).join(wanted, KEY).select("node", "text", "first", "group", "tasks")
@@ -259,7 +291,9 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
                 out += [(ids[a], ids[b]) for a, b in linked_rows(sets, percent)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    bucket = F.pmod(F.xxhash64("group", "i", "j"), F.lit(4096))
+    # Small groups share a frame, as many as a quarter of a block holds.
+    buckets = 1 + (wanted.agg(F.sum("n_shingles")).first()[0] or 0) * 4 // block
+    bucket = F.pmod(F.xxhash64("group", "i", "j"), F.lit(buckets))
     return spread.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(multiply, "a long, b long")
 
 
@@ -308,7 +342,7 @@ def _joined(docs: DataFrame, n: int, percent: int, block: int) -> tuple[DataFram
     return found, linked.union(alone)
 
 
-def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000) -> DataFrame:
+def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = BLOCK_GRAMS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, and the smallest id reachable by links."""
     found, kinds = _joined(docs, n, percent, block)
     out = found.join(kinds.select(*SAME, F.col("least.doc_id").alias("component")), SAME, "left")
@@ -318,7 +352,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_00
     )
 
 
-def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, block: int = BLOCK_GRAMS) -> DataFrame:
     """``docs`` with one row of each component, that of its smallest id; all columns are kept.
 
     Rows without n-grams are linked with nothing, and only repeated ones go.
