@@ -277,18 +277,23 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
         F.sequence(F.lit(0), F.col("splits") - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j"))
     )
     wanted = placed.select(*KEY, "node", "first", "group", "n_shingles", tasks.alias("tasks"))
-    # Written, so that its size is known: a small one is broadcast, and texts are then not shuffled.
     wanted = settled(wanted, "ngram-wanted")
-    joined = _keyed(docs).join(wanted, KEY).select("node", "text", "first", "group", "tasks")
-    spread = map_rows(joined, n)
+    # Merged at every size: the list grows with the input, and no step should change with it. Texts are
+    # shuffled and not their sets, which are larger and compress less.
+    texts = _keyed(docs).join(wanted.hint("merge"), KEY).select("node", "first", "group", F.explode("tasks").alias("task"), "text")
+    spread = texts.select("node", "first", "group", "task.i", "task.j", "text")
 
     def multiply(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, mine in rows.drop_duplicates(["node", "group", "i", "j"]).groupby(["group", "i", "j"]):
-            ids = mine["node"].to_numpy()
-            sets = [np.frombuffer(b, np.uint64) for b in mine["grams"]]
-            if len(sets) > 1:
-                out += [(ids[a], ids[b]) for a, b in linked_rows(sets, percent)]
+        out, shingles = [], Shingles(n)
+        for _, mine in rows.drop_duplicates().groupby(["group", "i", "j"]):
+            sets = {}
+            for node, first, text in zip(mine["node"], mine["first"], mine["text"], strict=True):
+                grams = shingles.of(text)
+                if _key(grams, _M1) == first:  # and no other text of the same key
+                    sets[node] = grams
+            ids = list(sets)
+            if len(ids) > 1:
+                out += [(ids[a], ids[b]) for a, b in linked_rows(list(sets.values()), percent)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     # Small groups share a frame, as many as a quarter of a block holds.
@@ -297,31 +302,6 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
     return spread.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(multiply, "a long, b long")
 
 
-def map_rows(joined: DataFrame, n: int) -> DataFrame:
-    """Candidate texts as sets, once for each task that multiplies them."""
-    sets = joined.select("first", "text", "node", "group", "tasks")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, done = Shingles(n), set()
-        for b in batches:
-            rows, blobs = [], []
-            for row, (first, text, node) in enumerate(zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)):
-                if node in done:  # a repeated row; what other tasks repeat goes where sets are multiplied
-                    continue
-                grams = shingles.of(text)
-                if _key(grams, _M1) == first:
-                    done.add(node)
-                    rows.append(row)
-                    blobs.append(grams.tobytes())
-            kept = b.select(["node", "group", "tasks"]).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(blobs, pa.binary())], names=["node", "group", "tasks", "grams"])
-
-    made = sets.mapInArrow(make, "node long, group long, tasks array<struct<i:int,j:int>>, grams binary")
-    return made.select("node", "group", F.explode("tasks").alias("task"), "grams").select(
-        "node", "group", "task.i", "task.j", "grams"
-    )
-
-
 SAME = ["n_shingles", "first", "second"]
 
 
