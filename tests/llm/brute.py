@@ -73,7 +73,7 @@ def near_components(docs, n=3, percent=90):
                     root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(sets):
-        least[find(i)] = min(least.get(find(i), d), d, key=lambda x: (x is not None, x))
+        least[find(i)] = min(least.get(find(i), d), d, key=lambda x: (x is None, x or 0))  # a null is no smallest id
     return [(d, len(s), least[find(i)]) for i, (d, s) in enumerate(sets)]
 
 

@@ -20,8 +20,9 @@ sets, never pair by pair. Rounds are settled in the shared folder.
 What is linked are sets, numbered once, never ids: different texts may share an id or have none.
 
 Defined results: a null or empty text has no n-grams and is linked with nothing; with fewer words
-than n, all of them are one n-gram; repeated rows are in one class; a null id is below all others
-and comes back as null; an empty table gives no rows; texts are taken whole.
+than n, all of them are one n-gram; repeated rows are in one class; a null id is no smallest id, and
+``component_id`` is null only where no linked row has one; an empty table gives no rows; texts are
+taken whole.
 """
 
 from __future__ import annotations
@@ -309,17 +310,18 @@ def _joined(docs: DataFrame, n: int, percent: int, block: int) -> tuple[DataFram
     """The rows with the hashes of their sets, and each set with the least row (``least``) that links reach."""
     written = settled(classes(docs, n), "ngram-classes")
     found = written.where("slice IS NULL").drop("slice", "part", "data")
-    least = F.min(F.struct(*KEY)).alias("least")
+    # The least id there is; rows without one come last.
+    least = F.min(F.struct((F.col("doc_id") == NO_ID).alias("no_id"), *KEY)).alias("least")
     # Numbers are given as the table is written, so that every later step reads the same.
     numbered = found.where("n_shingles > 0").groupBy(SAME).agg(least).withColumn("node", F.monotonically_increasing_id())
-    kinds = settled(numbered.select(*SAME, "node", "least.*"), "ngram-kinds")
+    kinds = settled(numbered.select(*SAME, "node", *(f"least.{c}" for c in KEY)), "ngram-kinds")
     met = kinds.join(_candidates(_shown(docs, _counters(written), n, percent), percent), "first")
     links = settled(_links(docs, met, n, percent, block), "ngram-links")
     reached = settled(kinds.join(connected(links, "ngram-components"), "node"), "ngram-reached")
     of_component = reached.groupBy("component").agg(least)
     linked = reached.join(of_component, "component").select(*SAME, "least")
     alone = kinds.join(reached, "node", "left_anti").select(*SAME, F.struct(*KEY).alias("least"))
-    return found, linked.union(alone)
+    return found, linked.select(*SAME, F.struct(*(f"least.{c}" for c in KEY)).alias("least")).union(alone)
 
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = BLOCK_GRAMS) -> DataFrame:
@@ -332,18 +334,27 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, block: int = BLOC
     )
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, block: int = BLOCK_GRAMS) -> DataFrame:
     """``docs`` with one row of each component, that of its smallest id; all columns are kept.
 
     Rows without n-grams are linked with nothing, and only repeated ones go.
     """
     found, kinds = _joined(docs, n, percent, block)
-    key = ["__id", "__text"]
+    key = [_unused(docs, name) for name in ("__id", "__text")]
+    place_name = _unused(docs, "__place")
     stays = kinds.select("least.*").union(found.where("n_shingles = 0").select(*KEY)).distinct().toDF(*key)
     keyed = docs.withColumns({
         key[0]: F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)),
         key[1]: F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))),
     })
     place = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    kept = keyed.join(stays, key, "left_semi").withColumn("__place", place).where("__place = 1")
-    return kept.drop(*key, "__place")
+    kept = keyed.join(stays, key, "left_semi").withColumn(place_name, place).where(F.col(place_name) == 1)
+    return kept.drop(*key, place_name)
