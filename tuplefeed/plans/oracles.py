@@ -233,6 +233,8 @@ def all_oracles() -> dict[str, str]:
         "audit_by_change_type": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE change_type = 'DELETE'",
         "audit_by_object_type": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE object_type = 'folder'",
         "audit_by_relation": f"WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE relation = 'editor'",
+        "audit_clustered": f"""WITH {CHANGELOG} SELECT {LOG_COLUMNS} FROM log WHERE ts >= TIMESTAMP '{SINCE}'
+            AND object_type = 'document' AND relation = 'viewer' AND user_type = 'user'""",
         "state_by_user_type": f"WITH {STATE} SELECT * FROM state WHERE user_type = 'org'",
         "state_by_object_type": f"WITH {STATE} SELECT * FROM state WHERE object_type = 'table'",
         "state_by_relation": f"WITH {STATE} SELECT * FROM state WHERE relation = 'viewer'",

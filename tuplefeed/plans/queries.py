@@ -15,6 +15,7 @@ from tuplefeed.functions import changes as C
 from tuplefeed.functions import refs
 from tuplefeed.operators import (
     changelog,
+    clustering,
     cursor,
     dedupe,
     history,
@@ -291,6 +292,14 @@ def audit_by_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.audit(_changelog(spark, sf_dir), relation="editor")
 
 
+@query
+def audit_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "clustered")
+    clustering.write_clustered(_changelog(spark, sf_dir), path)
+    table = clustering.read_clustered(spark, path)
+    return changelog.audit(table, since=_at(SINCE), object_type="document", relation="viewer", user_type="user").drop("event_date")
+
+
 @query
 def state_by_user_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.audit(_state(spark, sf_dir), user_type="org")
