@@ -197,6 +197,7 @@ def all_oracles() -> dict[str, str]:
             SELECT seq, wire, p // 100 AS page_no, p % 100 AS pos FROM n""",
         "feed_page_summary": f"WITH {PAGES} SELECT * FROM page_summary",
         "feed_fetch_all_capped": f"WITH {CAPPED} SELECT seq, page_no, {KEY} FROM fetched",
+        "feed_shredded_since": f"{events} seq, operation, ts FROM ev WHERE ts >= TIMESTAMP '{SINCE}' AND op = 'W'",
         "feed_changes_since": f"{events} seq, ts FROM ev WHERE ts >= TIMESTAMP '{SINCE}'",
         "feed_changes_since_capped": f"""WITH {CAPPED} SELECT seq, page_no, ts FROM fetched
             WHERE ts >= TIMESTAMP '2024-01-05 00:00:00'""",

@@ -29,7 +29,7 @@ from tuplefeed.operators.parse import parse_changes, parse_feed, with_tuple_key
 from tuplefeed.session import configure, shared_folder
 from tuplefeed.sources import derived
 from tuplefeed.sources import feed as source
-from tuplefeed.sources import files, live
+from tuplefeed.sources import files, live, shredded
 from tuplefeed.streaming import streams
 from tuplefeed.streaming.counts import TupleCounts
 from tuplefeed.streaming.state_table import StateTable
@@ -134,6 +134,14 @@ def feed_fetch_all_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetched.select("seq", "page_no", *state.KEY)
 
 
+@query
+def feed_shredded_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "shredded")
+    shredded.land_shredded(derived.feed(spark, sf_dir), path)
+    events = parse_changes(shredded.read_shredded(spark, path), derived.ingest_ts())
+    return source.changes_since(events, _at(SINCE)).where(C.op_code(F.col("operation")) == C.WRITE).select("seq", "operation", "ts")
+
+
 @query
 def feed_changes_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.changes_since(_paged_events(spark, sf_dir), _at(SINCE)).select("seq", "ts")
