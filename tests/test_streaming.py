@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import time
 
 import pytest
@@ -120,6 +121,33 @@ def test_a_late_batch_applies_when_it_arrives(spark, tmp_path, merge_every):
         assert state_dict(table.read()) == applied
 
 
+def test_a_small_batch_spares_most_of_the_state(spark, tmp_path):
+    path = tmp_path / "state"
+    table = StateTable(spark, str(path), 16, merge_every=1, small=0)
+    rows = [event(i, "WRITE", f"k{i}") for i in range(4000)]
+    table.apply(events_of(spark, rows), 0)
+    done, rng = rows, random.Random(7)
+    size = lambda v: sum(f.stat().st_size for k in ("data", "pending") for f in (path / k / f"version={v}").rglob("*.parquet"))
+    rewritten = []
+    for batch in range(1, 7):
+        part = [event(4000 * batch + i, rng.choice(["WRITE", "DELETE"]), f"k{rng.randrange(4000)}") for i in range(80 if batch > 1 else 40)]
+        table.apply(events_of(spark, part), batch)
+        done = done + part
+        assert state_dict(table.read()) == replay(done)
+        rewritten.append(len(list((path / "data" / f"version={batch}").glob("bucket=*"))))
+    assert rewritten[0] == 0 and size(1) < size(0) / 10
+    assert 0 < sum(rewritten) < 2 * 16
+    expected = state_dict(table.read(4))
+    hot = [event(40_000 + i, "WRITE", f"k{i}") for i in range(1000)]
+    table.apply(events_of(spark, hot), 7)
+    late = [event(5, "DELETE", "k6"), event(6, "WRITE", "k7")]
+    table.apply(events_of(spark, late), 8)
+    assert state_dict(table.read()) == replay(late, replay(done + hot))
+    assert table.remove_versions(4) > 0 and state_dict(table.read(4)) == expected
+    assert table.remove_versions(8) > 0 and not list((path / "pending").glob("version=*"))
+    assert state_dict(table.read()) == replay(late, replay(done + hot))
+
+
 def test_another_stream_is_refused_and_old_versions_go(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "state"), 3, merge_every=1)
     rows = random_events(4, 60, keys=12)
