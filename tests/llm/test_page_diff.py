@@ -1,3 +1,7 @@
+import re
+import time
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -20,6 +24,25 @@ def test_common_lines_are_a_longest_common_subsequence(a, b):
     assert all(any(a[i] == x for x in rest) for i in places)
 
 
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>")
+
+
+@settings(deadline=None, max_examples=500)
+@given(st.text("<<>>/!a1\"' =", max_size=40))
+def test_tags_equal_a_plain_pattern(page):
+    assert list(page_diff.tags(page)) == [(m.start(), m.end(), m[1] or "", m[2] or "", m[3] or "") for m in PLAIN_TAG.finditer(page)]
+
+
+@pytest.mark.parametrize(
+    "part, after", [("<a ", ""), ("<a ", ">"), ('<a "', ">"), ("<a '<b \"", ">"), ("<!", ""), ("<div>", "</section>" * 100_000), ("<p><span>", "<hr>" * 100_000)]
+)
+def test_broken_markup_takes_linear_time(part, after):
+    page = part * (1_000_000 // len(part)) + after
+    begun = time.process_time()
+    page_diff.lines_of(page)
+    assert time.process_time() - begun < 8
+
+
 def test_lines_by_markup():
     page = """<html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>Menu</ul></nav>
     <div class="cookie-notice"><p>We use cookies</div><script>if (a < b) "<p>no</p>"</script>
@@ -33,8 +56,6 @@ def test_lines_by_markup():
 
 
 def test_query_on_pages(spark, sf_dir):
-    import re
-
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = QUERIES["op5_page_diff"](spark, sf_dir).collect()
     assert sorted(r.page_id for r in rows) == sorted(pages)

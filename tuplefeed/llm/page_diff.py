@@ -15,7 +15,8 @@ once for the result, since hashes are much smaller than lines to keep.
 
 Defined results: null or empty html gives an empty text; a null URL has an empty host and path;
 repeated rows are pages each; a page alone on its host keeps all lines that its markup allows; an
-empty table gives no rows; pages of any length are taken whole; other columns are dropped.
+empty table gives no rows; pages of any length are taken whole, in time linear in their markup
+(tags without an end are text); other columns are dropped.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from tuplefeed.llm.common import prepared, settled
 
 RAW = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b.*?(?:</\1\s*>|\Z)")
-TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>")
+OPENING = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9]*)|[!?])")
+STOP = re.compile(r"[>\"']")
 NAMED = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 ASIDE = re.compile(
     r"(?i)(?:^|[\s_\"'-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|login|masthead|"
@@ -53,18 +55,49 @@ ITEMS = {"p", "li", "dd", "dt", "tr"}  # may stay unclosed; held only where they
 HELD = BLOCKS - ITEMS - {"hr"} | {"span"}
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of every tag; a ``>`` in quotes does not end one.
+
+    What opens like a tag and never ends is text. Where a tag ends is worked out from the back, once
+    for every quote and ``>``, so that the time is linear however many openings have no end.
+    """
+    places = [m.start() for m in STOP.finditer(page)]
+    ends, later = [-1] * (len(places) + 1), {}
+    for k in range(len(places) - 1, -1, -1):
+        char = page[places[k]]
+        if char == ">":
+            ends[k] = places[k]
+        else:
+            if char in later:
+                ends[k] = ends[later[char] + 1]
+            later[char] = k
+    last, at, k = page.rfind(">"), 0, 0
+    while (m := OPENING.search(page, at)) and m.end() <= last:
+        while places[k] < m.end():
+            k += 1
+        end = ends[k] if m[2] else page.find(">", m.end())
+        at = m.end() if end < 0 else end + 1
+        if end >= 0:
+            yield m.start(), at, m[1] or "", m[2] or "", page[m.end() : end] if m[2] else ""
+
+
 def lines_of(page: str | None) -> list[tuple[str, int]]:
     """(text, where) of every block: 1 inside an article, -1 outside by its markup, else 0."""
     found: list[tuple[str, int]] = []
     page = RAW.sub(" ", page or "")
-    open_tags: list[tuple[str, bool, bool]] = []  # name, outside, inside
+    open_tags: list[tuple[str, bool, bool, str]] = []  # name, outside, inside, innermost but for spans
+    n_open: Counter[str] = Counter()
     held: list[str] = []
     outside = inside = False
 
     def item() -> str:
         """The innermost open element, if it is one of ``ITEMS``."""
-        name = next((t[0] for t in reversed(open_tags) if t[0] != "span"), "")
-        return name if name in ITEMS else ""
+        return open_tags[-1][3] if open_tags and open_tags[-1][3] in ITEMS else ""
+
+    def pop() -> tuple[str, bool, bool, str]:
+        last = open_tags.pop()
+        n_open[last[0]] -= 1
+        return last
 
     def close_block() -> None:
         text = " ".join("".join(held).split())
@@ -73,34 +106,35 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         held.clear()
 
     done = 0
-    for m in TAG.finditer(page):
-        if m.start() > done:
-            text = page[done : m.start()]
+    for start, end, slash, name, attributes in tags(page):
+        if start > done:
+            text = page[done:start]
             held.append(html.unescape(text) if "&" in text else text)
-        done = m.end()
-        name = (m[2] or "").lower()
+        done, name = end, name.lower()
         if name in SPACED:
             held.append(" ")
         if name not in BLOCKS and name != "span":
             continue
-        attributes = m[3] if not m[1] else ""
+        attributes = "" if slash else attributes
         named = bool(attributes) and any(ASIDE.search(a) for a in NAMED.findall(attributes))
         if name in BLOCKS or named:
             close_block()
-        if not m[1] and name in BLOCKS and (last := item()) and (last in ("p", name) or {last, name} <= {"dd", "dt"}):
+        if not slash and name in BLOCKS and (last := item()) and (last in ("p", name) or {last, name} <= {"dd", "dt"}):
             while open_tags[-1][0] == "span":
-                open_tags.pop()
-            _, outside, inside = open_tags.pop()
-        if name not in HELD and not (name in ITEMS and (item() == name if m[1] else named)):
+                pop()
+            _, outside, inside, _ = pop()
+        if name not in HELD and not (name in ITEMS and (item() == name if slash else named)):
             continue
-        if not m[1]:
+        if not slash:
             if not attributes.endswith("/"):
-                open_tags.append((name, outside, inside))
+                around = open_tags[-1][3] if open_tags else ""
+                open_tags.append((name, outside, inside, around if name == "span" else name))
+                n_open[name] += 1
                 outside = outside or (name in OUTSIDE and not (name == "header" and inside)) or (named and name not in ("html", "body", *INSIDE))
                 inside = inside or name in INSIDE
-        elif any(t[0] == name for t in open_tags):
+        elif n_open[name]:
             while True:
-                last, was_outside, was_inside = open_tags.pop()
+                last, was_outside, was_inside, _ = pop()
                 if was_outside != outside or was_inside != inside:
                     close_block()
                 outside, inside = was_outside, was_inside
