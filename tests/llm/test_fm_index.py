@@ -68,3 +68,14 @@ def test_clean_cuts_spans_and_keeps_columns(spark, odd):
     texts = {r.doc_id: r.text for r in cleaned.collect()}
     assert texts[6] == ("one  six seven eight nine ten eleven twelve " * 40)
     assert texts[1] is None and texts[4] == "Word"
+
+
+def test_clean_keeps_columns_named_like_its_marks(spark, odd):
+    bench = spark.createDataFrame([("a-1", "two three"), (None, "three FOUR five")], "item_id string, text string")
+    clash = odd.withColumnsRenamed({"spans": "__spans", "block": "__WORDS", "score": "__items", "source": "c0"})
+    cleaned = fm_index.clean(clash, bench)
+    assert cleaned.schema == clash.schema
+    plain = fm_index.clean(odd, bench)
+    assert sorted(map(str, map(tuple, cleaned.collect()))) == sorted(map(str, map(tuple, plain.collect())))
+    items = {r.doc_id: r["items"] for r in fm_index.find(clash, bench).collect()}
+    assert items[6] == ["None", "a-1"] and items[4] == []

@@ -11,7 +11,8 @@ over the documents for each block, so what a task holds has a bound however larg
 
 Defined results: a null or empty text has no words and is not contaminated; repeated rows are
 each marked; null ids stay null; items without words match nothing, as does an empty benchmark,
-equal items are all named; a text of any length is searched whole; other columns are kept.
+equal items are all named, one with a null id as ``None``; a text of any length is
+searched whole; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -112,13 +113,13 @@ class FMIndex:
 class Phrases:
     """The windows of some benchmark items, as numbers of their own vocabulary."""
 
-    def __init__(self, items: Iterable[tuple[object, list[bytes]]], window: int = 10) -> None:
+    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int = 10) -> None:
         self.number: dict[bytes, int] = {}
         of: dict[tuple[int, ...], list[str]] = {}
         for item, words in items:
             ids = tuple(self.number.setdefault(w, len(self.number) + 1) for w in words)
             for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                of.setdefault(ids[i : i + window], []).append(str(item))
+                of.setdefault(ids[i : i + window], []).append(item)
         self.rows = np.full((len(of), window), -1, np.int64)
         for k, ids in enumerate(of):
             self.rows[k, window - len(ids) :] = ids
@@ -167,7 +168,8 @@ class Phrases:
 
 def _phrase_blocks(benchmark: DataFrame, block_words: int, window: int) -> Iterator[Phrases]:
     held, size = [], 0
-    for item, text in texts_of(benchmark, "item_id").toLocalIterator():
+    named = benchmark.select(*(F.coalesce(benchmark[c].cast("string"), F.lit(null)) for c, null in (("item_id", "None"), ("text", ""))))
+    for item, text in named.toLocalIterator():
         words = words_of(text)
         if words:
             held.append((item, words))
@@ -257,7 +259,8 @@ def find(docs: DataFrame, benchmark: DataFrame, **parameters: int) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **parameters: int) -> DataFrame:
     """``docs`` without the hit words and what stands between words of one span."""
-    hits = marked(docs, benchmark, **parameters)
+    apart = docs.toDF(*("text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)))  # no clash with the marks
+    hits = marked(apart, benchmark, **parameters)
     at, spans_at, names = hits.columns.index("text"), hits.columns.index(SPANS), docs.columns
 
     def cut(text: str | None, spans: list[int]) -> str | None:
@@ -275,6 +278,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, **parameters: int) -> DataFrame
             columns = b.columns[: len(names)]
             texts = map(cut, b.column(at).to_pylist(), b.column(spans_at).to_pylist())
             columns[at] = pa.array(list(texts), b.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(b.schema)[: len(names)]))
+            fields = [b.schema.field(k).with_name(name) for k, name in enumerate(names)]
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
     return hits.mapInArrow(task, T.StructType(docs.schema.fields))
