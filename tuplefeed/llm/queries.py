@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return suffix_tree.score(docs, lambda key: toxicity.remainder(key, 7) != 2)
+    return suffix_tree.score(docs, lambda key: toxicity.remainder(key, 7) != 2, longest=3)
 
 
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

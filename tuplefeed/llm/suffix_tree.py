@@ -1,19 +1,22 @@
 """Language-model scoring by a probabilistic suffix tree, with a word-count base beside it.
 
-The tree predicts the bytes of a text's tokens one by one: each word's bytes, a space that ends the
-word, and a line end that ends the text, so that the probabilities of all token sequences sum to 1.
-A context is a run of bytes before the next one. Contexts grow level by level from counts over all
-training texts: a context is a candidate while it makes up at least ``least_share`` of the training
-bytes, which bounds each level by 1 / ``least_share`` contexts. Next-byte distributions are smoothed
+The tree's contexts are runs of up to ``longest`` words, counted and tested in tables that grow with
+the input (``word_contexts``). Their level 0 mixes the words' counts with their spelling, so unknown
+words have a probability too: a tree over bytes, of ``depth``, learns from the distinct training words
+and predicts a word's bytes and the space that ends it, or a line end for the end of a text.
+
+The tree over bytes grows level by level: a context is a candidate from ``least_count`` occurrences
+on, and only while it makes up ``least_share`` of the bytes, which bounds each level by
+1 / ``least_share`` contexts; it is about spelling, and what grows are the words. Next-byte distributions are smoothed
 towards the next shorter context (Witten-Bell); a context is retained if its distribution diverges
 from the shorter one's by more than its parameters cost, or if a longer retained one needs it.
-A byte is scored in the longest retained context that ends before it.
+Without ``longest`` this tree learns from whole texts and scores them alone.
 
-Texts are written once, in blocks, to the shared folder. Each level is one pass over them: tasks add
-up what they read before anything is shuffled, and the sums, bounded as above, form the tree on the
-driver. Counts of words have no bound, so they stay distributed: each block sends its distinct words
-once, to buckets by hash, and gets their counts back. A frequent word is one entry of a block, so
-it is no hot key.
+Texts are written once, in blocks, to the shared folder; each level of words reads them again, with
+the answers so far. The byte tree's sums, bounded as above, meet on the driver. Counts of words
+and contexts have no bound, so they stay distributed: each block sends its distinct words and runs
+once, to buckets by hash, and gets their counts back. A frequent one is one entry of a block, so it
+is no hot key.
 
 Defined results: a null or empty text is the end token alone; repeated rows are scored each; a null
 id trains (it has no remainder) and comes back as null; without training texts every byte has the
@@ -33,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tuplefeed.llm import word_contexts
 from tuplefeed.llm.common import LOWERED, grouped_by_size, packed, settled, texts_of, unpacked
 
 END = 10  # a line end, which no word holds
@@ -132,15 +136,16 @@ def _written(texts: DataFrame, learns: Column) -> DataFrame:
         pack, block = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 32
         rows = ((list(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)), b.column(1).to_pylist()) for b in batches)
         for keys, some in grouped_by_size(rows, BLOCK_CHARS):
-            data = pack.compress(spelled([words_of(t) for t in some], 0)[0].tobytes())
+            words = [words_of(t) for t in some]
+            data, tokens = pack.compress(spelled(words, 0)[0].tobytes()), sum(map(len, words)) + len(words)
             columns = [
                 pa.array([block], pa.int64()), pa.array([[k for k, _ in keys]], pa.list_(pa.int64())),
-                pa.array([[h for _, h in keys]], pa.list_(pa.int32())), pa.array([data], pa.binary()),
+                pa.array([[h for _, h in keys]], pa.list_(pa.int32())), pa.array([data], pa.binary()), pa.array([tokens], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "held", "data"])
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "held", "data", "tokens"])
             block += 1
 
-    return settled(keyed.mapInArrow(task, "block long, ids array<long>, held array<int>, data binary"), "tree-blocks")
+    return settled(keyed.mapInArrow(task, "block long, ids array<long>, held array<int>, data binary, tokens long"), "tree-blocks")
 
 
 def learnt_of(data: bytes, held: list[int]) -> bytes:
@@ -321,7 +326,9 @@ def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
 
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
-    """One bucket: its words are counted over all blocks, and each block gets its words' counts."""
+    """One bucket: its words are counted over all blocks, and each block gets its words' counts.
+
+    The first row also has the bucket's training words, each as a text."""
     number: dict[bytes, int] = {}
     unpack = zstandard.ZstdDecompressor()
     ids = [np.array([number.setdefault(w, len(number)) for w in unpack.decompress(words).split(b"\n")], np.int64) for words in rows["words"]]
@@ -331,49 +338,133 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     out = pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "counts": [packed(count[words]) for words in ids]})
     total = [0] * len(out)
     total[0], kinds = int(count.sum()), [int((count > 0).sum())] + [0] * (len(out) - 1)
-    return out.assign(total=total, kinds=kinds)
+    learnt = b"".join(w + b" \n" for w, n in zip(number, count, strict=True) if n)
+    spelt = [zstandard.ZstdCompressor(level=1).compress(learnt)] + [None] * (len(out) - 1)
+    return out.assign(total=total, kinds=kinds, spelt=spelt)
+
 
+def score(
+    docs: DataFrame, learns: Callable[[Column], Column], depth: int = 6, least_share: float = 5e-6,
+    longest: int = 0, weight: float = 4.0, least_gain: float = 1.0,
+) -> DataFrame:
+    """Per document: its tokens, the base score by word counts, and the model's score, log10 both.
 
-def score(docs: DataFrame, learns: Callable[[Column], Column], depth: int = 6, least_share: float = 5e-6) -> DataFrame:
-    """Per document: its tokens, the base score by word counts, and the model's score, log10 both."""
-    texts = texts_of(docs)
+    With ``longest`` contexts of up to so many words predict whole words (``word_contexts``), and the
+    tree over bytes, of ``depth``, spells the word in their level 0. Without it the bytes' tree
+    scores alone, and ``least_share`` bounds its contexts.
+    """
+    spark, texts = docs.sparkSession, texts_of(docs)
     blocks = _written(texts, learns(F.col("doc_id")))
-    tree = train(blocks, depth, least_share)
-    sent = docs.sparkSession.sparkContext.broadcast(tree)  # bounded by the share of contexts
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = blocks.agg(F.sum("tokens").alias("n"), F.sum(F.size(F.filter("held", lambda h: h == 0))).alias("learnt")).first()
+    learnt, bits = size.learnt or 0, word_contexts.bits_of(size.n or 0)
+    buckets = word_contexts.buckets_of(size.n or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     answers = settled(
-        _asked(blocks, buckets).groupBy("bucket").applyInPandas(_answer, "block long, bucket int, counts binary, total long, kinds long"),
+        _asked(blocks, buckets).groupBy("bucket").applyInPandas(_answer, "block long, bucket int, counts binary, total long, kinds long, spelt binary"),
         "word-counts",
     )
-    learnt = blocks.select(F.sum(F.size(F.filter("held", lambda h: h == 0))).alias("n")).first().n or 0
+    spelt = answers.where("kinds > 0").select(F.expr("array_repeat(0, cast(kinds as int))").alias("held"), F.col("spelt").alias("data"))
+    tree = train(spelt if longest else blocks, depth, least_share)
+    sent = spark.sparkContext.broadcast(tree)  # bounded by the share of contexts
     whole = answers.agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
     total, kinds = (whole.n or 0) + learnt, (whole.v or 0) + int(learnt > 0)
+    known = answers.select("block", F.lit(0).alias("kind"), "bucket", F.col("counts").alias("data"))
+    test = word_contexts.answer(round(least_gain * word_contexts.UNIT))
+
+    def opened(
+        data: bytes, held: np.ndarray, found: dict[int, dict[int, bytes]], counted: int = 0, tested: int = 0
+    ) -> tuple[word_contexts.Block | None, tuple]:
+        """A block's words with their counts, and with ``longest`` what its contexts got as answers,
+        up to a level; a block that asked nothing got none."""
+        words, starts, in_a_row, text = _words(data, buckets)
+        count = np.zeros(len(words), np.int64)
+        for k, counts in found.get(0, {}).items():
+            count[starts[k] : starts[k + 1]] = unpacked(counts)
+        if not longest:
+            return None, (count, in_a_row)
+        state = word_contexts.Block(words, in_a_row, text, np.asarray(held) == 0, bits)
+        if counted:
+            counts, spelling = np.append(learnt, count), spellings(sent.value, words) * np.log(10)
+            state.begin(word_contexts.log_sum(counts, kinds, spelling) - np.log(total + kinds) if total else spelling, counts)
+        for level in range(1, counted + 1):
+            state.counted(level, found.get(2 * level - 1, {}), weight)
+            if level <= tested:
+                state.tested(found.get(2 * level, {}))
+        return state, (count, in_a_row)
+
+    def asked(block: int, asks: list[tuple]) -> pd.DataFrame:
+        rows = pd.DataFrame(asks, columns=["kind", "bucket", "keys", "amounts"])
+        rows.insert(0, "block", block)
+        return rows
+
+    def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in frames:
+            for row in rows.itertuples():
+                state, _ = opened(zstandard.ZstdDecompressor().decompress(row.data), row.held, {})
+                yield asked(row.block, state.count_asks(1, bits, buckets))
+
+    def next_after(level: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+        def ask(block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+            out = [asked(-1, [])]
+            for row in block.itertuples():
+                state, _ = opened(zstandard.ZstdDecompressor().decompress(row.data), row.held, _by_kind(given), level, level - 1)
+                asks = state.test_asks(level, bits, buckets)
+                if level < longest:
+                    asks += state.count_asks(level + 1, bits, buckets)
+                out.append(asked(row.block, asks))
+            return pd.concat(out)
+
+        return ask
+
+    for level in range(longest + 1 if longest else 0):
+        if level == 0:
+            asks = blocks.select("block", "held", "data").mapInPandas(first, word_contexts.ASKS)
+        else:
+            asks = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(next_after(level), word_contexts.ASKS)
+        new = settled(asks.groupBy("kind", "bucket").applyInPandas(test, word_contexts.ANSWERS), f"contexts-{level}")
+        known = known.unionByName(new)
 
-    def finish(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    def finish(block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        out, found = [], _by_kind(given)
         for row in block.itertuples():
             data = zstandard.ZstdDecompressor().decompress(row.data)
-            words, starts, in_a_row, _ = _words(data, buckets)
-            count = np.zeros(len(words), np.int64)
-            for k, found in zip(counts["bucket"], counts["counts"], strict=True):
-                count[starts[k] : starts[k + 1]] = unpacked(found)
+            state, (count, in_a_row) = opened(data, row.held, found, longest, longest)
             raw = np.frombuffer(data, np.uint8)
             ends = np.flatnonzero((raw == 32) | (raw == END))
             is_end = raw[ends] == END
             c = np.full(len(ends), learnt, np.int64)
             c[~is_end] = count[in_a_row]
             last = np.flatnonzero(is_end)
-            first = np.append(0, last[:-1] + 1)
-            tokens = np.diff(np.append(first, last[-1] + 1))
+            begin = np.append(0, last[:-1] + 1)
+            tokens = np.diff(np.append(begin, last[-1] + 1))
+            if state is None:
+                scores = np.add.reduceat(sent.value.score(data), np.append(0, ends[last[:-1]] + 1))
+            else:
+                scores = np.add.reduceat(state.longest_p[1:], begin) / np.log(10)
             out.append(pd.DataFrame({
                 "doc_id": pd.array([None if i is None or i != i else int(i) for i in row.ids], "Int64"),
-                "held_out": np.asarray(row.held) == 1, "n_tokens": tokens, "n_known": np.add.reduceat((c > 0).astype(np.int64), first),
-                "train_tokens": total, "base_score": np.add.reduceat(np.log10(c + 1.0), first) - tokens * np.log10(total + kinds + 1.0),
-                "score": np.add.reduceat(sent.value.score(data), np.append(0, ends[last[:-1]] + 1)),
+                "held_out": np.asarray(row.held) == 1, "n_tokens": tokens, "n_known": np.add.reduceat((c > 0).astype(np.int64), begin),
+                "train_tokens": total, "base_score": np.add.reduceat(np.log10(c + 1.0), begin) - tokens * np.log10(total + kinds + 1.0),
+                "score": scores,
             }))
         return pd.concat(out) if out else pd.DataFrame(columns=_COLUMNS)
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, _SCORES)
+    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(finish, _SCORES)
+
+
+def _by_kind(given: pd.DataFrame) -> dict[int, dict[int, bytes]]:
+    found: dict[int, dict[int, bytes]] = {}
+    for kind, bucket, data in zip(given["kind"], given["bucket"], given["data"], strict=True):
+        found.setdefault(int(kind), {})[int(bucket)] = data
+    return found
+
+
+def spellings(tree: Tree, words: list[bytes]) -> np.ndarray:
+    """The log10 probability of the end's byte, and of each word's with the space after it."""
+    data = b"\n" + b"".join(w + b" \n" for w in words)
+    starts = np.cumsum([0, 1, *(len(w) + 2 for w in words)])
+    scores = tree.score(data)
+    scores[starts[2:] - 1] = 0
+    return np.add.reduceat(scores, starts[:-1])
 
 
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
