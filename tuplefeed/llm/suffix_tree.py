@@ -26,6 +26,7 @@ same probability; an empty table gives no rows; texts are taken whole.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -128,24 +129,34 @@ def smooth(follows: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return (follows + kinds * shorter) / np.maximum(total + kinds, 1)
 
 
-def _written(texts: DataFrame, learns: Column) -> DataFrame:
-    """Blocks of texts as bytes, with their ids and which of them are held out."""
+def numbered(texts: list[list[bytes]]) -> tuple[bytes, np.ndarray]:
+    """The distinct words of some texts, and the number of each token's word; 0 ends a text."""
+    number: dict[bytes, int] = {}
+    tokens = [n for words in texts for n in (*(number.setdefault(w, len(number) + 1) for w in words), 0)]
+    return b"\n".join(number), np.array(tokens, np.int64)
+
+
+def _written(texts: DataFrame, learns: Column, raw: bool = True) -> DataFrame:
+    """Blocks of texts with their ids and which of them are held out: numbered words, and with
+    ``raw`` the bytes as well."""
     keyed = texts.withColumn("held", (~learns).cast("int"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, block = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 32
         rows = ((list(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)), b.column(1).to_pylist()) for b in batches)
         for keys, some in grouped_by_size(rows, BLOCK_CHARS):
-            words = [words_of(t) for t in some]
-            data, tokens = pack.compress(spelled(words, 0)[0].tobytes()), sum(map(len, words)) + len(words)
+            split = [words_of(t) for t in some]
+            words, tokens = numbered(split)
+            data = pack.compress(spelled(split, 0)[0].tobytes()) if raw else None
             columns = [
                 pa.array([block], pa.int64()), pa.array([[k for k, _ in keys]], pa.list_(pa.int64())),
-                pa.array([[h for _, h in keys]], pa.list_(pa.int32())), pa.array([data], pa.binary()), pa.array([tokens], pa.int64()),
+                pa.array([[h for _, h in keys]], pa.list_(pa.int32())), pa.array([data], pa.binary()),
+                pa.array([pack.compress(words)], pa.binary()), pa.array([word_contexts.planes(tokens)], pa.binary()), pa.array([len(tokens)], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "held", "data", "tokens"])
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "held", "data", "words", "tokens", "size"])
             block += 1
 
-    return settled(keyed.mapInArrow(task, "block long, ids array<long>, held array<int>, data binary, tokens long"), "tree-blocks")
+    return settled(keyed.mapInArrow(task, "block long, ids array<long>, held array<int>, data binary, words binary, tokens binary, size long"), "tree-blocks")
 
 
 def learnt_of(data: bytes, held: list[int]) -> bytes:
@@ -288,41 +299,45 @@ def _retained(symbol: np.ndarray, down: list, shorter: list, follows: list) -> T
     )
 
 
-def _words(data: bytes, buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct words by bucket, where each bucket starts, and for its words in a row
-    their place in that list and their text."""
-    texts = data.split(b"\n")[:-1]
-    number: dict[bytes, int] = {}
-    given = [[number.setdefault(w, len(number)) for w in t.split(b" ")[:-1]] for t in texts]
-    bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in number), np.int64, len(number))
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    listed = list(number)
-    text = np.repeat(np.arange(len(texts)), [len(g) for g in given])
-    in_a_row = place[np.fromiter((w for g in given for w in g), np.int64, len(text))]
-    return [listed[i] for i in order], np.searchsorted(bucket[order], np.arange(buckets + 1)), in_a_row, text
+class Words:
+    """A block's distinct words with their hashes, and the order in which buckets have them."""
+
+    def __init__(self, words: bytes, buckets: int) -> None:
+        joined = zstandard.ZstdDecompressor().decompress(words)
+        self.list = joined.split(b"\n") if joined else []
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.list), np.uint64, len(self.list))
+        bucket = (self.hashes >> np.uint64(32)).astype(np.int64) % buckets
+        self.order = np.argsort(bucket, kind="stable")
+        self.starts = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+
+    def counts(self, answers: dict[int, bytes]) -> np.ndarray:
+        out = np.zeros(len(self.list), np.int64)
+        for k, found in answers.items():
+            out[self.order[self.starts[k] : self.starts[k + 1]]] = unpacked(found)
+        return out
 
 
 def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block, words, n): a block's words of each bucket, and their counts in training."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        pack = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            for block, held, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                words, starts, in_a_row, text = _words(unpack.decompress(data), buckets)
-                learns = np.asarray(held)[text] == 0
-                n = np.bincount(in_a_row[learns], minlength=len(words))
+            for block, held, words, tokens in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+                own, token = Words(words, buckets), word_contexts.numbers_of(tokens).astype(np.int64)
+                text = np.cumsum(token == 0) - (token == 0)
+                learns = (np.asarray(held)[text] == 0) & (token > 0)
+                n = np.bincount(token[learns] - 1, minlength=len(own.list))[own.order]
+                listed, starts = [own.list[i] for i in own.order], own.starts
                 some = np.flatnonzero(np.diff(starts))
                 columns = [
                     pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
-                    pa.array([pack.compress(b"\n".join(words[starts[k] : starts[k + 1]])) for k in some], pa.binary()),
+                    pa.array([pack.compress(b"\n".join(listed[starts[k] : starts[k + 1]])) for k in some], pa.binary()),
                     pa.array([packed(n[starts[k] : starts[k + 1]]) for k in some], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "words", "n"])
 
-    return blocks.select("block", "held", "data").mapInArrow(task, "bucket int, block long, words binary, n binary")
+    return blocks.select("block", "held", "words", "tokens").mapInArrow(task, "bucket int, block long, words binary, n binary")
 
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
@@ -354,8 +369,8 @@ def score(
     scores alone, and ``least_share`` bounds its contexts.
     """
     spark, texts = docs.sparkSession, texts_of(docs)
-    blocks = _written(texts, learns(F.col("doc_id")))
-    size = blocks.agg(F.sum("tokens").alias("n"), F.sum(F.size(F.filter("held", lambda h: h == 0))).alias("learnt")).first()
+    blocks = _written(texts, learns(F.col("doc_id")), raw=not longest)
+    size = blocks.agg(F.sum("size").alias("n"), F.sum(F.size(F.filter("held", lambda h: h == 0))).alias("learnt")).first()
     learnt, bits = size.learnt or 0, word_contexts.bits_of(size.n or 0)
     buckets = word_contexts.buckets_of(size.n or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     answers = settled(
@@ -370,26 +385,18 @@ def score(
     known = answers.select("block", F.lit(0).alias("kind"), "bucket", F.col("counts").alias("data"))
     test = word_contexts.answer(round(least_gain * word_contexts.UNIT))
 
-    def opened(
-        data: bytes, held: np.ndarray, found: dict[int, dict[int, bytes]], counted: int = 0, tested: int = 0
-    ) -> tuple[word_contexts.Block | None, tuple]:
-        """A block's words with their counts, and with ``longest`` what its contexts got as answers,
-        up to a level; a block that asked nothing got none."""
-        words, starts, in_a_row, text = _words(data, buckets)
-        count = np.zeros(len(words), np.int64)
-        for k, counts in found.get(0, {}).items():
-            count[starts[k] : starts[k + 1]] = unpacked(counts)
-        if not longest:
-            return None, (count, in_a_row)
-        state = word_contexts.Block(words, in_a_row, text, np.asarray(held) == 0, bits)
+    def opened(row: NamedTuple, found: dict[int, dict[int, bytes]], counted: int = 0, tested: int = 0) -> word_contexts.Block:
+        """What a block's contexts got as answers, up to a level; a block that asked nothing got none."""
+        words = Words(row.words, buckets)
+        state = word_contexts.Block(words.hashes, word_contexts.numbers_of(row.tokens).astype(np.int64), np.asarray(row.held) == 0, bits)
         if counted:
-            counts, spelling = np.append(learnt, count), spellings(sent.value, words) * np.log(10)
+            counts, spelling = np.append(learnt, words.counts(found.get(0, {}))), spellings(sent.value, words.list) * np.log(10)
             state.begin(word_contexts.log_sum(counts, kinds, spelling) - np.log(total + kinds) if total else spelling, counts)
         for level in range(1, counted + 1):
             state.counted(level, found.get(2 * level - 1, {}), weight)
             if level <= tested:
                 state.tested(found.get(2 * level, {}))
-        return state, (count, in_a_row)
+        return state
 
     def asked(block: int, asks: list[tuple]) -> pd.DataFrame:
         rows = pd.DataFrame(asks, columns=["kind", "bucket", "keys", "amounts"])
@@ -399,15 +406,14 @@ def score(
     def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
             for row in rows.itertuples():
-                state, _ = opened(zstandard.ZstdDecompressor().decompress(row.data), row.held, {})
-                yield asked(row.block, state.count_asks(1, bits, buckets))
+                yield asked(row.block, opened(row, {}).count_asks(1, bits, buckets))
 
     def next_after(level: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
         def ask(block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
             out = [asked(-1, [])]
             for row in block.itertuples():
-                state, _ = opened(zstandard.ZstdDecompressor().decompress(row.data), row.held, _by_kind(given), level, level - 1)
-                asks = state.test_asks(level, bits, buckets)
+                state = opened(row, _by_kind(given), level, level - 1)
+                asks = state.test_asks(level, weight, bits, buckets)
                 if level < longest:
                     asks += state.count_asks(level + 1, bits, buckets)
                 out.append(asked(row.block, asks))
@@ -417,29 +423,27 @@ def score(
 
     for level in range(longest + 1 if longest else 0):
         if level == 0:
-            asks = blocks.select("block", "held", "data").mapInPandas(first, word_contexts.ASKS)
+            asks = blocks.select("block", "held", "words", "tokens").mapInPandas(first, word_contexts.ASKS)
         else:
-            asks = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(next_after(level), word_contexts.ASKS)
+            asks = blocks.drop("ids", "data").groupBy("block").cogroup(known.groupBy("block")).applyInPandas(next_after(level), word_contexts.ASKS)
         new = settled(asks.groupBy("kind", "bucket").applyInPandas(test, word_contexts.ANSWERS), f"contexts-{level}")
         known = known.unionByName(new)
 
     def finish(block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         out, found = [], _by_kind(given)
         for row in block.itertuples():
-            data = zstandard.ZstdDecompressor().decompress(row.data)
-            state, (count, in_a_row) = opened(data, row.held, found, longest, longest)
-            raw = np.frombuffer(data, np.uint8)
-            ends = np.flatnonzero((raw == 32) | (raw == END))
-            is_end = raw[ends] == END
-            c = np.full(len(ends), learnt, np.int64)
-            c[~is_end] = count[in_a_row]
-            last = np.flatnonzero(is_end)
+            token = word_contexts.numbers_of(row.tokens).astype(np.int64)
+            last = np.flatnonzero(token == 0)
             begin = np.append(0, last[:-1] + 1)
             tokens = np.diff(np.append(begin, last[-1] + 1))
-            if state is None:
-                scores = np.add.reduceat(sent.value.score(data), np.append(0, ends[last[:-1]] + 1))
+            if longest:
+                state = opened(row, found, longest, longest)
+                c, scores = state.of_token, np.add.reduceat(state.longest_p[1:], begin) / np.log(10)
             else:
-                scores = np.add.reduceat(state.longest_p[1:], begin) / np.log(10)
+                data = zstandard.ZstdDecompressor().decompress(row.data)
+                c = np.append(learnt, Words(row.words, buckets).counts(found.get(0, {})))[token]
+                is_end = np.flatnonzero(np.frombuffer(data, np.uint8) == END)
+                scores = np.add.reduceat(sent.value.score(data), np.append(0, is_end[:-1] + 1))
             out.append(pd.DataFrame({
                 "doc_id": pd.array([None if i is None or i != i else int(i) for i in row.ids], "Int64"),
                 "held_out": np.asarray(row.held) == 1, "n_tokens": tokens, "n_known": np.add.reduceat((c > 0).astype(np.int64), begin),

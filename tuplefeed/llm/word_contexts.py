@@ -25,7 +25,6 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import xxhash
 import zstandard
 
 PER_BUCKET = 4_000_000  # tokens
@@ -112,19 +111,18 @@ def answer(least: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 class Block:
     """The tokens of a block of texts, each text behind a start, and what is known of their contexts.
 
-    ``words`` are distinct words, ``in_a_row`` the numbers of the texts' words one after another,
-    ``text`` the text of each, ``learns`` whether a text trains.
+    ``hashes`` are those of the distinct words, ``token`` the words' numbers from 1 on, with 0 at the
+    end of every text, ``learns`` whether a text trains.
     """
 
-    def __init__(self, words: list[bytes], in_a_row: np.ndarray, text: np.ndarray, learns: np.ndarray, bits: int) -> None:
-        lengths = np.bincount(text, minlength=len(learns)) + 1
-        self.token = np.zeros(lengths.sum() + 1, np.int64)  # 0 starts and ends texts
-        self.token[np.arange(len(text)) + text + 1] = in_a_row + 1
-        self.first = np.append(0, np.cumsum(lengths)[:-1])  # the start of each text; its tokens follow
-        self.behind = np.append(0, np.arange(1, len(self.token)) - np.repeat(self.first, lengths))
+    def __init__(self, hashes: np.ndarray, token: np.ndarray, learns: np.ndarray, bits: int) -> None:
+        self.token = np.append(0, token)  # 0 starts and ends texts
+        lengths = np.diff(np.flatnonzero(self.token == 0))
+        first = np.append(0, np.cumsum(lengths)[:-1])  # the start of each text; its tokens follow
+        self.behind = np.append(0, np.arange(1, len(self.token)) - np.repeat(first, lengths))
         self.learns = np.append(False, np.repeat(learns, lengths))
         self.shift = np.uint64(64 - bits)
-        of_word = np.array([0x5851F42D4C957F2D, *(xxhash.xxh64_intdigest(w) for w in words)], np.uint64)
+        of_word = np.append(np.uint64(0x5851F42D4C957F2D), hashes)
         self._hash = of_word[self.token]
         self.runs = [_mixed(self._hash)]  # of each token and the k before it
         self.longest_p = self.p = self.count = self.candidate = None
@@ -133,6 +131,7 @@ class Block:
         """Level 0: natural log of the probability, and training count, of the end and of each distinct word."""
         self.p = word_p[self.token]
         self.longest_p, self.count = self.p.copy(), word_count[self.token]
+        self.of_token = self.count[1:]  # each token's count
 
     def run_keys(self, level: int) -> tuple[np.ndarray, Keys]:
         """The places with a context of ``level`` tokens that may be a candidate, and the keys of
@@ -151,21 +150,23 @@ class Block:
         return keys.asks(2 * level - 1, seen, bits, buckets)
 
     def counted(self, level: int, answers: dict[int, bytes], weight: float) -> None:
-        """Take the counts of a level: its probabilities, and its candidates' part of the test."""
+        """Take the counts of a level, which give its candidates and their probabilities."""
         places, keys = self.run_keys(level)
         n = np.zeros(len(self.token), np.int64)
         n[places] = keys.answered(answers)
         c = np.append(0, self.count[:-1])
         self.candidate = np.flatnonzero((self.behind >= level) & (c >= 2))
-        of, shorter = self.candidate, self.p[self.candidate]
-        part = log_sum(np.maximum(n[of] - 1, 0), weight, shorter) - np.log(c[of] - 1 + weight) - shorter
-        self.gain = np.where(self.learns[of], np.rint(part * UNIT), 0)
-        self.p[of] = log_sum(n[of], weight, shorter) - np.log(c[of] + weight)
+        of = self.candidate
+        self.shorter, self.n, self.c = self.p[of], n[of], c[of]
+        self.p[of] = log_sum(self.n, weight, self.shorter) - np.log(self.c + weight)
         self.contexts = Keys(self.runs[level - 1][of - 1] >> self.shift)
         self.count = n
 
-    def test_asks(self, level: int, bits: int, buckets: int) -> list[tuple]:
-        sums = np.bincount(self.contexts.at, self.gain, minlength=len(self.contexts.distinct))
+    def test_asks(self, level: int, weight: float, bits: int, buckets: int) -> list[tuple]:
+        """The sum over this block's training occurrences, each of them left out in its turn."""
+        part = log_sum(np.maximum(self.n - 1, 0), weight, self.shorter) - np.log(self.c - 1 + weight) - self.shorter
+        gain = np.where(self.learns[self.candidate], np.rint(part * UNIT), 0)
+        sums = np.bincount(self.contexts.at, gain, minlength=len(self.contexts.distinct))
         return self.contexts.asks(2 * level, np.rint(sums), bits, buckets)
 
     def tested(self, answers: dict[int, bytes]) -> None:
