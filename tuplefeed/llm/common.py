@@ -21,6 +21,9 @@ LOWERED = bytes.maketrans(UPPER, LOWER)
 #: Stands for a null id inside an operator; no id may have this value.
 NO_ID = -(2**63)
 
+#: Spark's setting that removes the shuffle files of a query once it has ended.
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows that Spark hands to Python at once; with long texts, fewer keep a batch small.
 BATCH_ROWS = "500"
 
@@ -43,10 +46,15 @@ def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the cluster's shared folder and read it: later steps start from it,
-    whatever executors are lost."""
+    whatever executors are lost. The shuffles of the step end with it, since nothing reads them again."""
     spark = df.sparkSession
     path = shared_folder(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLES_END, None)
+    spark.conf.set(SHUFFLES_END, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_END, before) if before is not None else spark.conf.unset(SHUFFLES_END)
     return spark.read.schema(df.schema).parquet(path)
 
 
