@@ -25,7 +25,7 @@ def plain(texts, learns, spelling, longest, weight, least_gain):
 
     def p(run):
         if len(run) == 1:
-            return (words[run[0]] + kinds * spelling[run[0]]) / (total + kinds)
+            return (words[run[0]] or kinds * spelling[run[0]]) / (total + kinds)
         shorter, c = p(run[1:]), context[run[:-1]]
         return (runs[run] + weight * shorter) / (c + weight) if c >= 2 else shorter
 

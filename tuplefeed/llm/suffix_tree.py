@@ -1,8 +1,8 @@
 """Language-model scoring by a probabilistic suffix tree, with a word-count base beside it.
 
 The tree's contexts are runs of up to ``longest`` words, counted and tested in tables that grow with
-the input (``word_contexts``). Their level 0 mixes the words' counts with their spelling, so unknown
-words have a probability too: a tree over bytes, of ``depth``, learns from the distinct training words
+the input (``word_contexts``). Level 0 has a word's count c of all N tokens as c / (N + V), and leaves
+the share V / (N + V) to unknown words, V being the number of distinct tokens, by their spelling: a tree over bytes, of ``depth``, learns from the distinct training words
 and predicts a word's bytes and the space that ends it, or a line end for the end of a text.
 
 The tree over bytes grows level by level: a context is a candidate from ``least_count`` occurrences
@@ -26,6 +26,7 @@ same probability; an empty table gives no rows; texts are taken whole.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -131,9 +132,12 @@ def smooth(follows: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 
 def numbered(texts: list[list[bytes]]) -> tuple[bytes, np.ndarray]:
     """The distinct words of some texts, and the number of each token's word; 0 ends a text."""
-    number: dict[bytes, int] = {}
-    tokens = [n for words in texts for n in (*(number.setdefault(w, len(number) + 1) for w in words), 0)]
-    return b"\n".join(number), np.array(tokens, np.int64)
+    flat = list(chain.from_iterable((*words, b"") for words in texts))
+    number = dict.fromkeys(flat)
+    number.pop(b"", None)
+    number = {b"": 0, **dict(zip(number, range(1, len(number) + 1), strict=True))}
+    tokens = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+    return b"\n".join(list(number)[1:]), tokens
 
 
 def _written(texts: DataFrame, learns: Column, raw: bool = True) -> DataFrame:
@@ -390,8 +394,12 @@ def score(
         words = Words(row.words, buckets)
         state = word_contexts.Block(words.hashes, word_contexts.numbers_of(row.tokens).astype(np.int64), np.asarray(row.held) == 0, bits)
         if counted:
-            counts, spelling = np.append(learnt, words.counts(found.get(0, {}))), spellings(sent.value, words.list) * np.log(10)
-            state.begin(word_contexts.log_sum(counts, kinds, spelling) - np.log(total + kinds) if total else spelling, counts)
+            counts = np.append(learnt, words.counts(found.get(0, {})))
+            p = np.log(np.maximum(counts, 1)) - np.log(max(1, total + kinds))
+            new = np.flatnonzero(counts == 0)
+            spelling = spellings(sent.value, [words.list[k - 1] for k in new if k])
+            p[new] = spelling[0 if learnt == 0 else 1 :] * np.log(10) + np.log(max(1, kinds)) - np.log(max(1, total + kinds))
+            state.begin(p, counts)
         for level in range(1, counted + 1):
             state.counted(level, found.get(2 * level - 1, {}), weight)
             if level <= tested:
@@ -412,7 +420,7 @@ def score(
         def ask(block: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
             out = [asked(-1, [])]
             for row in block.itertuples():
-                state = opened(row, _by_kind(given), level, level - 1)
+                state = opened(row, _by_kind(given), level)
                 asks = state.test_asks(level, weight, bits, buckets)
                 if level < longest:
                     asks += state.count_asks(level + 1, bits, buckets)
@@ -425,7 +433,8 @@ def score(
         if level == 0:
             asks = blocks.select("block", "held", "words", "tokens").mapInPandas(first, word_contexts.ASKS)
         else:
-            asks = blocks.drop("ids", "data").groupBy("block").cogroup(known.groupBy("block")).applyInPandas(next_after(level), word_contexts.ASKS)
+            counted = known.where("kind = 0 or kind % 2 = 1")
+            asks = blocks.drop("ids", "data").groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(next_after(level), word_contexts.ASKS)
         new = settled(asks.groupBy("kind", "bucket").applyInPandas(test, word_contexts.ANSWERS), f"contexts-{level}")
         known = known.unionByName(new)
 

@@ -6,8 +6,8 @@ absolute number, so candidates grow with the input. Probabilities are smoothed l
 
     p_k = (n_k + weight * p_(k-1)) / (c_k + weight),
 
-with the context's count c_k and the count n_k of the token after it; p_0 mixes word counts with the
-spelling of the word. A context is retained if, on its own occurrences and each of them left out in
+with the context's count c_k and the count n_k of the token after it; p_0 is the share of a known word, or
+the spelling of an unknown one. A context is retained if, on its own occurrences and each of them left out in
 turn, its distribution diverges from the shorter one's: the sum of
 log(((n_k - 1) + weight * p_(k-1)) / (c_k - 1 + weight)) - log p_(k-1) is above ``least_gain``.
 A token is scored in the longest retained context before it.
@@ -159,17 +159,21 @@ class Block:
         of = self.candidate
         self.shorter, self.n, self.c = self.p[of], n[of], c[of]
         self.p[of] = log_sum(self.n, weight, self.shorter) - np.log(self.c + weight)
-        self.contexts = Keys(self.runs[level - 1][of - 1] >> self.shift)
-        self.count = n
+        self.level, self.count = level, n
+
+    def contexts(self) -> Keys:
+        """The contexts of the level's candidates."""
+        return Keys(self.runs[self.level - 1][self.candidate - 1] >> self.shift)
 
     def test_asks(self, level: int, weight: float, bits: int, buckets: int) -> list[tuple]:
         """The sum over this block's training occurrences, each of them left out in its turn."""
         part = log_sum(np.maximum(self.n - 1, 0), weight, self.shorter) - np.log(self.c - 1 + weight) - self.shorter
         gain = np.where(self.learns[self.candidate], np.rint(part * UNIT), 0)
-        sums = np.bincount(self.contexts.at, gain, minlength=len(self.contexts.distinct))
-        return self.contexts.asks(2 * level, np.rint(sums), bits, buckets)
+        contexts = self.contexts()
+        sums = np.bincount(contexts.at, gain, minlength=len(contexts.distinct))
+        return contexts.asks(2 * level, np.rint(sums), bits, buckets)
 
     def tested(self, answers: dict[int, bytes]) -> None:
         """Take the results of the test: places in a retained context are scored there."""
-        kept = self.candidate[self.contexts.answered(answers) == 1]
+        kept = self.candidate[self.contexts().answered(answers) == 1]
         self.longest_p[kept] = self.p[kept]
