@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tuplefeed.operators.parse import parse_feed
+from tuplefeed.sources import live
 from tuplefeed.sources.feed import page_tokens
 from tuplefeed.sources.live import ChangeApi, ChangeApiStream, SavedChangeApi, save_pages
 
@@ -122,3 +123,25 @@ def test_saved_pages(spark, tmp_path):
     spark.dataSource.register(SavedChangeApi)
     feed = spark.read.format("saved_change_api").option("path", path).load()
     assert users(parse_feed(feed)) == [(0, "1"), (1, "2"), (2, "3")]
+
+
+def test_long_batches_have_longer_runs(spark, tmp_path, monkeypatch):
+    """The number of tasks of a batch is bounded, whatever its number of pages."""
+    monkeypatch.setattr(live, "MAX_RUNS", 4)
+    path = tmp_path / "feed"
+    write(path, 100)  # 34 pages
+    reader = ChangeApiStream(LocalApi({"file": str(path), "pages_per_task": "2"}))
+    start, end = reader.initialOffset(), reader.latestOffset()
+    runs = reader.partitions(start, end)
+    assert [(r.offset["seq"], r.changes) for r in runs] == [(0, 48), (48, 48), (96, 4)]
+    assert [seq for r in runs for seq, _ in reader.read(r)] == list(range(100))
+    assert ChangeApiStream(LocalApi({"file": str(path), "pages_per_task": "2"})).partitions(start, end) == runs
+
+
+def test_two_pages_after_one_token_are_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(0, '{"changes":[{}]}'), (None, '{"changes":[{}]}')], "page_no BIGINT, body STRING")
+    save_pages(pages, page_tokens(pages), f"{tmp_path}/saved")
+    assert (tmp_path / "saved" / "after=start").read_text().count("changes") == 2
+    with pytest.raises(json.JSONDecodeError):
+        live.saved_page({"path": f"{tmp_path}/saved"}, "")
+    assert live.saved_page({"path": f"{tmp_path}/saved"}, "x") == {}

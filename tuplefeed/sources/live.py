@@ -6,7 +6,8 @@
 Rows are (seq, wire), positions counted from the start of the feed. Tokens make pages a chain that
 one reader must follow. In a stream the driver does so and keeps, for each run of ``pages_per_task``
 pages, its first token and its numbers of changes; the tasks fetch the pages again by token, so no
-change ever passes through the driver. A batch goes on until the token is spent: a query that reads
+change ever passes through the driver. A batch of more than ``MAX_RUNS`` runs has longer ones instead,
+so tasks and what the driver keeps stay few. A batch goes on until the token is spent: a query that reads
 what is there and stops reads up to that end. ``max_pages`` makes batches shorter, and is refused
 without ``polled=true``, since such a query would stop after so many pages. With ``start_token``,
 ``start_seq`` says what position the first change after it has.
@@ -16,6 +17,7 @@ without ``polled=true``, since such a query would stop after so many pages. With
 
 from __future__ import annotations
 
+import itertools
 import json
 import urllib.parse
 import urllib.request
@@ -31,6 +33,8 @@ from tuplefeed.sources.files import open_folder
 Offset = dict
 Rows = Iterator[tuple[int, str]]
 
+MAX_RUNS = 1 << 9  # the most tasks of a batch, an even number
+
 
 def http_page(options: dict, token: str) -> dict:
     """One page: ``changes`` and ``continuation_token``."""
@@ -57,11 +61,16 @@ class ChangeApi(DataSource):
         return "seq BIGINT, wire STRING"
 
     def pages(self, offset: Offset) -> Iterator[tuple[list[str], Offset]]:
-        """Pages from an offset on, each with the offset after it. An empty page ends it, and
+        """Pages from an offset on, each with the offset after it."""
+        for changes, after in self.decoded_pages(offset):
+            yield [json.dumps(c, separators=(",", ":")) for c in changes], after
+
+    def decoded_pages(self, offset: Offset) -> Iterator[tuple[list, Offset]]:
+        """The same without JSON text, for whoever only counts. An empty page ends it, and
         a page without a token too, which is then read again from its own token later."""
         while True:
             page = self.fetch_page(self.options, offset["token"])
-            changes = [json.dumps(c, separators=(",", ":")) for c in page.get("changes", [])]
+            changes = list(page.get("changes", []))
             fresh = changes[offset["skip"]:]
             token = page.get("continuation_token") or ""
             after = {"token": token, "skip": 0, "seq": offset["seq"] + len(fresh)}
@@ -117,11 +126,15 @@ class ChangeApiStream(DataSourceStreamReader):
 
     def _follow(self, start: Offset, max_pages: int = 0, last_seq: int | None = None) -> tuple[list[PageRun], Offset]:
         """Runs of the pages after ``start``, and where they end. Only numbers of changes are kept."""
-        runs, end, in_run = [], start, 0
-        for count, (changes, after) in enumerate(self.source.pages(start), 1):
+        runs, end, in_run, per_run = [], start, 0, self.pages_per_task
+        for count, (changes, after) in enumerate(self.source.decoded_pages(start), 1):
             held = len(changes) if last_seq is None else min(len(changes), last_seq - end["seq"])
-            if in_run % self.pages_per_task == 0:
+            if in_run % per_run == 0:
+                if len(runs) == MAX_RUNS:  # two runs become one
+                    runs = [PageRun(a.offset, a.changes + b.changes) for a, b in zip(runs[::2], runs[1::2], strict=True)]
+                    per_run *= 2
                 runs.append(PageRun(end, 0))
+                in_run = 0
             runs[-1].changes += held
             in_run, end = in_run + 1, after
             if count == max_pages or (last_seq is not None and after["seq"] >= last_seq):
@@ -174,9 +187,14 @@ class ChangeApiBatch(DataSourceReader):
 
 def saved_page(options: dict, token: str) -> dict:
     """The page that was saved for a token below ``path``."""
-    folder = open_folder(f"{options['path'].rstrip('/')}/after={token.encode().hex().upper() or 'start'}")
-    names = [n for n in folder.names() if not n.startswith(("_", "."))]
-    return json.loads(folder.read(names[0])) if names else {}
+    try:
+        return json.loads(open_folder(options["path"]).read(_saved_name(token)))
+    except FileNotFoundError:
+        return {}
+
+
+def _saved_name(token: str) -> str:
+    return f"after={token.encode().hex().upper() or 'start'}"
 
 
 class SavedChangeApi(ChangeApi):
@@ -191,9 +209,16 @@ class SavedChangeApi(ChangeApi):
 
 def save_pages(pages: DataFrame, tokens: DataFrame, path: str) -> None:
     """Write pages of (page_no, body) by the token that leads to them (in hex), the first by none.
+    Tasks write the files themselves, since a commit by the driver would move them one by one.
 
     ``tokens`` come from ``page_tokens``. Page numbers count from 0 without gaps.
     """
     leads = tokens.where("has_more").select((F.col("page_no") + 1).alias("page_no"), F.hex(F.col("next_token").cast("binary")).alias("after"))
-    found = pages.join(leads, "page_no", "left").select(F.coalesce("after", F.lit("start")).alias("after"), "body")
-    found.repartition("after").write.partitionBy("after").text(path)
+    found = pages.join(leads, "page_no", "left").select(F.concat(F.lit("after="), F.coalesce("after", F.lit("start"))).alias("name"), "body")
+
+    def save(rows: Iterator) -> None:
+        folder = open_folder(path)
+        for name, bodies in itertools.groupby(rows, lambda row: row.name):
+            folder.write(name, "".join(f"{row.body or ''}\n" for row in bodies))
+
+    found.repartition("name").sortWithinPartitions("name").foreachPartition(save)
