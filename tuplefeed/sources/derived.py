@@ -87,14 +87,20 @@ def land_feed(spark: SparkSession, sf_dir: str, path: str, files: int) -> None:
 
 
 BATCHES = 3
+LANDED_ROWS = 1 << 16  # of a landed file, which one task parses
 
 
 def land(spark: SparkSession, sf_dir: str, path: str, batch: int) -> None:
-    """Write one of ``BATCHES`` equal ranges of the feed as a part of a landing folder."""
+    """Write one of ``BATCHES`` equal ranges of the feed as a part of a landing folder.
+
+    Files are ranges of positions with so many rows, however few row groups the events are in: a
+    stream's batch has no more tasks than there are row groups in the files it reads.
+    """
     events = raw_events(spark, sf_dir)
     end = events.agg(F.max("event_id") + 1).scalar()
-    mine = block_of(F.col("event_id") * BATCHES, end) == batch
-    to_feed(events.where(mine)).write.parquet(f"{path}/part={batch}")
+    mine = events.where(block_of(F.col("event_id") * BATCHES, end) == batch)
+    files = max(1, -(-mine.count() // LANDED_ROWS))
+    to_feed(mine.repartitionByRange(files, "event_id")).write.parquet(f"{path}/part={batch}")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
