@@ -51,3 +51,19 @@ def test_a_repeat_three_batches_later_is_dropped(spark, tmp_path):
     streams.finish(streams.sync_changelog(source(spark, folder), path, str(tmp_path / "c"), side=side, seen=str(tmp_path / "seen")))
     assert sorted(r.id for r in changelog.read_changelog(spark, path).collect()) == list(range(40))
     assert [r.processed for r in streams.read_reports(spark, side).orderBy("batch_id").collect()] == [10, 10, 10, 15, 15]
+
+
+def test_not_in_leaves_one_row_per_position(spark):
+    """Null positions are one position; rows come in one pass and are kept for the next ones."""
+    asked = spark.createDataFrame([(p, f"w{p}") for p in [3, 3, 4, 17, 17, 17, 40, None, None]], "seq BIGINT, wire STRING")
+    known = ranges_of(rows(spark, [4, 5, 40]), 16)
+    assert sorted(r.seq for r in not_in(asked, known, 16).collect() if r.seq) == [3, 3, 17, 17, 17]
+    once = not_in(asked, known, 16, distinct=True)
+    assert sorted(map(str, once.collect())) == sorted(map(str, asked.distinct().where("seq IS NULL OR seq IN (3, 17)").collect()))
+    assert "Aggregate" not in once.select("seq", "wire")._jdf.queryExecution().optimizedPlan().toString().split("LeftSemi")[0]
+
+
+def test_what_is_left_is_kept(spark, tmp_path):
+    fresh = SeenPositions(spark, str(tmp_path / "seen")).fresh(rows(spark, [1, 2, 2]), 0)
+    assert fresh.is_cached and fresh.count() == 2
+    fresh.unpersist()

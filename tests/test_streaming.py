@@ -377,3 +377,20 @@ def test_a_lookup_opens_only_the_folders_of_its_keys(spark, tmp_path):
     assert {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles() if "/data/" in f} < {str(b) for b in range(16)}
     assert len({f.rsplit("/", 1)[0] for f in found.inputFiles() if "/data/" in f}) <= 3
     assert [r.object_id for r in table.with_keys(keys, 0).collect()] == ["k5"]
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_events_are_kept_only_for_more_passes(spark, tmp_path, monkeypatch, kept):
+    """The changelog reads a batch once; with a side folder it is read again."""
+    folder, cached = str(tmp_path / "feed"), []
+    land(spark, folder, wires(10), 0, 0)
+
+    def rows(events, created_at=None):
+        cached.append(events.is_cached)
+        return changelog.changelog_rows(events, created_at)
+
+    monkeypatch.setattr(streams, "changelog_rows", rows)
+    side = str(tmp_path / "side") if kept else None
+    streams.finish(streams.sync_changelog(source(spark, folder), str(tmp_path / "log"), str(tmp_path / "c"), side=side))
+    assert cached == [kept]
+    assert changelog.read_changelog(spark, str(tmp_path / "log")).count() == 10

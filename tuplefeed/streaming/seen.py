@@ -40,8 +40,8 @@ def merge_ranges(ranges: DataFrame) -> DataFrame:
     return numbered.groupBy("block", "run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run")
 
 
-def not_in(rows: DataFrame, ranges: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows whose position ``seq`` lies in none of the ranges."""
+def not_in(rows: DataFrame, ranges: DataFrame, block: int = BLOCK, distinct: bool = False) -> DataFrame:
+    """The rows whose position ``seq`` lies in none of the ranges; with ``distinct`` one per position."""
     marked = rows.select(
         block_of(F.col("seq"), block).alias("_block"), F.col("seq").alias("_at"), F.lit(None).cast("bigint").alias("_high"),
         F.struct(*rows.columns).alias("_row"),
@@ -53,7 +53,12 @@ def not_in(rows: DataFrame, ranges: DataFrame, block: int = BLOCK) -> DataFrame:
     order = Window.partitionBy("_block").orderBy("_at", F.col("_row").isNotNull())
     reached = F.max("_high").over(order.rowsBetween(Window.unboundedPreceding, 0))
     judged = marked.unionByName(edges).withColumn("_reached", reached)
-    return judged.where(F.col("_row").isNotNull() & (F.col("_reached").isNull() | (F.col("_reached") < F.col("_at")))).select("_row.*")
+    new = F.col("_row").isNotNull() & (F.col("_reached").isNull() | (F.col("_reached") < F.col("_at")))
+    if distinct:
+        # Rows of a position follow one another, behind the ranges that begin there.
+        follows = F.lag(F.col("_row").isNotNull(), 1, False).over(order) & F.lag("_at").over(order).eqNullSafe(F.col("_at"))
+        judged, new = judged.withColumn("_follows", follows), new & ~F.col("_follows")
+    return judged.where(new).select("_row.*")
 
 
 class SeenPositions:
@@ -79,9 +84,10 @@ class SeenPositions:
 
     def fresh(self, events: DataFrame, batch_id: int) -> DataFrame:
         """The events whose positions no earlier batch had, each position once. Their ranges are
-        written first; a batch that fails later comes again with the same id."""
+        written first; a batch that fails later comes again with the same id. The events are kept
+        from then on, until ``unpersist``."""
         known = self.before(batch_id)
-        once = not_in(events.dropDuplicates(["seq"]), known, self.block)
+        once = not_in(events, known, self.block, distinct=True).persist()
         ranges_of(once, self.block).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/new/version={batch_id}")
         if batch_id % self.merge_every == self.merge_every - 1:
             mine = self.spark.read.schema(_RANGES).parquet(f"{self.path}/new/version={batch_id}")

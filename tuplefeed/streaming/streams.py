@@ -119,7 +119,10 @@ def _new_pages(batch: DataFrame, path: str, batch_id: int) -> None:
     try:
         pages = SeenPositions(batch.sparkSession, path)
         again = numbers.groupBy("seq").count().where("count > 1").select("seq").first()
-        again = again or numbers.exceptAll(pages.fresh(numbers, batch_id)).first()
+        if not again:
+            fresh = pages.fresh(numbers, batch_id)
+            again = numbers.exceptAll(fresh).first()
+            fresh.unpersist()
     finally:
         numbers.unpersist()
     if again:
@@ -135,6 +138,7 @@ def sync(
     page_rows: int = PAGE_ROWS,
     side: str | None = None,
     seen: str | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
     """Run ``work(batch, events, batch_id)`` on every batch.
 
@@ -142,7 +146,9 @@ def sync(
     ago, are left out of ``events``; reports count them. Without it, a page number that comes twice is
     an error. Folders that ``work`` makes for itself in the shared folder go when it is done.
 
-    A batch is parsed once: its events are kept for the passes of ``work``. With ``side``, their numbers
+    A batch is parsed once: its events are kept for the passes of ``work``. With ``once``, ``work`` promises
+    to read them in one pass, and they are not kept, which takes longer than parsing them. With ``seen``, what
+    is left of them is kept, and a first pass parses for positions only. With ``side``, their numbers
     are observed while they are parsed, and each batch leaves a report of these in ``<side>/reports``
     and what could not be parsed in ``<side>/rejects``.
     """
@@ -153,14 +159,16 @@ def sync(
         batch = batch.persist() if side else batch  # read by the parser and for the rejects
         metrics = Observation()
         events = _events(batch, page_rows)
-        events = (observed(events, metrics) if side else events).persist()
+        events = observed(events, metrics) if side else events
+        given = events = events if (once or seen) and not side else events.persist()
         try:
             if "body" in batch.columns and not seen:
                 _new_pages(batch, f"{checkpoint.rstrip('/')}/page_numbers", batch_id)
             if side:  # parse and keep; plans of ``work`` may leave the observing step out
                 events.write.format("noop").mode("overwrite").save()
             with folders_removed(spark):
-                work(batch, SeenPositions(spark, seen).fresh(events, batch_id) if seen else events, batch_id)
+                given = SeenPositions(spark, seen).fresh(events, batch_id) if seen else events
+                work(batch, given, batch_id)
             if side:
                 folder, rejected = side.rstrip("/"), Observation()
                 left_out = batch_rejects(batch).observe(rejected, F.count("*").alias("rejected"))
@@ -168,6 +176,7 @@ def sync(
                 report = batch_report(spark, metrics.get, rejected.get["rejected"], time.monotonic() - began)
                 report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/reports/batch_id={batch_id}")
         finally:
+            given.unpersist()
             events.unpersist()
             batch.unpersist()
 
@@ -189,7 +198,7 @@ def sync_changelog(
     def append(batch: DataFrame, events: DataFrame, batch_id: int) -> None:
         append_changelog(changelog_rows(events, ingest_ts), path, batch_id, _stream_of(batch))
 
-    return sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side, seen)
+    return sync(feed, append, checkpoint, ingest_ts, poll_interval, page_rows, side, seen, once=True)
 
 
 def sync_state(
@@ -215,7 +224,7 @@ def sync_state(
         if counts:
             TupleCounts(batch.sparkSession, counts).add(table, batch_id)
 
-    return sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side, seen)
+    return sync(feed, apply, checkpoint, ingest_ts, poll_interval, page_rows, side, seen, once=True)
 
 
 def sync_requests(
@@ -283,7 +292,7 @@ def sync_target(
         given = {**options, "batch_id": batch_id, "batch_size": batch_size, "tries": tries, "first_pause": first_pause}
         by_key(events, vocab).write.format(target).mode("append").options(**given).save()
 
-    return sync(feed, send, checkpoint, ingest_ts, poll_interval, page_rows, side)
+    return sync(feed, send, checkpoint, ingest_ts, poll_interval, page_rows, side, once=True)
 
 
 def _deliver_batch(
