@@ -128,3 +128,18 @@ def test_an_empty_batch_sends_nothing(spark, tmp_path):
     writer = by_key(events_of(spark, [event(0, "NOOP")])).write.format("lines_target").mode("append")
     writer.options(**options(tmp_path)).save()
     assert sent(tmp_path / "target") == ({}, 0)
+
+
+def test_requests_of_a_task_are_one_file(spark, tmp_path):
+    """A target keeps as many files as there are tasks, not as there are requests."""
+    from tuplefeed.plans.queries import _FolderTarget
+
+    spark.dataSource.register(_FolderTarget)
+    rows = [event(i, "WRITE", f"k{i % 3}") for i in range(30)]
+    writer = by_key(events_of(spark, rows)).coalesce(2).sortWithinPartitions("seq").write.format("folder_target").mode("append")
+    writer.options(path=str(tmp_path / "sent"), batch_id=7, batch_size=1000).save()
+    files = [f for f in (tmp_path / "sent").iterdir() if not f.name.startswith(".")]
+    assert 1 <= len(files) <= 2
+    kept = spark.read.schema("batch_id BIGINT, at BIGINT, body STRING").json(str(tmp_path / "sent"))
+    assert {r.batch_id for r in kept.collect()} == {7}
+    assert sum(len(json.loads(r.body)["writes"]) for r in kept.collect()) == 30

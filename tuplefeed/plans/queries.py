@@ -673,24 +673,34 @@ def stream_delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.delivery_log(spark, log)
 
 
+class _RequestFile:
+    """The requests of a task as lines of one file, with their places; it is there once closed."""
+
+    def __init__(self, options: dict[str, str]):
+        self.batch_id, self.folder = int(options["batch_id"]), files.open_folder(options["path"])
+        self.name, self.places = f"{self.batch_id}-{uuid.uuid4().hex}.json", itertools.count()
+        self.file = None
+
+    def __call__(self, body: str) -> None:
+        self.file = self.file or self.folder.begin(self.name)
+        request = {"batch_id": self.batch_id, "at": next(self.places), "body": body}
+        self.file.write(f"{json.dumps(request)}\n".encode())
+
+    def close(self) -> None:
+        if self.file:
+            self.file.close()
+            self.folder.show(self.name)
+
+
 class _FolderTarget(ChangeTarget):
-    """A target that keeps each request as a file, with its place among those of its task."""
+    """A target that keeps the requests of each task in a file."""
+
+    connect = staticmethod(_RequestFile)
 
     @classmethod
     def name(cls) -> str:
         return "folder_target"
 
-    @staticmethod
-    def connect(options: dict[str, str]):
-        task, folder, places = uuid.uuid4().hex, files.open_folder(options["path"]), itertools.count()
-
-        def send(body: str) -> None:
-            at = next(places)
-            request = {"batch_id": int(options["batch_id"]), "at": at, "body": body}
-            folder.write(f"{options['batch_id']}-{task}-{at}.json", json.dumps(request))
-
-        return send
-
 
 def _sent(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     target, log = shared_folder(spark, "target"), shared_folder(spark, "commits")

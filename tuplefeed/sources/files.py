@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyarrow import fs
 
 
@@ -22,9 +23,16 @@ class Folder:
 
     def write(self, name: str, text: str) -> None:
         """Write a whole file, so that readers see all of it or none."""
-        self.files.create_dir(self.path, recursive=True)
-        with self.files.open_output_stream(f"{self.path}/.{name}.part") as file:
+        with self.begin(name) as file:
             file.write(text.encode())
+        self.show(name)
+
+    def begin(self, name: str) -> pa.NativeFile:
+        """A file to write to, which readers see after ``show``."""
+        self.files.create_dir(self.path, recursive=True)
+        return self.files.open_output_stream(f"{self.path}/.{name}.part", buffer_size=1 << 16)
+
+    def show(self, name: str) -> None:
         self.files.move(f"{self.path}/.{name}.part", f"{self.path}/{name}")
 
 

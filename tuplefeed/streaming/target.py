@@ -77,7 +77,8 @@ def http_target(options: dict[str, str]) -> Send:
 
 
 class ChangeTarget(DataSource):
-    """Subclasses may send some other way by overriding ``connect``, which is called once per task."""
+    """Subclasses may send some other way by overriding ``connect``, which is called once per task. If
+    what it returns has a ``close``, that is called after the last request of the task."""
 
     connect = staticmethod(http_target)
 
@@ -111,6 +112,8 @@ class RequestWriter(DataSourceWriter):
             sent.tries += self._send(send, body)
             sent.requests += 1
             sent.changes += changes
+        if hasattr(send, "close"):
+            send.close()
         return sent
 
     def _send(self, send: Send, body: str) -> int:
