@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -97,3 +98,16 @@ def test_different_texts_with_one_id_or_none(spark):
 def test_components_of_a_long_chain(spark):
     chain = spark.range(1, 200).selectExpr("id AS a", "id - 1 AS b").union(spark.createDataFrame([(501, 500)], "a long, b long"))
     assert {(r.component, r.node) for r in connected(chain).collect()} == {(0, i) for i in range(200)} | {(500, 500), (500, 501)}
+
+
+def test_products_of_a_large_group_take_few_bytes_per_gram():
+    rng = np.random.default_rng(1)
+    base = np.unique(rng.integers(0, 2**63, 30_000).astype(np.uint64))
+    own = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(40)]
+    made = [np.unique(np.concatenate([base, some])) for some in own]
+    tracemalloc.start()
+    links = ngram_join.linked_rows(made, 90, products=50_000)
+    peak = tracemalloc.get_traced_memory()[1] / sum(map(len, made))
+    tracemalloc.stop()
+    assert sorted(links) == [(0, k) for k in range(1, 40)]
+    assert peak < 40  # bytes; it was 65

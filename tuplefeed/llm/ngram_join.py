@@ -53,7 +53,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Shingles(dict):
     """Sorted distinct n-gram hashes of texts; words' hashes are remembered, up to ``keep``."""
 
-    def __init__(self, n: int, keep: int = 1_000_000) -> None:
+    def __init__(self, n: int, keep: int = 250_000) -> None:
         self.n, self.keep = n, keep
 
     def __missing__(self, word: bytes) -> int:
@@ -95,13 +95,19 @@ def linked_rows(
     """A spanning forest of the links among sets. ``products`` bounds what is multiplied at once."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
-    grams = np.concatenate(sets)
-    row = np.repeat(np.arange(n), sizes)
-    column = np.unique(grams, return_inverse=True)[1]
-    by_column = np.argsort(column, kind="stable")
-    holders = row[by_column]
-    ends = np.cumsum(np.bincount(column))
     row_ends = np.cumsum(sizes)
+    grams = np.concatenate(sets)
+    del sets  # a task's memory is that of a few numbers of four bytes per n-gram from here on
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    starts = np.append(True, grams[1:] != grams[:-1])
+    del grams
+    ends = np.append(np.flatnonzero(starts)[1:], len(starts))
+    holders = np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
+    column = np.empty(len(order), np.int32)
+    column[order] = np.cumsum(starts, dtype=np.int32) - np.int32(1)
+    del order, starts
+    held = np.diff(ends, prepend=0).astype(np.int32)  # rows that hold a column
     root = np.arange(n)
 
     def find(i: int) -> int:
@@ -116,9 +122,16 @@ def linked_rows(
         """Which rows are linked with each of ``rows``."""
         cols = np.concatenate([column[row_ends[r] - sizes[r] : row_ends[r]] for r in rows])
         local = np.repeat(np.arange(len(rows)), sizes[rows])
-        lengths = ends[cols] - np.concatenate([[0], ends])[cols]
-        place = np.repeat(ends[cols] - np.cumsum(lengths), lengths) + np.arange(int(lengths.sum()))
-        overlap = np.bincount(np.repeat(local, lengths) * n + holders[place], minlength=len(rows) * n).reshape(len(rows), n)
+        lengths = held[cols]
+        upto, overlap, at = np.cumsum(lengths, dtype=np.int64), np.zeros(len(rows) * n, np.int64), 0
+        while at < len(cols):  # the columns of a row that shares all its own may be a whole block
+            done = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, done + products, "right")))
+            some, before = lengths[at:end], upto[at:end] - done
+            place = np.repeat(ends[cols[at:end]] - before, some) + np.arange(before[-1])
+            overlap += np.bincount(np.repeat(local[at:end], some) * n + holders[place], minlength=len(rows) * n)
+            at = end
+        overlap = overlap.reshape(len(rows), n)
         both = sizes[rows][:, None] + sizes[None, :]
         return (100 + percent) * overlap >= percent * both
 
@@ -133,7 +146,7 @@ def linked_rows(
 
     rest = np.flatnonzero(~join(np.array([0]))[0])
     # A row's work is the holders of its n-grams; rows are multiplied together up to a bound of that.
-    work = np.add.reduceat(np.bincount(column)[column], row_ends - sizes)[rest]
+    work = np.add.reduceat(held[column], row_ends - sizes, dtype=np.int64)[rest]
     at = 0
     while at < len(rest):
         fitting = int(np.searchsorted(np.cumsum(work[at : at + at_once]), products, "right"))
@@ -294,7 +307,7 @@ def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block:
                     sets[node] = grams
             ids = list(sets)
             if len(ids) > 1:
-                out += [(ids[a], ids[b]) for a, b in linked_rows(list(sets.values()), percent)]
+                out += [(ids[a], ids[b]) for a, b in linked_rows([sets.pop(i) for i in ids], percent)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     # Small groups share a frame, as many as a quarter of a block holds.
