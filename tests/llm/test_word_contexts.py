@@ -123,3 +123,36 @@ def test_odd_rows_and_empty_tables(spark, odd, empty):
     none = suffix_tree.score(odd, lambda k: F.lit(False), longest=3).collect()
     assert [r.score for r in none if r.doc_id == 1] == [pytest.approx(-math.log10(256))]
     assert all(math.isfinite(r.score) for r in none)
+
+
+def test_contexts_of_a_level_are_those_of_sorted_keys_without_a_sort(monkeypatch):
+    rng = np.random.default_rng(6)
+    token = np.append(np.where(rng.random(600) < 0.1, 0, rng.integers(1, 9, 600)), 0)
+    hashes = rng.integers(0, 2**63, 8).astype(np.uint64)
+    learns = rng.random(int((token == 0).sum())) < 0.8
+    sorts, of = [], word_contexts.Keys.of.__func__
+    monkeypatch.setattr(word_contexts.Keys, "of", classmethod(lambda cls, keys: sorts.append(len(keys)) or of(cls, keys)))
+    state = word_contexts.Block(hashes, token, learns, 40)
+    state.begin(np.full(9, -2.0), np.append(learns.sum(), np.bincount(token, minlength=9)[1:]))
+    for level in (1, 2, 3):
+        places, keys = state.run_keys(level)
+        seen = np.bincount(keys.at, minlength=len(keys.distinct)).astype(np.uint64)
+        state.counted(level, {0: word_contexts.planes(seen)}, 4.0)
+        expected = np.unique(state.runs[level - 1][state.candidate - 1] >> state.shift, return_inverse=True)
+        assert len(state.candidate) and (state.contexts().distinct == expected[0]).all() and (state.contexts().at == expected[1]).all()
+    assert sorts[0] == 9 and len(sorts) == 1 + 2 * 3  # the distinct words once, then a level's runs in each of the two calls
+
+
+def test_long_logarithms_keep_what_is_below_the_smallest_number():
+    got = word_contexts.log_sum(np.array([0, 0, 3, 3]), 4.0, np.array([-2000.0, -1.0, -2000.0, -1.0]))
+    assert got == pytest.approx([math.log(4) - 2000, math.log(4) - 1, math.log(3), math.log(3 + 4 / math.e)], rel=1e-14)
+
+
+def test_spelling_in_pieces_is_that_of_one_piece(spark, monkeypatch):
+    words = sorted({w.encode() for t in made(7, 60) for w in t.split()})
+    one = spark.createDataFrame([([0] * len(words), bytearray(suffix_tree.zstandard.compress(b"".join(w + b" \n" for w in words))))], "held array<int>, data binary")
+    tree = suffix_tree.train(one, 4, 1e-6, 1)
+    whole = suffix_tree.spellings(tree, words)
+    monkeypatch.setattr(suffix_tree, "PIECE", 5)
+    assert tree.depth == 4 and (suffix_tree.spellings(tree, words) == whole).all() and len(whole) == len(words) + 1
+    assert len(suffix_tree.spellings(tree, [])) == 1

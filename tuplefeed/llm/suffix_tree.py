@@ -25,8 +25,9 @@ same probability; an empty table gives no rows; texts are taken whole.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, count
 from typing import NamedTuple
 
 import numpy as np
@@ -44,6 +45,7 @@ from tuplefeed.llm.common import LOWERED, grouped_by_size, packed, settled, text
 END = 10  # a line end, which no word holds
 SLICE = 1 << 16
 BLOCK_CHARS = 3_000_000
+PIECE = 1 << 15  # bytes scored at once
 
 
 def words_of(text: str) -> list[bytes]:
@@ -107,16 +109,22 @@ class Tree:
 
     def score(self, data: bytes) -> np.ndarray:
         """The log10 probability of every byte, in its longest context."""
-        start, w = max(3, self.depth), np.int32(self.width)
-        x = self.symbol[np.frombuffer(b"\n" * start + data, np.uint8)]
-        codes = self._codes(x, start)
-        node = self._node[codes]
+        start, raw = max(3, self.depth), np.frombuffer(data, np.uint8)
+        raw = np.append(np.full(start, END, np.uint8), raw)
+        pieces = [self._scored(raw[max(0, at - start) : at + PIECE], start) for at in range(start, len(raw), PIECE)]
+        return np.concatenate([*pieces, np.empty(0)])
+
+    def _scored(self, raw: np.ndarray, start: int) -> np.ndarray:
+        """A piece of bytes behind ``start`` others; what it takes in between fits a core's cache."""
+        w, x = np.intp(self.width), self.symbol.astype(np.intp).take(raw)
+        codes = (x[start - 1 : -1] * w + x[start - 2 : -2]) * w + x[start - 3 : -3]
+        node = self._node.take(codes)
         if self.depth > 3:
-            here = self._third[codes]
+            here = self._third.take(codes)
             for k in range(3, self.depth):
-                here = self.down[k][here * w + x[start - k - 1 : len(x) - k - 1]]
+                here = self.down[k].take(here * w + x[start - k - 1 : len(x) - k - 1])
                 node = np.where(here > 0, here + np.int32(self.base[k]), node)
-        return self.log10.ravel()[node * w + x[start:]]
+        return self.log10.ravel().take(node * w + x[start:])
 
 
 def _restored(symbol: np.ndarray, *sparse: list | None) -> Tree:
@@ -133,9 +141,8 @@ def smooth(follows: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 def numbered(texts: list[list[bytes]]) -> tuple[bytes, np.ndarray]:
     """The distinct words of some texts, and the number of each token's word; 0 ends a text."""
     flat = list(chain.from_iterable((*words, b"") for words in texts))
-    number = dict.fromkeys(flat)
-    number.pop(b"", None)
-    number = {b"": 0, **dict(zip(number, range(1, len(number) + 1), strict=True))}
+    number: dict[bytes, int] = defaultdict(count(1).__next__)
+    number[b""] = 0
     tokens = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
     return b"\n".join(list(number)[1:]), tokens
 
@@ -469,11 +476,10 @@ def _by_kind(given: pd.DataFrame) -> dict[int, dict[int, bytes]]:
 
 def spellings(tree: Tree, words: list[bytes]) -> np.ndarray:
     """The log10 probability of the end's byte, and of each word's with the space after it."""
-    data = b"\n" + b"".join(w + b" \n" for w in words)
-    starts = np.cumsum([0, 1, *(len(w) + 2 for w in words)])
-    scores = tree.score(data)
-    scores[starts[2:] - 1] = 0
-    return np.add.reduceat(scores, starts[:-1])
+    data = b"\n" + b" \n".join([*words, b""])  # words hold no line ends
+    scores, ends = tree.score(data), np.flatnonzero(np.frombuffer(data, np.uint8) == END)
+    scores[ends[1:]] = 0
+    return np.add.reduceat(scores, np.append(0, ends[:-1] + 1))
 
 
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -61,15 +61,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def log_sum(n: np.ndarray, weight: float, p: np.ndarray) -> np.ndarray:
     """log(n + weight * e**p); very long words have a p below the smallest number."""
-    with np.errstate(divide="ignore"):
-        return np.logaddexp(np.log(n), np.log(weight) + p)
+    return np.where(n > 0, np.log(np.maximum(n, 1) + weight * np.exp(p)), np.log(weight) + p)
 
 
 class Keys:
     """A block's distinct keys in order, and where each of its places finds its key."""
 
-    def __init__(self, keys: np.ndarray) -> None:
-        self.distinct, self.at = np.unique(keys, return_inverse=True)
+    def __init__(self, distinct: np.ndarray, at: np.ndarray) -> None:
+        self.distinct, self.at = distinct, at
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> Keys:
+        return cls(*np.unique(keys, return_inverse=True))
+
+    def some(self, places: np.ndarray) -> Keys:
+        """The keys of some places, in order too, without sorting again."""
+        at = self.at[places]
+        stays = np.zeros(len(self.distinct), bool)
+        stays[at] = True
+        return Keys(self.distinct[stays], (np.cumsum(stays) - 1)[at])
 
     def asks(self, kind: int, amounts: np.ndarray, bits: int, buckets: int) -> list[tuple]:
         """(kind, bucket, keys, amounts) of every bucket; keys are sent as differences."""
@@ -124,7 +134,11 @@ class Block:
         self.shift = np.uint64(64 - bits)
         of_word = np.append(np.uint64(0x5851F42D4C957F2D), hashes)
         self._hash = of_word[self.token]
-        self.runs = [_mixed(self._hash)]  # of each token and the k before it
+        mixed = _mixed(of_word)
+        self.runs = [mixed[self.token]]  # of each token and the k before it
+        # The keys of the last level's runs, found at the place of their last token.
+        self._keys = Keys.of(mixed >> self.shift)
+        self._keys.at = self._keys.at[self.token]
         self.longest_p = self.p = self.count = self.candidate = None
 
     def begin(self, word_p: np.ndarray, word_count: np.ndarray) -> None:
@@ -142,7 +156,7 @@ class Block:
         if level > 1:
             may[1:] &= self.count[:-1] >= 2
         places = np.flatnonzero(may)
-        return places, Keys(self.runs[level][places] >> self.shift)
+        return places, Keys.of(self.runs[level][places] >> self.shift)
 
     def count_asks(self, level: int, bits: int, buckets: int) -> list[tuple]:
         places, keys = self.run_keys(level)
@@ -159,11 +173,15 @@ class Block:
         of = self.candidate
         self.shorter, self.n, self.c = self.p[of], n[of], c[of]
         self.p[of] = log_sum(self.n, weight, self.shorter) - np.log(self.c + weight)
-        self.level, self.count = level, n
+        self.count = n
+        # A candidate's context is the run before it, one level shorter, whose keys are in order already.
+        self._contexts = self._keys.some(of - 1)
+        self._keys = Keys(keys.distinct, np.zeros(len(self.token), np.int64))
+        self._keys.at[places] = keys.at
 
     def contexts(self) -> Keys:
         """The contexts of the level's candidates."""
-        return Keys(self.runs[self.level - 1][self.candidate - 1] >> self.shift)
+        return self._contexts
 
     def test_asks(self, level: int, weight: float, bits: int, buckets: int) -> list[tuple]:
         """The sum over this block's training occurrences, each of them left out in its turn."""
