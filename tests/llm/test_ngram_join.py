@@ -40,6 +40,43 @@ def test_products_and_leading_grams_lose_no_link(made, percent):
     assert all(group[i] == group[j] for i, j in links)
 
 
+@settings(deadline=None)
+@given(
+    st.integers(1, 700), st.integers(0, 2**32), st.floats(0, 1), st.sampled_from([0.0, 0.5, 0.97, 1.0]), st.sampled_from([90, 95]), st.booleans()
+)
+def test_bins_lose_no_link(size, seed, taken, share, percent, narrow):
+    """Sets as far apart as linked ones may be, with few or all n-grams common, and n-grams that fall into few bins."""
+    rng = np.random.default_rng(seed)
+    own = np.unique(rng.integers(0, 2**(50 if narrow else 64), 2 * size + 1, np.uint64, endpoint=False))
+    a = own[rng.permutation(len(own))[:size]]
+    rest = np.setdiff1d(own, a)
+    gone = round(taken * size * (100 - percent) / 100)
+    left = a[gone:]
+    more = 0
+    while 100 * len(left) >= percent * (size + more + 1) and more < len(rest):
+        more += 1
+    b = np.concatenate([left, rest[:more]])
+    assert not len(b) or 100 * len(left) >= percent * (size + more)
+    often = rng.random(1 << ngram_join.BITS) < share
+    if len(b) and set(a) != set(b):
+        shown = [set(ngram_join.bins(np.sort(s), often, percent).tolist()) for s in (a, b)]
+        assert shown[0] & shown[1]
+
+
+def test_chains_of_texts_with_a_passage_in_common_are_no_candidates(spark):
+    """Each text has a fifth of its words from the one before and a fifth from the one after: a group of all, by any of these."""
+    docs = []
+    for i in range(300):
+        parts = [[f"a{i}x{k}" for k in range(20)], [f"b{i}x{k}" for k in range(60)], [f"a{i + 1}x{k}" for k in range(20)]]
+        docs.append((i, " ".join(sum(parts, []))))
+    docs += [(500, docs[0][1] + " end"), (501, docs[200][1] + " end")]
+    df = spark.createDataFrame(docs, DOCS)
+    counters = np.zeros(1 << ngram_join.BITS, np.uint16)  # as if all n-grams were equally rare, as in a large corpus
+    groups = ngram_join._candidates(ngram_join._shown(df, counters, 3, 90), 90).groupBy("group").count().collect()
+    assert sorted(r["count"] for r in groups) == [2, 2]
+    assert rows_of(ngram_join.components(df, n=3, percent=90)) == sorted(brute.near_components(docs), key=str)
+
+
 def test_query_equals_brute_force(spark, sf_dir):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     expected = brute.near_components(docs)

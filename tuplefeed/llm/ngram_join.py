@@ -1,12 +1,15 @@
 """N-gram Jaccard join by blocked products of the document by n-gram incidence matrix.
 
-Documents are sets of n-gram hashes. Equal sets are one class from the start. Blocks: in any order
-of n-grams that all documents share, two linked sets of sizes a and b have one of their first
+Documents are sets of n-gram hashes. Equal sets are one class from the start. Blocks, where few
+n-grams of linked sets may differ (``binned``): n-grams fall into more bins than may differ, so linked
+sets have the same n-grams in some bin, and unrelated ones hardly ever, however large the corpus is.
+N-grams that many sets hold are left out of the bins. Else: in any order of n-grams that all
+documents share, two linked sets of sizes a and b have one of their first
 a - ceil(t * a) + 1 and b - ceil(t * b) + 1 n-grams in common (t the wanted similarity). The order
-used puts rare ones first, so that passages which many documents share come last; how rare they are
+used puts rare ones first, so that passages which many documents share come last. How rare n-grams are
 is estimated by a table of ``1 << BITS`` counters, whatever the size of the corpus. Estimates
-only decide the order, never a link. Classes that meet in a first n-gram, and whose sizes allow a link
-step by step, form candidate groups.
+only decide the order or what is left out, never a link. Classes that meet in a bin or a first n-gram,
+and whose sizes allow a link step by step, form candidate groups.
 
 Within a group, rows of the incidence matrix are multiplied with the others, overlaps are
 accumulated, and pairs outside the size bounds or below the wanted overlap are discarded. The first
@@ -89,6 +92,60 @@ def leading(grams: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray
     return grams[np.lexsort((grams, counters[counter_of(grams)]))[:first]]
 
 
+def binned(percent: int) -> bool:
+    """Whether bins hold enough n-grams, five at least, to tell unrelated sets apart."""
+    return 100 + percent >= 17 * (100 - percent)
+
+
+def common(counters: np.ndarray) -> np.ndarray:
+    """Which counters stand out among what chance puts into each."""
+    mean = float(counters.mean())
+    return counters > mean + 6 * mean**0.5 + 8
+
+
+def ranges_of(size: int, percent: int) -> Iterator[tuple[int, int]]:
+    """(lower, upper) of the ranges of sizes, upper excluded, in which a set meets linked ones: its own
+    and each higher one that holds sizes it may be linked with."""
+    lower, upper = 1, 2
+    while lower * percent <= size * 100:
+        if size < upper:
+            yield lower, upper
+        lower, upper = upper, max(upper + 1, upper * 3 // 2)
+
+
+def bins(grams: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set of which it shares one with every other set that is linked to it.
+
+    Of linked sets of sizes a and b, at most (1 - t) / (1 + t) * (a + b) n-grams are in one only, and
+    each spoils one bin: with ``spare`` bins more than that and one, the sets are equal in ``spare`` + 1. A
+    key is a bin and the sum of its n-grams, those in ``often`` left out. Empty bins are no keys unless a set
+    has more than ``spare``: it then shows its bins with all n-grams too, since two such sets are equal in
+    those as well; and in the same way, bins that are empty even then.
+    """
+    few, keys = grams[~often[counter_of(grams)]], [np.zeros(0, np.uint64)]
+
+    def show(some: np.ndarray, salt: int, count: int) -> np.ndarray:
+        """Which bins have n-grams; their keys are shown."""
+        place = ((some >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)  # ascending, as n-grams are
+        starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+        if len(starts):
+            keys.append(mixed(mixed(place[starts] * _M3 + np.uint64(salt)) + np.add.reduceat(some, starts)))
+        return place[starts].astype(np.int64)
+
+    for lower, upper in ranges_of(len(grams), percent):
+        differ = (100 - percent) * 2 * (upper - 1) // (100 + percent)
+        if differ == 0:  # only equal sets are linked, and these are one class
+            continue
+        spare = 1 + differ // 8
+        count = differ + 1 + spare
+        if count - len(show(few, 3 * lower, count)) > spare:
+            full = show(grams, 3 * lower + 1, count)
+            if count - len(full) > spare:
+                left = np.setdiff1d(np.arange(count), full).astype(np.uint64)
+                keys.append(mixed(mixed(left * _M3 + np.uint64(3 * lower + 2))))
+    return np.concatenate(keys)
+
+
 def linked_rows(
     sets: list[np.ndarray], percent: int, at_once: int = 64, products: int = 2_000_000
 ) -> list[tuple[int, int]]:
@@ -221,8 +278,9 @@ def _counters(found: DataFrame) -> np.ndarray:
 
 
 def _shown(docs: DataFrame, counters: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(first, size, part): the leading n-grams of sets, equal sets once in a task."""
-    sent = docs.sparkSession.sparkContext.broadcast(counters)  # of a fixed size
+    """(first, size, part): the bins or leading n-grams of sets, equal sets once in a task."""
+    show, known = (bins, common(counters)) if binned(percent) else (leading, counters)
+    sent = docs.sparkSession.sparkContext.broadcast(known)  # of a fixed size
 
     def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
         shingles, done = Shingles(n), set()
@@ -233,7 +291,7 @@ def _shown(docs: DataFrame, counters: np.ndarray, n: int, percent: int) -> DataF
                 key = _key(grams, _M1)
                 if key not in done and len(grams):
                     done.add(key)
-                    part.append(leading(grams, sent.value, percent).view(np.int64))
+                    part.append(show(grams, sent.value, percent).view(np.int64))
                     first.append(np.full(len(part[-1]), key))
                     size.append(np.full(len(part[-1]), len(grams)))
             if len(done) > 1_000_000:
@@ -246,7 +304,7 @@ def _shown(docs: DataFrame, counters: np.ndarray, n: int, percent: int) -> DataF
 def _candidates(shown: DataFrame, percent: int) -> DataFrame:
     """(first, group) for sets that meet others.
 
-    The sets with an n-gram, by size, fall into runs in which each size allows a link with the one
+    The sets with an n-gram or a bin, by size, fall into runs in which each size allows a link with the one
     before; sets of a run are one group. Sets and runs are never turned into pairs of sets: each round
     takes the least set of each run and the least of these for each set, which takes its place. Rows
     that become equal, and runs left with one set, go, so rounds shrink; each row is one of ``shown``.
