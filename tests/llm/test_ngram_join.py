@@ -50,7 +50,7 @@ def test_bins_lose_no_link(size, seed, taken, share, percent, narrow):
     own = np.unique(rng.integers(0, 2**(50 if narrow else 64), 2 * size + 1, np.uint64, endpoint=False))
     a = own[rng.permutation(len(own))[:size]]
     rest = np.setdiff1d(own, a)
-    gone = round(taken * size * (100 - percent) / 100)
+    gone = int(taken * size * (100 - percent) / 100)
     left = a[gone:]
     more = 0
     while 100 * len(left) >= percent * (size + more + 1) and more < len(rest):
@@ -148,3 +148,47 @@ def test_products_of_a_large_group_take_few_bytes_per_gram():
     tracemalloc.stop()
     assert sorted(links) == [(0, k) for k in range(1, 40)]
     assert peak < 40  # bytes; it was 65
+
+
+@settings(deadline=None)
+@given(st.integers(1, 700), st.integers(0, 2**32), st.floats(0, 1), st.sampled_from([0.0, 0.5, 0.97, 1.0]), st.booleans())
+def test_bins_lose_no_link_at_the_similarity_of_the_pipeline(size, seed, taken, share, narrow):
+    """As above, with so few n-grams in a bin that some sets have too few bins, and none that are spoiled by more than links may."""
+    rng = np.random.default_rng(seed)
+    own = np.unique(rng.integers(0, 2**(50 if narrow else 64), 2 * size + 1, np.uint64, endpoint=False))
+    a = own[rng.permutation(len(own))[:size]]
+    rest = np.setdiff1d(own, a)
+    left = a[int(taken * size * 20 / 100):]
+    more = 0
+    while 100 * len(left) >= 80 * (size + more + 1) and more < len(rest):
+        more += 1
+    b = np.concatenate([left, rest[:more]])
+    assert 100 * len(left) >= 80 * (size + more)
+    often = rng.random(1 << ngram_join.BITS) < share
+    if set(a) != set(b):
+        shown = [set(ngram_join.bins(np.sort(s), often, 80).tolist()) for s in (a, b)]
+        assert shown[0] & shown[1]
+
+
+def test_large_groups_are_taken_apart_before_they_are_split(spark, monkeypatch):
+    """A chain of passages in common, in a corpus so large that its counters tell no n-grams apart: one group of all, twice 30 texts of it copied."""
+    docs = []
+    for i in range(200):
+        parts = [[f"a{i}x{k}" for k in range(20)], [f"b{i}x{k}" for k in range(60)], [f"a{i + 1}x{k}" for k in range(20)]]
+        docs.append((i, " ".join(sum(parts, []))))
+    docs += [(500 + i, docs[i][1] + " end") for i in range(30)] + [(600 + i, docs[i][1].replace("b", "c", 1)) for i in range(30)]
+    counted, groups, links = [], [], ngram_join._links
+
+    def counters(found, real=ngram_join._counters):
+        counted.append(real(found))
+        return counted[-1] if len(counted) > 1 else np.zeros_like(counted[-1])
+
+    def spied(docs, candidates, *given):
+        groups.extend(r["count"] for r in candidates.groupBy("group").count().collect())
+        return links(docs, candidates, *given)
+
+    monkeypatch.setattr(ngram_join, "_counters", counters)
+    monkeypatch.setattr(ngram_join, "_links", spied)
+    got = ngram_join.components(spark.createDataFrame(docs, DOCS), n=3, percent=80, block=2000)
+    assert rows_of(got) == sorted(brute.near_components(docs, 3, 80), key=str)
+    assert max(groups) <= 12  # it was one group of 260

@@ -11,6 +11,8 @@ is estimated by a table of ``1 << BITS`` counters, whatever the size of the corp
 only decide the order or what is left out, never a link. Classes that meet in a bin or a first n-gram,
 and whose sizes allow a link step by step, form candidate groups.
 
+Groups that are too large for a task are taken apart by bins, of n-grams counted among their own sets.
+
 Within a group, rows of the incidence matrix are multiplied with the others, overlaps are
 accumulated, and pairs outside the size bounds or below the wanted overlap are discarded. The first
 row's product links most of a group of copies; rows that it links are one component already, so
@@ -113,36 +115,47 @@ def ranges_of(size: int, percent: int) -> Iterator[tuple[int, int]]:
         lower, upper = upper, max(upper + 1, upper * 3 // 2)
 
 
+#: In how many ways a set is dealt into bins before its bins count as empty.
+DEALS = 4
+
+
 def bins(grams: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
     """Keys of a set of which it shares one with every other set that is linked to it.
 
     Of linked sets of sizes a and b, at most (1 - t) / (1 + t) * (a + b) n-grams are in one only, and
-    each spoils one bin: with ``spare`` bins more than that and one, the sets are equal in ``spare`` + 1. A
-    key is a bin and the sum of its n-grams, those in ``often`` left out. Empty bins are no keys unless a set
-    has more than ``spare``: it then shows its bins with all n-grams too, since two such sets are equal in
-    those as well; and in the same way, bins that are empty even then.
+    each spoils one bin. So of the first bins that hold n-grams of a set, one more than may be spoiled, one
+    is equal in the other set; what is first in the order of bins for one of the two is shown by both. A key
+    is a bin and the sum of its n-grams, those in ``often`` left out. A set with fewer such bins shows them all, and
+    its bins with all n-grams too, since two such sets may only be equal in empty ones; and in the same
+    way, the bins that n-grams fall into by other hashes, and at last a key that all such sets have.
     """
     few, keys = grams[~often[counter_of(grams)]], [np.zeros(0, np.uint64)]
 
-    def show(some: np.ndarray, salt: int, count: int) -> np.ndarray:
-        """Which bins have n-grams; their keys are shown."""
-        place = ((some >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)  # ascending, as n-grams are
+    def show(some: np.ndarray, salt: int, count: int, wanted: int, deal: int = 0) -> bool:
+        """Whether as many bins as wanted have n-grams; so many keys are shown."""
+        if deal:
+            hashed = mixed(some + np.uint64(deal))
+            order = np.argsort(hashed)
+            some, hashed = some[order], hashed[order]
+        else:
+            hashed = some
+        place = ((hashed >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)  # ascending, as hashes are
         starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
         if len(starts):
-            keys.append(mixed(mixed(place[starts] * _M3 + np.uint64(salt)) + np.add.reduceat(some, starts)))
-        return place[starts].astype(np.int64)
+            shown = mixed(mixed(place[starts] * _M3 + np.uint64(salt)) + np.add.reduceat(some, starts))
+            keys.append(shown[:wanted])
+        return len(starts) >= wanted
 
     for lower, upper in ranges_of(len(grams), percent):
         differ = (100 - percent) * 2 * (upper - 1) // (100 + percent)
         if differ == 0:  # only equal sets are linked, and these are one class
             continue
-        spare = 1 + differ // 8
-        count = differ + 1 + spare
-        if count - len(show(few, 3 * lower, count)) > spare:
-            full = show(grams, 3 * lower + 1, count)
-            if count - len(full) > spare:
-                left = np.setdiff1d(np.arange(count), full).astype(np.uint64)
-                keys.append(mixed(mixed(left * _M3 + np.uint64(3 * lower + 2))))
+        # More bins leave fewer sets without the wanted ones, with fewer n-grams in each.
+        count, salt = differ + 2 + differ // (8 if binned(percent) else 4), (DEALS + 2) * lower
+        if show(few, salt, count, differ + 1):
+            continue
+        if not any(show(grams, salt + 1 + deal, count, differ + 1, deal) for deal in range(DEALS)):
+            keys.append(mixed(np.array([salt + DEALS + 1], np.uint64)))
     return np.concatenate(keys)
 
 
@@ -277,21 +290,25 @@ def _counters(found: DataFrame) -> np.ndarray:
     return np.concatenate([summed.get(k, none) for k in range(SLICES)]).astype(np.uint16)
 
 
-def _shown(docs: DataFrame, counters: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(first, size, part): the bins or leading n-grams of sets, equal sets once in a task."""
-    show, known = (bins, common(counters)) if binned(percent) else (leading, counters)
+def _shown(docs: DataFrame, counters: np.ndarray, n: int, percent: int, grouped: bool = False) -> DataFrame:
+    """(first, size, part): the bins or leading n-grams of sets, equal sets once in a task.
+
+    ``grouped``: bins, and sets meet only others of their group, which is in ``doc_id``.
+    """
+    show, known = (bins, common(counters)) if grouped or binned(percent) else (leading, counters)
     sent = docs.sparkSession.sparkContext.broadcast(known)  # of a fixed size
 
     def make(pairs: Iterator[tuple[list, list[str]]]) -> Iterator[dict]:
         shingles, done = Shingles(n), set()
-        for _, texts in pairs:
+        for ids, texts in pairs:
             first, size, part = ([np.zeros(0, np.int64)] for _ in range(3))
-            for text in texts:
+            for group, text in zip(ids, texts, strict=True):
                 grams = shingles.of(text)
                 key = _key(grams, _M1)
                 if key not in done and len(grams):
                     done.add(key)
-                    part.append(show(grams, sent.value, percent).view(np.int64))
+                    keys = show(grams, sent.value, percent).view(np.int64)
+                    part.append(mixed((keys ^ group).view(np.uint64)).view(np.int64) if grouped else keys)
                     first.append(np.full(len(part[-1]), key))
                     size.append(np.full(len(part[-1]), len(grams)))
             if len(done) > 1_000_000:
@@ -340,6 +357,32 @@ def _open_runs(rows: DataFrame, run: list[str]) -> DataFrame:
     return bounded.where("least < most").drop("most")
 
 
+def _refined(docs: DataFrame, met: DataFrame, n: int, percent: int, block: int) -> DataFrame:
+    """The candidate classes ``met`` with groups of more than ``block`` n-grams taken apart, as far as possible.
+
+    Sets that are linked share a leading n-gram and a bin, so within a group they meet again in bins. N-grams
+    are counted anew among the sets of these groups alone, fewer each round, so counters tell more of them apart.
+    It ends when rounds no longer make a tenth of such groups go: what is left are near copies, mostly.
+    """
+    before, columns = None, met.columns
+    while True:
+        total = F.sum("n_shingles").alias("total")
+        met = settled(met, "ngram-met")
+        sized = met.join(met.groupBy("group").agg(total), "group")
+        large = sized.where(F.col("total") > block).select(columns)
+        held = large.agg(total).first()[0] or 0
+        if held == 0 or (before is not None and held * 10 > before * 9):
+            return met
+        before = held
+        # Each class by one row of it; a class is found by its first hash, as its group is.
+        texts = _keyed(docs).join(large.select(*KEY, "group").distinct().hint("merge"), KEY)
+        texts = settled(texts.select(F.col("group").alias("doc_id"), "text"), "ngram-large")
+        counters = _counters(settled(classes(texts, n), "ngram-counts"))
+        again = _candidates(_shown(texts, counters, n, percent, grouped=True), percent)
+        apart = large.drop("group").join(again, "first").select(columns)
+        met = sized.where(F.col("total") <= block).select(columns).union(apart)
+
+
 def _links(docs: DataFrame, candidates: DataFrame, n: int, percent: int, block: int) -> DataFrame:
     """(a, b) over the nodes of candidate classes: ``node``, ``group``, ``n_shingles``, and the key of a row."""
     total = candidates.groupBy("group").agg(F.sum("n_shingles").alias("total"))
@@ -387,6 +430,8 @@ def _joined(docs: DataFrame, n: int, percent: int, block: int) -> tuple[DataFram
     numbered = found.where("n_shingles > 0").groupBy(SAME).agg(least).withColumn("node", F.monotonically_increasing_id())
     kinds = settled(numbered.select(*SAME, "node", *(f"least.{c}" for c in KEY)), "ngram-kinds")
     met = kinds.join(_candidates(_shown(docs, _counters(written), n, percent), percent), "first")
+    if not binned(percent):
+        met = _refined(docs, met, n, percent, block)
     links = settled(_links(docs, met, n, percent, block), "ngram-links")
     reached = settled(kinds.join(connected(links, "ngram-components"), "node"), "ngram-reached")
     of_component = reached.groupBy("component").agg(least)
